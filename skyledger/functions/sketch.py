@@ -25,12 +25,27 @@ CUBIC_C = 10.0 / 7.0
 DEFAULT_ACCURACY = 0.01
 
 
+# Fixed value: the interpolated logarithm is this far from a logarithm, at worst.
+CORRECTION = 7.0 / (10.0 * math.log(2.0))
+
+
 def _gamma(accuracy: float) -> float:
     return (1.0 + accuracy) / (1.0 - accuracy)
 
 
+def _step(accuracy: float) -> float:
+    """Ratio of neighbouring bins, narrowed so that interpolation keeps the accuracy."""
+    return _gamma(accuracy) ** (1.0 / CORRECTION)
+
+
 def _multiplier(accuracy: float) -> float:
-    return 0.7 / math.log(_gamma(accuracy))
+    """Bins per power of two, which is ``0.7 / ln(gamma)``."""
+    return math.log(2.0) / math.log(_step(accuracy))
+
+
+def _kept_accuracy(accuracy: float) -> float:
+    """The accuracy after both roundings above, so that bin values agree to the last digits."""
+    return 1.0 - 2.0 / (1.0 + _step(accuracy) ** CORRECTION)
 
 
 def _offset(accuracy: float) -> int:
@@ -71,7 +86,7 @@ def bin_value(bin_: Column, accuracy: float = DEFAULT_ACCURACY) -> Column:
     )
     p = F.cbrt((d1 - F.sqrt(d1 * d1 - 4.0 * d0 ** 3)) / 2.0)
     significand = F.lit(1.0) - (F.lit(CUBIC_B) + p + F.lit(d0) / p) / F.lit(3.0 * CUBIC_A)
-    size = F.pow(F.lit(2.0), whole) * significand * F.lit(1.0 + accuracy)
+    size = F.pow(F.lit(2.0), whole) * significand * F.lit(1.0 + _kept_accuracy(accuracy))
     return F.when(bin_ == 0, F.lit(0.0)).when(bin_ > 0, size).otherwise(-size)
 
 

@@ -16,19 +16,21 @@ FILE_GLOB = "*_T_ONTIME_REPORTING.csv"
 _CORRUPT = "_corrupt_row"
 
 
-def read_ontime_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_ontime_csv(
+    spark: SparkSession, paths: str | Sequence[str], file_glob: str = FILE_GLOB
+) -> DataFrame:
     """All 27 source columns, typed, malformed rows left out.
 
-    Columns are found by name; a file may leave some out. Files under one path must share a header
+    Names starting with a dot or an underscore are never read. Columns are found by name; a file may leave some out. Files under one path must share a header
     (checked, a difference is an error); each path may have its own.
     """
     if isinstance(paths, str):
         paths = [paths]
-    return reduce(DataFrame.unionByName, [_read_one(spark, p) for p in paths])
+    return reduce(DataFrame.unionByName, [_read_one(spark, p, file_glob) for p in paths])
 
 
-def _read_one(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.option("pathGlobFilter", FILE_GLOB).option("recursiveFileLookup", "true")
+def _read_one(spark: SparkSession, path: str, file_glob: str) -> DataFrame:
+    reader = spark.read.option("pathGlobFilter", file_glob).option("recursiveFileLookup", "true")
     # Without inference this only looks at the header line.
     header = reader.option("header", "true").csv(path).columns
     text = T.StructType([T.StructField(h, T.StringType()) for h in header])
