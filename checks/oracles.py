@@ -328,9 +328,10 @@ def _arrival_part(ms: str) -> str:
 
 
 def _seen_by_part(src: str) -> str:
-    """Largest event time in earlier arrival parts."""
+    """Largest event time in earlier arrival parts, with delays of hours instead of minutes."""
+    slow = "(event_ms + (publish_ms - event_ms) * 60)"
     return f"""
-parts AS (SELECT *, {_arrival_part('publish_ms')} AS part FROM {src}),
+parts AS (SELECT *, {_arrival_part(slow)} AS part FROM {src}),
 newest AS (SELECT part, max(event_ms) AS newest FROM parts GROUP BY ALL),
 seen AS (SELECT p.part, max(n.newest) AS seen FROM newest p LEFT JOIN newest n ON n.part < p.part GROUP BY ALL)"""
 

@@ -8,27 +8,41 @@ from pyspark.sql import functions as F
 TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 
+def valid_time_of_day(hhmm: Column) -> Column:
+    """0000 to 2359 with minutes up to 59, or 2400. Plain comparisons, so a filter on it stays small."""
+    return (hhmm == 2400) | (hhmm.between(0, 2359) & (hhmm % 100 < 60))
+
+
+def _midnight(year: Column, month: Column, day: Column) -> Column:
+    """Start of a UTC day, null for an impossible date (``try_``: ANSI mode must not fail the job)."""
+    zero = F.lit(0)
+    return F.try_make_timestamp(year, month, day, zero, zero, zero, F.lit("UTC"))
+
+
+def valid_date(year: Column, month: Column, day: Column) -> Column:
+    return _midnight(year, month, day).isNotNull()
+
+
 def event_time(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
     """UTC timestamp of a scheduled departure, null when it cannot be one.
 
     2400 means the last minute of the same day. 24xx otherwise, minutes above 59, negative values and
-    impossible dates give null (``try_``: a bad row must not fail the job under ANSI mode).
+    impossible dates give null.
     """
-    midnight = hhmm == 2400
-    hour = F.when(midnight, F.lit(23)).otherwise(_div(hhmm, 100))
-    minute = F.when(midnight, F.lit(59)).otherwise(hhmm % 100)
-    in_range = hour.between(0, 23) & minute.between(0, 59)
-    return F.when(
-        in_range,
-        F.try_make_timestamp(year, month, day, hour, minute, F.lit(0), F.lit("UTC")),
-    )
+    return F.when(valid_time_of_day(hhmm), event_time_unchecked(year, month, day, hhmm))
+
+
+def event_time_unchecked(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
+    """The same for rows already known to hold a valid time of day."""
+    # hhmm = 100 h + m, so the minute of the day is hhmm - 40 h.
+    minute = F.when(hhmm == 2400, F.lit(23 * 60 + 59)).otherwise(hhmm - F.floor(hhmm / 100) * 40)
+    return F.timestamp_millis(F.unix_millis(_midnight(year, month, day)) + minute * 60_000)
 
 
 def scheduled_hour(hhmm: Column) -> Column:
     """Hour slot 0..23, or -1 when there is none. 2400 falls into slot 0, unlike its event time."""
-    hour = _div(hhmm, 100) % 24
-    minute = hhmm % 100
-    valid = (hour >= 0) & minute.between(0, 59)
+    hour = F.floor(hhmm / 100) % 24
+    valid = (hour >= 0) & (hhmm % 100).between(0, 59)
     return F.when(valid, hour).otherwise(F.lit(-1)).cast("int")
 
 
@@ -38,14 +52,9 @@ def replay_time(year: Column, month: Column, day: Column, hhmm: Column) -> Colum
     Null without a full date.
     """
     whole = (year != 0) & (month != 0) & (day != 0)
-    midnight = F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
-    minutes = _div(hhmm, 100) * 60 + hhmm % 100
-    return F.when(whole, F.timestamp_millis(F.unix_millis(midnight) + minutes.cast("long") * 60_000))
-
-
-def _div(num: Column, den: int) -> Column:
-    """Integer quotient cut toward zero: the remainder carries the sign, so the division is exact."""
-    return ((num - num % den) / den).cast("int")
+    minutes = (hhmm - hhmm % 100) / 100 * 60 + hhmm % 100
+    at = F.unix_millis(_midnight(year, month, day)) + minutes.cast("long") * 60_000
+    return F.when(whole, F.timestamp_millis(at))
 
 
 def flag_set(flag: Column) -> Column:

@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.scalars import above, safe_divide_rounded
 from skyledger.operators.clean import active_flights
-from skyledger.operators.windows import WINDOW_SIZES, coarser_window, event_window, unpack_window
+from skyledger.operators.windows import (
+    WINDOW_SIZES,
+    coarser_window,
+    event_window,
+    last_boundary,
+    unpack_window,
+)
 from skyledger.params import JobParams
 
 KEY = ("window_start", "window_end", "origin_airport_id")
 
+TOTALS = ("num_flights", "severe_delays", "delay_sum", "dep_delay_max")
+
 # Worst flights travel as an array of (minus delay, carrier, dest): its natural order is the wanted
 # order (longest delay first, then carrier, then destination), so merging two lists is concat,
 # array_sort, slice.
@@ -182,7 +190,7 @@ def airport_snapshots(
     begin = params.dataset_start_ms if start_ms is None else start_ms
     order = Window.partitionBy("origin_airport_id").orderBy("window_end")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = partials.select(F.max("window_end")).scalar()
+    last = last_boundary(partials, "origin_airport_id", *TOTALS)
     cumulative = partials.select(
         "origin_airport_id",
         "window_end",

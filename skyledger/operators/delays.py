@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import sketch
 from skyledger.operators.clean import active_flights, target_airlines
-from skyledger.operators.windows import WINDOW_SIZES, coarser_window, event_window
+from skyledger.operators.windows import WINDOW_SIZES, coarser_window, event_window, last_boundary
 from skyledger.params import JobParams
 
 KEY = ("window_start", "window_end", "airline", "hour")
@@ -57,7 +57,7 @@ def delay_snapshots(
     begin = params.dataset_start_ms if start_ms is None else start_ms
     order = Window.partitionBy("airline", "hour", "bin").orderBy("window_end")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = bins.select(F.max("window_end")).scalar()
+    last = last_boundary(bins, "airline", "hour", "bin", "cnt", "lo", "hi")
     cumulative = bins.select(
         "airline", "hour", "bin", "window_end",
         F.sum("cnt").over(running).alias("cnt"),

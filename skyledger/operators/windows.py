@@ -36,3 +36,12 @@ def coarser_window(label: str) -> tuple[Column, Column]:
     size = WINDOW_SIZES[label][1]
     start = F.col("window_start") - F.pmod(F.col("window_start"), F.lit(size).cast("long"))
     return start.alias("window_start"), (start + size).alias("window_end")
+
+
+def last_boundary(partials: DataFrame, *columns: str) -> Column:
+    """Largest ``window_end``, as a scalar subquery.
+
+    Carrying the other columns along keeps the subquery's exchange equal to the main query's, so the
+    aggregated partials are reused; a bare maximum would be pruned to another plan and scan flights again.
+    """
+    return partials.select(F.max(F.struct("window_end", *columns))).scalar()["window_end"]

@@ -34,8 +34,14 @@ LATE_SETTINGS = ((30, 0), (5, 25), (10, 0), (0, 0))
 FIRST_N = 500
 
 
-def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _prepare(spark: SparkSession) -> None:
+    """Settings a foreign session may lack: UTC text, and no fused stage too long for the JVM compiler."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
     return flights_from_events(read_events(spark, sf_dir))
 
 
@@ -392,7 +398,7 @@ ARRIVAL_CUTS = (8, 16, 24)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _prepare(spark)
     return flights_from_events(stream_events(spark, sf_dir))
 
 
@@ -402,10 +408,15 @@ def _drained(spark: SparkSession, query: jobs.StreamingQuery, path: str, name: s
 
 
 def _in_arrival_parts(
-    spark: SparkSession, sf_dir: str, path: str, run: Callable[[DataFrame], jobs.StreamingQuery]
+    spark: SparkSession, sf_dir: str, path: str, run: Callable[[DataFrame], jobs.StreamingQuery], slower: int = 1
 ) -> None:
-    """Feeds the log in arrival order, a part at a time; the query is stopped and restarted in between."""
-    flights = _flights(spark, sf_dir).where("publish_ms IS NOT NULL")
+    """Feeds the log in arrival order, a part at a time; the query is stopped and restarted in between.
+
+    ``slower`` stretches the arrival delays, so that late rows cross a cut.
+    """
+    flights = cleaning.with_event_time(_flights(spark, sf_dir)).where("publish_ms IS NOT NULL")
+    delay = F.col("publish_ms") - F.unix_millis("event_ts")
+    flights = flights.withColumn("publish_ms", F.col("publish_ms") + delay * (slower - 1)).drop("event_ts", "dep_hour")
     day = F.floor((F.col("publish_ms") - LOG_START_MS) / 86_400_000)
     bounds = [None, *ARRIVAL_CUTS, None]
     for low, high in zip(bounds, bounds[1:]):
@@ -433,14 +444,16 @@ def stream_q1_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four runs of one checkpointed query with a tight watermark."""
     path = scratch_dir(spark, "stream_restart")
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q1(flights, path, TIGHT_PARAMS))
+    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q1(flights, path, TIGHT_PARAMS), slower=60)
     return jobs.read_stream_results(spark, path, "q1")
 
 
 def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows a tight hourly airport stream loses."""
     path = scratch_dir(spark, "stream_late_split")
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_late_split(flights, path, "1h", TIGHT_PARAMS))
+    _in_arrival_parts(
+        spark, sf_dir, path, lambda flights: jobs.start_late_split(flights, path, "1h", TIGHT_PARAMS), slower=60
+    )
     lost = spark.read.parquet(f"{path}/late")
     return lost.select("event_id", "window_end", _stable("lateness_min").alias("lateness_min"))
 

@@ -45,9 +45,7 @@ def _hhmm(event_id: Column, ts: Column) -> Column:
 
 
 def _carrier(event_id: Column) -> Column:
-    turn = F.lit(VIEW_CARRIERS[-1])
-    for i, code in reversed(list(enumerate(VIEW_CARRIERS[:-1]))):
-        turn = F.when(event_id % len(VIEW_CARRIERS) == i, F.lit(code)).otherwise(turn)
+    turn = F.get(F.array(*[F.lit(c) for c in VIEW_CARRIERS]), (event_id % len(VIEW_CARRIERS)).cast("int"))
     return F.when(event_id % 97 == 0, F.lit(" ")).otherwise(turn)
 
 

@@ -112,7 +112,7 @@ def _start(
 
 
 def read_stream_results(spark: SparkSession, path: str, query: str) -> DataFrame:
-    """Current rows of a result stream."""
+    """Current rows of a result stream that has closed at least one window."""
     schema = {"q1": Q1_RESULT, "q2": Q2_RESULT, "q3": Q3_RESULT}[query.split("_")[0]]
     return latest_rows(read_history(spark, f"{path}/results", schema), RESULT_KEYS[query]).drop("batch_id")
 
@@ -211,6 +211,8 @@ def start_q2(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q2)
+        if closed.isEmpty():
+            return
         partials, lists = partials_from_compact(closed, params.top_flights)
         stats = airports.airport_stats(partials, params.min_flights)
         ranked = airports.rank_airports(stats, params.top_airports)
@@ -230,12 +232,15 @@ def start_q2_global(
     """
     label = _label_of(params.airport_snapshot_ms)
     closed_rows = compact_flights(watermarked(flights, params.watermark_delay), label, params)
-    totals = ("num_flights", "severe_delays", "delay_sum", "dep_delay_max")
+    totals = airports.TOTALS
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q2)
         carry = _load(spark, f"{path}/carry", batch_id - 1, _CARRY_Q2)
+        if closed.isEmpty():
+            _store(carry, f"{path}/carry", batch_id, _CARRY_Q2)
+            return
         new, new_lists = partials_from_compact(closed, params.top_flights)
         partials = carry.select("origin_airport_id", "window_end", *totals).unionByName(
             new.select("origin_airport_id", "window_end", *totals)
@@ -280,6 +285,8 @@ def start_q3(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q3)
+        if closed.isEmpty():
+            return
         _deliver(delays.finish_delays(closed, window, params), path, batch_id, Q3_RESULT, sinks)
 
     return _start(bins, f"q3_{window}", f"{path}/checkpoint", handle, interval)
@@ -297,6 +304,9 @@ def start_q3_global(
         spark = batch.sparkSession
         closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q3).drop("window_start")
         carry = _load(spark, f"{path}/carry", batch_id - 1, _CARRY_Q3)
+        if closed.isEmpty():
+            _store(carry, f"{path}/carry", batch_id, _CARRY_Q3)
+            return
         all_bins = carry.unionByName(closed)
         done = carry.agg(F.max("window_end")).first()[0]
         snapshots = delays.delay_snapshots(all_bins, params, start_ms=start_ms)
