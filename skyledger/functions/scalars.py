@@ -13,14 +13,18 @@ def valid_time_of_day(hhmm: Column) -> Column:
     return (hhmm == 2400) | (hhmm.between(0, 2359) & (hhmm % 100 < 60))
 
 
-def _midnight(year: Column, month: Column, day: Column) -> Column:
-    """Start of a UTC day, null for an impossible date (``try_``: ANSI mode must not fail the job)."""
+def _day_number(year: Column, month: Column, day: Column) -> Column:
+    """Days since the epoch, null for an impossible date.
+
+    ``try_``: ANSI mode must not fail the job. Without a time zone: nothing depends on the session, and no
+    zone is looked up per row.
+    """
     zero = F.lit(0)
-    return F.try_make_timestamp(year, month, day, zero, zero, zero, F.lit("UTC"))
+    return F.unix_date(F.try_make_timestamp_ntz(year, month, day, zero, zero, zero).cast("date"))
 
 
 def valid_date(year: Column, month: Column, day: Column) -> Column:
-    return _midnight(year, month, day).isNotNull()
+    return _day_number(year, month, day).isNotNull()
 
 
 def event_time(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
@@ -36,7 +40,11 @@ def event_time_unchecked(year: Column, month: Column, day: Column, hhmm: Column)
     """The same for rows already known to hold a valid time of day."""
     # hhmm = 100 h + m, so the minute of the day is hhmm - 40 h.
     minute = F.when(hhmm == 2400, F.lit(23 * 60 + 59)).otherwise(hhmm - F.floor(hhmm / 100) * 40)
-    return F.timestamp_millis(F.unix_millis(_midnight(year, month, day)) + minute * 60_000)
+    return _at(_day_number(year, month, day), minute)
+
+
+def _at(day_number: Column, minute_of_day: Column) -> Column:
+    return F.timestamp_millis((day_number.cast("long") * 1440 + minute_of_day.cast("long")) * 60_000)
 
 
 def scheduled_hour(hhmm: Column) -> Column:
@@ -52,9 +60,7 @@ def replay_time(year: Column, month: Column, day: Column, hhmm: Column) -> Colum
     Null without a full date.
     """
     whole = (year != 0) & (month != 0) & (day != 0)
-    minutes = (hhmm - hhmm % 100) / 100 * 60 + hhmm % 100
-    at = F.unix_millis(_midnight(year, month, day)) + minutes.cast("long") * 60_000
-    return F.when(whole, F.timestamp_millis(at))
+    return F.when(whole, _at(_day_number(year, month, day), (hhmm - hhmm % 100) / 100 * 60 + hhmm % 100))
 
 
 def flag_set(flag: Column) -> Column:

@@ -56,7 +56,8 @@ def arrival_watermarks(flights: DataFrame, event: str = "event_ms", arrival: str
     )
     return (
         per_minute.withColumn("before_minute", F.max("newest").over(within))
-        .join(days, "arrival_day")
+        # A left join adds no null filter to this side, so both sides share one aggregated exchange.
+        .join(days, "arrival_day", "left")
         .select("arrival_minute", F.greatest("before_minute", "before_day").alias("seen_ms"))
     )
 

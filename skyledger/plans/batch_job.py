@@ -1,7 +1,9 @@
-"""All seven results from one set of flights, each flight read three times in total."""
+"""All seven results from one set of flights, each flight read four times in total."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators import airports, carrier, delays
@@ -20,27 +22,33 @@ def run_batch(
     Flights are reduced to hourly airport partials, hourly worst flights and daily sketch bins. These
     small tables are written to ``work_dir`` (a folder all executors can reach), so a lost executor
     costs no second pass over the flights, and their true sizes let the planner choose broadcasts.
+    The writes of one wave do not depend on each other and run side by side.
     """
     cleaned = clean(flights)
 
-    def written(name: str, rows: DataFrame, base: str) -> DataFrame:
-        rows.write.mode("overwrite").parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
-    partials = written("airport_partials", airports.airport_partials(cleaned, params, "1h"), work_dir)
-    lists = written("worst_flights", airports.worst_flights(cleaned, params, "1h"), work_dir)
-    bins = written("delay_bins", delays.delay_bins(cleaned, params, "1d"), work_dir)
-
-    plans = {
-        "q1": carrier.carrier_performance(cleaned, params),
-        "q2_1h": airports.airport_result(
-            airports.rank_airports(airports.airport_stats(partials, params.min_flights), params.top_airports),
-            lists, "1h",
-        ),
-        "q2_6h": airports.airport_ranking_from_partials(partials, lists, "6h", params),
-        "q2_global": airports.airport_snapshots(partials, lists, params, start_ms=start_ms),
-        "q3_1d": delays.finish_delays(bins, "1d", params),
-        "q3_7d": delays.finish_delays(delays.merge_delay_bins(bins, "7d"), "7d", params),
-        "q3_global": delays.delay_snapshots(bins, params, start_ms=start_ms),
-    }
-    return {name: written(name, plan, out_dir) for name, plan in plans.items()}
+    def write_all(plans: dict[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+        def write(item: tuple[str, tuple[DataFrame, str]]) -> None:
+            name, (rows, base) = item
+            rows.write.mode("overwrite").parquet(f"{base}/{name}")
+
+        with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+            list(pool.map(write, plans.items()))
+        return {name: spark.read.parquet(f"{base}/{name}") for name, (_, base) in plans.items()}
+
+    first = write_all({
+        "q1": (carrier.carrier_performance(cleaned, params), out_dir),
+        "airport_partials": (airports.airport_partials(cleaned, params, "1h"), work_dir),
+        "worst_flights": (airports.worst_flights(cleaned, params, "1h"), work_dir),
+        "delay_bins": (delays.delay_bins(cleaned, params, "1d"), work_dir),
+    })
+    partials, lists, bins = first["airport_partials"], first["worst_flights"], first["delay_bins"]
+    hourly = airports.rank_airports(airports.airport_stats(partials, params.min_flights), params.top_airports)
+    second = write_all({
+        "q2_1h": (airports.airport_result(hourly, lists, "1h"), out_dir),
+        "q2_6h": (airports.airport_ranking_from_partials(partials, lists, "6h", params), out_dir),
+        "q2_global": (airports.airport_snapshots(partials, lists, params, start_ms=start_ms), out_dir),
+        "q3_1d": (delays.finish_delays(bins, "1d", params), out_dir),
+        "q3_7d": (delays.finish_delays(delays.merge_delay_bins(bins, "7d"), "7d", params), out_dir),
+        "q3_global": (delays.delay_snapshots(bins, params, start_ms=start_ms), out_dir),
+    })
+    return {name: (first | second)[name] for name in RESULTS}
