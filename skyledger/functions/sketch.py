@@ -14,7 +14,7 @@ import math
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Coefficients of the cubic interpolation.
@@ -53,46 +53,43 @@ def _offset(accuracy: float) -> int:
     return math.ceil(_multiplier(accuracy) * 1100) + 1
 
 
-def bin_of(value: Column, accuracy: float = DEFAULT_ACCURACY) -> Column:
-    """Signed bin of a finite value; null for null, NaN and infinities."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("int")
+def bin_of(value: str, accuracy: float = DEFAULT_ACCURACY) -> Column:
+    """Signed bin of a finite value; null for null, NaN and infinities.
+
+    Takes SQL text of a double: the formula is one parsed expression instead of dozens of driver calls.
+    """
+    size = f"abs({value})"
+    guess = f"int(floor(log2({size})))"
     # log2 is a ratio of logarithms and may be one off at powers of two.
     exponent = (
-        guess
-        - F.when(F.pow(F.lit(2.0), guess.cast("double")) > size, 1).otherwise(0)
-        + F.when(F.pow(F.lit(2.0), (guess + 1).cast("double")) <= size, 1).otherwise(0)
+        f"({guess} - if(power(2D, {guess}) > {size}, 1, 0) + if(power(2D, {guess} + 1) <= {size}, 1, 0))"
     )
-    s = size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0
-    level = exponent + ((CUBIC_A * s + CUBIC_B) * s + CUBIC_C) * s
-    index = F.floor(F.lit(_multiplier(accuracy)) * level).cast("int")
-    shifted = index + _offset(accuracy)
+    s = f"({size} / power(2D, {exponent}) - 1D)"
+    level = f"({exponent} + (({CUBIC_A!r}D * {s} + {CUBIC_B!r}D) * {s} + {CUBIC_C!r}D) * {s})"
+    index = f"(int(floor({_multiplier(accuracy)!r}D * {level})) + {_offset(accuracy)})"
     smallest = sys.float_info.min * _gamma(accuracy)
-    finite = value.isNotNull() & ~F.isnan(value) & (size < F.lit(float("inf")))
-    return F.when(finite & (size <= smallest), F.lit(0)).when(
-        finite, F.when(value > 0, shifted).otherwise(-shifted)
-    )
+    return F.expr(f"""
+        CASE WHEN {value} IS NULL OR isnan({value}) OR {size} = double('Infinity') THEN NULL
+             WHEN {size} <= {smallest!r}D THEN 0
+             WHEN {value} > 0 THEN {index} ELSE -{index} END""")
 
 
-def bin_value(bin_: Column, accuracy: float = DEFAULT_ACCURACY) -> Column:
+def bin_value(bin_: str, accuracy: float = DEFAULT_ACCURACY) -> Column:
     """Value that stands for a bin, within ``accuracy`` of everything that fell into it."""
-    index = F.abs(bin_) - _offset(accuracy)
-    y = index.cast("double") / F.lit(_multiplier(accuracy))
-    whole = F.floor(y).cast("double")
+    y = f"((abs({bin_}) - {_offset(accuracy)}) / {_multiplier(accuracy)!r}D)"
+    whole = f"floor({y})"
     d0 = CUBIC_B * CUBIC_B - 3.0 * CUBIC_A * CUBIC_C
-    d1 = (
-        2.0 * CUBIC_B ** 3 - 9.0 * CUBIC_A * CUBIC_B * CUBIC_C
-        - F.lit(27.0 * CUBIC_A * CUBIC_A) * (y - whole)
-    )
-    p = F.cbrt((d1 - F.sqrt(d1 * d1 - 4.0 * d0 ** 3)) / 2.0)
-    significand = F.lit(1.0) - (F.lit(CUBIC_B) + p + F.lit(d0) / p) / F.lit(3.0 * CUBIC_A)
-    size = F.pow(F.lit(2.0), whole) * significand * F.lit(1.0 + _kept_accuracy(accuracy))
-    return F.when(bin_ == 0, F.lit(0.0)).when(bin_ > 0, size).otherwise(-size)
+    d1_whole = 2.0 * CUBIC_B ** 3 - 9.0 * CUBIC_A * CUBIC_B * CUBIC_C
+    d1 = f"({d1_whole!r}D - {27.0 * CUBIC_A * CUBIC_A!r}D * ({y} - {whole}))"
+    p = f"cbrt(({d1} - sqrt({d1} * {d1} - {4.0 * d0 ** 3!r}D)) / 2D)"
+    significand = f"(1D - ({CUBIC_B!r}D + {p} + {d0!r}D / {p}) / {3.0 * CUBIC_A!r}D)"
+    size = f"power(2D, {whole}) * {significand} * {1.0 + _kept_accuracy(accuracy)!r}D"
+    return F.expr(f"CASE WHEN {bin_} = 0 THEN 0D WHEN {bin_} > 0 THEN {size} WHEN {bin_} < 0 THEN -{size} END")
 
 
 def bin_counts(
-    df: DataFrame, keys: Sequence[str | Column], value: Column, accuracy: float = DEFAULT_ACCURACY,
-    weight: Column | None = None,
+    df: DataFrame, keys: Sequence[str | Column], value: str, accuracy: float = DEFAULT_ACCURACY,
+    weight: str = "1",
 ) -> DataFrame:
     """Sketch table: one row per (keys, bin) with ``cnt`` and the exact ``lo`` and ``hi``.
 
@@ -100,18 +97,14 @@ def bin_counts(
     most one row per bin and map task. Non-finite values leave a row with a null bin and count 0, so
     their key stays visible.
     """
-    finite = bin_of(value, accuracy)
-    rows = F.lit(1) if weight is None else weight
-    kept = F.col("bin").isNotNull()
-    return (
-        df.groupBy(*keys, finite.alias("bin"))
-        .agg(F.sum(rows.cast("long")).alias("cnt"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-        .withColumns({
-            "cnt": F.when(kept, F.col("cnt")).otherwise(F.lit(0).cast("long")),
-            "lo": F.when(kept, F.col("lo")),
-            "hi": F.when(kept, F.col("hi")),
-        })
+    counted = df.groupBy(*keys, bin_of(value, accuracy).alias("bin")).agg(
+        F.expr(f"sum(bigint({weight})) AS cnt"), F.expr(f"min({value}) AS lo"), F.expr(f"max({value}) AS hi")
     )
+    return counted.withColumns({
+        "cnt": F.expr("if(bin IS NULL, 0L, cnt)"),
+        "lo": F.expr("if(bin IS NULL, NULL, lo)"),
+        "hi": F.expr("if(bin IS NULL, NULL, hi)"),
+    })
 
 
 def merge_bins(bins: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
@@ -134,30 +127,23 @@ def quantiles(
     for _, q in probabilities:
         if not 0.0 <= q <= 1.0:
             raise ValueError("quantile must be between 0.0 and 1.0")
-    whole = Window.partitionBy(*keys)
-    ordered = whole.orderBy("folded").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bin_ = F.col("bin")
-    folded = (
-        F.when(bin_ > 0, F.greatest(bin_, F.max("bin").over(whole) - (max_bins - 1)))
-        .when(bin_ < 0, F.least(bin_, F.min("bin").over(whole) + (max_bins - 1)))
-        .otherwise(bin_)
-    )
-    running = (
-        bins.withColumns({"folded": folded, "total": F.sum("cnt").over(whole)})
-        .withColumn("seen", F.sum("cnt").over(ordered))
+    key = ", ".join(keys)
+    total = f"OVER (PARTITION BY {key})"
+    running = bins.selectExpr(
+        *keys, "cnt", "lo", "hi",
+        f"""CASE WHEN bin > 0 THEN greatest(bin, max(bin) {total} - {max_bins - 1})
+                 WHEN bin < 0 THEN least(bin, min(bin) {total} + {max_bins - 1}) ELSE bin END AS folded""",
+        f"sum(cnt) {total} AS total",
+    ).selectExpr(
+        "*",
+        f"sum(cnt) OVER (PARTITION BY {key} ORDER BY folded ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen",
     )
-    hits = [
-        F.min(F.when(F.col("seen") > F.lit(q) * (F.col("total") - 1), F.col("folded"))).alias(name)
-        for name, q in probabilities
-    ]
     per_key = running.groupBy(*keys).agg(
-        F.sum("cnt").alias("count"), F.min("lo").alias("min"), F.max("hi").alias("max"), *hits
+        F.expr("sum(cnt) AS count"), F.expr("coalesce(min(lo), 0D) AS min"), F.expr("coalesce(max(hi), 0D) AS max"),
+        *[F.expr(f"min(if(seen > {q}D * (total - 1), folded, NULL)) AS {name}") for name, q in probabilities],
     )
-    zero = F.lit(0.0)
     return per_key.select(
-        *keys,
-        "count",
-        F.coalesce("min", zero).alias("min"),
-        *[F.coalesce(bin_value(F.col(name), accuracy), zero).alias(name) for name, _ in probabilities],
-        F.coalesce("max", zero).alias("max"),
+        *keys, "count", "min",
+        *[F.coalesce(bin_value(name, accuracy), F.lit(0.0)).alias(name) for name, _ in probabilities],
+        "max",
     )

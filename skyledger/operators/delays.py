@@ -18,7 +18,7 @@ def delay_bins(cleaned: DataFrame, params: JobParams = JobParams(), window: str
     rows = target_airlines(active_flights(cleaned), params.carriers)
     bins = sketch.bin_counts(
         rows, [event_window(window), "airline", F.col("dep_hour").alias("hour")],
-        F.col("dep_delay"), params.sketch_accuracy,
+        "dep_delay", params.sketch_accuracy,
     )
     return bins.select(
         F.unix_millis("window.start").alias("window_start"),

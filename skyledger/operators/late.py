@@ -185,7 +185,7 @@ def late_rows(
 def lateness_summary(lateness: DataFrame, accuracy: float = sketch.DEFAULT_ACCURACY) -> DataFrame:
     """One row from ``lateness_min, cnt``: rows late by more than 0, whole-minute maximum, quantiles."""
     late = lateness.where(F.col("lateness_min") > 0).withColumn("scope", F.lit("all"))
-    bins = sketch.bin_counts(late, ["scope"], F.col("lateness_min"), accuracy, F.col("cnt"))
+    bins = sketch.bin_counts(late, ["scope"], "lateness_min", accuracy, "cnt")
     stats = sketch.quantiles(bins, ["scope"], LATENESS_QUANTILES, accuracy)
     # The outer aggregate also gives a row (of zeros) when nothing was late.
     return stats.agg(

@@ -58,5 +58,5 @@ def latency_stats(samples: DataFrame, keys: Sequence[str] = ("step", "metric"))
     """p50, p90, p95, p99 and the exact maximum per step and metric; negative and non-finite are skipped."""
     value = F.col("latency_ms")
     kept = samples.where(is_finite(value) & (value >= 0))
-    stats = sketch.quantiles(sketch.bin_counts(kept, list(keys), value), keys, LATENESS_QUANTILES)
+    stats = sketch.quantiles(sketch.bin_counts(kept, list(keys), "latency_ms"), keys, LATENESS_QUANTILES)
     return stats.select(*keys, "count", *[n for n, _ in LATENESS_QUANTILES], "max")

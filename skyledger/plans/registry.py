@@ -173,7 +173,7 @@ def q3_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ddsketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unrounded values of both signs per event type."""
-    bins = sketch.bin_counts(read_events(spark, sf_dir), ["event_type"], F.col("value") - 15.0)
+    bins = sketch.bin_counts(read_events(spark, sf_dir), ["event_type"], "(value - 15)")
     probabilities = (("p01", 0.01), ("p25", 0.25), ("p50", 0.50), ("p90", 0.90), ("p99", 0.99))
     rows = sketch.quantiles(bins, ["event_type"], probabilities)
     return _stable_quantiles(rows, *[n for n, _ in probabilities])

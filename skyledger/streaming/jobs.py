@@ -263,7 +263,7 @@ def start_q2_global(
             lists.select("origin_airport_id", F.explode("worst").alias("f"))
             .withColumn("place", F.row_number().over(order))
             .where(F.col("place") <= params.top_flights)
-            .groupBy("origin_airport_id").agg(F.array_sort(F.collect_list("f")).alias("worst"))
+            .groupBy("origin_airport_id").agg(F.sort_array(F.collect_list("f")).alias("worst"))
         )
         last = partials.select(F.max("window_end")).scalar()
         carried = sums.join(worst, "origin_airport_id", "left").withColumn("window_end", last)

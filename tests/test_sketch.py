@@ -9,7 +9,7 @@ from skyledger.functions import sketch
 
 def _single_values(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    return [r[0] for r in df.select(sketch.bin_value(sketch.bin_of(F.col("v")))).collect()]
+    return [r[0] for r in df.select(sketch.bin_of("v").alias("b")).select(sketch.bin_value("b")).collect()]
 
 
 def test_published_values(spark):
@@ -35,7 +35,7 @@ def test_relative_error_and_order(spark):
 def _quantiles(spark, values, qs, **kw):
     df = spark.createDataFrame([("k", float(v)) for v in values], "k string, v double")
     names = [(f"q{i}", q) for i, q in enumerate(qs)]
-    return sketch.quantiles(sketch.bin_counts(df, ["k"], F.col("v")), ["k"], names, **kw).first()
+    return sketch.quantiles(sketch.bin_counts(df, ["k"], "v"), ["k"], names, **kw).first()
 
 
 def test_quantiles_against_exact_ranks(spark):
@@ -66,8 +66,8 @@ def test_any_split_merges_to_the_whole(spark):
     rng = random.Random(5)
     rows = [("k", rng.randrange(4), float(rng.randrange(-30, 600))) for _ in range(1000)]
     df = spark.createDataFrame(rows, "k string, part int, v double")
-    parts = sketch.merge_bins(sketch.bin_counts(df, ["k", "part"], F.col("v")), ["k"])
-    whole = sketch.bin_counts(df, ["k"], F.col("v"))
+    parts = sketch.merge_bins(sketch.bin_counts(df, ["k", "part"], "v"), ["k"])
+    whole = sketch.bin_counts(df, ["k"], "v")
     assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
 
 
@@ -83,7 +83,7 @@ def test_lowest_bins_collapse(spark):
 
 def test_weights(spark):
     df = spark.createDataFrame([("k", 1.0, 9), ("k", 100.0, 1)], "k string, v double, w int")
-    bins = sketch.bin_counts(df, ["k"], F.col("v"), weight=F.col("w"))
+    bins = sketch.bin_counts(df, ["k"], "v", weight="w")
     row = sketch.quantiles(bins, ["k"], [("p50", 0.5), ("p100", 1.0)]).first()
     assert row["count"] == 10
     assert row["p50"] == pytest.approx(1.0, rel=0.0101)
