@@ -29,7 +29,7 @@ STREAMS = ("stream_q1_1h", "stream_q2_6h", "stream_q3_1d")
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),

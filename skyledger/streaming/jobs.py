@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions import sketch
 from skyledger.functions.scalars import above
-from skyledger.operators import airports, carrier, delays
+from skyledger.operators import airports, carrier, delays, latency
 from skyledger.operators.clean import active_flights, clean, target_airlines
 from skyledger.operators.late import MINUTE_MS
 from skyledger.operators.windows import WINDOW_SIZES, event_window
@@ -387,3 +387,21 @@ def start_console(df: DataFrame, checkpoint: str, interval: str | None = None) -
         df.writeStream.format("console").option("truncate", "false")
         .option("checkpointLocation", checkpoint).trigger(**trigger(interval)).start()
     )
+
+
+def start_latency(
+    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = active_flights, key: str = "origin_airport_id", step: str = "q2_window",
+) -> StreamingQuery:
+    """Latency samples of one windowed step: when a window is emitted against when its rows came in.
+
+    Samples go to ``path/samples``; ``latency_stats`` over them gives the percentiles.
+    """
+    rows = keep(watermarked(flights, params.watermark_delay + params.allowed_lateness))
+    bounds = latency.ingest_bounds(rows, window, key)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        emitted = F.unix_millis(F.current_timestamp())
+        write_batch(latency.latencies(batch, emitted, step), f"{path}/samples", batch_id)
+
+    return _start(bounds, f"latency_{step}_{window}", f"{path}/checkpoint", handle, interval)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import airports, carrier, delays
 from skyledger.operators.clean import clean
+from skyledger.operators.latency import latency_stats
 from skyledger.params import JobParams
 from skyledger.plans.registry import LOG_START_MS, PARAMS
 from skyledger.schema import FLIGHT_SCHEMA
@@ -68,6 +69,19 @@ def test_q1_updates_correct_an_early_row(spark, tmp_path):
     assert sum(n for _, n in seen) == 3
 
 
+def test_latency_samples(spark, tmp_path):
+    base = str(tmp_path)
+    _feed(
+        spark, base, lambda f: jobs.start_latency(f, base, "1h", NO_GRACE),
+        flights(spark, dict(ingest_ms=1_000_000), dict(ingest_ms=3_000_000), dict(crs_dep_time=1000)),
+    )
+    samples = spark.read.parquet(f"{base}/samples")
+    got = {r.metric: r.latency_ms for r in samples.collect()}
+    assert got["e2e_oldest_ms"] - got["e2e_newest_ms"] == 2_000_000
+    assert got["e2e_oldest_ms"] - got["e2e_avg_ms"] == 1_000_000
+    assert {r.step for r in latency_stats(samples).collect()} == {"q2_window"}
+
+
 def test_lateness_overrides():
     params = JobParams(allowed_lateness=5, lateness_overrides={"q2_6h": 20})
     assert (params.lateness_for("q2_6h"), params.lateness_for("q1")) == (20, 5)
