@@ -76,10 +76,11 @@ def worst_flights(cleaned: DataFrame, params: JobParams = JobParams(), window: s
         F.col("airline").alias("carrier"),
         F.col("dest_airport_id").cast("string").alias("dest"),
     ))
-    return _collect_worst(rows, params.top_flights)
+    return collect_worst(rows, params.top_flights)
 
 
-def _collect_worst(rows: DataFrame, n: int) -> DataFrame:
+def collect_worst(rows: DataFrame, n: int) -> DataFrame:
+    """``worst`` lists from (key, dep_delay, carrier, dest) rows, bounded before they are collected."""
     order = Window.partitionBy(*KEY).orderBy(F.desc("dep_delay"), "carrier", "dest")
     entry = F.struct((-F.col("dep_delay")).alias("neg"), "carrier", "dest")
     return (
@@ -95,7 +96,7 @@ def merge_worst_flights(lists: DataFrame, window: str, n: int) -> DataFrame:
     rows = lists.select(*coarser_window(window), "origin_airport_id", F.explode("worst").alias("f")).select(
         *KEY, (-F.col("f.neg")).alias("dep_delay"), "f.carrier", "f.dest"
     )
-    return _collect_worst(rows, n)
+    return collect_worst(rows, n)
 
 
 def published_list(worst: Column) -> Column:

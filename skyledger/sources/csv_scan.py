@@ -21,8 +21,9 @@ def read_ontime_csv(
 ) -> DataFrame:
     """All 27 source columns, typed, malformed rows left out.
 
-    Names starting with a dot or an underscore are never read. Columns are found by name; a file may leave some out. Files under one path must share a header
-    (checked, a difference is an error); each path may have its own.
+    Names starting with a dot or an underscore are never read. Columns are found by name; a file may leave
+    some out. Files under one path must share a header (checked, a difference is an error); each path may
+    have its own.
     """
     if isinstance(paths, str):
         paths = [paths]

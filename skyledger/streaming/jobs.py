@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.functions import sketch
 from skyledger.functions.scalars import above
 from skyledger.operators import airports, carrier, delays, latency
-from skyledger.operators.clean import active_flights, clean, target_airlines
+from skyledger.operators.clean import active_flights, clean
 from skyledger.operators.late import MINUTE_MS
 from skyledger.operators.windows import WINDOW_SIZES, event_window
 from skyledger.params import JobParams
@@ -198,7 +198,7 @@ def partials_from_compact(closed: DataFrame, n: int) -> tuple[DataFrame, DataFra
     rows = closed.where(severe).select(
         *airports.KEY, F.col("severe_delay").alias("dep_delay"), "carrier", "dest", copies.alias("copy")
     ).drop("copy")
-    return partials, airports._collect_worst(rows, n)
+    return partials, airports.collect_worst(rows, n)
 
 
 def start_q2(

@@ -106,7 +106,8 @@ def test_rank_is_ordered_as_text(spark):
 
 
 def test_pivot(spark):
-    points = spark.createDataFrame([(1, "a", "x", 1.0), (1, "a", "y", 2.0), (2, "a", "x", 3.0)], "t int, k string, field string, value double")
+    rows = [(1, "a", "x", 1.0), (1, "a", "y", 2.0), (2, "a", "x", 3.0)]
+    points = spark.createDataFrame(rows, "t int, k string, field string, value double")
     rows = decode.pivot_fields(points, ["t", "k"], ["x", "y", "z"]).orderBy("t").collect()
     assert [tuple(r) for r in rows] == [(1, "a", 1.0, 2.0, None), (2, "a", 3.0, None, None)]
 
