@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Local-mode fallback only; one folder per Python process, made on first use.
-_local_scratch: str | None = None
-
 
 def build_session(app_name: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` overrides any of them.
@@ -44,15 +40,10 @@ def build_session(app_name: str = "skyledger", master: str | None = None, **conf
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written intermediates and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor can reach. Where that is unset, a
-    machine-local folder is used, but only in local mode.
+    It lies under ``spark.checkpoint.dir``, which every executor can reach. Where that is unset, it lies under
+    the warehouse, the other folder that all executors share.
     """
-    global _local_scratch
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="skyledger-")
-        base = _local_scratch
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/skyledger/{purpose}-{uuid.uuid4().hex}"
