@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import sharding
-from skyledger.llm.common import documents, written
+from skyledger.llm import decontaminate, rules, sharding
+from skyledger.llm.common import documents, read_table, written
+from skyledger.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 16
 
@@ -22,8 +25,23 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = rules.apply_policy(rules.ledger(documents(spark, sf_dir)), rules.POLICIES[-1])
+    return entries.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (F.col("failed").bitwiseAND(F.lit(rules.BASE_MASK)) != 0).alias("base_failed"), "kept", "failed")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    n_hit = F.size("hit_words").cast("long")
+    return marked.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_virtual_slots": op3_virtual_slots,
+    "op7_rule_ledger": op7_rule_ledger,
+    "op8_decontaminate": op8_decontaminate,
 }
-
-ORACLES: dict[str, str] = {}
