@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontaminate, rules, sharding
+from skyledger.llm import bpe, decontaminate, rules, sharding
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -16,6 +16,21 @@ __all__ = ["ORACLES", "QUERIES"]
 SHARDS = 16
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizers lie, on every machine alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     sizes = sharding.with_slot(docs.select("doc_id", sharding.record_size(F.col("text")).alias("size")))
@@ -41,6 +56,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_backtracking_bpe": op2_backtracking_bpe,
     "op3_virtual_slots": op3_virtual_slots,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_decontaminate": op8_decontaminate,
