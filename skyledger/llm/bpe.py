@@ -17,6 +17,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -238,7 +239,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def _parts(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``PART_CHARS`` bytes of text each; a longer text is a part of its own."""
     column = batch.column(text_at)
-    sizes = np.array([x or 0 for x in pa.compute.binary_length(column).to_pylist()], np.int64)
+    sizes = np.array([x or 0 for x in pc.binary_length(column).to_pylist()], np.int64)
     begin = 0
     while begin < batch.num_rows:
         fits = int(np.searchsorted(np.cumsum(sizes[begin:]), PART_CHARS, side="right"))
