@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, rules, sharding
+from skyledger.llm import bpe, decontaminate, rules, sharding, wavelet
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 SHARDS = 16
+END_ID = 2
 
 
 def tokenizer_path(name: str) -> str:
@@ -55,9 +56,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = wavelet.write_shards(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), END_ID)
+    return wavelet.read_documents(spark, folder).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_backtracking_bpe": op2_backtracking_bpe,
     "op3_virtual_slots": op3_virtual_slots,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_decontaminate": op8_decontaminate,
+    "op9_wavelet_matrix": op9_wavelet_matrix,
 }
