@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, rules, sharding, wavelet
+from skyledger.llm import bpe, decontaminate, lattice, rules, sharding, wavelet
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -24,6 +24,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op2_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return coded.select(
@@ -63,6 +67,7 @@ def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_subword_lattice": op1_subword_lattice,
     "op2_backtracking_bpe": op2_backtracking_bpe,
     "op3_virtual_slots": op3_virtual_slots,
     "op7_rule_ledger": op7_rule_ledger,
