@@ -67,4 +67,25 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
-ORACLES: dict[str, str] = {"op7_rule_ledger": OP7, "op8_decontaminate": OP8}
+OP5 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+edges AS (
+  SELECT u, v FROM (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2) p
+  JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.a, edges.v FROM reach JOIN edges ON edges.u = reach.b),
+least_of AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN least_of ON d.doc_id = a LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op5_minhash": OP5, "op7_rule_ledger": OP7, "op8_decontaminate": OP8}
