@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, lattice, minhash, rules, sharding, wavelet
+from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, rules, sharding, wavelet
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -45,6 +45,11 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup_lines(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir)).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subword_lattice": op1_subword_lattice,
     "op2_backtracking_bpe": op2_backtracking_bpe,
     "op3_virtual_slots": op3_virtual_slots,
+    "op4_line_dedup": op4_line_dedup,
     "op5_minhash": op5_minhash,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_decontaminate": op8_decontaminate,
