@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, rules, sharding, wavelet
+from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, rules, sharding, toxicity, wavelet
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -55,6 +55,11 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rules.apply_policy(rules.ledger(documents(spark, sf_dir)), rules.POLICIES[-1])
     return entries.select(
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_virtual_slots": op3_virtual_slots,
     "op4_line_dedup": op4_line_dedup,
     "op5_minhash": op5_minhash,
+    "op6_ordinal_toxicity": op6_ordinal_toxicity,
     "op7_rule_ledger": op7_rule_ledger,
     "op8_decontaminate": op8_decontaminate,
     "op9_wavelet_matrix": op9_wavelet_matrix,
