@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, rules, sharding, toxicity, wavelet
+from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, pii, rules, sharding, toxicity, wavelet
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -81,6 +81,23 @@ def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.train(pii.labelled_table(docs)))
+    kind = F.create_map(*(x for i, k in enumerate(pii.KINDS) for x in (F.lit(k), F.lit(i))))
+
+    def joined(spans: Column) -> Column:
+        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+            kind[s["kind"]].alias("order"), s["begin"].alias("begin"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        return F.array_join(F.transform(
+            ordered, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subword_lattice": op1_subword_lattice,
     "op2_backtracking_bpe": op2_backtracking_bpe,
@@ -91,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_rule_ledger": op7_rule_ledger,
     "op8_decontaminate": op8_decontaminate,
     "op9_wavelet_matrix": op9_wavelet_matrix,
+    "op10_shape_crf": op10_shape_crf,
 }
