@@ -64,16 +64,17 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     keyed = docs.select(*_row_key(F.col("text")), words_of(F.col("text")).alias("words"))
     if windows.count() <= BROADCAST_WINDOWS:
         windows = F.broadcast(windows)
-    at = F.concat(*(
-        F.transform(_window_hashes(F.col("words"), n), lambda h, i, n=n: F.struct(
+
+    def placed(n: int) -> Column:
+        return F.transform(_window_hashes(F.col("words"), n), lambda h, i: F.struct(
             i.alias("position"), F.lit(n).alias("length"), h.alias("hash")))
-        for n in lengths)) if len(lengths) > 1 else None
-    if at is None:
+
+    if len(lengths) > 1:
+        rows = keyed.select("doc_id", "text_hash", F.inline(F.concat(*map(placed, lengths))))
+    else:  # the usual case needs no struct for each word
         n = lengths[0] if lengths else WINDOW
         rows = keyed.select("doc_id", "text_hash", F.posexplode(_window_hashes(F.col("words"), n))).select(
             "doc_id", "text_hash", F.col("pos").alias("position"), F.lit(n).alias("length"), F.col("col").alias("hash"))
-    else:
-        rows = keyed.select("doc_id", "text_hash", F.inline(at))
     return rows.join(windows, ["hash", "length"]).groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("position", "words", "items")).alias("found"))
 

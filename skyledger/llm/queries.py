@@ -92,9 +92,11 @@ def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(
             ordered, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    def count(name: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
     return found.select(
-        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        "doc_id", *map(count, pii.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.concat("base", "added")).alias("spans"))
 
 
