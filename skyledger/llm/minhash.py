@@ -2,9 +2,13 @@
 
 Documents with the same words collapse to the one with the smallest id first. Of the others, documents that share a
 band of hash minima meet in a bucket. Links are looked for where they can still join two components: first from a
-bucket's leader to its other members, under two orders, then between members of different components. A pair is
-compared by set sizes, by signatures, and then on the full shingle sets, so a link is exact. A link between documents
-of one component would change nothing and is not looked for, which is what keeps large groups of copies linear.
+bucket's most central document to its other members, then among the documents of buckets that still hold different
+components. A pair is compared by set sizes, by signatures, and then on the full shingle sets, so a link is exact. A
+link between documents of one component would change nothing and is not looked for, which keeps groups of copies linear.
+
+Documents that share a much-used passage and little else meet in buckets too. So the second step does not compare all of
+a bucket: two sets at the threshold must share one of their rarest shingles, a seventh of the smaller and a quarter of
+the larger set, and only documents that do are compared.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +30,8 @@ PERCENT = 75
 BANDS, ROWS = 32, 3
 # Signatures of linked documents agree on less than this with a probability under 1e-6.
 LEAST_AGREEMENT = 0.5
-LEADER_ROUNDS = 2
+# Shingles in this many of the documents left or more are compared last, the most frequent ones up to a bound.
+FREQUENT, FREQUENT_SHINGLES = 2, 300_000
 # Ids up to this number, 8 bytes each, are broadcast to fetch the texts of candidate documents.
 BROADCAST_IDS = 1_000_000
 # Hash values worked on together; they stay in the processor's cache.
@@ -110,45 +116,100 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _crowded(heads: DataFrame) -> DataFrame:
-    """(bucket, doc, n) of the buckets that hold two documents or more."""
+    """(bucket, doc, n, rank) of the buckets that hold two documents or more.
+
+    ``rank`` rises as a document's buckets get emptier. The text from which many copies were made shares more bands
+    with them than they do with each other, so it comes first in its buckets.
+    """
     members = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    return members.join(shared, "bucket")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    crowded = written(members.join(shared, "bucket"), "crowded")
+    central = crowded.groupBy("doc").agg((-F.sum("c")).alias("rank"))
+    return crowded.drop("c").join(central, "doc")
 
 
 def _similar_sizes() -> Column:
     return 100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m")
 
 
-def _with_components(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    if found is None:
-        return members.withColumn("component", F.col("doc"))
+def _with_components(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "component", F.coalesce("component", "doc"))
 
 
-def _leader_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each member with its bucket's leader, where their components differ."""
-    order = F.col("doc") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-    leaders = members.groupBy("bucket").agg(
-        F.min(F.struct(order.alias("o"), "doc", "component", "n")).alias("l"),
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select(
-        "bucket", F.col("l.doc").alias("leader"), F.col("l.component").alias("other"), F.col("l.n").alias("m"))
-    return members.join(leaders, "bucket").where((F.col("component") != F.col("other")) & _similar_sizes()).select(
+def _leader_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each member with its bucket's most central document."""
+    leaders = members.groupBy("bucket").agg(F.min(F.struct("rank", "doc", "n")).alias("l")).select(
+        "bucket", F.col("l.doc").alias("leader"), F.col("l.n").alias("m"))
+    return members.join(leaders, "bucket").where((F.col("doc") != F.col("leader")) & _similar_sizes()).select(
         F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of one bucket that are in different components."""
+def _undecided(members: DataFrame) -> DataFrame:
+    """(doc, component) of the documents in buckets that still hold two components or more."""
     open_buckets = members.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    left = members.join(open_buckets, "bucket")
-    right = left.select("bucket", F.col("doc").alias("other"), F.col("component").alias("with"), F.col("n").alias("m"))
-    return left.join(right, "bucket").where(
-        (F.col("component") < F.col("with")) & _similar_sizes()).select(
+    return members.join(open_buckets, "bucket").groupBy("doc").agg(F.first("component").alias("component"))
+
+
+def _rarest(sets: DataFrame) -> DataFrame:
+    """(doc, component, n, rare): the rarest quarter of each set, its rarest first.
+
+    Any order of the shingles that is the same for all documents loses no pair. Here frequent shingles come last, by
+    their frequency, and the others first, by their value.
+    """
+    frequent = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c")).where(
+        F.col("c") >= FREQUENT).orderBy(F.desc("c"), "s").limit(FREQUENT_SHINGLES).select("s").collect()
+    ranked = np.array([r.s for r in frequent][::-1], np.int64)
+    by_value = np.argsort(ranked)
+    values = ranked[by_value]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare, ends = [], [0]
+            for own in batch.column(2):
+                own = np.sort(own.values.to_numpy())
+                at = np.searchsorted(values, own)
+                common = np.zeros(len(own), bool)
+                if len(values):
+                    common = values[np.minimum(at, len(values) - 1)] == own
+                order = np.concatenate([own[~common], ranked[np.sort(by_value[at[common]])]])
+                rare.append(order[:len(own) - -(-PERCENT * len(own) // 100) + 1])
+                ends.append(ends[-1] + len(rare[-1]))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pc.list_value_length(batch.column(2)).cast(pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rare)))],
+                names=["doc", "component", "n", "rare"])
+
+    return sets.select("doc", "component", "shingles").mapInArrow(
+        run, "doc bigint, component bigint, n bigint, rare array<bigint>")
+
+
+def _rest_pairs(undecided: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): undecided documents of different components that share a shingle rare enough."""
+    sets = written(_sets_of(docs, undecided.withColumnRenamed("doc", "doc_id")).withColumnRenamed(
+        "doc_id", "doc"), "undecided-sets")
+    rows = written(_rarest(sets), "rare").select("doc", "component", "n", F.posexplode("rare").alias("place", "s"))
+    # Of a pair the smaller set needs fewer: shared >= 2p / (100 + p) of its size, as the other is no smaller.
+    small = rows.where(
+        F.col("place") <= F.col("n") - F.ceil(F.lit(2 * PERCENT) * F.col("n") / (100 + PERCENT))).select(
+        "s", F.col("doc").alias("other"), F.col("component").alias("with"), F.col("n").alias("m"),
+        F.col("place").alias("at"))
+    # From the first shingle that a pair shares, both sets must be long enough for all that they have to share.
+    shared = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("m")) / (100 + PERCENT))
+    return rows.join(small, "s").where(
+        (F.col("n") - F.col("place") >= shared) & (F.col("m") - F.col("at") >= shared)
+        & (F.struct("m", "other") < F.struct("n", "doc")) & (F.col("component") != F.col("with")) & _similar_sizes()).select(
         F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The shingle sets of the documents in ``wanted`` (doc_id and more), one row for each id."""
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    found = docs.select("doc_id", "text").join(few, "doc_id").dropDuplicates(["doc_id"])
+    return _with_sets(found).drop("text", "words")
+
+
 def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): the pairs whose shingle sets are similar enough; signatures are compared first."""
     own = heads.select("doc_id", "signature")
@@ -156,9 +217,7 @@ def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
     agreed = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     likely = written(signed.where(agreed >= LEAST_AGREEMENT * BANDS * ROWS).select("a", "b"), "pairs")
     ids = written(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = _with_sets(docs.select("doc_id", "text").join(few, "doc_id").dropDuplicates(["doc_id"])).select(
-        "doc_id", "shingles")
+    sets = _sets_of(docs, ids)
     both = likely.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(100 * shared >= PERCENT * (F.size("x") + F.size("y") - shared)).select(
@@ -178,14 +237,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         signed.join(firsts, "same").where("doc_id = head").select(
             "doc_id", "n_shingles", "signature", "bands").dropDuplicates(["doc_id"]), "heads")
     members = written(_crowded(heads), "members")
-    edges: DataFrame | None = None
-    found: DataFrame | None = None
-    for turn in range(LEADER_ROUNDS + 1):
-        current = _with_components(members, found)
-        pairs = _leader_pairs(current, turn) if turn < LEADER_ROUNDS else _cross_pairs(current)
-        new = written(_verified(pairs, heads, docs), "edges")
-        edges = new if edges is None else edges.union(new)
-        found = written(components(edges), "components")
+    stars = written(_verified(_leader_pairs(members), heads, docs), "edges")
+    linked = written(components(stars), "components")
+    undecided = written(_undecided(_with_components(members, linked)), "undecided")
+    rest = written(_verified(_rest_pairs(undecided, docs), heads, docs), "edges")
+    found = written(components(stars.union(rest)), "components")
     placed = signed.select("doc_id", "same", "n_shingles").join(firsts, "same", "left")
     return placed.join(found, F.col("head") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "head", "doc_id").alias("component_id"))
