@@ -25,8 +25,10 @@ from skyledger.llm.common import block_count, on_workers, text_or_empty
 from skyledger.session import scratch_dir
 
 # Ids of one shard at most, but for a single longer document.
-SHARD_IDS = 4 << 20
-# Raw text of one range partition; it makes about one shard.
+SHARD_IDS = 1 << 20
+# Starts of shards, some 16 bytes each, are broadcast up to this number.
+BROADCAST_SHARDS = 1_000_000
+# Raw text of one range partition; it makes a few shards.
 PARTITION_BYTES = 12 << 20
 # Bits of a rank block.
 BLOCK = 512
@@ -205,6 +207,10 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 _ODD = regex.compile("[\x1c-\x1f\x85\xa0]")
 
 
+# Letters below this code point are classed alike by Python and by the library.
+LATIN_END = "\u0250"
+
+
 class _Coder:
     """The library's tokenizer behind tables of text already coded.
 
@@ -229,35 +235,49 @@ class _Coder:
         self.letters = dict(enumerate(byte_letters()))
         self.chunks: dict[str, bytes | None] = {}
         self.words: dict[str, bytes] = {}
+        self.marks = {c: self._word(c) for c in ".,;:!?"}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def _ids(self, letters: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
-            if len(self.words) >= CACHE_ENTRIES:
-                self.words.clear()
-            if word.isascii() and word.isprintable() and " " not in word[1:]:
-                letters = word.replace(" ", self.letters[32])
-            else:
-                letters = word.encode().decode("latin-1").translate(self.letters)
-            got = self.words[word] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+            got = self.words[word] = self._ids(word.encode().decode("latin-1").translate(self.letters))
         return got
 
     def _cut(self, text: str) -> bytes:
         """Ids of a chunk, or of a text's beginning up to its first blank."""
         if not text:
             return b""
-        if max(text) >= "\u0250" or _ODD.search(text) or any(s in text for s in self.specials):
+        if max(text) >= LATIN_END or _ODD.search(text) or any(s in text for s in self.specials):
             return self._whole(text)
-        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-            return self._word(text)
         return b"".join([self._word(w) for w in _PIECES.findall(text)])
 
     def _learn(self, new: set[str]) -> None:
+        """Adds chunks to the table. Most are a word, or a word and a mark."""
+        words, chunks, marks, blank = self.words, self.chunks, self.marks, self.letters[32]
         for p in new:
-            self.chunks[p] = None if not p or p[0].isspace() or p[-1].isspace() else self._cut(" " + p)
+            word, mark = p, b""
+            if not p.isalpha():
+                word, mark = p[:-1], marks.get(p[-1:])
+                if mark is None or not word.isalpha():
+                    chunks[p] = None if not p or p[0].isspace() or p[-1].isspace() else self._cut(" " + p)
+                    continue
+            got = words.get(" " + word)
+            if got is None:
+                if word.isascii():
+                    got = self._ids(blank + word)
+                elif max(word) < LATIN_END:
+                    got = self._ids((" " + word).encode().decode("latin-1").translate(self.letters))
+                else:
+                    chunks[p] = self._whole(" " + p)
+                    continue
+                words[" " + word] = got
+            chunks[p] = got + mark
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as bytes of ``kind``."""
@@ -268,6 +288,7 @@ class _Coder:
             return self._whole(text)
         if len(self.chunks) >= CACHE_ENTRIES:
             self.chunks.clear()
+            self.words.clear()
         self._learn(set(rest).difference(self.chunks))
         coded = list(map(self.chunks.__getitem__, rest))
         return self._whole(text) if None in coded else self._cut(first) + b"".join(coded)
@@ -357,7 +378,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = shards.select("part", "seq", "doc_ids", "lengths", "matrix").mapInArrow(
         run, "part int, seq int, doc_id bigint, offset bigint, n_ids bigint, ids binary")
-    return rows.join(starts, ["part", "seq"]).select(
+    few = shards.count() <= BROADCAST_SHARDS
+    return rows.join(F.broadcast(starts) if few else starts, ["part", "seq"]).select(
         "doc_id", (F.col("shard_start") + F.col("offset")).alias("start"), "n_ids", "ids")
 
 
