@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from skyledger.functions.scalars import above, safe_divide_rounded
 from skyledger.operators.clean import active_flights
 from skyledger.operators.windows import (
-    WINDOW_SIZES,
     coarser_window,
     event_window,
+    label_of,
     last_boundary,
+    repeat_to,
     unpack_window,
 )
 from skyledger.params import JobParams
@@ -147,44 +148,48 @@ def airport_ranking_from_partials(
     return airport_result(ranked, merge_worst_flights(lists, window, params.top_flights), window)
 
 
-def cumulative_worst(lists: DataFrame, n: int, max_intervals: int = 4 ** 9) -> DataFrame:
+# Passes of ``cumulative_worst`` that cover every hour a timestamp of four-digit years can name.
+_ALL_PASSES = 14
+
+
+def cumulative_worst(lists: DataFrame, n: int, intervals: int | None = None) -> DataFrame:
     """Running list per airport: row ``window_end`` holds the worst flights of all windows up to it.
 
     A running collect would hold every earlier list again in every row. Instead a pass merges each row
-    with the rows 1, 2 and 3 steps before it, and the step grows fourfold from pass to pass, so nine
-    passes cover thirty years of hours and a row never holds more than ``n`` flights. All passes share one
-    exchange and one sort. More than ``max_intervals`` windows of one airport raise an error rather than
-    give a wrong list.
+    with the rows 1, 2 and 3 steps before it, and the step grows fourfold from pass to pass, so a row never
+    holds more than ``n`` flights, and all passes share one exchange and one sort. Without ``intervals``,
+    a bound on an airport's rows that the caller knows, there are passes for all representable dates.
     """
     order = "OVER (PARTITION BY origin_airport_id ORDER BY window_end)"
     keep = ("origin_airport_id", "window_end")
-    out = lists.selectExpr(
-        *keep, f"if(row_number() {order} > {max_intervals}, "
-        "raise_error('cumulative_worst: raise max_intervals'), worst) AS worst",
-    )
-    step = 1
-    while step < max_intervals:
-        earlier = ", ".join(f"lag(worst, {step * i}, {EMPTY_LIST}) {order}" for i in (1, 2, 3))
+    out = lists.select(*keep, "worst")
+    covered = 1
+    for _ in range(_ALL_PASSES):
+        if intervals is not None and covered >= intervals:
+            break
+        earlier = ", ".join(f"lag(worst, {covered * i}, {EMPTY_LIST}) {order}" for i in (1, 2, 3))
         out = out.selectExpr(*keep, f"slice(sort_array(concat(worst, {earlier})), 1, {n}) AS worst")
-        step *= 4
+        covered *= 4
     return out
 
 
 def airport_snapshots(
     partials: DataFrame, lists: DataFrame, params: JobParams = JobParams(), interval_ms: int | None = None,
-    start_ms: int | None = None,
+    start_ms: int | None = None, last: Column | None = None, intervals: int | None = None,
 ) -> DataFrame:
-    """Q2 since the start of the data, repeated at every interval boundary (default hourly).
+    """Q2 since the start of the data, repeated at every interval boundary (default hourly) up to ``last``.
 
     ``partials`` and ``lists`` are per interval. Statistics accumulate on the sparse rows; only then is
     every airport repeated up to its next change, so silent airports stay in the ranking. Ranking runs
-    on narrow rows and the lists are attached to the winners alone.
+    on narrow rows, and the lists are attached to the winners alone.
+    Without ``last``, the last interval with data is the end.
     """
     interval = interval_ms or params.airport_snapshot_ms
     begin = params.dataset_start_ms if start_ms is None else start_ms
     order = Window.partitionBy("origin_airport_id").orderBy("window_end")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = last_boundary(partials, "origin_airport_id", *TOTALS)
+    if last is None:
+        last = last_boundary(partials, "origin_airport_id", *TOTALS)
     cumulative = partials.select(
         "origin_airport_id",
         "window_end",
@@ -196,10 +201,7 @@ def airport_snapshots(
         F.lead("window_end").over(order).alias("next_end"),
     ).where(F.col("num_flights") >= params.min_flights)
     until = F.coalesce(F.col("next_end") - interval, last)
-    repeated = cumulative.withColumn(
-        "boundary", F.explode(F.sequence("window_end", until, F.lit(interval).cast("long")))
-    )
-    stats = repeated.select(
+    stats = repeat_to(cumulative, until, interval, "boundary").select(
         F.lit(begin).cast("long").alias("window_start"),
         F.col("boundary").alias("window_end"),
         "origin_airport_id", "num_flights", "severe_delays",
@@ -207,7 +209,7 @@ def airport_snapshots(
         "dep_delay_max", "list_end",
     )
     ranked = rank_airports(stats, params.top_airports)
-    as_of = cumulative_worst(lists, params.top_flights).withColumnRenamed("window_end", "list_end")
+    as_of = cumulative_worst(lists, params.top_flights, intervals).withColumnRenamed("window_end", "list_end")
     return _result(ranked.join(as_of, ["origin_airport_id", "list_end"], "left"), "global")
 
 
@@ -215,7 +217,7 @@ def airport_since_start(
     cleaned: DataFrame, params: JobParams = JobParams(), start_ms: int | None = None
 ) -> DataFrame:
     """Q2 since the start, straight from flights."""
-    label = next(k for k, (_, ms) in WINDOW_SIZES.items() if ms == params.airport_snapshot_ms)
+    label = label_of(params.airport_snapshot_ms)
     return airport_snapshots(
         airport_partials(cleaned, params, label), worst_flights(cleaned, params, label), params,
         start_ms=start_ms,

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import sketch
 from skyledger.operators.clean import active_flights, target_airlines
-from skyledger.operators.windows import WINDOW_SIZES, coarser_window, event_window, last_boundary
+from skyledger.operators.windows import coarser_window, event_window, label_of, last_boundary, repeat_to
 from skyledger.params import JobParams
 
 KEY = ("window_start", "window_end", "airline", "hour")
@@ -46,18 +46,20 @@ def delay_distribution(cleaned: DataFrame, window: str, params: JobParams = JobP
 
 
 def delay_snapshots(
-    bins: DataFrame, params: JobParams = JobParams(), interval_ms: int | None = None, start_ms: int | None = None
+    bins: DataFrame, params: JobParams = JobParams(), interval_ms: int | None = None, start_ms: int | None = None,
+    last: Column | None = None,
 ) -> DataFrame:
-    """Q3 since the start of the data, repeated at every interval boundary (default daily).
+    """Q3 since the start of the data, repeated at every interval boundary (default daily) up to ``last``.
 
     Counts accumulate per single bin, which spreads one carrier-hour over many tasks; each running
-    count is then repeated up to the bin's next change.
+    count is then repeated up to the bin's next change. Without ``last``, the last interval with data is the end.
     """
     interval = interval_ms or params.delay_snapshot_ms
     begin = params.dataset_start_ms if start_ms is None else start_ms
     order = Window.partitionBy("airline", "hour", "bin").orderBy("window_end")
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = last_boundary(bins, "airline", "hour", "bin", "cnt", "lo", "hi")
+    if last is None:
+        last = last_boundary(bins, "airline", "hour", "bin", "cnt", "lo", "hi")
     cumulative = bins.select(
         "airline", "hour", "bin", "window_end",
         F.sum("cnt").over(running).alias("cnt"),
@@ -66,9 +68,8 @@ def delay_snapshots(
         F.lead("window_end").over(order).alias("next_end"),
     )
     until = F.coalesce(F.col("next_end") - interval, last)
-    repeated = cumulative.select(
-        F.lit(begin).cast("long").alias("window_start"),
-        F.explode(F.sequence("window_end", until, F.lit(interval).cast("long"))).alias("window_end"),
+    repeated = repeat_to(cumulative, until, interval, "boundary").select(
+        F.lit(begin).cast("long").alias("window_start"), F.col("boundary").alias("window_end"),
         "airline", "hour", "bin", "cnt", "lo", "hi",
     )
     return finish_delays(repeated, "global", params)
@@ -76,5 +77,4 @@ def delay_snapshots(
 
 def delay_since_start(cleaned: DataFrame, params: JobParams = JobParams(), start_ms: int | None = None) -> DataFrame:
     """Q3 since the start, straight from flights."""
-    label = next(k for k, (_, ms) in WINDOW_SIZES.items() if ms == params.delay_snapshot_ms)
-    return delay_snapshots(delay_bins(cleaned, params, label), params, start_ms=start_ms)
+    return delay_snapshots(delay_bins(cleaned, params, label_of(params.delay_snapshot_ms)), params, start_ms=start_ms)

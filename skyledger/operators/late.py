@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import sketch
-from skyledger.operators.windows import WINDOW_SIZES
+from skyledger.operators.windows import window_ms
 from skyledger.params import HOUR_MS
 
 MINUTE_MS = 60_000
@@ -119,7 +119,7 @@ def late_report(
     variants = F.array(*[
         F.struct(
             F.lit(c.query).alias("query"), F.lit(c.window).alias("window_type"),
-            F.lit(WINDOW_SIZES[c.window][1]).cast("long").alias("size_ms"),
+            F.lit(window_ms(c.window)).cast("long").alias("size_ms"),
             F.lit(c.target_only).alias("target_only"), F.lit(c.active_only).alias("active_only"),
             F.lit(d).alias("watermark_delay"), F.lit(l).alias("allowed_lateness"),
         )
@@ -150,7 +150,7 @@ def _lateness_minutes(window_end: Column, seen: Column, delay: int, lateness: in
 
 def _lost_pairs(rows: DataFrame, watermarks: DataFrame, window: str, delay: int, lateness: int) -> DataFrame:
     """Counts and lateness of the (window, arrival minute) pairs that lose their rows."""
-    size = F.lit(WINDOW_SIZES[window][1]).cast("long")
+    size = F.lit(window_ms(window)).cast("long")
     outcome = _outcome(F.col("window_end"), F.col("seen_ms"), F.lit(delay), F.lit(lateness))
     return (
         rows.groupBy(
@@ -174,7 +174,7 @@ def late_rows(
 
     The flights meet the few losing (window, minute) pairs, not the whole watermark table.
     """
-    size = F.lit(WINDOW_SIZES[window][1]).cast("long")
+    size = F.lit(window_ms(window)).cast("long")
     lost = _lost_pairs(rows, watermarks, window, delay, lateness).drop("cnt")
     return rows.withColumns({
         "window_end": _window_end(F.col("event_ms"), size),

@@ -37,6 +37,14 @@ def ingest_bounds(rows: DataFrame, window: str, *keys: str) -> DataFrame:
     return bounds.withColumn("avg_ingest_ms", average_ingest())
 
 
+def merge_bounds(bounds: DataFrame, *keys: str) -> DataFrame:
+    """Bounds of windows that were summed up in parts."""
+    merged = bounds.groupBy("window_start", "window_end", *keys).agg(
+        F.max("newest_ingest_ms").alias("newest_ingest_ms"), F.min("oldest_ingest_ms").alias("oldest_ingest_ms"),
+        F.sum("sum_ingest_ms").alias("sum_ingest_ms"), F.sum("ingest_count").alias("ingest_count"))
+    return merged.withColumn("avg_ingest_ms", average_ingest())
+
+
 def latencies(bounds: DataFrame, emit_ms: Column, step: str) -> DataFrame:
     """``step, metric, latency_ms``: emission minus newest, oldest and average ingestion, at least 0."""
     pairs = F.array(*[

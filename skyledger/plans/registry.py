@@ -7,13 +7,15 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions import scalars, sketch
 from skyledger.operators import airports, carrier, delays, late, latency
 from skyledger.operators import clean as cleaning
+from skyledger.operators.windows import last_boundary
 from skyledger.params import JobParams
 from skyledger.schema import Q1_RESULT, SOURCE_FIELDS
-from skyledger.session import scratch_dir
+from skyledger.session import drop_folder, scratch_dir
 from skyledger.sinks import decode, encode, export, result_table
 from skyledger.sources.csv_scan import first_by_event_time, read_ontime_csv
 from skyledger.sources.flights_view import flights_from_events, read_events, stream_events
@@ -402,15 +404,13 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_events(stream_events(spark, sf_dir))
 
 
-def _drained(spark: SparkSession, query: jobs.StreamingQuery, path: str, name: str) -> DataFrame:
-    query.awaitTermination()
-    return jobs.read_stream_results(spark, path, name)
+def _drained(stream: jobs.RunningStream, path: str, name: str) -> DataFrame:
+    stream.finish()
+    return jobs.read_stream_results(stream.spark, path, name)
 
 
-def _in_arrival_parts(
-    spark: SparkSession, sf_dir: str, path: str, run: Callable[[DataFrame], jobs.StreamingQuery], slower: int = 1
-) -> None:
-    """Feeds the log in arrival order, a part at a time; the query is stopped and restarted in between.
+def _arrivals(spark: SparkSession, sf_dir: str, path: str, slower: int = 1) -> tuple[str, T.StructType]:
+    """Writes the log once, cut by arrival day into one folder per part; returns the folder and the schema.
 
     ``slower`` stretches the arrival delays, so that late rows cross a cut.
     """
@@ -418,27 +418,50 @@ def _in_arrival_parts(
     delay = F.col("publish_ms") - F.unix_millis("event_ts")
     flights = flights.withColumn("publish_ms", F.col("publish_ms") + delay * (slower - 1)).drop("event_ts", "dep_hour")
     day = F.floor((F.col("publish_ms") - LOG_START_MS) / 86_400_000)
-    bounds = [None, *ARRIVAL_CUTS, None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = flights
-        if low is not None:
-            part = part.where(day >= low)
-        if high is not None:
-            part = part.where(day < high)
-        part.write.mode("append").parquet(f"{path}/arrivals")
-        run(parquet_stream(spark, f"{path}/arrivals", flights.schema)).awaitTermination()
+    part = sum(((day >= cut).cast("int") for cut in ARRIVAL_CUTS), F.lit(0))
+    flights.withColumn("part", part).write.partitionBy("part").parquet(f"{path}/arrivals")
+    return f"{path}/arrivals", flights.schema
+
+
+def _in_arrival_parts(
+    spark: SparkSession, sf_dir: str, path: str, run: Callable[[DataFrame], jobs.RunningStream], slower: int = 1
+) -> None:
+    """Feeds the log in arrival order, a part at a time; the query is stopped and restarted in between."""
+    folder, schema = _arrivals(spark, sf_dir, path, slower)
+    for part in range(len(ARRIVAL_CUTS) + 1):
+        # The folders up to this part; files of earlier ones are in the checkpoint already.
+        stream = run(parquet_stream(spark, f"{folder}/part=[0-{part}]", schema))
+        stream.awaitTermination()
+    stream.finish()
+    drop_folder(spark, folder)
 
 
 def stream_q1_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream_q1_1h")
-    return _drained(spark, jobs.start_q1(_stream(spark, sf_dir), path, STREAM_PARAMS), path, "q1")
+    return _drained(jobs.start_q1(_stream(spark, sf_dir), path, STREAM_PARAMS), path, "q1")
+
+
+def _corrected(spark: SparkSession, sf_dir: str, name: str, run: Callable) -> DataFrame:
+    """A result over four arrival parts with enough allowed lateness: early rows, corrected by later ones."""
+    path = scratch_dir(spark, f"stream_{name}")
+    _in_arrival_parts(spark, sf_dir, path, lambda flights: run(flights, path))
+    return jobs.read_stream_results(spark, path, name)
 
 
 def stream_q1_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update mode over arrival parts: early rows, corrected by later ones in the result table."""
-    path = scratch_dir(spark, "stream_q1_lateness")
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q1_updates(flights, path, STREAM_PARAMS))
-    return jobs.read_stream_results(spark, path, "q1")
+    """Emits filling windows too; the result table keeps the last version."""
+    return _corrected(spark, sf_dir, "q1", lambda f, path: jobs.start_q1(f, path, STREAM_PARAMS, early=True))
+
+
+def stream_q2_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings that late rows change after they were emitted."""
+    params = replace(STREAM_PARAMS, min_flights=PARAMS_1H.min_flights)
+    return _list_as_json(_corrected(spark, sf_dir, "q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params)))
+
+
+def stream_q3_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _corrected(spark, sf_dir, "q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", STREAM_PARAMS))
+    return _stable_quantiles(rows, *_QUANTILES)
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,8 +484,8 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_q2(spark: SparkSession, sf_dir: str, window: str, min_flights: int) -> DataFrame:
     path = scratch_dir(spark, f"stream_q2_{window}")
     params = replace(STREAM_PARAMS, min_flights=min_flights)
-    query = jobs.start_q2(_stream(spark, sf_dir), path, window, params)
-    return _list_as_json(_drained(spark, query, path, f"q2_{window}"))
+    stream = jobs.start_q2(_stream(spark, sf_dir), path, window, params)
+    return _list_as_json(_drained(stream, path, f"q2_{window}"))
 
 
 def stream_q2_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,18 +496,27 @@ def stream_q2_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_q2(spark, sf_dir, "6h", PARAMS_6H.min_flights)
 
 
-def stream_q2_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly snapshots over four runs; totals are carried across them."""
+def _q2_snapshots(spark: SparkSession, sf_dir: str, params: JobParams, slower: int = 1) -> DataFrame:
     path = scratch_dir(spark, "stream_q2_global")
-    params = replace(PARAMS, watermark_delay=30)
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q2_global(flights, path, params))
+    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q2_global(flights, path, params), slower)
     return _list_as_json(jobs.read_stream_results(spark, path, "q2_global"))
 
 
+def stream_q2_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly snapshots over four runs; totals are carried across them."""
+    return _q2_snapshots(spark, sf_dir, replace(PARAMS, watermark_delay=30))
+
+
+def stream_q2_global_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last snapshot where many rows come after the snapshot of their time: it holds all of them."""
+    rows = _q2_snapshots(spark, sf_dir, TIGHT_PARAMS, slower=60)
+    return rows.where(F.col("window_end") == last_boundary(rows))
+
+
 def _stream_q3(spark: SparkSession, sf_dir: str, window: str) -> DataFrame:
     path = scratch_dir(spark, f"stream_q3_{window}")
-    query = jobs.start_q3(_stream(spark, sf_dir), path, window, STREAM_PARAMS)
-    return _stable_quantiles(_drained(spark, query, path, f"q3_{window}"), *_QUANTILES)
+    stream = jobs.start_q3(_stream(spark, sf_dir), path, window, STREAM_PARAMS)
+    return _stable_quantiles(_drained(stream, path, f"q3_{window}"), *_QUANTILES)
 
 
 def stream_q3_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,14 +527,22 @@ def stream_q3_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_q3(spark, sf_dir, "7d")
 
 
-def stream_q3_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily snapshots over four runs; sketch bins are carried across them."""
+def _q3_snapshots(spark: SparkSession, sf_dir: str, params: JobParams, slower: int = 1) -> DataFrame:
     path = scratch_dir(spark, "stream_q3_global")
-    params = replace(PARAMS, watermark_delay=30)
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q3_global(flights, path, params))
+    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q3_global(flights, path, params), slower)
     return _stable_quantiles(jobs.read_stream_results(spark, path, "q3_global"), *_QUANTILES)
 
 
+def stream_q3_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily snapshots over four runs; sketch bins are carried across them."""
+    return _q3_snapshots(spark, sf_dir, replace(PARAMS, watermark_delay=30))
+
+
+def stream_q3_global_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _q3_snapshots(spark, sf_dir, TIGHT_PARAMS, slower=60)
+    return rows.where(F.col("window_end") == last_boundary(rows))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -516,5 +556,6 @@ QUERIES: dict[str, Query] = {
         export_q1, export_q2, export_q3, run_stats,
         stream_q1_1h, stream_q1_lateness, stream_restart, stream_late_split,
         stream_q2_1h, stream_q2_6h, stream_q2_global, stream_q3_1d, stream_q3_7d, stream_q3_global,
+        stream_q2_lateness, stream_q3_lateness, stream_q2_global_late, stream_q3_global_late,
     )
 }

@@ -56,8 +56,45 @@ def read_results(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     return latest_rows(read_history(spark, path, schema), keys).drop("batch_id")
 
 
-def compact(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], target: str, batch_id: int
+def _folders(spark: SparkSession, path: str) -> tuple:
+    """The file system of a table, and its batch folders by number."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return files, {}
+    names = [status.getPath() for status in files.listStatus(top)]
+    return files, {int(p.getName()[len("batch_id="):]): p for p in names if p.getName().startswith("batch_id=")}
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that a table holds."""
+    return sorted(_folders(spark, path)[1])
+
+
+def drop_batches(spark: SparkSession, path: str, upto: int) -> None:
+    """Deletes the folders of batches up to a number."""
+    files, folders = _folders(spark, path)
+    for batch_id, folder in folders.items():
+        if batch_id <= upto:
+            files.delete(folder, True)
+
+
+def compact_batches(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | None, target: int
 ) -> None:
-    """Rewrites the current rows as one batch of a new table; the old one is left for its owner to drop."""
-    write_batch(read_results(spark, path, schema, keys), target, batch_id)
+    """Packs all batches below ``target`` into that one, which must be a number of its own, and deletes them.
+
+    With ``keys`` only the newest row of each stays. A repeated call after a failure finds the packed batch complete
+    and goes on with deleting, so no row is lost.
+    """
+    files, folders = _folders(spark, path)
+    done = target in folders and files.exists(
+        spark._jvm.org.apache.hadoop.fs.Path(folders[target], "_SUCCESS"))
+    older = [b for b in folders if b < target]
+    if not older:
+        return
+    if not done:
+        history = read_history(spark, path, schema).where(F.col("batch_id") < target)
+        rows = latest_rows(history, keys) if keys else history
+        write_batch(rows.drop("batch_id"), path, target)
+    drop_batches(spark, path, target - 1)

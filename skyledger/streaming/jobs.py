@@ -1,85 +1,157 @@
-"""The seven result streams.
+"""The seven result streams and what goes with them.
 
-Each job is one native, append-mode windowed aggregation, whose state holds only additive rows: counters
-for Q1, flight counts for Q2, sketch bins for Q3. When the watermark closes a window, all of its rows
-reach ``foreachBatch`` together. They are written first, so the rest of the batch works on a durable
-table, and the batch operators turn them into results: ranking, quantiles and snapshots are the
-same code as in batch.
+A micro-batch is written once: event time, reject rule and the narrow flight columns. Everything else reads that. The
+largest event time of all rows with a valid time, rejected or filtered ones included, is carried from batch to batch;
+less the watermark delay it is the watermark of every result, so results, late rows and batch reports agree.
 
-Every write of batch N goes to a folder of its own and reads at most that of batch N-1. A batch that is
-replayed after a failure overwrites itself and nothing else.
+A result keeps additive partials of its open windows: counters for Q1, counters and bounded worst-flight lists for Q2,
+sketch bins for Q3. A batch merges its own partials into them, drops what is late, and emits the windows that the
+watermark has passed; a late row that is still allowed emits its window again. The batch operators turn partials into
+results. Results since the start lose no row: what comes after its snapshot counts in the next one.
+
+Every write of batch N goes to a folder of its own and reads at most those of batch N-1, so a batch that is replayed
+after a failure overwrites itself and nothing else. Folders that no replay can need are deleted, and results are
+compacted now and then.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions import sketch
-from skyledger.functions.scalars import above
+from skyledger.functions.scalars import flag_set
 from skyledger.operators import airports, carrier, delays, latency
-from skyledger.operators.clean import active_flights, clean
+from skyledger.operators.clean import active_flights, has_valid_time, reject_rule, target_airlines, with_event_time
 from skyledger.operators.late import MINUTE_MS
-from skyledger.operators.windows import WINDOW_SIZES, event_window
+from skyledger.operators.windows import end_of_window, label_of, unpack_window, window_ms
 from skyledger.params import JobParams
 from skyledger.schema import Q1_RESULT, Q2_RESULT, Q3_RESULT
-from skyledger.sinks.result_table import RESULT_KEYS, latest_rows, read_history, write_batch
+from skyledger.sinks.result_table import (
+    RESULT_KEYS,
+    batch_ids,
+    compact_batches,
+    drop_batches,
+    latest_rows,
+    read_history,
+    write_batch,
+)
 from skyledger.streaming.checkpoints import trigger
 
 # Gets the finished rows of one batch; must tolerate a repeated batch id.
 BatchSink = Callable[[DataFrame, int], None]
 
-_CLOSED_Q2 = T.StructType([
-    T.StructField("window_start", T.LongType()),
-    T.StructField("window_end", T.LongType()),
-    T.StructField("origin_airport_id", T.IntegerType()),
-    T.StructField("carrier", T.StringType()),
-    T.StructField("dest", T.StringType()),
-    T.StructField("severe_delay", T.DoubleType()),
-    T.StructField("num_flights", T.LongType()),
-    T.StructField("delay_sum", T.DoubleType()),
-    T.StructField("dep_delay_max", T.DoubleType()),
-])
-
-_WORST = T.ArrayType(T.StructType([
-    T.StructField("neg", T.DoubleType()),
-    T.StructField("carrier", T.StringType()),
-    T.StructField("dest", T.StringType()),
-]))
-
-_CARRY_Q2 = T.StructType([
-    T.StructField("origin_airport_id", T.IntegerType()),
-    T.StructField("window_end", T.LongType()),
-    T.StructField("num_flights", T.LongType()),
-    T.StructField("severe_delays", T.LongType()),
-    T.StructField("delay_sum", T.DoubleType()),
-    T.StructField("dep_delay_max", T.DoubleType()),
-    T.StructField("worst", _WORST),
-])
-
-_CLOSED_Q3 = T.StructType([
-    T.StructField("window_start", T.LongType()),
-    T.StructField("window_end", T.LongType()),
-    T.StructField("airline", T.StringType()),
-    T.StructField("hour", T.IntegerType()),
-    T.StructField("bin", T.IntegerType()),
-    T.StructField("cnt", T.LongType()),
-    T.StructField("lo", T.DoubleType()),
-    T.StructField("hi", T.DoubleType()),
-])
-
-_CARRY_Q3 = T.StructType([f for f in _CLOSED_Q3.fields if f.name != "window_start"])
-
-_SEEN = T.StructType([T.StructField("seen_ms", T.LongType())])
-
-
-def watermarked(flights: DataFrame, delay_minutes: int) -> DataFrame:
-    """Cleaned flights behind a bounded-disorder watermark."""
-    return clean(flights).withWatermark("event_ts", f"{delay_minutes} minutes")
+# Batches between two compactions of a result folder.
+COMPACT_EVERY = 50
+
+
+def _fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+_WORST = T.ArrayType(_fields(neg=_D, carrier=_S, dest=_S))
+
+# Partials of open windows; ``batch`` is the last batch that touched the row.
+_STATE_Q1 = _fields(
+    window_start=_L, window_end=_L, airline=_S, num_flights=_L, completed=_L, cancelled=_L, diverted=_L, late=_L,
+    delay_sum=_D, batch=_L)
+_STATE_Q2 = _fields(
+    window_start=_L, window_end=_L, origin_airport_id=_I, num_flights=_L, severe_delays=_L, delay_sum=_D,
+    dep_delay_max=_D, worst=_WORST, batch=_L)
+_STATE_Q3 = _fields(
+    window_start=_L, window_end=_L, airline=_S, hour=_I, bin=_I, cnt=_L, lo=_D, hi=_D, batch=_L)
+_SEEN = _fields(seen_ms=_L)
+_SAMPLES = _fields(step=_S, metric=_S, latency_ms=_D)
+_COUNTS = _fields(counter=_S, rows=_L)
+
+
+@dataclass(frozen=True)
+class Seen:
+    """Largest event time of the batches before this one, and with it; None before any valid row."""
+
+    before: int | None
+    now: int | None
+
+
+@dataclass(frozen=True)
+class Result:
+    """One result: which rows it takes, how they are summed up, merged and finished."""
+
+    name: str
+    window: str
+    keep: Callable[[DataFrame], DataFrame]
+    partials: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
+    finish: Callable[[DataFrame], DataFrame]
+    state: T.StructType
+    schema: T.StructType
+
+
+def _merge_q1(rows: DataFrame) -> DataFrame:
+    sums = ("num_flights", "completed", "cancelled", "diverted", "late", "delay_sum")
+    return rows.groupBy("window_start", "window_end", "airline").agg(
+        *[F.sum(c).alias(c) for c in sums], F.max("batch").alias("batch"))
+
+
+def _q1(params: JobParams) -> Result:
+    return Result(
+        "q1", "1h", lambda rows: target_airlines(rows, params.carriers),
+        lambda rows: unpack_window(carrier.carrier_partials(rows, params)), _merge_q1, carrier.finish_carrier,
+        _STATE_Q1, Q1_RESULT)
+
+
+def _partials_q2(rows: DataFrame, window: str, params: JobParams) -> DataFrame:
+    totals = airports.airport_partials(rows, params, window)
+    return totals.join(airports.worst_flights(rows, params, window), list(airports.KEY), "left")
+
+
+def _merge_q2(n: int) -> Callable[[DataFrame], DataFrame]:
+    def merge(rows: DataFrame) -> DataFrame:
+        totals = rows.groupBy(*airports.KEY).agg(
+            *[F.sum(c).alias(c) for c in ("num_flights", "severe_delays", "delay_sum")],
+            F.max("dep_delay_max").alias("dep_delay_max"), F.max("batch").alias("batch"))
+        flights = rows.select(*airports.KEY, F.explode("worst").alias("f")).select(
+            *airports.KEY, (-F.col("f.neg")).alias("dep_delay"), "f.carrier", "f.dest")
+        return totals.join(airports.collect_worst(flights, n), list(airports.KEY), "left")
+
+    return merge
+
+
+def _lists(state: DataFrame) -> DataFrame:
+    return state.where("severe_delays > 0").select(*airports.KEY, "worst")
+
+
+def _q2(window: str, params: JobParams) -> Result:
+    def finish(state: DataFrame) -> DataFrame:
+        stats = airports.airport_stats(state, params.min_flights)
+        ranked = airports.rank_airports(stats, params.top_airports)
+        return airports.airport_result(ranked, _lists(state), window)
+
+    return Result(
+        f"q2_{window}", window, active_flights, lambda rows: _partials_q2(rows, window, params),
+        _merge_q2(params.top_flights), finish, _STATE_Q2, Q2_RESULT)
+
+
+def _merge_q3(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*delays.KEY, "bin").agg(
+        F.sum("cnt").alias("cnt"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("batch").alias("batch"))
+
+
+def _q3(window: str, params: JobParams) -> Result:
+    return Result(
+        f"q3_{window}", window, lambda rows: target_airlines(active_flights(rows), params.carriers),
+        lambda rows: delays.delay_bins(rows, params, window), _merge_q3,
+        lambda state: delays.finish_delays(state, window, params), _STATE_Q3, Q3_RESULT)
+
+
+# --- storage --------------------------------------------------------------------------------------
 
 
 def _store(rows: DataFrame, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
@@ -94,291 +166,403 @@ def _load(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -
     return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
 
 
+def _result_id(batch_id: int, flushed: bool = False) -> int:
+    """Number of a batch's output, or of a flush behind it; the number after that is a compaction's."""
+    return 4 * batch_id + flushed
+
+
+def _append(rows: DataFrame, path: str, batch_id: int, schema: T.StructType) -> None:
+    """Writes a batch of rows that are kept for good, and packs those before it now and then."""
+    write_batch(rows, path, _result_id(batch_id))
+    if batch_id and batch_id % COMPACT_EVERY == 0:
+        compact_batches(rows.sparkSession, path, schema, None, _result_id(batch_id) - 2)
+
+
 def _deliver(
-    rows: DataFrame, path: str, batch_id: int, schema: T.StructType, sinks: Sequence[BatchSink]
+    rows: DataFrame, path: str, result_id: int, result: Result, sinks: Sequence[BatchSink], keys: str
 ) -> None:
-    stored = _store(rows, f"{path}/results", batch_id, schema)
+    stored = _store(rows, f"{path}/results", result_id, result.schema)
     for sink in sinks:
-        sink(stored, batch_id)
-
-
-def _start(
-    df: DataFrame, name: str, checkpoint: str, handle: BatchSink, interval: str | None, mode: str = "append"
-) -> StreamingQuery:
-    return (
-        df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
-        .trigger(**trigger(interval)).foreachBatch(handle).start()
-    )
+        sink(stored, result_id)
+    if result_id and result_id % (4 * COMPACT_EVERY) == 0:
+        # The batch before is committed and never replayed, so what it left can be packed.
+        compact_batches(rows.sparkSession, f"{path}/results", result.schema, RESULT_KEYS[keys], result_id - 2)
 
 
 def read_stream_results(spark: SparkSession, path: str, query: str) -> DataFrame:
-    """Current rows of a result stream that has closed at least one window."""
+    """Current rows of a result stream that has emitted at least one window."""
     schema = {"q1": Q1_RESULT, "q2": Q2_RESULT, "q3": Q3_RESULT}[query.split("_")[0]]
     return latest_rows(read_history(spark, f"{path}/results", schema), RESULT_KEYS[query]).drop("batch_id")
 
 
-# --- Q1 -------------------------------------------------------------------------------------------
+# --- intake ---------------------------------------------------------------------------------------
 
 
-def start_q1(
-    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
-    sinks: Sequence[BatchSink] = (),
-) -> StreamingQuery:
-    """Final rows only: a window appears once, after the watermark delay plus the allowed lateness."""
-    grace = params.watermark_delay + params.lateness_for("q1")
-    results = carrier.carrier_performance(watermarked(flights, grace), params)
+def _intake(batch: DataFrame, path: str, batch_id: int) -> tuple[DataFrame, Seen]:
+    """Writes a micro-batch with its event times and reject rules; returns the clean rows and the event time seen.
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        _deliver(batch, path, batch_id, Q1_RESULT, sinks)
+    The source is read once. Reject counts of the batch go to ``counts``.
+    """
+    spark = batch.sparkSession
+    timed = with_event_time(batch).withColumns({
+        "event_ms": F.when(has_valid_time(), F.unix_millis("event_ts")),
+        "dep_delay": F.coalesce("dep_delay", F.lit(0.0)),
+        "is_cancelled": flag_set(F.col("cancelled")),
+        "is_diverted": flag_set(F.col("diverted")),
+        "reject_rule": reject_rule(),
+    }).drop("year", "month", "day_of_month", "crs_dep_time", "cancelled", "diverted")
+    write_batch(timed, f"{path}/rows", batch_id)
+    rows = _load(spark, f"{path}/rows", batch_id, timed.schema)
+    before = _load(spark, f"{path}/seen", batch_id - 1, _SEEN).agg(F.max("seen_ms")).first()[0]
+    by_rule = rows.groupBy("reject_rule").agg(F.count(F.lit(1)).alias("rows"), F.max("event_ms").alias("newest")).collect()
+    now = max((t for t in [before, *(r.newest for r in by_rule)] if t is not None), default=None)
+    _store(spark.createDataFrame([(now,)], _SEEN), f"{path}/seen", batch_id, _SEEN)
+    counts = [("rows_in", sum(r["rows"] for r in by_rule))] + [
+        (f"rejected_{r.reject_rule}", r["rows"]) for r in by_rule if r.reject_rule]
+    known = _load(spark, f"{path}/counts", batch_id - 1, _COUNTS).unionByName(spark.createDataFrame(counts, _COUNTS))
+    _store(known.groupBy("counter").agg(F.sum("rows").alias("rows")).coalesce(1), f"{path}/counts", batch_id, _COUNTS)
+    return rows.where("reject_rule IS NULL").drop("reject_rule"), Seen(before, now)
 
-    return _start(results, "q1", f"{path}/checkpoint", handle, interval)
 
+def counters(spark: SparkSession, path: str) -> DataFrame:
+    """(counter, rows) over all batches of a stream: rows read, and rows rejected by each rule."""
+    return _load(spark, f"{path}/counts", max(batch_ids(spark, f"{path}/counts"), default=-1), _COUNTS)
 
-def start_q1_updates(
-    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
-    sinks: Sequence[BatchSink] = (),
-) -> StreamingQuery:
-    """Early rows, corrected while late flights are still allowed.
 
-    Update mode repeats every window a batch touched; the result table keeps the last version.
-    """
-    grace = params.watermark_delay + params.lateness_for("q1")
-    results = carrier.carrier_performance(watermarked(flights, grace), params)
+def late_rows_seen(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows that a windowed result has left out as late; None where there were none."""
+    return spark.read.parquet(f"{path}/late") if batch_ids(spark, f"{path}/late") else None
+
+
+def _drop_old(spark: SparkSession, path: str, batch_id: int, *folders: str) -> None:
+    """A replay of this batch reads the one before it; what is older goes."""
+    for folder in folders:
+        drop_batches(spark, f"{path}/{folder}", batch_id - 2)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        _deliver(batch, path, batch_id, Q1_RESULT, sinks)
 
-    return _start(results, "q1_updates", f"{path}/checkpoint", handle, interval, mode="update")
+# --- steps ----------------------------------------------------------------------------------------
 
 
-# --- Q2 -------------------------------------------------------------------------------------------
+def _graces(params: JobParams, name: str) -> tuple[int, int]:
+    """Watermark delay, and delay plus allowed lateness, in milliseconds."""
+    delay = params.watermark_delay * MINUTE_MS
+    return delay, delay + params.lateness_for(name) * MINUTE_MS
 
 
-def compact_flights(cleaned: DataFrame, window: str, params: JobParams = JobParams()) -> DataFrame:
-    """Active flights of a window, severe ones counted per (airport, carrier, dest, delay).
+def split_late(rows: DataFrame, window: str, grace_ms: int, seen: Seen) -> tuple[DataFrame, DataFrame]:
+    """Rows in time, and rows whose window had ended for good before this batch, with ``lateness_min``."""
+    ended = rows.withColumn("window_end", end_of_window(F.col("event_ms"), window_ms(window)))
+    if seen.before is None:
+        return rows, ended.withColumn("lateness_min", F.lit(0.0)).limit(0)
+    over = F.lit(seen.before) - F.col("window_end") - grace_ms
+    return ended.where(over < 0).drop("window_end"), ended.where(over >= 0).withColumn(
+        "lateness_min", over / float(MINUTE_MS))
 
-    All others of an airport fold into one row. State is spread over the full key, so a busy airport is
-    not one state row that grows, and no list is kept.
+
+def _window_step(
+    result: Result, rows: DataFrame, path: str, batch_id: int, seen: Seen, params: JobParams,
+    sinks: Sequence[BatchSink], early: bool = False,
+) -> None:
+    """Merges a batch into the open windows and emits those that are due."""
+    spark = rows.sparkSession
+    delay, grace = _graces(params, result.name)
+    kept, late = split_late(result.keep(rows), result.window, grace, seen)
+    if seen.before is not None and not late.isEmpty():
+        _append(late, f"{path}/late", batch_id, late.schema)
+    open_ = _load(spark, f"{path}/state", batch_id - 1, result.state)
+    if seen.before is not None:
+        open_ = open_.where(F.col("window_end") + grace > seen.before)
+    new = result.partials(kept).withColumn("batch", F.lit(batch_id).cast("long"))
+    state = _store(result.merge(open_.unionByName(new, allowMissingColumns=True)), f"{path}/state", batch_id, result.state)
+    due = F.lit(early)
+    if seen.now is not None:
+        due = due | (F.col("window_end") + delay <= seen.now)
+    changed = F.col("batch") == batch_id
+    if seen.before is not None:
+        changed = changed | (F.col("window_end") + delay > seen.before)
+    emitted = state.where(due & changed).select("window_end").distinct()
+    ready = state.join(emitted, "window_end", "left_semi")
+    if not ready.isEmpty():
+        _deliver(result.finish(ready), path, _result_id(batch_id), result, sinks, result.name)
+    _drop_old(spark, path, batch_id, "state")
+
+
+def _flush_window(result: Result, path: str, batch_id: int, seen: Seen, params: JobParams, spark, sinks) -> None:
+    """Emits the windows that were still open after the last batch."""
+    delay, _ = _graces(params, result.name)
+    state = _load(spark, f"{path}/state", batch_id, result.state)
+    waiting = state if seen.now is None else state.where(F.col("window_end") + delay > seen.now)
+    if not waiting.isEmpty():
+        _deliver(result.finish(waiting), path, _result_id(batch_id, True), result, sinks, result.name)
+
+
+def _boundary(seen_ms: int | None, delay_ms: int, interval: int) -> int | None:
+    """The last boundary that the watermark has passed."""
+    return None if seen_ms is None else (seen_ms - delay_ms) // interval * interval
+
+
+@dataclass(frozen=True)
+class Snapshots:
+    """A result since the start: the partials of an interval, and the snapshots they give up to a boundary."""
+
+    base: Result
+    interval: int
+    snapshots: Callable[[DataFrame, Column, int], DataFrame]
+
+
+def _q2_global(params: JobParams, start_ms: int | None) -> Snapshots:
+    def snapshots(state: DataFrame, last: Column, intervals: int) -> DataFrame:
+        return airports.airport_snapshots(
+            state, _lists(state).drop("window_start"), params, start_ms=start_ms, last=last, intervals=intervals)
+
+    return Snapshots(_q2(label_of(params.airport_snapshot_ms), params), params.airport_snapshot_ms, snapshots)
+
+
+def _q3_global(params: JobParams, start_ms: int | None) -> Snapshots:
+    return Snapshots(
+        _q3(label_of(params.delay_snapshot_ms), params), params.delay_snapshot_ms,
+        lambda state, last, _: delays.delay_snapshots(state, params, start_ms=start_ms, last=last))
+
+
+def _emit_snapshots(
+    job: Snapshots, state: DataFrame, done: int | None, upto: int, path: str, result_id: int,
+    sinks: Sequence[BatchSink], name: str,
+) -> None:
+    ready = state.where(F.col("window_end") <= upto)
+    low = ready.agg(F.min("window_end")).first()[0]
+    if low is None:
+        return
+    rows = job.snapshots(ready, F.lit(upto).cast("long"), (upto - low) // job.interval + 1)
+    if done is not None:
+        rows = rows.where(F.col("window_end") > done)
+    _deliver(rows, path, result_id, job.base, sinks, name)
+
+
+def _global_step(
+    name: str, job: Snapshots, rows: DataFrame, path: str, batch_id: int, seen: Seen, params: JobParams,
+    sinks: Sequence[BatchSink],
+) -> None:
+    """Adds a batch to the totals and emits the snapshots of the boundaries it passed.
+
+    The state holds the totals at the last boundary and the intervals behind it. A row from before that boundary
+    counts in the first interval behind it, so it is in every later snapshot.
     """
-    severe = above(F.col("dep_delay"), params.severe_minutes)
-    delay = F.col("dep_delay")
-    return (
-        active_flights(cleaned)
-        .groupBy(
-            event_window(window),
-            "origin_airport_id",
-            F.when(severe, F.col("airline")).alias("carrier"),
-            F.when(severe, F.col("dest_airport_id").cast("string")).alias("dest"),
-            F.when(severe, delay).alias("severe_delay"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("num_flights"),
-            F.sum(delay).alias("delay_sum"),
-            F.max(F.when(~F.isnan(delay), delay)).alias("dep_delay_max"),
-        )
-        .select(
-            F.unix_millis("window.start").alias("window_start"),
-            F.unix_millis("window.end").alias("window_end"),
-            "origin_airport_id", "carrier", "dest", "severe_delay", "num_flights", "delay_sum", "dep_delay_max",
-        )
-    )
+    spark = rows.sparkSession
+    delay = params.watermark_delay * MINUTE_MS
+    done, upto = (_boundary(t, delay, job.interval) for t in (seen.before, seen.now))
+    new = job.base.partials(job.base.keep(rows)).withColumn("batch", F.lit(batch_id).cast("long"))
+    if done is not None:
+        new = new.withColumn("window_end", F.greatest("window_end", F.lit(done + job.interval).cast("long")))
+    both = _load(spark, f"{path}/state", batch_id - 1, job.base.state).unionByName(new, allowMissingColumns=True)
+    # Intervals are told apart by their end alone, as totals have no single start.
+    both = both.withColumn("window_start", F.lit(0).cast("long"))
+    merged = _store(job.base.merge(both), f"{path}/merged", batch_id, job.base.state)
+    if upto is not None and upto != done:
+        _emit_snapshots(job, merged, done, upto, path, _result_id(batch_id), sinks, name)
+        merged = job.base.merge(merged.withColumn("window_end", F.greatest("window_end", F.lit(upto).cast("long"))))
+    _store(merged, f"{path}/state", batch_id, job.base.state)
+    _drop_old(spark, path, batch_id, "state", "merged")
+
+
+def _flush_global(name: str, job: Snapshots, path: str, batch_id: int, seen: Seen, params: JobParams, spark, sinks) -> None:
+    state = _load(spark, f"{path}/state", batch_id, job.base.state)
+    last = state.agg(F.max("window_end")).first()[0]
+    done = _boundary(seen.now, params.watermark_delay * MINUTE_MS, job.interval)
+    if last is not None and (done is None or last > done):
+        _emit_snapshots(job, state, done, last, path, _result_id(batch_id, True), sinks, name)
+
+
+# --- streams --------------------------------------------------------------------------------------
+
+# What a stream does with a batch of clean rows, and at the end of a bounded input.
+Step = Callable[[DataFrame, int, Seen], None]
+
+
+@dataclass(frozen=True)
+class _Job:
+    name: str
+    step: Step
+    flush: Callable[[SparkSession, int, Seen], None]
+
+
+def _window_job(result: Result, path: str, params: JobParams, sinks: Sequence[BatchSink], early: bool = False) -> _Job:
+    return _Job(
+        result.name,
+        lambda rows, n, seen: _window_step(result, rows, path, n, seen, params, sinks, early),
+        lambda spark, n, seen: _flush_window(result, path, n, seen, params, spark, sinks))
+
+
+def _global_job(name: str, job: Snapshots, path: str, params: JobParams, sinks: Sequence[BatchSink]) -> _Job:
+    return _Job(
+        name,
+        lambda rows, n, seen: _global_step(name, job, rows, path, n, seen, params, sinks),
+        lambda spark, n, seen: _flush_global(name, job, path, n, seen, params, spark, sinks))
+
+
+@dataclass(frozen=True)
+class RunningStream:
+    """A started stream: its query, and what is left to do when a bounded input has been read."""
+
+    query: StreamingQuery
+    spark: SparkSession
+    path: str
+    jobs: tuple[_Job, ...]
+
+    def awaitTermination(self) -> None:  # noqa: N802 - named as on the query
+        self.query.awaitTermination()
+
+    def finish(self) -> None:
+        """Waits for a drained run and emits what is still open, as at the end of a bounded source.
+
+        A later run corrects these results: they carry the number of the last batch.
+        """
+        self.query.awaitTermination()
+        spark = self.spark
+        last = max(batch_ids(spark, f"{self.path}/seen"), default=None)
+        if last is None:
+            return
+        now = _load(spark, f"{self.path}/seen", last, _SEEN).first()[0]
+        for job in self.jobs:
+            job.flush(spark, last, Seen(now, now))
 
 
-def partials_from_compact(closed: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """Airport partials and worst-flight lists of closed windows."""
-    severe = F.col("severe_delay").isNotNull()
-    partials = closed.groupBy(*airports.KEY).agg(
-        F.sum("num_flights").alias("num_flights"),
-        F.sum(F.when(severe, F.col("num_flights")).otherwise(0)).alias("severe_delays"),
-        F.sum("delay_sum").alias("delay_sum"),
-        F.max("dep_delay_max").alias("dep_delay_max"),
+def _start(
+    flights: DataFrame, name: str, path: str, jobs: Sequence[_Job], interval: str | None
+) -> RunningStream:
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        clock = time.perf_counter()
+        rows, seen = _intake(batch, path, batch_id)
+        took = [(name, "operator_intake_ms", 1000 * (time.perf_counter() - clock))]
+        for job in jobs:
+            clock = time.perf_counter()
+            job.step(rows, batch_id, seen)
+            took.append((job.name, "operator_addBatch_ms", 1000 * (time.perf_counter() - clock)))
+        _append(spark.createDataFrame(took, _SAMPLES).coalesce(1), f"{path}/durations", batch_id, _SAMPLES)
+        _drop_old(spark, path, batch_id, "rows", "seen", "counts")
+
+    query = (
+        flights.writeStream.queryName(name).outputMode("append").option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**trigger(interval)).foreachBatch(handle).start()
     )
-    # A row stands for several equal flights; more than n copies cannot all be listed.
-    copies = F.explode(F.array_repeat(F.lit(0), F.least(F.col("num_flights"), F.lit(n)).cast("int")))
-    rows = closed.where(severe).select(
-        *airports.KEY, F.col("severe_delay").alias("dep_delay"), "carrier", "dest", copies.alias("copy")
-    ).drop("copy")
-    return partials, airports.collect_worst(rows, n)
+    return RunningStream(query, flights.sparkSession, path, tuple(jobs))
+
+
+def start_q1(
+    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
+    sinks: Sequence[BatchSink] = (), early: bool = False,
+) -> RunningStream:
+    """Carrier performance per hour: first when the watermark passes, again while late rows are allowed.
+
+    ``early`` also emits windows that are still filling.
+    """
+    return _start(flights, "q1", path, [_window_job(_q1(params), path, params, sinks, early)], interval)
 
 
 def start_q2(
     flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (),
-) -> StreamingQuery:
-    """Airport ranking over tumbling windows; the whole window is ranked once it has closed."""
-    grace = params.watermark_delay + params.lateness_for(f"q2_{window}")
-    closed_rows = compact_flights(watermarked(flights, grace), window, params)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q2)
-        if closed.isEmpty():
-            return
-        partials, lists = partials_from_compact(closed, params.top_flights)
-        stats = airports.airport_stats(partials, params.min_flights)
-        ranked = airports.rank_airports(stats, params.top_airports)
-        _deliver(airports.airport_result(ranked, lists, window), path, batch_id, Q2_RESULT, sinks)
-
-    return _start(closed_rows, f"q2_{window}", f"{path}/checkpoint", handle, interval)
+) -> RunningStream:
+    """Airport ranking over tumbling windows; a late row that is allowed ranks its whole window anew."""
+    job = _window_job(_q2(window, params), path, params, sinks)
+    return _start(flights, job.name, path, [job], interval)
 
 
 def start_q2_global(
     flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (), start_ms: int | None = None,
-) -> StreamingQuery:
-    """Ranking since the start, one snapshot per closed interval.
-
-    The running totals of all airports are carried from batch to batch as one row per airport, dated at
-    the last boundary; together with the newly closed intervals they give the new snapshots.
-    """
-    label = _label_of(params.airport_snapshot_ms)
-    closed_rows = compact_flights(watermarked(flights, params.watermark_delay), label, params)
-    totals = airports.TOTALS
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q2)
-        carry = _load(spark, f"{path}/carry", batch_id - 1, _CARRY_Q2)
-        if closed.isEmpty():
-            _store(carry, f"{path}/carry", batch_id, _CARRY_Q2)
-            return
-        new, new_lists = partials_from_compact(closed, params.top_flights)
-        partials = carry.select("origin_airport_id", "window_end", *totals).unionByName(
-            new.select("origin_airport_id", "window_end", *totals)
-        )
-        lists = carry.where("severe_delays > 0").select("origin_airport_id", "window_end", "worst").unionByName(
-            new_lists.select("origin_airport_id", "window_end", "worst")
-        )
-        done = carry.agg(F.max("window_end")).first()[0]
-        snapshots = airports.airport_snapshots(partials, lists, params, start_ms=start_ms)
-        if done is not None:
-            snapshots = snapshots.where(F.col("window_end") > done)
-        _deliver(snapshots, path, batch_id, Q2_RESULT, sinks)
-
-        sums = partials.groupBy("origin_airport_id").agg(
-            F.sum("num_flights").alias("num_flights"), F.sum("severe_delays").alias("severe_delays"),
-            F.sum("delay_sum").alias("delay_sum"), F.max("dep_delay_max").alias("dep_delay_max"),
-        )
-        order = Window.partitionBy("origin_airport_id").orderBy("f")
-        worst = (
-            lists.select("origin_airport_id", F.explode("worst").alias("f"))
-            .withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= params.top_flights)
-            .groupBy("origin_airport_id").agg(F.sort_array(F.collect_list("f")).alias("worst"))
-        )
-        last = partials.select(F.max("window_end")).scalar()
-        carried = sums.join(worst, "origin_airport_id", "left").withColumn("window_end", last)
-        _store(carried, f"{path}/carry", batch_id, _CARRY_Q2)
-
-    return _start(closed_rows, "q2_global", f"{path}/checkpoint", handle, interval)
-
-
-# --- Q3 -------------------------------------------------------------------------------------------
+) -> RunningStream:
+    """Ranking since the start, one snapshot per interval that the watermark has passed."""
+    job = _global_job("q2_global", _q2_global(params, start_ms), path, params, sinks)
+    return _start(flights, job.name, path, [job], interval)
 
 
 def start_q3(
     flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (),
-) -> StreamingQuery:
-    """Delay distribution over tumbling windows; state is one counter per sketch bin."""
-    grace = params.watermark_delay + params.lateness_for(f"q3_{window}")
-    bins = delays.delay_bins(watermarked(flights, grace), params, window)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q3)
-        if closed.isEmpty():
-            return
-        _deliver(delays.finish_delays(closed, window, params), path, batch_id, Q3_RESULT, sinks)
-
-    return _start(bins, f"q3_{window}", f"{path}/checkpoint", handle, interval)
+) -> RunningStream:
+    """Delay distribution over tumbling windows; the state is one counter per sketch bin."""
+    job = _window_job(_q3(window, params), path, params, sinks)
+    return _start(flights, job.name, path, [job], interval)
 
 
 def start_q3_global(
     flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (), start_ms: int | None = None,
-) -> StreamingQuery:
-    """Distribution since the start, one snapshot per closed interval; sketch bins are carried over."""
-    label = _label_of(params.delay_snapshot_ms)
-    bins = delays.delay_bins(watermarked(flights, params.watermark_delay), params, label)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        closed = _store(batch, f"{path}/closed", batch_id, _CLOSED_Q3).drop("window_start")
-        carry = _load(spark, f"{path}/carry", batch_id - 1, _CARRY_Q3)
-        if closed.isEmpty():
-            _store(carry, f"{path}/carry", batch_id, _CARRY_Q3)
-            return
-        all_bins = carry.unionByName(closed)
-        done = carry.agg(F.max("window_end")).first()[0]
-        snapshots = delays.delay_snapshots(all_bins, params, start_ms=start_ms)
-        if done is not None:
-            snapshots = snapshots.where(F.col("window_end") > done)
-        _deliver(snapshots, path, batch_id, Q3_RESULT, sinks)
-        last = all_bins.select(F.max("window_end")).scalar()
-        carried = sketch.merge_bins(all_bins, ["airline", "hour"]).withColumn("window_end", last)
-        _store(carried, f"{path}/carry", batch_id, _CARRY_Q3)
-
-    return _start(bins, "q3_global", f"{path}/checkpoint", handle, interval)
+) -> RunningStream:
+    """Distribution since the start, one snapshot per interval that the watermark has passed."""
+    job = _global_job("q3_global", _q3_global(params, start_ms), path, params, sinks)
+    return _start(flights, job.name, path, [job], interval)
 
 
-def _label_of(interval_ms: int) -> str:
-    for label, (_, ms) in WINDOW_SIZES.items():
-        if ms == interval_ms:
-            return label
-    raise ValueError(f"no window of {interval_ms} ms")
+def start_late_split(
+    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = active_flights, query: str = "q2",
+) -> RunningStream:
+    """Only the late side output of one query window, in ``late``: the rows that the result itself leaves out."""
+    _, grace = _graces(params, query if query == "q1" else f"{query}_{window}")
 
+    def step(rows: DataFrame, batch_id: int, seen: Seen) -> None:
+        late = split_late(keep(rows), window, grace, seen)[1]
+        _append(late, f"{path}/late", batch_id, late.schema)
 
-# --- late rows, fan-out ---------------------------------------------------------------------------
+    name = f"late_{query}_{window}"
+    return _start(flights, name, path, [_Job(name, step, lambda *_: None)], interval)
 
 
-def start_late_split(
+def start_latency(
     flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
-    keep: Callable[[DataFrame], DataFrame] = active_flights, query: str = "q2",
-) -> StreamingQuery:
-    """The late side output of one query window.
+    keep: Callable[[DataFrame], DataFrame] = active_flights, key: str = "origin_airport_id", step: str = "q2_window",
+) -> RunningStream:
+    """Latency samples of one windowed step: when a window is emitted against when its rows came in.
 
-    A row is lost when its window had ended, with both grace times, by the largest event time of earlier
-    batches: exactly the rows the windowed aggregation drops. That event time is carried per batch.
+    Samples go to ``path/samples``; ``latency_stats`` over them gives the percentiles.
     """
-    size = WINDOW_SIZES[window][1]
-    delay, lateness = params.watermark_delay, params.lateness_for(query if query == "q1" else f"{query}_{window}")
+    job = _latency_job(path, window, params, keep, key, step)
+    return _start(flights, job.name, path, [job], interval)
+
+
+def _latency_job(path: str, window: str, params: JobParams, keep, key: str, step: str) -> _Job:
+    grace = (params.watermark_delay + params.allowed_lateness) * MINUTE_MS
+
+    def take(rows: DataFrame, batch_id: int, seen: Seen) -> None:
+        spark = rows.sparkSession
+        new = latency.ingest_bounds(split_late(keep(rows), window, grace, seen)[0], window, key)
+        if batch_id:
+            open_ = spark.read.schema(new.schema).parquet(f"{path}/bounds/batch_id={batch_id - 1}")
+            if seen.before is not None:
+                open_ = open_.where(F.col("window_end") + grace > seen.before)
+            new = latency.merge_bounds(open_.unionByName(new), key)
+        write_batch(new, f"{path}/bounds", batch_id)
+        bounds = spark.read.schema(new.schema).parquet(f"{path}/bounds/batch_id={batch_id}")
+        if seen.now is not None:
+            closed = bounds.where(F.col("window_end") + grace <= seen.now)
+            emitted = F.unix_millis(F.current_timestamp())
+            _append(latency.latencies(closed, emitted, step), f"{path}/samples", batch_id, _SAMPLES)
+        _drop_old(spark, path, batch_id, "bounds")
+
+    return _Job(f"latency_{step}_{window}", take, lambda *_: None)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = _load(spark, f"{path}/seen", batch_id - 1, _SEEN).agg(F.max("seen_ms")).first()[0]
-        window_end = F.col("event_ms") - F.pmod(F.col("event_ms"), F.lit(size).cast("long")) + size
-        if seen is None:
-            late = batch.withColumn("window_end", window_end).withColumn("lateness_min", F.lit(0.0)).limit(0)
-        else:
-            lateness_min = (F.lit(seen) - window_end - (delay + lateness) * MINUTE_MS) / float(MINUTE_MS)
-            late = keep(batch).withColumn("window_end", window_end).withColumn(
-                "lateness_min", lateness_min
-            ).where("lateness_min >= 0")
-        write_batch(late, f"{path}/late", batch_id)
-        newest = batch.agg(F.max("event_ms").alias("newest"))
-        known = F.greatest(F.col("newest"), F.lit(seen).cast("long"))
-        _store(newest.select(known.alias("seen_ms")), f"{path}/seen", batch_id, _SEEN)
-
-    return _start(clean(flights), f"late_{query}_{window}", f"{path}/checkpoint", handle, interval)
+
+RESULT_NAMES = ("q1", "q2_1h", "q2_6h", "q2_global", "q3_1d", "q3_7d", "q3_global")
 
 
 def start_all(
-    open_flights: Callable[[], DataFrame], base: str, params: JobParams = JobParams(),
-    interval: str | None = None, sinks: dict[str, Sequence[BatchSink]] | None = None,
-) -> dict[str, StreamingQuery]:
-    """All seven result streams. Each reads the source on its own, so each recovers on its own."""
+    flights: DataFrame, base: str, params: JobParams = JobParams(), interval: str | None = None,
+    sinks: dict[str, Sequence[BatchSink]] | None = None,
+) -> RunningStream:
+    """The whole job: seven results, the late rows of the five windowed ones, reject counts and latency samples.
+
+    One query reads, decodes and cleans the source once. Each result has its own folder ``base/<name>``.
+    """
     extra = sinks or {}
-    started = {
-        "q1": start_q1(open_flights(), f"{base}/q1", params, interval, extra.get("q1", ())),
-        "q2_global": start_q2_global(open_flights(), f"{base}/q2_global", params, interval, extra.get("q2_global", ())),
-        "q3_global": start_q3_global(open_flights(), f"{base}/q3_global", params, interval, extra.get("q3_global", ())),
-    }
-    for window in ("1h", "6h"):
-        name = f"q2_{window}"
-        started[name] = start_q2(open_flights(), f"{base}/{name}", window, params, interval, extra.get(name, ()))
-    for window in ("1d", "7d"):
-        name = f"q3_{window}"
-        started[name] = start_q3(open_flights(), f"{base}/{name}", window, params, interval, extra.get(name, ()))
-    return started
+    at = lambda name: (f"{base}/{name}", params, extra.get(name, ()))
+    jobs = [_window_job(r, *at(r.name)) for r in (
+        _q1(params), _q2("1h", params), _q2("6h", params), _q3("1d", params), _q3("7d", params))]
+    jobs.append(_global_job("q2_global", _q2_global(params, None), *at("q2_global")))
+    jobs.append(_global_job("q3_global", _q3_global(params, None), *at("q3_global")))
+    jobs.append(_latency_job(f"{base}/latency", "1h", params, active_flights, "origin_airport_id", "q2_window"))
+    return _start(flights, "all_results", base, jobs, interval)
 
 
 def start_console(df: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -387,21 +571,3 @@ def start_console(df: DataFrame, checkpoint: str, interval: str | None = None) -
         df.writeStream.format("console").option("truncate", "false")
         .option("checkpointLocation", checkpoint).trigger(**trigger(interval)).start()
     )
-
-
-def start_latency(
-    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
-    keep: Callable[[DataFrame], DataFrame] = active_flights, key: str = "origin_airport_id", step: str = "q2_window",
-) -> StreamingQuery:
-    """Latency samples of one windowed step: when a window is emitted against when its rows came in.
-
-    Samples go to ``path/samples``; ``latency_stats`` over them gives the percentiles.
-    """
-    rows = keep(watermarked(flights, params.watermark_delay + params.allowed_lateness))
-    bounds = latency.ingest_bounds(rows, window, key)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        emitted = F.unix_millis(F.current_timestamp())
-        write_batch(latency.latencies(batch, emitted, step), f"{path}/samples", batch_id)
-
-    return _start(bounds, f"latency_{step}_{window}", f"{path}/checkpoint", handle, interval)

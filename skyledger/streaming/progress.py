@@ -1,31 +1,10 @@
-"""Step durations of running streams."""
+"""Step durations of streams."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
-
-_SCHEMA = "step string, metric string, latency_ms double"
-
-
-def step_durations(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """``step, metric, latency_ms`` samples from recent progress, ready for ``latency_stats``.
-
-    The progress log keeps a fixed number of entries per query, so this stays small.
-    """
-    rows = [
-        (query.name or str(query.id), f"operator_{phase}_ms", float(max(0, ms)))
-        for query in queries
-        for progress in query.recentProgress
-        for phase, ms in progress["durationMs"].items()
-    ]
-    return spark.createDataFrame(rows, _SCHEMA)
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the stateful operators of a query have dropped as late, over its recent progress."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"]
-    )
+def step_durations(spark: SparkSession, path: str) -> DataFrame:
+    """``step, metric, latency_ms`` of every micro-batch of a stream, ready for ``latency_stats``."""
+    return spark.read.schema("step string, metric string, latency_ms double").parquet(f"{path}/durations")
