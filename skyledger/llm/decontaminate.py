@@ -79,44 +79,55 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         F.collect_list(F.struct("position", "words", "items")).alias("found"))
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_words`` (positions, ascending) and ``items`` (ids as strings, sorted).
-
-    A document word inside any verified occurrence of a window is hit. Null and empty texts have no words. An empty
-    benchmark hits nothing. Columns of ``docs`` pass through; repeated rows are marked alike.
-    """
+def _marked(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """(row, text, n_words, hit_words, items): each row as a struct, so its columns can have any names."""
     windows = written(benchmark_windows(benchmark, window), "windows")
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    found = hits(texts, windows).select(
+    found = hits(docs.select("doc_id", text_or_empty().alias("text")), windows).select(
         F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "found")
-    whole = docs.withColumns({
-        "text_hash": F.xxhash64(text_or_empty()), "n_words": F.size(words_of(text_or_empty())).cast("long")})
-    joined = whole.join(
-        found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
-    # Only documents with hits are split into words again.
-    checked = joined.withColumn("doc_words", F.when(F.col("found").isNotNull(), words_of(text_or_empty()))).withColumn(
-        "verified", F.filter("found", lambda x: F.slice(
-            "doc_words", x["position"] + 1, F.size(x["words"])) == x["words"]))
+    whole = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("text_hash"),
+        F.size(words_of(text_or_empty())).cast("long").alias("n_words"))
+    joined = whole.join(found, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
+    text = F.coalesce("row.text", F.lit(""))
+    # Only documents with hits are split into words again. The words are used twice below, so that the optimizer
+    # computes them once for a row, and not once for each hit.
+    split = joined.withColumn("words", F.when(F.col("found").isNotNull(), words_of(text)))
+    checked = split.withColumn("verified", F.when(F.size("words") > 0, F.filter(
+        "found", lambda x: F.slice("words", x["position"] + 1, F.size(x["words"])) == x["words"])))
     positions = F.array_sort(F.array_distinct(F.flatten(F.transform("verified", lambda x: F.sequence(
         x["position"], x["position"] + F.size(x["words"]) - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("verified", lambda x: x["items"]))))
     return checked.select(
-        *(whole[c] for c in docs.columns), "n_words",
+        "row", F.col("row.text").alias("text"), "n_words",
         F.coalesce(positions, F.array().cast("array<int>")).alias("hit_words"),
         F.coalesce(items, F.array().cast("array<string>")).alias("items"))
 
 
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with ``n_words``, ``hit_words`` (positions, ascending) and ``items`` (ids as strings, sorted).
+
+    A document word inside any verified occurrence of a window is hit. Null and empty texts have no words. An empty
+    benchmark hits nothing. Other columns pass through, those with the three names are replaced; repeated rows are
+    marked alike.
+    """
+    kept = [c for c in docs.columns if c not in ("n_words", "hit_words", "items")]
+    return _marked(docs, benchmark, window).select(
+        *(F.col("row")[c].alias(c) for c in kept), "n_words", "hit_words", "items")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, drop_share: float = 0.5) -> DataFrame:
     """Removes the hit words, and the separators behind them, from each text; other columns stay.
 
     A document of whose words at least ``drop_share`` are hit is removed as a whole.
     """
-    marked = mark(docs, benchmark, window)
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(f"[^\\x00-/:-@\\[-`{{-\\x7f]+{SEPARATORS}*"), F.lit(0))
-    lead = F.regexp_extract(F.col("text"), f"^{SEPARATORS}*", 0)
-    left = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.col("n_words").cast("int") - 1), "hit_words"),
-        lambda i: F.get(pieces, i))
+    marked = _marked(docs, benchmark, window)
     hit = F.size("hit_words")
-    return marked.where(~((hit > 0) & (hit >= drop_share * F.col("n_words")))).withColumn(
-        "text", F.when(hit > 0, F.concat(lead, F.array_join(left, ""))).otherwise(F.col("text"))).select(*docs.columns)
+    left = marked.where(~((hit > 0) & (hit >= drop_share * F.col("n_words")))).withColumn("pieces", F.when(
+        hit > 0, F.regexp_extract_all(F.col("text"), F.lit(f"[^\\x00-/:-@\\[-`{{-\\x7f]+{SEPARATORS}*"), F.lit(0))))
+    lead = F.regexp_extract(F.col("text"), f"^{SEPARATORS}*", 0)
+    stay = F.transform(
+        F.array_except(F.sequence(F.lit(0), F.col("n_words").cast("int") - 1), "hit_words"), lambda i: F.get("pieces", i))
+    # The pieces are named twice, so that they are computed once for a row.
+    cut = F.when(F.size("pieces") > 0, F.concat(lead, F.array_join(stay, ""))).otherwise(F.col("text"))
+    return left.withColumn("cut", cut).select(
+        *(F.col("cut").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

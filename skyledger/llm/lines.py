@@ -272,18 +272,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     near = near_lines(docs, firsts)
     kept = firsts.alias("f").join(near.alias("n"), _same_line("f", "n"), "left_anti").groupBy("doc_id", "tie").agg(
         F.collect_list("line_no").alias("kept")).toDF("kept_id", "kept_tie", "kept")
-    base = docs.drop("n_lines", "n_dropped")
-    joined = base.withColumn("tie_of_text", F.xxhash64(text_or_empty())).join(
-        kept, F.expr("doc_id <=> kept_id AND tie_of_text <=> kept_tie"), "left")
-    parts = joined.withColumn("own_lines", F.split(text_or_empty(), "\n")).withColumn(
-        "blank", F.transform(F.filter(
-            F.transform("own_lines", lambda x, i: F.when(
-                F.octet_length(F.btrim(x, F.lit(SPACES))) == 0, i).otherwise(-1)), lambda i: i >= 0), lambda i: i))
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    whole = docs.select(  # a row as a struct, so its columns can have any names
+        F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("tie"))
+    joined = whole.join(kept, F.expr("id <=> kept_id AND tie <=> kept_tie"), "left")
+    split = joined.withColumn("own", F.split(F.coalesce("row.text", F.lit("")), "\n")).withColumn(
+        "blank", F.filter(F.transform("own", lambda x, i: F.when(
+            F.octet_length(F.btrim(x, F.lit(SPACES))) == 0, i).otherwise(-1)), lambda i: i >= 0))
     stay = F.array_sort(F.concat("blank", F.coalesce("kept", F.array().cast("array<int>"))))
-    n_lines = F.size("own_lines") - F.size("blank")
+    n_lines = F.size("own") - F.size("blank")
     cut = n_lines - F.coalesce(F.size("kept"), F.lit(0))
-    new_text = F.when(cut == 0, F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get("own_lines", i)), "\n"))
-    return parts.select(
-        *(new_text.alias("text") if c == "text" else base[c] for c in base.columns),
+    text = F.when(cut == 0, F.col("row.text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get("own", i)), "\n"))
+    return split.select(
+        *(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names),
         n_lines.cast("long").alias("n_lines"), cut.cast("long").alias("n_dropped"))

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.llm.common import on_workers, text_or_empty
 
@@ -92,7 +93,6 @@ def _document_counts(sample: DataFrame) -> DataFrame:
 
 def _counted(docs: DataFrame, names: tuple[str, ...], columns: list[str]) -> DataFrame:
     """``columns`` with n_words, marked (words with a known feature), and the known features with their counts."""
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     on_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,8 +122,10 @@ def _counted(docs: DataFrame, names: tuple[str, ...], columns: list[str]) -> Dat
                 pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))],
                 names=[*columns, "n_words", "marked", "at", "counts"])
 
-    return docs.select(*columns, F.col("text").alias("text_to_count")).mapInArrow(
-        run, f"{fields}, n_words bigint, marked bigint, at array<int>, counts array<int>")
+    out = T.StructType([docs.schema[c] for c in columns])
+    out = out.add("n_words", T.LongType()).add("marked", T.LongType())
+    out = out.add("at", T.ArrayType(T.IntegerType())).add("counts", T.ArrayType(T.IntegerType()))
+    return docs.select(*columns, F.col("text").alias("text_to_count")).mapInArrow(run, out)
 
 
 def _grades(toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -205,7 +207,9 @@ def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",))
     rows get the same result and an empty table none.
     """
     counted = _counted(docs, model.features, list(columns))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    out = T.StructType([docs.schema[c] for c in columns])
+    out = out.add("severity", T.DoubleType()).add("p_toxic", T.DoubleType())
+    out = out.add("grade", T.IntegerType()).add("rejected", T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,11 +224,10 @@ def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",))
                 pa.array(p.argmax(1).astype(np.int32)), pa.array(severity >= REJECT_AT)],
                 names=[*columns, "severity", "p_toxic", "grade", "rejected"])
 
-    return counted.select(*columns, "n_words", "at", "counts").mapInArrow(
-        run, f"{fields}, severity double, p_toxic double, grade int, rejected boolean")
+    return counted.select(*columns, "n_words", "at", "counts").mapInArrow(run, out)
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, in one scan."""
-    columns = tuple(docs.columns)
-    return score(docs, model, columns).where(~F.col("rejected")).select(*columns)
+    """The rows of ``docs`` that are not rejected, in one scan; a row travels as a struct, under any column names."""
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return score(rows, model, ("row",)).where(~F.col("rejected")).select("row.*")
