@@ -33,7 +33,7 @@ PARTITION_BYTES = 12 << 20
 # Bits of a rank block.
 BLOCK = 512
 # Entries of the per-worker table of text pieces before it is emptied; bounds memory, not results.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 800_000
 
 
 class WaveletMatrix:
@@ -207,6 +207,8 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 _ODD = regex.compile("[\x1c-\x1f\x85\xa0]")
 
 
+# Stands for a chunk that begins or ends with white space.
+BLANKS_MEET = ""
 # Letters below this code point are classed alike by Python and by the library.
 LATIN_END = "\u0250"
 
@@ -233,7 +235,7 @@ class _Coder:
         self.code = "H" if self.kind is np.uint16 else "I"
         self.model = self.library.model
         self.letters = dict(enumerate(byte_letters()))
-        self.chunks: dict[str, bytes | None] = {}
+        self.chunks: dict[str, bytes | str] = {}
         self.words: dict[str, bytes] = {}
         self.marks = {c: self._word(c) for c in ".,;:!?"}
 
@@ -257,27 +259,31 @@ class _Coder:
             return self._whole(text)
         return b"".join([self._word(w) for w in _PIECES.findall(text)])
 
-    def _learn(self, new: set[str]) -> None:
-        """Adds chunks to the table. Most are a word, or a word and a mark."""
-        words, chunks, marks, blank = self.words, self.chunks, self.marks, self.letters[32]
-        for p in new:
-            word, mark = p, b""
-            if not p.isalpha():
-                word, mark = p[:-1], marks.get(p[-1:])
-                if mark is None or not word.isalpha():
-                    chunks[p] = None if not p or p[0].isspace() or p[-1].isspace() else self._cut(" " + p)
-                    continue
-            got = words.get(" " + word)
-            if got is None:
-                if word.isascii():
-                    got = self._ids(blank + word)
-                elif max(word) < LATIN_END:
-                    got = self._ids((" " + word).encode().decode("latin-1").translate(self.letters))
-                else:
-                    chunks[p] = self._whole(" " + p)
-                    continue
-                words[" " + word] = got
-            chunks[p] = got + mark
+    def _learn(self, chunk: str) -> bytes | str:
+        """Adds a chunk to the table. Most are a word, or a word and a mark."""
+        chunks = self.chunks
+        got = chunks.get(chunk)
+        if got is not None:
+            return got
+        word, mark = chunk, b""
+        if not chunk.isalpha():
+            word, mark = chunk[:-1], self.marks.get(chunk[-1:])
+            if mark is None or not word.isalpha():
+                bad = not chunk or chunk[0].isspace() or chunk[-1].isspace()
+                got = chunks[chunk] = BLANKS_MEET if bad else self._cut(" " + chunk)
+                return got
+            got = chunks.get(word)
+        if got is None:
+            if word.isascii():
+                got = self._ids(self.letters[32] + word)
+            elif max(word) < LATIN_END:
+                got = self._ids((" " + word).encode().decode("latin-1").translate(self.letters))
+            else:
+                got = self._whole(" " + word)
+            chunks[word] = got
+        if mark:
+            got = chunks[chunk] = got + mark
+        return got
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as bytes of ``kind``."""
@@ -286,12 +292,17 @@ class _Coder:
             return self._cut(first)
         if first[-1:].isspace():
             return self._whole(text)
-        if len(self.chunks) >= CACHE_ENTRIES:
-            self.chunks.clear()
-            self.words.clear()
-        self._learn(set(rest).difference(self.chunks))
-        coded = list(map(self.chunks.__getitem__, rest))
-        return self._whole(text) if None in coded else self._cut(first) + b"".join(coded)
+        coded = list(map(self.chunks.get, rest))
+        if None in coded:
+            if len(self.chunks) >= CACHE_ENTRIES:
+                self.chunks.clear()
+                self.words.clear()
+            learn = self._learn
+            coded = [learn(p) if c is None else c for p, c in zip(rest, coded)]
+        try:
+            return self._cut(first) + b"".join(coded)
+        except TypeError:  # BLANKS_MEET is no bytes
+            return self._whole(text)
 
 
 @lru_cache(maxsize=2)
