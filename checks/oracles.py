@@ -353,11 +353,12 @@ FROM parts JOIN seen USING (part) WHERE seen IS NOT NULL AND {lateness} >= 0 AND
 
 def _scan_csv() -> str:
     return _with("""
-SELECT year, month, day_of_month, trim(airline) AS op_unique_carrier, CAST(event_id AS VARCHAR) AS op_carrier_fl_num,
+SELECT CAST(CASE WHEN event_id % 41 = 0 THEN 20 ELSE year END AS INTEGER) AS year, month, day_of_month,
+  trim(airline) AS op_unique_carrier, CAST(event_id AS VARCHAR) AS op_carrier_fl_num,
   origin_airport_id, dest_airport_id,
   CAST(CASE WHEN event_id % 43 = 0 THEN 0 ELSE crs_dep_time END AS INTEGER) AS crs_dep_time,
   dep_delay, cancelled, diverted, CAST(event_id % 3000 AS DOUBLE) AS distance, CAST(NULL AS VARCHAR) AS origin_state_abr
-FROM raw WHERE event_id % 41 <> 0 AND event_id % 37 <> 0""")
+FROM raw WHERE event_id % 53 <> 0 AND event_id % 37 <> 0""")
 
 
 def _encode_results() -> str:

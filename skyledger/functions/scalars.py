@@ -55,12 +55,16 @@ def scheduled_hour(hhmm: Column) -> Column:
 
 
 def replay_time(year: Column, month: Column, day: Column, hhmm: Column) -> Column:
-    """Time the replayer sorts by: hours and minutes overflow into the next ones (2400 is next midnight).
+    """Time the replayer sorts by. Months, days, hours and minutes that are too large run over into the next ones:
+    30 February is 2 March, and 2400 is next midnight.
 
     Null without a full date.
     """
+    zero, one = F.lit(0), F.lit(1)
+    january = F.try_make_timestamp_ntz(year, one, one, zero, zero, zero).cast("date")
+    date = F.date_add(F.add_months(january, (month - 1).cast("int")), (day - 1).cast("int"))
     whole = (year != 0) & (month != 0) & (day != 0)
-    return F.when(whole, _at(_day_number(year, month, day), (hhmm - hhmm % 100) / 100 * 60 + hhmm % 100))
+    return F.when(whole, _at(F.unix_date(date), (hhmm - hhmm % 100) / 100 * 60 + hhmm % 100))
 
 
 def flag_set(flag: Column) -> Column:
@@ -99,13 +103,19 @@ def safe_percent(num: Column, den: Column) -> Column:
 
 
 def format_ms(ms: Column) -> Column:
-    """Epoch milliseconds as UTC text (the session time zone is UTC throughout)."""
-    return F.date_format(F.timestamp_millis(ms), TIMESTAMP_PATTERN)
+    """Epoch milliseconds as UTC text, whatever the session's time zone."""
+    seconds = F.floor(ms / 1000)
+    of_day = F.pmod(seconds, F.lit(86_400))
+    date = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int")).cast("string")
+    return F.when(ms.isNotNull(), F.format_string(
+        "%s %02d:%02d:%02d", date, F.floor(of_day / 3600), F.floor(of_day / 60) % 60, of_day % 60))
 
 
 def parse_ms(text: Column) -> Column:
-    """Epoch milliseconds of UTC text, 0 for null."""
-    return F.coalesce(F.unix_millis(F.to_timestamp(text, TIMESTAMP_PATTERN)), F.lit(0).cast("long"))
+    """Epoch milliseconds of UTC text, 0 for null; no zone of the session plays a part."""
+    at = F.to_timestamp_ntz(text, F.lit(TIMESTAMP_PATTERN))
+    seconds = F.unix_date(at.cast("date")).cast("long") * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return F.coalesce((seconds * 1000).cast("long"), F.lit(0).cast("long"))
 
 
 def window_start_ms(ms: Column, size_ms: int) -> Column:
@@ -131,3 +141,12 @@ def to_double(text: Column) -> Column:
 def to_int(text: Column) -> Column:
     """Integers may be written as decimals: '1830.0' is 1830. The fraction is cut off."""
     return to_double(text).try_cast("int")
+
+
+_NUMBER_PREFIX = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
+
+
+def number_prefix(text: Column) -> Column:
+    """The longest beginning that is a number, null without one: '20x4' gives '20'."""
+    found = F.regexp_extract(text, _NUMBER_PREFIX, 0)
+    return F.when(found != "", found)

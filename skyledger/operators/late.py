@@ -18,21 +18,6 @@ _MINUTES_PER_DAY = 1440
 LATENESS_QUANTILES = (("p50", 0.50), ("p90", 0.90), ("p95", 0.95), ("p99", 0.99))
 
 
-def assign_disorder(event_ms: Column, delayed: Column, delay_minutes: Column) -> Column:
-    """Arrival time: the event time, or some minutes later for the selected rows."""
-    return event_ms + F.when(delayed, delay_minutes.cast("long") * MINUTE_MS).otherwise(F.lit(0))
-
-
-def hash_disorder(key: Column, probability: float, max_delay_minutes: int) -> tuple[Column, Column]:
-    """Which rows arrive late and by how many minutes (1..max), decided by a hash of the row key.
-
-    Unlike a random draw, a recomputed task gets the same answer.
-    """
-    draw = F.pmod(F.xxhash64(key, F.lit("late")), F.lit(1_000_000)) / 1_000_000.0
-    minutes = F.pmod(F.xxhash64(key, F.lit("minutes")), F.lit(max_delay_minutes)) + 1
-    return draw < probability, minutes
-
-
 def arrival_watermarks(flights: DataFrame, event: str = "event_ms", arrival: str = "publish_ms") -> DataFrame:
     """``arrival_minute, seen_ms``: the largest event time that arrived in earlier minutes.
 
@@ -168,14 +153,17 @@ def _lost_pairs(rows: DataFrame, watermarks: DataFrame, window: str, delay: int,
 
 
 def late_rows(
-    rows: DataFrame, watermarks: DataFrame, window: str, delay: int, lateness: int
+    rows: DataFrame, watermarks: DataFrame, window: str, delay: int, lateness: int, work_dir: str
 ) -> DataFrame:
     """The late side output: every lost row, whole, with its window end and lateness.
 
-    The flights meet the few losing (window, minute) pairs, not the whole watermark table.
+    The few losing (window, minute) pairs are written to ``work_dir`` first. Their true size is known then, so the
+    flights meet them without being shuffled while they are few.
     """
     size = F.lit(window_ms(window)).cast("long")
-    lost = _lost_pairs(rows, watermarks, window, delay, lateness).drop("cnt")
+    pairs = _lost_pairs(rows, watermarks, window, delay, lateness).drop("cnt")
+    pairs.write.mode("overwrite").parquet(f"{work_dir}/lost_pairs")
+    lost = rows.sparkSession.read.schema(pairs.schema).parquet(f"{work_dir}/lost_pairs")
     return rows.withColumns({
         "window_end": _window_end(F.col("event_ms"), size),
         "arrival_minute": F.floor(F.col("publish_ms") / MINUTE_MS),

@@ -40,18 +40,13 @@ class JobParams:
 
 @dataclass(frozen=True)
 class StreamSettings:
-    """Where a stream reads, writes and keeps its progress."""
+    """Where a stream reads and writes, and how much a micro-batch takes at most."""
 
-    bootstrap_servers: str = "localhost:9092"
-    input_topic: str = "flights-stream"
+    bootstrap_servers: str
+    input_topic: str
+    output_topics: dict[str, str]
+    default_topic: str
     group_id: str = "skyledger"
-    default_topic: str = "flights-results"
-    output_topics: dict[str, str] = field(default_factory=lambda: {
-        "q1": "flights-q1-results",
-        "q2_1h": "flights-q2-1h-results",
-        "q2_6h": "flights-q2-6h-results",
-        "q2_global": "flights-q2-global-results",
-        "q3_1d": "flights-q3-1d-results",
-        "q3_7d": "flights-q3-7d-results",
-        "q3_global": "flights-q3-global-results",
-    })
+    # Without a limit the first micro-batch of a long topic would be all of it.
+    max_offsets_per_trigger: int = 5_000_000
+    max_files_per_trigger: int = 1000

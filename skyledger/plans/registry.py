@@ -36,14 +36,7 @@ LATE_SETTINGS = ((30, 0), (5, 25), (10, 0), (0, 0))
 FIRST_N = 500
 
 
-def _prepare(spark: SparkSession) -> None:
-    """Settings a foreign session may lack: UTC text, and no fused stage too long for the JVM compiler."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-
-
 def _flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _prepare(spark)
     return flights_from_events(read_events(spark, sf_dir))
 
 
@@ -224,7 +217,7 @@ def late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _flights(spark, sf_dir)
     rows = cleaning.active_flights(cleaning.clean(flights))
-    lost = late.late_rows(rows, _watermarks(flights), "1h", 10, 0)
+    lost = late.late_rows(rows, _watermarks(flights), "1h", 10, 0, scratch_dir(spark, "late_rows"))
     return lost.select("event_id", "event_ms", "publish_ms", "window_end", _stable("lateness_min").alias("lateness_min"))
 
 
@@ -270,11 +263,12 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("event_id")
     rows = _source_rows(spark, sf_dir)
     cells = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in SOURCE_FIELDS}
-    # Integers as decimals, an unreadable year, a blank scheduled time, and short lines.
+    # Integers as decimals, a year with text behind it, an unreadable month, a blank scheduled time, and short lines.
     cells["CRS_DEP_TIME"] = F.when(eid % 43 == 0, F.lit("")).otherwise(
         F.col("CRS_DEP_TIME").cast("double").cast("string")
     )
     cells["YEAR"] = F.when(eid % 41 == 0, F.lit("20x4")).otherwise(F.col("YEAR").cast("string"))
+    cells["MONTH"] = F.when(eid % 53 == 0, F.lit("Jan")).otherwise(F.col("MONTH").cast("string"))
     line = F.when(eid % 37 == 0, F.lit("2024,1,1")).otherwise(F.concat_ws(",", *cells.values()))
     path = scratch_dir(spark, "scan_csv")
     header = ",".join(f" {n.lower()}" if n == "MONTH" else n for n in SOURCE_FIELDS)
@@ -400,7 +394,6 @@ ARRIVAL_CUTS = (8, 16, 24)
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _prepare(spark)
     return flights_from_events(stream_events(spark, sf_dir))
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.functions.scalars import replay_time, to_double, to_int
+from skyledger.functions.scalars import number_prefix, replay_time, to_double, to_int
 from skyledger.schema import FLIGHT_COLUMNS, SOURCE_FIELDS, ZERO_WHEN_BLANK
 
 FILE_GLOB = "*_T_ONTIME_REPORTING.csv"
@@ -22,29 +22,44 @@ def read_ontime_csv(
     """All 27 source columns, typed, malformed rows left out.
 
     Names starting with a dot or an underscore are never read. Columns are found by name; a file may leave
-    some out. Files under one path must share a header (checked, a difference is an error); each path may
-    have its own.
+    some out, and each file may have a header of its own.
     """
     if isinstance(paths, str):
         paths = [paths]
-    return reduce(DataFrame.unionByName, [_read_one(spark, p, file_glob) for p in paths])
+    parts = [part for p in paths for part in _by_header(spark, p, file_glob)]
+    return reduce(DataFrame.unionByName, [_read_one(spark, header, files, file_glob) for header, files in parts])
 
 
-def _read_one(spark: SparkSession, path: str, file_glob: str) -> DataFrame:
-    reader = spark.read.option("pathGlobFilter", file_glob).option("recursiveFileLookup", "true")
-    # Without inference this only looks at the header line.
-    header = reader.option("header", "true").csv(path).columns
-    text = T.StructType([T.StructField(h, T.StringType()) for h in header])
+def _reader(spark: SparkSession, file_glob: str) -> DataFrameReader:
+    return spark.read.option("pathGlobFilter", file_glob).option("recursiveFileLookup", "true")
+
+
+def _by_header(spark: SparkSession, path: str, file_glob: str) -> list[tuple[str, list[str]]]:
+    """(header line, files) under a path; where all files agree, the path stands for them.
+
+    The header is the first line of the split that begins at a file's first byte, read as plain lines.
+    """
+    lines = _reader(spark, file_glob).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    headers = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header")).groupBy("header").agg(
+        F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    if len(headers) == 1:
+        return [(headers[0].header, [path])]
+    return [(r.header, list(r.files)) for r in headers]
+
+
+def _read_one(spark: SparkSession, header: str, files: list[str], file_glob: str) -> DataFrame:
+    # The reader itself takes the names apart, so quoted names are read as in the files.
+    names = spark.read.option("header", "true").csv(spark.sparkContext.parallelize([header], 1)).columns
+    text = T.StructType([T.StructField(h, T.StringType()) for h in names])
     rows = (
-        reader.option("header", "true")
-        # A header that differs from the first one is an error, not a silent shift of columns.
-        .option("enforceSchema", "false")
+        _reader(spark, file_glob).option("header", "true")
         # Rows with too few or too many fields are malformed even when only some columns are read.
         .option("columnPruning", "false")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .schema(T.StructType([*text.fields, T.StructField(_CORRUPT, T.StringType())]))
-        .csv(path)
+        .csv(files)
         .where(F.col(_CORRUPT).isNull())
         .drop(_CORRUPT)
     )
@@ -52,7 +67,10 @@ def _read_one(spark: SparkSession, path: str, file_glob: str) -> DataFrame:
 
 
 def type_source_rows(rows: DataFrame) -> DataFrame:
-    """Typed source columns from text columns; a row with an unreadable non-blank number is dropped."""
+    """Typed source columns from text columns.
+
+    A number is the longest beginning of its text that is one; a row with a text that has none is dropped.
+    """
     by_name = {name.strip().upper(): name for name in rows.columns}
     typed: list[Column] = []
     readable = F.lit(True)
@@ -65,7 +83,8 @@ def type_source_rows(rows: DataFrame) -> DataFrame:
             # The carrier stays an empty text, other texts become null.
             value = text if name == "OP_UNIQUE_CARRIER" else F.when(~blank, text)
         else:
-            parsed = to_int(text) if kind == "int" else to_double(text)
+            number = number_prefix(text)
+            parsed = to_int(number) if kind == "int" else to_double(number)
             value = F.when(blank, F.lit(0)).otherwise(parsed) if name in ZERO_WHEN_BLANK else parsed
             if source:
                 readable = readable & (blank | parsed.isNotNull())

@@ -25,7 +25,8 @@ def kafka_flights(spark: SparkSession, settings: StreamSettings, ingest_from_bro
     """
     messages = (
         spark.readStream.format("kafka").options(**_kafka_options(settings))
-        .option("groupIdPrefix", settings.group_id).load()
+        .option("groupIdPrefix", settings.group_id)
+        .option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger).load()
     )
     stamp = F.unix_millis("timestamp") if ingest_from_broker else None
     return decode_flights(messages, "value", stamp)
@@ -39,19 +40,17 @@ def kafka_flights_bounded(spark: SparkSession, settings: StreamSettings) -> Data
     return decode_flights(messages)
 
 
-def json_file_flights(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+# Files of one micro-batch, unless the caller says otherwise.
+MAX_FILES = 1000
+
+
+def json_file_flights(spark: SparkSession, path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
     """Unbounded flights from a folder of JSON-lines files, oldest file first."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return decode_flights(reader.load(path))
+    return decode_flights(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path))
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int = MAX_FILES
 ) -> DataFrame:
     """Unbounded rows from parquet files with a declared schema."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)

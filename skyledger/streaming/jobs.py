@@ -278,7 +278,7 @@ def _window_step(
     if seen.now is not None:
         due = due | (F.col("window_end") + delay <= seen.now)
     changed = F.col("batch") == batch_id
-    if seen.before is not None:
+    if seen.before is not None and not early:
         changed = changed | (F.col("window_end") + delay > seen.before)
     emitted = state.where(due & changed).select("window_end").distinct()
     ready = state.join(emitted, "window_end", "left_semi")

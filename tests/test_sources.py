@@ -53,11 +53,21 @@ def test_csv_columns_by_name(spark, tmp_path):
     assert got == {"AA": (2025, 1, 2, 1830, 1, 5), "B6": (2025, 1, 2, 700, None, 5)}
 
 
-def test_csv_files_with_another_header_are_an_error(spark, tmp_path):
-    _write(tmp_path / "c", "1_T_ONTIME_REPORTING.csv", [_line()])
-    _write(tmp_path / "c", "2_T_ONTIME_REPORTING.csv", [_line()], ",".join(reversed(NAMES)))
-    with pytest.raises(Exception):
-        read_ontime_csv(spark, str(tmp_path / "c")).collect()
+def test_each_csv_file_has_its_own_header(spark, tmp_path):
+    _write(tmp_path / "c", "1_T_ONTIME_REPORTING.csv", [_line(OP_CARRIER_FL_NUM="1"), _line(OP_CARRIER_FL_NUM="2")])
+    turned = ",".join(reversed(NAMES))
+    _write(tmp_path / "c", "2_T_ONTIME_REPORTING.csv", [
+        ",".join(reversed(_line(OP_CARRIER_FL_NUM="3", YEAR="2024").split(",")))], turned)
+    _write(tmp_path / "c", "3_T_ONTIME_REPORTING.csv", ["2023,3"], '"YEAR",MONTH')
+    rows = read_ontime_csv(spark, str(tmp_path / "c")).collect()
+    assert sorted((r.OP_CARRIER_FL_NUM or "", r.YEAR) for r in rows) == [("", 2023), ("1", 2025), ("2", 2025), ("3", 2024)]
+
+
+def test_csv_numbers_with_text_behind_them(spark, tmp_path):
+    _write(tmp_path / "n", "1_T_ONTIME_REPORTING.csv", [
+        _line(YEAR="20x4", DEP_DELAY="1.5min"), _line(YEAR="x20"), _line(DEP_DELAY="-")])
+    rows = read_ontime_csv(spark, str(tmp_path / "n")).collect()
+    assert [(r.YEAR, r.DEP_DELAY) for r in rows] == [(20, 1.5)]
 
 
 def test_decode_json(spark):

@@ -17,7 +17,8 @@ from skyledger.sources.json_events import encode_source
 from skyledger.sources.streams import json_file_flights, parquet_stream
 from skyledger.streaming import jobs
 from skyledger.streaming.checkpoints import checkpoint_uri, trigger
-from skyledger.streaming.progress import dropped_by_watermark, step_durations
+from skyledger.sinks.result_table import batch_ids
+from skyledger.streaming.progress import step_durations
 from tests.conftest import SF_SMALL
 from tests.helpers import flights
 
@@ -49,9 +50,92 @@ def test_q1_closes_windows_and_drops_late_rows(spark, tmp_path):
     )
     out = jobs.read_stream_results(spark, base, "q1").orderBy("window_start").collect()
     assert [(r.window_start % 86_400_000 // 3_600_000, r.num_flights) for r in out] == [(8, 1), (9, 2)]
-    assert dropped_by_watermark(queries[1]) == 1
-    steps = {r.metric for r in step_durations(spark, queries).collect()}
-    assert "operator_addBatch_ms" in steps
+    late = jobs.late_rows_seen(spark, base).collect()
+    assert [(r.event_ms % 86_400_000 // 60_000, r.lateness_min) for r in late] == [(510, 10.0)]
+    steps = [(r.step, r.metric) for r in step_durations(spark, base).collect()]
+    assert steps.count(("q1", "operator_addBatch_ms")) == 2
+    # The end of the input closes the last window, and a later run goes on from there.
+    queries[1].finish()
+    assert _counts(spark, base, "q1") == [(8, 1), (9, 2), (10, 1)]
+    _feed(spark, base, lambda f: jobs.start_q1(f, base, NO_GRACE), flights(spark, dict(crs_dep_time=1010)))[0].finish()
+    assert _counts(spark, base, "q1") == [(8, 1), (9, 2), (10, 2)]
+
+
+def _counts(spark, path, name):
+    out = jobs.read_stream_results(spark, path, name).orderBy("window_start").collect()
+    return [(r.window_start % 86_400_000 // 3_600_000, r.num_flights) for r in out]
+
+
+def test_a_rejected_or_filtered_row_moves_the_watermark(spark, tmp_path):
+    """The watermark belongs to the source: a cancelled flight of 10:00 closes the hour 08 of a ranking."""
+    base = str(tmp_path)
+    parts = (
+        flights(spark, dict(crs_dep_time=805), dict(crs_dep_time=1000, cancelled=1.0)),
+        flights(spark, dict(crs_dep_time=830), dict(crs_dep_time=1010)),
+    )
+    _feed(spark, f"{base}/q2", lambda f: jobs.start_q2(f, f"{base}/q2", "1h", NO_GRACE), *parts)[-1].finish()
+    _feed(spark, f"{base}/late", lambda f: jobs.start_late_split(f, f"{base}/late", "1h", NO_GRACE), *parts)
+    assert _counts(spark, f"{base}/q2", "q2_1h") == [(8, 1), (10, 1)]
+    lost = spark.read.parquet(f"{base}/late/late").select("event_ms").collect()
+    assert lost == jobs.late_rows_seen(spark, f"{base}/q2").select("event_ms").collect() and len(lost) == 1
+
+
+def test_rankings_and_distributions_are_corrected(spark, tmp_path):
+    """With lateness allowed, a window is emitted when the watermark passes and again after a late row."""
+    params = replace(NO_GRACE, allowed_lateness=24 * 60)
+    parts = (
+        flights(spark, dict(crs_dep_time=805), dict(day_of_month=2, crs_dep_time=10)),
+        flights(spark, dict(crs_dep_time=830, dep_delay=60.0), dict(crs_dep_time=2300)),
+    )
+    for name, run in (
+        ("q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params, sinks=[sink])),
+        ("q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", params, sinks=[sink])),
+    ):
+        emitted = []
+        sink = lambda rows, number: emitted.append((number, rows.agg(F.max("window_start")).first()[0], rows.count()))
+        path = f"{tmp_path}/{name}"
+        _feed(spark, path, lambda f: run(f, path), *parts)
+        assert [number for number, _, _ in emitted] == [0, 4]
+        first = jobs.read_stream_results(spark, path, name).orderBy("window_start").first()
+        assert first[{"q2_1h": "num_flights", "q3_1d": "count"}[name]] == 2
+
+
+def test_rows_counted_and_rows_lost_are_all_rows(spark, tmp_path, log_parts):
+    base = str(tmp_path)
+    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1, top_airports=100)
+    early, late = log_parts
+    mixed = late.where("day_of_month % 5 <> 0"), early.unionByName(late.where("day_of_month % 5 = 0"))
+    _feed(spark, base, lambda f: jobs.start_q2(f, base, "1h", params), *mixed)[-1].finish()
+    counted = jobs.read_stream_results(spark, base, "q2_1h").agg(F.sum("num_flights")).first()[0]
+    lost = jobs.late_rows_seen(spark, base).count()
+    active = clean(early.unionByName(late)).where("NOT is_cancelled AND NOT is_diverted").count()
+    assert lost > 0 and counted + lost == active
+
+
+def test_a_late_row_counts_in_the_next_snapshot(spark, tmp_path):
+    base = str(tmp_path)
+    _feed(
+        spark, base, lambda f: jobs.start_q2_global(f, base, NO_GRACE),
+        flights(spark, dict(crs_dep_time=805), dict(crs_dep_time=1000)),
+        flights(spark, dict(crs_dep_time=830), dict(crs_dep_time=1200)),
+    )[-1].finish()
+    out = jobs.read_stream_results(spark, base, "q2_global").orderBy("window_end").collect()
+    assert [(r.window_end % 86_400_000 // 3_600_000, r.num_flights) for r in out] == [
+        (9, 1), (10, 1), (11, 3), (12, 3), (13, 4)]
+
+
+def test_folders_stay_few_and_counters_add_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 3)
+    base = str(tmp_path)
+    parts = [flights(spark, dict(crs_dep_time=100 * h + 5), dict(crs_dep_time=1275)) for h in range(11)]
+    _feed(spark, base, lambda f: jobs.start_q1(f, base, NO_GRACE), *parts)[-1].finish()
+    assert _counts(spark, base, "q1") == [(h, 1) for h in range(11)]
+    for folder in ("rows", "seen", "state", "counts"):
+        assert len(batch_ids(spark, f"{base}/{folder}")) <= 2
+    assert len(batch_ids(spark, f"{base}/results")) <= 6 and len(batch_ids(spark, f"{base}/durations")) <= 6
+    counts = {r.counter: r["rows"] for r in jobs.counters(spark, base).collect()}
+    assert counts == {"rows_in": 22, "rejected_event_time": 11}
+    assert step_durations(spark, base).where("metric = 'operator_intake_ms'").count() == 11
 
 
 def test_q1_updates_correct_an_early_row(spark, tmp_path):
@@ -60,13 +144,13 @@ def test_q1_updates_correct_an_early_row(spark, tmp_path):
     seen = []
     _feed(
         spark, base,
-        lambda f: jobs.start_q1_updates(f, base, params, sinks=[lambda rows, batch: seen.append((batch, rows.count()))]),
+        lambda f: jobs.start_q1(f, base, params, sinks=[lambda rows, batch: seen.append((batch, rows.count()))], early=True),
         flights(spark, dict(crs_dep_time=805), dict(crs_dep_time=910)),
         flights(spark, dict(crs_dep_time=830, dep_delay=60.0)),
     )
     out = jobs.read_stream_results(spark, base, "q1").orderBy("window_start").collect()
     assert [(r.num_flights, r.dep_delay_mean) for r in out] == [(2, 30.0), (1, 0.0)]
-    assert sum(n for _, n in seen) == 3
+    assert [n for _, n in seen] == [2, 1]
 
 
 def test_latency_samples(spark, tmp_path):
@@ -98,10 +182,9 @@ def log_parts(spark):
 def test_q2_equals_batch(spark, tmp_path, log_parts):
     base = str(tmp_path)
     params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1)
-    _feed(spark, base, lambda f: jobs.start_q2(f, base, "6h", params), *log_parts)
+    _feed(spark, base, lambda f: jobs.start_q2(f, base, "6h", params), *log_parts)[-1].finish()
     cleaned = clean(log_parts[0].unionByName(log_parts[1]))
-    last = cleaned.where("NOT is_cancelled AND NOT is_diverted").agg(F.max("event_ms")).first()[0]
-    want = airports.airport_ranking(cleaned, "6h", params).where(F.col("window_end") <= last)
+    want = airports.airport_ranking(cleaned, "6h", params)
     assert _rows(jobs.read_stream_results(spark, base, "q2_6h").select(*want.columns)) == _rows(want)
 
 
@@ -120,18 +203,14 @@ def test_global_streams_carry_totals_over_a_restart(spark, tmp_path, log_parts):
     params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1)
     cleaned = clean(log_parts[0].unionByName(log_parts[1]))
     q2, q3 = f"{tmp_path}/q2", f"{tmp_path}/q3"
-    _feed(spark, q2, lambda f: jobs.start_q2_global(f, q2, params), *log_parts)
-    got = jobs.read_stream_results(spark, q2, "q2_global")
-    last = got.agg(F.max("window_end")).first()[0]
-    want = airports.airport_since_start(cleaned, params).where(F.col("window_end") <= last)
-    assert last > LOG_START_MS + 28 * 86_400_000
-    assert _rows(got.select(*want.columns)) == _rows(want)
+    _feed(spark, q2, lambda f: jobs.start_q2_global(f, q2, params), *log_parts)[-1].finish()
+    want = airports.airport_since_start(cleaned, params)
+    assert want.agg(F.max("window_end")).first()[0] > LOG_START_MS + 28 * 86_400_000
+    assert _rows(jobs.read_stream_results(spark, q2, "q2_global").select(*want.columns)) == _rows(want)
 
-    _feed(spark, q3, lambda f: jobs.start_q3_global(f, q3, params), *log_parts)
-    got = jobs.read_stream_results(spark, q3, "q3_global")
-    last = got.agg(F.max("window_end")).first()[0]
-    want = delays.delay_since_start(cleaned, params).where(F.col("window_end") <= last)
-    assert _rows(got.select(*want.columns)) == _rows(want)
+    _feed(spark, q3, lambda f: jobs.start_q3_global(f, q3, params), *log_parts)[-1].finish()
+    want = delays.delay_since_start(cleaned, params)
+    assert _rows(jobs.read_stream_results(spark, q3, "q3_global").select(*want.columns)) == _rows(want)
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path, log_parts):
@@ -164,16 +243,13 @@ def test_all_streams_from_json_files(spark, tmp_path):
 
     names = encode.ENCODERS
     started = jobs.start_all(
-        lambda: json_file_flights(spark, f"{tmp_path}/in"), str(tmp_path), NO_GRACE,
-        sinks={n: [keep(n)] for n in names},
-    )
-    assert set(started) == set(names)
-    for query in started.values():
-        query.awaitTermination()
-    assert set(messages) == set(names)
-    cleaned = clean(source)
+        json_file_flights(spark, f"{tmp_path}/in"), str(tmp_path), NO_GRACE, sinks={n: [keep(n)] for n in names})
+    started.finish()
+    assert set(messages) == set(names) == set(jobs.RESULT_NAMES)
     q1 = jobs.read_stream_results(spark, f"{tmp_path}/q1", "q1")
-    assert _rows(q1) == _rows(carrier.carrier_performance(cleaned, NO_GRACE).orderBy("window_start").limit(1))
+    assert _rows(q1) == _rows(carrier.carrier_performance(clean(source), NO_GRACE))
+    assert {r.counter: r["rows"] for r in jobs.counters(spark, str(tmp_path)).collect()} == {"rows_in": 2}
+    assert spark.read.parquet(f"{tmp_path}/latency/samples").count() == 3
 
 
 def test_checkpoint_locations():
