@@ -31,7 +31,7 @@ BANDS, ROWS = 32, 3
 # Signatures of linked documents agree on less than this with a probability under 1e-6.
 LEAST_AGREEMENT = 0.5
 # Shingles in this many of the documents left or more are compared last, the most frequent ones up to a bound.
-FREQUENT, FREQUENT_SHINGLES = 2, 300_000
+FREQUENT, FREQUENT_SHINGLES = 8, 100_000
 # Ids up to this number, 8 bytes each, are broadcast to fetch the texts of candidate documents.
 BROADCAST_IDS = 1_000_000
 # Hash values worked on together; they stay in the processor's cache.
