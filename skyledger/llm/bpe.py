@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import on_workers
+from skyledger.llm.common import give_back_memory, on_workers
 
-# Entries of the per-worker tables before they are emptied; bounds memory, not results.
-CACHE_ENTRIES = 600_000
-PAIR_ENTRIES = 2_000_000
+# Entries of a task's tables before they are emptied; bounds memory, not results.
+CACHE_ENTRIES = 400_000
+PAIR_ENTRIES = 300_000
 # Texts are taken from an Arrow batch in parts of about this many characters.
-PART_CHARS = 8 << 20
+PART_CHARS = 4 << 20
 
 _WORD_END = "\n"  # no byte is written as this character
 # White space as the tokenizer sees it: without the four control characters that Python counts in.
@@ -187,9 +187,9 @@ def chunks_of(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> tuple[WordBpe, dict[str, tuple[bytes, str]]]:
-    """The tokenizer and this worker's table of chunks already coded."""
-    return WordBpe(path), {}
+def load(path: str) -> WordBpe:
+    """The tokenizer, once for each worker."""
+    return WordBpe(path)
 
 
 def _code(texts: list[str], coder: WordBpe, known: dict[str, tuple[bytes, str]]) -> tuple[list[bytes], list[str]]:
@@ -221,7 +221,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     text_at = [f.name for f in kept].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, known = load(path)
+        coder, known = load(path), {}
         for batch in batches:
             for part in _parts(batch, text_at):
                 texts = [t or "" for t in part.column(text_at).to_pylist()]
@@ -231,6 +231,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.ListArray.from_arrays(pa.array(ends), values), pa.array(decoded, pa.string())],
                     names=[*part.schema.names, "ids", "decoded"])
+        give_back_memory(known, coder.pairs)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, f"{fields}, ids array<int>, decoded string")

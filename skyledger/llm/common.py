@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,13 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
 
 
+def give_back_memory(*tables: dict) -> None:
+    """Empties a task's tables; a Python worker lives on, and the next task may be another stage's."""
+    for table in tables:
+        table.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.llm.common import on_workers, text_or_empty
+from skyledger.llm.common import give_back_memory, on_workers, text_or_empty
 
 # Labelled rows the model is fitted on, of each kind at most; picked by a checksum of the id.
 SAMPLE_TOXIC = 2000
@@ -35,8 +35,8 @@ PREFIXES = (4, 5, 6)
 LEAST_Z, LEAST_RATIO = 4.0, 4.0
 SHORT_TEXT = 10
 RIDGE, STEPS, RATE = 0.02, 400, 0.1
-# Entries of a worker's table of words before it is emptied; bounds memory, not results.
-CACHE_WORDS = 600_000
+# Entries of a task's table of words before it is emptied; bounds memory, not results.
+CACHE_WORDS = 300_000
 
 _EDGES = ".,;:!?|\"'()[]{}<>*_-"
 
@@ -121,6 +121,7 @@ def _counted(docs: DataFrame, names: tuple[str, ...], columns: list[str]) -> Dat
                 pa.array(marked, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
                 pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))],
                 names=[*columns, "n_words", "marked", "at", "counts"])
+        give_back_memory(known)
 
     out = T.StructType([docs.schema[c] for c in columns])
     out = out.add("n_words", T.LongType()).add("marked", T.LongType())
