@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.bpe import byte_letters
-from skyledger.llm.common import block_count, give_back_memory, on_workers, text_or_empty
+from skyledger.llm.common import block_count, on_workers, text_or_empty
 from skyledger.session import scratch_dir
 
 # Ids of one shard at most, but for a single longer document.
@@ -32,8 +32,8 @@ BROADCAST_SHARDS = 1_000_000
 PARTITION_BYTES = 12 << 20
 # Bits of a rank block.
 BLOCK = 512
-# Entries of a task's table of text pieces before it is emptied; bounds memory, not results.
-CACHE_ENTRIES = 800_000
+# Entries of a worker's table of text pieces before it is emptied; bounds memory, not results.
+CACHE_ENTRIES = 1_200_000
 
 
 class WaveletMatrix:
@@ -351,7 +351,6 @@ def write_shards(docs: DataFrame, path: str, end_id: int, folder: str | None = N
                 size += len(own)
         if coded:
             yield shard()
-        give_back_memory(coder.chunks, coder.words)
 
     shards = ranges.mapInArrow(
         run, "seq int, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint, matrix binary")
