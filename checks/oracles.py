@@ -98,13 +98,13 @@ _ENTRY = "{'carrier': airline, 'dest': CAST(dest_airport_id AS VARCHAR), 'dep_de
 _BY_DELAY = "dep_delay DESC, airline, CAST(dest_airport_id AS VARCHAR)"
 
 
-def _q2_lists(size: int, src: str = "active") -> str:
+def _q2_lists(size: int, src: str = "active", top: int = 20) -> str:
     return f"""
 SELECT window_start, window_end, origin_airport_id, list({_ENTRY} ORDER BY {_BY_DELAY}) AS flights
 FROM (SELECT *, row_number() OVER (PARTITION BY window_start, origin_airport_id ORDER BY {_BY_DELAY}) AS place
       FROM (SELECT *, {_start('event_ms', size)} AS window_start, {_start('event_ms', size)} + {size} AS window_end
             FROM {src} WHERE dep_delay > 30))
-WHERE place <= 20 GROUP BY ALL"""
+WHERE place <= {top} GROUP BY ALL"""
 
 
 _RANK = (
@@ -114,12 +114,12 @@ _RANK = (
 _LIST_JSON = "CASE WHEN l.flights IS NULL THEN '[]' ELSE CAST(to_json(l.flights) AS VARCHAR) END"
 
 
-def _q2_ctes(label: str, min_flights: int, src: str = "active") -> list[str]:
+def _q2_ctes(label: str, min_flights: int, src: str = "active", airports: int = 10, flights: int = 20) -> list[str]:
     size = _SIZES[label]
     return [
         f"stats AS ({_q2_stats(size, min_flights, src)})",
-        f"lists AS ({_q2_lists(size, src)})",
-        f"ranked AS (SELECT * FROM (SELECT *, {_RANK} AS rank FROM stats) WHERE rank <= 10)",
+        f"lists AS ({_q2_lists(size, src, flights)})",
+        f"ranked AS (SELECT * FROM (SELECT *, {_RANK} AS rank FROM stats) WHERE rank <= {airports})",
         f"""q2 AS (
   SELECT r.window_start, r.window_end, '{label}' AS window_type, r.rank, r.origin_airport_id, r.num_flights,
     r.severe_delays, r.dep_delay_mean, r.dep_delay_max, l.flights, {_LIST_JSON} AS delayed_flights
@@ -133,8 +133,8 @@ _Q2_COLUMNS = (
 )
 
 
-def _q2(label: str, min_flights: int, where: str = "") -> str:
-    return _with(f"SELECT {_Q2_COLUMNS} FROM q2 {where}", *_q2_ctes(label, min_flights))
+def _q2(label: str, min_flights: int, **top: int) -> str:
+    return _with(f"SELECT {_Q2_COLUMNS} FROM q2", *_q2_ctes(label, min_flights, **top))
 
 
 def _q2_global(last: str) -> str:
@@ -165,6 +165,22 @@ def _q2_global(last: str) -> str:
     )
 
 
+# The view with holes: null ids, times and carriers.
+_GAPS = """
+gaps AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 59 <> 0 THEN airline END AS airline, CASE WHEN event_id % 61 <> 0 THEN origin_airport_id END AS origin_airport_id,
+    CASE WHEN event_id % 67 <> 0 THEN dest_airport_id END AS dest_airport_id, CASE WHEN event_id % 71 <> 0 THEN crs_dep_time END AS crs_dep_time,
+    CASE WHEN event_id % 73 <> 0 THEN year END AS year,
+    CASE WHEN event_id % 71 <> 0 AND event_id % 73 <> 0 THEN event_ms END AS event_ms) FROM flights),
+judged AS (
+  SELECT *, CASE
+    WHEN airline IS NULL OR trim(airline) = '' OR origin_airport_id IS NULL OR dest_airport_id IS NULL
+      OR crs_dep_time IS NULL OR year IS NULL THEN 'completeness'
+    WHEN event_ms IS NULL THEN 'event_time'
+    WHEN cancelled = 1.0 AND diverted = 1.0 THEN 'contradiction' END AS reject_rule FROM gaps)"""
+
+
 # --- sketch -------------------------------------------------------------------------------------------
 
 # Accuracy 0.01, cubic interpolation.
@@ -227,6 +243,20 @@ def _q3(label: str, where: str = "") -> str:
     )
 
 
+def _q3_special() -> str:
+    """Delays that are no number do not count; a few are very large."""
+    size = _SIZES["7d"]
+    return _with(
+        _quantiles("bins", _Q3_KEYS, _Q3_PROBS, "'7d' AS window_type,"),
+        _Q3_ACTIVE,
+        f"""windowed AS (
+  SELECT {_start('event_ms', size)} AS window_start, {_start('event_ms', size)} + {size} AS window_end, airline,
+    dep_hour AS hour, dep_delay * CASE WHEN event_id % 47 = 0 THEN 100000 ELSE 1 END AS dep_delay
+  FROM q3_rows WHERE event_id % 13 <> 0)""",
+        _bins("bins", "windowed", _Q3_KEYS, "dep_delay"),
+    )
+
+
 def _q3_global(last: str) -> str:
     return _with(
         _quantiles("bins", _Q3_KEYS, _Q3_PROBS, "'global' AS window_type,"),
@@ -496,6 +526,12 @@ FROM timed WHERE event_id % 23 <> 0 AND event_id % 29 <> 0 AND event_id % 31 <>
     "export_q3": f"""
 SELECT {_text('window_start')} AS ts, airline, hour, count, min, p25, p50, p75, p90, max FROM ({_q3('7d')})""",
     "run_stats": _RUN_STATS,
+    "q2_1h_top3": _q2("1h", 2, airports=3, flights=3),
+    "q2_6h_top3": _q2("6h", 5, airports=3, flights=3),
+    "rejects_with_gaps": _with(
+        "SELECT reject_rule, count(*) AS corrupted_records_total FROM judged WHERE reject_rule IS NOT NULL GROUP BY ALL", _GAPS),
+    "clean_with_gaps": _with("SELECT event_id, event_ms, airline FROM judged WHERE reject_rule IS NULL", _GAPS),
+    "q3_7d_special": _q3_special(),
     # A drained stream ends its input, so every window is in its result.
     "stream_q1_1h": _with(_q1()),
     "stream_q1_lateness": _with(_q1()),

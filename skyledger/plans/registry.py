@@ -194,6 +194,42 @@ def merge_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carrier.finish_carrier(carrier.merge_carrier_partials(hourly, "1d"))
 
 
+# --- cuts and gaps that the log itself does not reach -------------------------------------------------
+
+
+def q2_1h_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = replace(PARAMS_1H, top_airports=3, top_flights=3)
+    return _list_as_json(airports.airport_ranking(_clean(spark, sf_dir), "1h", params))
+
+
+def q2_6h_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = replace(PARAMS_6H, top_airports=3, top_flights=3)
+    return _list_as_json(airports.airport_ranking(_clean(spark, sf_dir), "6h", params))
+
+
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view with null carriers, airports, times and years."""
+    holes = {"airline": 59, "origin_airport_id": 61, "dest_airport_id": 67, "crs_dep_time": 71, "year": 73}
+    return _flights(spark, sf_dir).withColumns({
+        name: F.when(F.col("event_id") % every != 0, F.col(name)) for name, every in holes.items()})
+
+
+def rejects_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.rejects_by_rule(_with_gaps(spark, sf_dir))
+
+
+def clean_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean(_with_gaps(spark, sf_dir)).select("event_id", "event_ms", "airline")
+
+
+def q3_7d_special(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some delays are no number, some very large."""
+    delay = F.when(F.col("event_id") % 13 == 0, F.lit(float("nan"))).when(
+        F.col("event_id") % 47 == 0, F.col("dep_delay") * 100_000).otherwise(F.col("dep_delay"))
+    rows = _flights(spark, sf_dir).withColumn("dep_delay", delay)
+    return _stable_quantiles(delays.delay_distribution(cleaning.clean(rows), "7d", PARAMS), *_QUANTILES)
+
+
 # --- late data and latency ------------------------------------------------------------------------------
 
 
@@ -542,6 +578,7 @@ QUERIES: dict[str, Query] = {
         event_time, clean_flights, rejects_by_rule, active_flights, target_airlines, global_avg_delay,
         round_half_up, safe_math, ts_format_parse,
         q1_1h, q2_airport_stats, q2_top20, q2_1h, q2_6h, q2_global, q3_1d, q3_7d, q3_global,
+        q2_1h_top3, q2_6h_top3, rejects_with_gaps, clean_with_gaps, q3_7d_special,
         ddsketch_quantiles, ddsketch_merge, merge_equivalence, merge_carrier,
         disorder_assign, late_report, late_rows, lateness_stats, ingest_bounds, latency_stats,
         scan_csv, first_n_by_event_time, decode_json,
