@@ -29,7 +29,7 @@ f AS (
   SELECT *, CAST(
     CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END
-    + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
     + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END
     + CASE WHEN 100 * n_bang > 50 * n_words THEN 32 ELSE 0 END AS BIGINT) AS failed
   FROM m)
