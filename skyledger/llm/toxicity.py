@@ -32,7 +32,7 @@ GRADES = 4
 REJECT_AT = 0.5
 PREFIXES = (4, 5, 6)
 # A feature is taken if the log odds of it in toxic documents are this many standard errors and this factor higher.
-LEAST_Z, LEAST_RATIO = 4.0, 4.0
+LEAST_Z, LEAST_RATIO = 3.0, 4.0
 SHORT_TEXT = 10
 RIDGE, STEPS, RATE = 0.02, 400, 0.1
 # Entries of a task's table of words before it is emptied; bounds memory, not results.
