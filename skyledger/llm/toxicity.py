@@ -12,12 +12,11 @@ document and shuffles nothing.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,42 +90,50 @@ def _document_counts(sample: DataFrame) -> DataFrame:
         "feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _counted(docs: DataFrame, names: tuple[str, ...], columns: list[str]) -> DataFrame:
-    """``columns`` with n_words, marked (words with a known feature), and the known features with their counts."""
-    on_workers(docs.sparkSession)
-
+class _Counter:
+    """Counts a model's features in texts; a table of words seen spares most of the work."""
+
+    def __init__(self, names: tuple[str, ...]):
+        self.place = {f: i for i, f in enumerate(names)}
+        self.known: dict[str, tuple[int, ...] | None] = {}
+
+    def count(self, texts: Iterable[str | None]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
+        """Per text its words and those with a feature; then features, their counts, and where each text's end."""
+        known, place = self.known, self.place
+        n_words, marked, at, counts, ends = [], [], [], [], [0]
+        for text in texts:
+            words = (text or "").lower().split()
+            new = set(words).difference(known)
+            if len(known) + len(new) > CACHE_WORDS:
+                known.clear()
+                new = set(words)
+            for w in new:
+                known[w] = tuple(place[f] for f in features_of(w) if f in place) or None
+            hits = [h for h in map(known.__getitem__, words) if h]
+            own = Counter(i for h in hits for i in h)
+            n_words.append(len(words))
+            marked.append(len(hits))
+            at.extend(own.keys())
+            counts.extend(own.values())
+            ends.append(len(at))
+        return n_words, marked, at, counts, ends
+
+
+def _counted(sample: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """(doc_id, toxic, n_words, marked, at, counts) of the sampled documents, without their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {f: i for i, f in enumerate(names)}
-        known: dict[str, tuple[int, ...] | None] = {}
+        counter = _Counter(names)
         for batch in batches:
-            n_words, marked, at, counts, ends = [], [], [], [], [0]
-            for text in batch.column(batch.num_columns - 1):
-                words = (text.as_py() or "").lower().split()
-                new = set(words).difference(known)
-                if len(known) + len(new) > CACHE_WORDS:
-                    known.clear()
-                    new = set(words)
-                for w in new:
-                    known[w] = tuple(place[f] for f in features_of(w) if f in place) or None
-                hits = [h for h in map(known.__getitem__, words) if h]
-                own = Counter(i for h in hits for i in h)
-                n_words.append(len(words))
-                marked.append(len(hits))
-                at.extend(own.keys())
-                counts.extend(own.values())
-                ends.append(len(at))
+            n_words, marked, at, counts, ends = counter.count(x.as_py() for x in batch.column(2))
             ends = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays([
-                *(batch.column(i) for i in range(len(columns))), pa.array(n_words, pa.int64()),
-                pa.array(marked, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
+                batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(marked, pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(at, pa.int32())),
                 pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))],
-                names=[*columns, "n_words", "marked", "at", "counts"])
-        give_back_memory(known)
+                names=["doc_id", "toxic", "n_words", "marked", "at", "counts"])
 
-    out = T.StructType([docs.schema[c] for c in columns])
-    out = out.add("n_words", T.LongType()).add("marked", T.LongType())
-    out = out.add("at", T.ArrayType(T.IntegerType())).add("counts", T.ArrayType(T.IntegerType()))
-    return docs.select(*columns, F.col("text").alias("text_to_count")).mapInArrow(run, out)
+    return sample.select("doc_id", "toxic", "text").mapInArrow(
+        run, "doc_id bigint, toxic boolean, n_words bigint, marked bigint, at array<int>, counts array<int>")
 
 
 def _grades(toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -191,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     names = tuple(sorted(r[0] for r in chosen.select("feature").collect()))
     if not names:
         return nothing
-    rows = sorted(_counted(sample, names, ["doc_id", "toxic"]).collect(), key=lambda r: r.doc_id)
+    rows = sorted(_counted(sample, names).collect(), key=lambda r: r.doc_id)
     toxic = np.array([r.toxic for r in rows])
     share = np.array([r.marked / max(1, r.n_words) for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r.at) for r in rows])
@@ -201,22 +208,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(names, weights, thresholds)
 
 
-def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of ``docs`` with severity (expected grade), p_toxic, grade (likeliest) and rejected.
-
-    Null and empty texts have no feature and get the model's lowest score. Rows are scored one by one, so repeated
-    rows get the same result and an empty table none.
-    """
-    counted = _counted(docs, model.features, list(columns))
-    out = T.StructType([docs.schema[c] for c in columns])
+def _scored(
+    rows: DataFrame, model: Model, columns: Sequence[str], texts_of: Callable[[pa.RecordBatch], pa.Array]
+) -> DataFrame:
+    on_workers(rows.sparkSession)
+    out = T.StructType([rows.schema[c] for c in columns])
     out = out.add("severity", T.DoubleType()).add("p_toxic", T.DoubleType())
     out = out.add("grade", T.IntegerType()).add("rejected", T.BooleanType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter(model.features)
         for batch in batches:
-            n_words, at, counts = (batch.column(len(columns) + i) for i in range(3))
-            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(at).to_numpy())
-            used = model.weights[at.flatten().to_numpy()] * _rates(counts.flatten().to_numpy(), n_words.to_numpy()[row])
+            n_words, _, at, counts, ends = counter.count(x.as_py() for x in texts_of(batch))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            rates = _rates(np.array(counts, np.float64), np.array(n_words, np.float64)[row])
+            used = model.weights[np.array(at, np.int64)] * rates
             above = model.above(np.bincount(row, used, minlength=batch.num_rows))
             p = -np.diff(np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], 1), axis=1)
             severity = above.sum(1)
@@ -224,11 +230,23 @@ def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",))
                 *(batch.column(i) for i in range(len(columns))), pa.array(severity), pa.array(above[:, 0]),
                 pa.array(p.argmax(1).astype(np.int32)), pa.array(severity >= REJECT_AT)],
                 names=[*columns, "severity", "p_toxic", "grade", "rejected"])
+        give_back_memory(counter.known)
 
-    return counted.select(*columns, "n_words", "at", "counts").mapInArrow(run, out)
+    return rows.mapInArrow(run, out)
+
+
+def score(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``columns`` of ``docs`` with severity (expected grade), p_toxic, grade (likeliest) and rejected.
+
+    Null and empty texts have no feature and get the model's lowest score. Rows are scored one by one, so repeated
+    rows get the same result and an empty table none.
+    """
+    rows = docs.select(*columns, F.col("text").alias("text_to_score"))
+    return _scored(rows, model, columns, lambda batch: batch.column(batch.num_columns - 1))
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not rejected, in one scan; a row travels as a struct, under any column names."""
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return score(rows, model, ("row",)).where(~F.col("rejected")).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"))
+    return _scored(rows, model, ("row",), lambda batch: batch.column(0).field("text")).where(
+        ~F.col("rejected")).select("row.*")
