@@ -5,10 +5,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators import airports, carrier, delays
 from skyledger.operators.clean import clean
-from skyledger.params import JobParams
+from skyledger.params import HOUR_MS, JobParams
 
 _NARROW = (
     "airline", "origin_airport_id", "dest_airport_id", "dep_delay", "is_cancelled", "is_diverted", "dep_hour", "event_ts",
@@ -47,11 +48,14 @@ def run_batch(
         "delay_bins": (delays.delay_bins(cleaned, params, "1d"), work_dir),
     })
     partials, lists, bins = first["airport_partials"], first["worst_flights"], first["delay_bins"]
+    span = partials.agg((F.max("window_end") - F.min("window_end")).alias("ms")).first().ms
+    intervals = (span or 0) // HOUR_MS + 1
     hourly = airports.rank_airports(airports.airport_stats(partials, params.min_flights), params.top_airports)
     second = write_all({
         "q2_1h": (airports.airport_result(hourly, lists, "1h"), out_dir),
         "q2_6h": (airports.airport_ranking_from_partials(partials, lists, "6h", params), out_dir),
-        "q2_global": (airports.airport_snapshots(partials, lists, params, start_ms=start_ms), out_dir),
+        "q2_global": (airports.airport_snapshots(
+            partials, lists, params, start_ms=start_ms, intervals=intervals), out_dir),
         "q3_1d": (delays.finish_delays(bins, "1d", params), out_dir),
         "q3_7d": (delays.finish_delays(delays.merge_delay_bins(bins, "7d"), "7d", params), out_dir),
         "q3_global": (delays.delay_snapshots(bins, params, start_ms=start_ms), out_dir),
