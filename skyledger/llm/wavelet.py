@@ -21,15 +21,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.bpe import byte_letters
-from skyledger.llm.common import block_count, on_workers, text_or_empty
+from skyledger.llm.common import on_workers, text_or_empty
 from skyledger.session import scratch_dir
 
 # Ids of one shard at most, but for a single longer document.
 SHARD_IDS = 1 << 20
 # Starts of shards, some 16 bytes each, are broadcast up to this number.
 BROADCAST_SHARDS = 1_000_000
-# Raw text of one range partition; it makes a few shards.
-PARTITION_BYTES = 12 << 20
+MIN_RANGES = 8
 # Bits of a rank block.
 BLOCK = 512
 # Entries of a worker's table of text pieces before it is emptied; bounds memory, not results.
@@ -209,6 +208,8 @@ _ODD = regex.compile("[\x1c-\x1f\x85\xa0]")
 
 # Stands for a chunk that begins or ends with white space.
 BLANKS_MEET = ""
+# Words that the model codes in one call.
+GROUP = 24
 # Letters below this code point are classed alike by Python and by the library.
 LATIN_END = "\u0250"
 
@@ -234,6 +235,21 @@ class _Coder:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
         self.model = self.library.model
+        # The tables below do its work; small words fill it and long groups do not fit.
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        blank = byte_letters()[32]
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
+
+        def after_letter(token: str) -> bool:
+            text = bytes(byte_of[c] for c in token).decode(errors="replace")
+            return any(b == " " and (a.isalpha() or a == "\ufffd") for a, b in zip(text, text[1:]))
+
+        self.joinable = not any(after_letter(t) for t in vocabulary if blank in t[1:])
+        self.starts = [False] * size
+        for t, i in vocabulary.items():
+            self.starts[i] = t.startswith(blank)
         self.letters = dict(enumerate(byte_letters()))
         self.chunks: dict[str, bytes | str] = {}
         self.words: dict[str, bytes] = {}
@@ -259,31 +275,46 @@ class _Coder:
             return self._whole(text)
         return b"".join([self._word(w) for w in _PIECES.findall(text)])
 
-    def _learn(self, chunk: str) -> bytes | str:
-        """Adds a chunk to the table. Most are a word, or a word and a mark."""
-        chunks = self.chunks
-        got = chunks.get(chunk)
-        if got is not None:
-            return got
-        word, mark = chunk, b""
-        if not chunk.isalpha():
-            word, mark = chunk[:-1], self.marks.get(chunk[-1:])
-            if mark is None or not word.isalpha():
-                bad = not chunk or chunk[0].isspace() or chunk[-1].isspace()
-                got = chunks[chunk] = BLANKS_MEET if bad else self._cut(" " + chunk)
-                return got
-            got = chunks.get(word)
-        if got is None:
+    def _learn(self, new: set[str]) -> None:
+        """Adds chunks to the table. Most are a word, or a word and a mark; the words are coded in groups."""
+        chunks, marks = self.chunks, self.marks
+        marked, letters = [], {}
+        for chunk in new:
+            word, mark = chunk, b""
+            if not chunk.isalpha():
+                word, mark = chunk[:-1], marks.get(chunk[-1:])
+                if mark is None or not word.isalpha():
+                    bad = not chunk or chunk[0].isspace() or chunk[-1].isspace()
+                    chunks[chunk] = BLANKS_MEET if bad else self._cut(" " + chunk)
+                    continue
+                marked.append((chunk, word, mark))
+            if word in chunks:
+                continue
             if word.isascii():
-                got = self._ids(self.letters[32] + word)
+                letters[word] = self.letters[32] + word
             elif max(word) < LATIN_END:
-                got = self._ids((" " + word).encode().decode("latin-1").translate(self.letters))
+                letters[word] = (" " + word).encode().decode("latin-1").translate(self.letters)
             else:
-                got = self._whole(" " + word)
-            chunks[word] = got
-        if mark:
-            got = chunks[chunk] = got + mark
-        return got
+                chunks[word] = self._whole(" " + word)
+        words = list(letters)
+        for i in range(0, len(words), GROUP):
+            group = words[i:i + GROUP]
+            for word, ids in zip(group, self._group([letters[w] for w in group])):
+                chunks[word] = ids
+        for chunk, word, mark in marked:
+            chunks[chunk] = chunks[word] + mark
+
+    def _group(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are a blank and letters. Where no token holds a blank behind a letter, such words do not
+        merge with the one before, and each begins with a token that begins with a blank."""
+        if not self.joinable:
+            return [self._ids(w) for w in words]
+        ids = [t.id for t in self.model.tokenize("".join(words))]
+        starts = self.starts
+        at = [i for i, t in enumerate(ids) if starts[t]]
+        size = self.kind().itemsize
+        raw = array(self.code, ids).tobytes()
+        return [raw[size * a:size * b] for a, b in zip(at, [*at[1:], len(ids)])]
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as bytes of ``kind``."""
@@ -297,8 +328,9 @@ class _Coder:
             if len(self.chunks) >= CACHE_ENTRIES:
                 self.chunks.clear()
                 self.words.clear()
-            learn = self._learn
-            coded = [learn(p) if c is None else c for p, c in zip(rest, coded)]
+                coded = [None] * len(rest)
+            self._learn({p for p, c in zip(rest, coded) if c is None})
+            coded = map(self.chunks.__getitem__, rest)
         try:
             return self._cut(first) + b"".join(coded)
         except TypeError:  # BLANKS_MEET is no bytes
@@ -321,8 +353,9 @@ def write_shards(docs: DataFrame, path: str, end_id: int, folder: str | None = N
     on_workers(spark)
     folder = folder or scratch_dir(spark, "tokens")
     text = docs.select("doc_id", text_or_empty().alias("text"))
+    # As many ranges as the input has splits; a task cuts its range into shards, so their size does not depend on it.
     ranges = text.withColumn("tie", F.xxhash64("text")).repartitionByRange(
-        block_count(text, PARTITION_BYTES), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+        max(MIN_RANGES, text.rdd.getNumPartitions()), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)

@@ -98,7 +98,7 @@ def test_byte_coder_equals_library():
 
 
 def test_shards_round_trip(spark, messy, empty, monkeypatch):
-    monkeypatch.setattr(wavelet, "PARTITION_BYTES", 20000)
+    monkeypatch.setattr(wavelet, "MIN_RANGES", 5)
     library = Tokenizer.from_file(BYTE)
     folder = wavelet.write_shards(messy, BYTE, 2)
     rows = wavelet.read_documents(spark, folder).collect()
