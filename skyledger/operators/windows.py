@@ -80,6 +80,3 @@ def repeat_to(df: DataFrame, until: Column, interval_ms: int, name: str) -> Data
     each = strides.withColumn(
         "step", F.explode(F.sequence(begin, F.least(begin + _STRIDE - 1, F.col("steps_left")))))
     return each.withColumn(name, F.col("window_end") + F.col("step") * interval_ms).drop("steps_left", "stride", "step")
-
-
-WINDOW_SIZES = {label: (label, window_ms(label)) for label in ("1h", "6h", "1d", "7d")}

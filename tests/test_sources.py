@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from skyledger.schema import FLIGHT_SOURCE_SCHEMA, SOURCE_FIELDS
