@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +53,14 @@ def write_messages(results: DataFrame, query: str, settings: StreamSettings) ->
     )
 
 
+def message_sinks(settings: StreamSettings) -> dict[str, list[Callable[[DataFrame, int], None]]]:
+    """Sinks for the whole streaming job: each result goes to its own topic. A replayed batch sends its rows again."""
+    return {
+        query: [lambda rows, _, query=query: write_messages(rows, query, settings)]
+        for query in ENCODERS if query in settings.output_topics
+    }
+
+
 def as_plain_text(df: DataFrame, column: str) -> DataFrame:
     """One unkeyed text value per row, for the default destination or a text file."""
     return df.select(F.col(column).cast("string").alias("value"))

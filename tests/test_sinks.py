@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import airports, carrier, delays
 from skyledger.operators.clean import clean
-from skyledger.params import JobParams
+from skyledger.params import JobParams, StreamSettings
 from skyledger.schema import Q1_RESULT, Q2_RESULT
 from skyledger.sinks import decode, encode, export, result_table
 from skyledger.streaming.jobs import RESULT_NAMES
@@ -134,3 +134,8 @@ def test_first_batch_schema(spark, tmp_path):
     q1 = carrier.carrier_performance(clean(flights(spark, {})))
     result_table.write_batch(q1, str(tmp_path / "q1"), 0)
     assert result_table.read_history(spark, str(tmp_path / "q1"), Q1_RESULT).columns == [*Q1_RESULT.names, "batch_id"]
+
+
+def test_message_sinks_follow_the_topics():
+    settings = StreamSettings("broker:1", "in", {"q1": "a", "q3_7d": "b"}, "rest")
+    assert set(encode.message_sinks(settings)) == {"q1", "q3_7d"}
