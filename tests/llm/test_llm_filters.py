@@ -2,12 +2,13 @@
 
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from llm_texts import prose
-from skyledger.llm import decontaminate, pii, rules, sharding, toxicity
+from skyledger.llm import decontaminate, pii, queries, rules, sharding, toxicity
 
 
 def test_rules_on_messy_rows(messy, empty):
@@ -106,6 +107,24 @@ def test_shards_are_even_and_gapless(spark, messy, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_shard_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.QUERIES["op3_virtual_slots"](spark, sf).collect()
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == {d: (len(t) + 1, zlib.crc32(t)) for d, t in texts.items()}
+    places = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(16)}
+    assert all(own == list(range(len(own))) for own in places.values())
+    # The same greedy map, slot by slot from the largest down.
+    slots = {}
+    for r in rows:
+        slots[r.virtual_slot] = slots.get(r.virtual_slot, 0) + r["size"]
+    load, owner = [0] * 16, {}
+    for slot, size in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
+        owner[slot] = load.index(min(load))
+        load[owner[slot]] += size
+    assert all(owner[r.virtual_slot] == r.shard for r in rows)
+
+
 def test_new_shard_takes_slots_only_into_itself(spark):
     docs = sharding.with_slot(spark.range(20000).select(F.col("id").alias("doc_id"), F.lit(10).cast("long").alias("size")))
     first = sharding.first_map(sharding.slot_stats(docs), 4)
