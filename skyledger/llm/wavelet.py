@@ -32,7 +32,7 @@ MIN_RANGES = 8
 # Bits of a rank block.
 BLOCK = 512
 # Entries of a worker's table of text pieces before it is emptied; bounds memory, not results.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 800_000
 
 
 class WaveletMatrix:
@@ -235,9 +235,6 @@ class _Coder:
         self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
         self.model = self.library.model
-        # The tables below do its work; small words fill it and long groups do not fit.
-        if hasattr(self.model, "_resize_cache"):
-            self.model._resize_cache(0)
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         blank = byte_letters()[32]
         byte_of = {c: b for b, c in enumerate(byte_letters())}
@@ -328,9 +325,10 @@ class _Coder:
             if len(self.chunks) >= CACHE_ENTRIES:
                 self.chunks.clear()
                 self.words.clear()
-                coded = [None] * len(rest)
-            self._learn({p for p, c in zip(rest, coded) if c is None})
-            coded = map(self.chunks.__getitem__, rest)
+            new = [i for i, c in enumerate(coded) if c is None]
+            self._learn({rest[i] for i in new})
+            for i in new:
+                coded[i] = self.chunks[rest[i]]
         try:
             return self._cut(first) + b"".join(coded)
         except TypeError:  # BLANKS_MEET is no bytes
