@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and with them the documents that had lines and keep none."""
-    cut = lines.dedup_lines(docs).where("n_lines = 0 OR n_dropped < n_lines")
+    cut = lines.dedup_lines(docs, lines.MAX_WORDS, lines.SHARE).where("n_lines = 0 OR n_dropped < n_lines")
     return _with_length(cut).select(*docs.columns)
 
 

@@ -1,4 +1,4 @@
-"""Line deduplication: a line goes if an earlier one is equal or within one edit.
+"""Line deduplication: a line goes if an earlier one is equal, within one edit, or the same but for a few words.
 
 Equal lines are found by a 128-bit checksum. For the others a line's deletion neighbourhood (the line without one of its
 characters, for each place) is hashed; two lines are one edit apart if they are equal without the same place, or if one
@@ -8,12 +8,21 @@ lines meet, without a sixteenth of that half, and only where they meet again wit
 in one half and in one sixteenth of it, so no pair is lost on the way. Groups are joined by their earliest member, never
 pairwise, and every pair is verified by its edit distance before a line goes.
 
+Lines are near by words if they are equal without at most ``max_words`` words each, taken out at the same places, and
+what is taken out is at most ``share`` of either line's characters: a bound of words dropped, added or changed, relative
+to the line. What is left is cut into ``max_words + 1`` parts, and one of them holds none of the places, so lines that
+are near share the key of a part. Where few lines share a key, each two are compared; where many do, the places are
+narrowed down as above, and at single places all lines of a key are near, so the earliest stands for the others. A word
+goes up to the next one's start, and a character of a script without blanks is a word. ``max_words = 0`` leaves this out.
+
 Order is (doc_id, checksum of the text, line number), nulls first. Lines are compared without white space at their
-ends. Lines of fewer than ``MIN_CHARS`` characters go only if equal; lines without a character but white space stay.
+ends. Lines of fewer than ``MIN_CHARS`` characters go only if equal, lines of fewer than ``2 * max_words + 1`` words are
+not compared by words; lines without a character but white space stay.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +33,22 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import on_workers, text_or_empty, written
 
-MAX_EDITS = 1
 MIN_CHARS = 20
+# Words and share of a line's characters that may differ, in the registered query and the pipeline.
+MAX_WORDS = 2
+SHARE = 0.1
 # Characters hashed together, but for a single longer text.
 PART_CHARS = 1 << 20
 # Parts of a half in the second step.
 FINE = 16
+# At most so many parts of a stretch of words in a step, of so many words at least.
+WORD_FINE = 8
+WORD_LAST = 4
+# Lines of a key up to this number are compared each with each; keys of more lines are narrowed down.
+PAIR_LINES = 16
+# Bits for the keys that two lines share, 16 a key up to 32 MB; rows whose bit is not set are not shuffled again.
+MAX_BITS = 28
+CHUNK_BITS = 15
 # Keys a task gathers before it passes them on.
 ROWS_OUT = 100_000
 # Lines up to this number, some 30 bytes each, are broadcast to fetch their texts.
@@ -37,6 +56,10 @@ BROADCAST_LINES = 1_000_000
 
 SPACES = " \t\x0b\f\r"
 LINE = ["doc_id", "tie", "line_no"]
+LINE_TYPES = "doc_id bigint, tie bigint, line_no int"
+# From here on (radicals, CJK, kana, Hangul, ...) a character is a word.
+NO_BLANKS = 0x2E80
+CHAR_KEYS = 4
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -49,6 +72,7 @@ class Hashes:
     def __init__(self, text: str):
         chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
         n = len(chars)
+        self.chars = chars
         mixed = (chars + np.uint64(1)) * _MIX[0]
         mixed ^= mixed >> np.uint64(31)
         mixed *= _MIX[1]
@@ -67,6 +91,18 @@ class Hashes:
         second = (self.sums[end] - self.sums[upto]) * self.back[begin] * self.back[np.asarray(upto) - hole]
         return first + second
 
+    def of(self, begin, end) -> np.ndarray:
+        return (self.sums[end] - self.sums[begin]) * self.back[begin]
+
+    def words(self) -> np.ndarray:
+        """Where words start, and the text's length; the text begins with a word and ends with a blank."""
+        blank = (self.chars == 32) | (self.chars - np.uint64(9) <= 4)
+        alone = self.chars >= NO_BLANKS
+        start = ~blank & alone
+        start[1:] |= ~blank[1:] & (blank | alone)[:-1]
+        start[:1] = True
+        return np.append(np.flatnonzero(start), len(self.chars))
+
 
 def _key(hashed: np.ndarray, length, kind: int, at) -> np.ndarray:
     """Key of a line without a hole; lines meet only for one target length, step and place."""
@@ -90,9 +126,31 @@ def _half_keys(h: Hashes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.stack(keys, 1)
 
 
-def _scan(texts: list[str]) -> tuple[list[int], list[int], list[bytes], np.ndarray]:
-    """Per line that is not blank: index of its text, line number, checksum, half keys (zero for short lines)."""
-    owner, number, digest, begins, ends = [], [], [], [], []
+def _parts(max_words: int) -> list[tuple[int, int, int]]:
+    """(part, taken, before): a part of what is left, words taken out of the line, and how many of them before the part."""
+    return [(part, taken, before) for part in range(max_words + 1) for taken in range(max_words + 1)
+            for before in range(taken + 1)
+            if (part > 0 or before == 0) and (part < max_words or before == taken)] if max_words else []
+
+
+def _part_keys(h: Hashes, begin: np.ndarray, end: np.ndarray, max_words: int) -> np.ndarray:
+    """A key for each of ``_parts`` per line (zero for lines of too few words)."""
+    words = h.words()
+    first = np.searchsorted(words, begin)
+    n = np.searchsorted(words, end) - first
+    enough = n > 2 * max_words
+    first, n = first[enough], n[enough]
+    keys = np.zeros((len(begin), len(_parts(max_words))), np.int64)
+    for i, (part, taken, before) in enumerate(_parts(max_words)):
+        left = n - taken
+        a, b = (words[first + (p * left // (max_words + 1)) + before] for p in (part, part + 1))
+        keys[enough, i] = _key(h.of(a, b), left, 5, part)
+    return keys
+
+
+def _scan(texts: list[str], max_words: int) -> tuple[list[int], list[int], list[bytes], np.ndarray]:
+    """Per line that is not blank: index of its text, line number, checksum, keys (zero for short lines)."""
+    owner, number, digest, begins, ends, owns = [], [], [], [], [], []
     at = 0
     for i, text in enumerate(texts):
         for j, line in enumerate(text.split("\n")):
@@ -101,15 +159,18 @@ def _scan(texts: list[str]) -> tuple[list[int], list[int], list[bytes], np.ndarr
                 owner.append(i)
                 number.append(j)
                 digest.append(xxhash.xxh3_128_digest(own.encode()))
-                begin = at + len(line) - len(line.lstrip(SPACES))
-                begins.append(begin)
-                ends.append(begin + len(own))
-            at += len(line) + 1
+                begins.append(at)
+                ends.append(at + len(own))
+                owns.append(own)
+                at += len(own) + 1
     begin, end = np.array(begins, np.int64), np.array(ends, np.int64)
-    keys = np.zeros((len(begins), 4), np.int64)
+    keys = np.zeros((len(begins), CHAR_KEYS + len(_parts(max_words))), np.int64)
     long = np.flatnonzero(end - begin >= MIN_CHARS)
     if len(long):
-        keys[long] = _half_keys(Hashes("\n".join(texts)), begin[long], end[long])
+        h = Hashes(" ".join(owns) + " ")
+        keys[long, :CHAR_KEYS] = _half_keys(h, begin[long], end[long])
+        if max_words:
+            keys[long, CHAR_KEYS:] = _part_keys(h, begin[long], end[long], max_words)
     return owner, number, digest, keys
 
 
@@ -118,7 +179,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
-def first_lines(docs: DataFrame) -> DataFrame:
+def first_lines(docs: DataFrame, max_words: int = 0) -> DataFrame:
     """(doc_id, tie, line_no, keys): the earliest of each set of equal lines."""
     on_workers(docs.sparkSession)
 
@@ -130,17 +191,17 @@ def first_lines(docs: DataFrame) -> DataFrame:
                 base = sizes[begin - 1] if begin else 0
                 stop = max(begin + 1, int(np.searchsorted(sizes, base + PART_CHARS, side="right")))
                 part = batch.slice(begin, stop - begin)
-                owner, number, digest, keys = _scan(part.column(2).to_pylist())
+                owner, number, digest, keys = _scan(part.column(2).to_pylist(), max_words)
                 own = pa.array(owner, pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(own), part.column(1).take(own), pa.array(number, pa.int32()),
                     pa.array(digest, pa.binary()),
                     pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(owner) + 1, dtype=np.int32) * 4), pa.array(keys.reshape(-1)))],
+                        pa.array(np.arange(len(owner) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))],
                     names=[*LINE, "digest", "keys"])
                 begin = stop
 
-    lines = _rows(docs).mapInArrow(run, "doc_id bigint, tie bigint, line_no int, digest binary, keys array<bigint>")
+    lines = _rows(docs).mapInArrow(run, f"{LINE_TYPES}, digest binary, keys array<bigint>")
     # All copies of a line have the same keys, so the copy that the minimum picks does not matter for them.
     firsts = lines.groupBy("digest").agg(F.min(F.struct(*LINE, "keys")).alias("f"))
     return firsts.select(*(F.col(f"f.{c}").alias(c) for c in [*LINE, "keys"]))
@@ -166,13 +227,14 @@ def _codes_of(rows: DataFrame) -> DataFrame:
 def _with_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``lines`` with the line's ``text``, white space at its ends removed."""
     few = lines.count() <= BROADCAST_LINES
-    wanted = lines.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("line_no", "codes")).alias("wanted"))
+    more = [c for c in lines.columns if c not in LINE]
+    wanted = lines.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("line_no", *more)).alias("wanted"))
     rows = _rows(docs).dropDuplicates(["doc_id", "tie"]) if not few else _rows(docs)
     joined = rows.alias("d").join(
         (F.broadcast(wanted) if few else wanted).alias("w"), F.expr("d.doc_id <=> w.doc_id AND d.tie <=> w.tie"))
     each = joined.select("d.doc_id", "d.tie", F.split("text", "\n").alias("own"), F.explode("wanted").alias("w"))
     return each.select(
-        "doc_id", "tie", F.col("w.line_no").alias("line_no"), F.col("w.codes").alias("codes"),
+        "doc_id", "tie", F.col("w.line_no").alias("line_no"), *(F.col(f"w.{c}").alias(c) for c in more),
         F.btrim(F.get("own", F.col("w.line_no")), F.lit(SPACES)).alias("text")).dropDuplicates(LINE)
 
 
@@ -235,14 +297,11 @@ def _emit(lines: DataFrame, step: int) -> DataFrame:
                     found, rows = [], 0
 
     return lines.select(*LINE, "text", "codes").mapInArrow(
-        run, "doc_id bigint, tie bigint, line_no int, key bigint, code int, longer boolean")
+        run, f"{LINE_TYPES}, key bigint, code int, longer boolean")
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one."""
-    exploded = firsts.select(*LINE, F.posexplode("keys").alias("code", "key")).where("key <> 0")
-    halves = exploded.select(*LINE, "key", "code", (F.col("code") > 1).alias("longer"))
-    texts = written(_with_texts(docs, written(_codes_of(halves), "line-codes")), "line-texts")
+def _one_edit_lines(texts: DataFrame) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines among ``texts`` that are one edit from an earlier one."""
     finer = _codes_of(_emit(texts, 2))
     left = written(texts.drop("codes").alias("t").join(finer.alias("f"), _same_line("t", "f")).select(
         *(f"t.{c}" for c in LINE), "text", "codes"), "line-parts")
@@ -257,19 +316,271 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
             F.col("least_longer")).alias("earlier")).where("earlier < line").distinct()
     text = left.select(F.struct(*LINE).alias("id"), "text")
     checked = pairs.join(text.toDF("line", "x"), "line").join(text.toDF("earlier", "y"), "earlier").where(
-        F.levenshtein("x", "y", MAX_EDITS) >= 0)
+        F.levenshtein("x", "y", 1) >= 0)
     return checked.select("line.*").distinct()
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def _spots(code: int, step: int, n: int, max_words: int) -> Iterator[tuple[int, tuple[int, ...], list[tuple[int, int]]]]:
+    """(code, mask, ranges) that a code stands for in a line of ``n`` words.
+
+    The mask tells at which places this line has a word that is taken out; the ranges tell where the places can be, in
+    words of what is left, in ascending order. A code of step 0 is an index of ``_parts``; each later step adds a digit.
+    """
+    digits = []
+    for _ in range(step):
+        code, digit = divmod(code, WORD_FINE ** max_words)
+        digits.append(digit)
+    which = None
+    if step:
+        code, which = divmod(code, (max_words + 1) << max_words)
+    part, taken, before = _parts(max_words)[code]
+    left = n - taken
+    low, high = (p * left // (max_words + 1) for p in (part, part + 1))
+    for i, (ahead, mask) in enumerate(itertools.product(range(max_words + 1), itertools.product((0, 1), repeat=max_words))):
+        if (which is None or which == i) and sum(mask) == taken and sum(mask[:ahead]) == before and (
+                (part > 0 or ahead == 0) and (part < max_words or ahead == max_words)):
+            stem = code * ((max_words + 1) << max_words) + i
+            ranges = [(0, low)] * ahead + [(high, left)] * (max_words - ahead)
+            for digit in reversed(digits):
+                stem = stem * WORD_FINE ** max_words + digit
+                at = [digit // WORD_FINE ** (max_words - 1 - j) % WORD_FINE for j in range(max_words)]
+                ranges = [(int(cut[d]), int(cut[d + 1])) for cut, d in zip(map(_word_cut, ranges), at)]
+            yield stem, mask, ranges
+
+
+def _word_cut(place: tuple[int, int]) -> np.ndarray:
+    low, high = place
+    parts = min(WORD_FINE, max(1, -(-(high - low) // WORD_LAST)))
+    return low + np.arange(parts + 1, dtype=np.int64) * (high - low) // parts
+
+
+def _word_keys(h: Hashes, words: np.ndarray, mask: tuple[int, ...], low: list[np.ndarray], high: list[np.ndarray]) -> np.ndarray:
+    """Keys of a line without what lies from ``low`` to ``high`` at each place and without the words of the mask."""
+    n = len(words) - 1
+    shift, left = 0, n - sum(mask)
+    key = _key(h.of(words[0], words[low[0]]), left, 6, 0)
+    for j, own in enumerate(mask):
+        shift += own
+        begin = high[j] + shift
+        end = np.maximum(high[j], low[j + 1]) + shift if j + 1 < len(mask) else n
+        key = _key(key.view(np.uint64) ^ h.of(words[begin], words[end]), low[j], 7, high[j])
+    return key
+
+
+def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share: float) -> DataFrame:
+    """(line, key, code): keys of ``lines`` (with text and codes) with narrower places, or at the ``last`` step single ones."""
+    on_workers(lines.sparkSession)
+
+    def keys_of(text: str, codes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        h = Hashes(text + " ")
+        words = h.words()
+        for code in codes:
+            for stem, mask, ranges in _spots(code, step, len(words) - 1, max_words):
+                cuts = [np.arange(a, b + 1) for a, b in ranges] if last else [_word_cut(r) for r in ranges]
+                grid = [g.reshape(-1) for g in np.meshgrid(
+                    *(np.arange(len(c) if last else len(c) - 1) for c in cuts), indexing="ij")]
+                ordered = np.ones(len(grid[0]), bool)
+                for j in range(max_words - 1):
+                    if ranges[j] == ranges[j + 1]:
+                        ordered &= grid[j] <= grid[j + 1]
+                grid = [g[ordered] for g in grid]
+                low = [c[g] for c, g in zip(cuts, grid)]
+                if last:
+                    size, shift = np.zeros(len(grid[0]), np.int64), 0
+                    for place, own in zip(low, mask):
+                        if own:
+                            size += words[place + shift + 1] - words[place + shift]
+                        shift += own
+                    low = [x[size <= share * len(text) + 1e-6] for x in low]
+                    key = _word_keys(h, words, mask, low, low)
+                    yield key, np.zeros(len(key), np.int64)
+                else:
+                    digit = np.zeros(len(grid[0]), np.int64)
+                    for g in grid:
+                        digit = digit * WORD_FINE + g
+                    high = [c[g + 1] for c, g in zip(cuts, grid)]
+                    yield _word_keys(h, words, mask, low, high), stem * WORD_FINE ** max_words + digit
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[np.ndarray, ...]] = []
+            rows = 0
+            for i, (text, codes) in enumerate(zip(batch.column(3), batch.column(4))):
+                for key, code in keys_of(text.as_py(), codes.as_py()):
+                    found.append((np.full(len(key), i, np.int32), key, code))
+                    rows += len(key)
+                    if rows >= ROWS_OUT:
+                        yield gathered(batch, found)
+                        found, rows = [], 0
+            if found:
+                yield gathered(batch, found)
+
+    def gathered(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        at, key, code = (pa.array(np.concatenate(c)) for c in zip(*found))
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(at) for c in range(3)), key, code], names=[*LINE, "key", "code"])
+
+    return lines.select(*LINE, "text", "codes").mapInArrow(run, f"{LINE_TYPES}, key bigint, code bigint")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (line id, key, ...) whose key two lines have, with the key's number of rows ``n``."""
+    met = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
+    return rows.join(met.select("key", "n"), "key")
+
+
+def _shared_keys(firsts: DataFrame) -> DataFrame:
+    """(id, key, code, n) of the keys of ``firsts`` that come more than once, ``n`` times."""
+    on_workers(firsts.sparkSession)
+    counts = firsts.select(F.explode("keys").alias("key")).where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    met = written(counts.where("n > 1"), "shared-keys")
+    bits = min(MAX_BITS, max(CHUNK_BITS, (16 * met.count()).bit_length()))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = np.sort(batch.column(0).to_numpy())
+            chunk = at >> CHUNK_BITS
+            for own in np.split(at, np.flatnonzero(np.diff(chunk)) + 1) if len(at) else []:
+                chunks.setdefault(int(own[0]) >> CHUNK_BITS, np.zeros(1 << CHUNK_BITS, bool))[own & (1 << CHUNK_BITS) - 1] = True
+        for chunk, marked in chunks.items():
+            yield pa.RecordBatch.from_arrays([
+                pa.array([chunk], pa.int64()), pa.array([np.packbits(marked, bitorder="little").tobytes()])], names=["chunk", "bits"])
+
+    places = met.select(F.shiftrightunsigned("key", 64 - bits).alias("at"))
+    table = np.zeros(1 << bits - 3, np.uint8)
+    size = 1 << CHUNK_BITS - 3
+    for row in places.repartition(F.shiftright("at", CHUNK_BITS)).mapInArrow(mark, "chunk long, bits binary").toLocalIterator():
+        table[row.chunk * size:(row.chunk + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    shared = firsts.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(1)
+            size = len(keys.flatten()) // max(1, len(keys))
+            key = keys.flatten().to_numpy()
+            at = key.view(np.uint64) >> np.uint64(64 - bits)
+            found = np.flatnonzero(
+                (key != 0) & (shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(found // size if size else found)), pa.array(key[found]),
+                pa.array((found % size if size else found).astype(np.int32))], names=["id", "key", "code"])
+
+    rows = firsts.select(_id(), "keys").mapInArrow(run, "id bigint, key bigint, code int")
+    return rows.join(met, "key")
+
+
+def _each_two(rows: DataFrame) -> DataFrame:
+    """(a, b): ids of any two lines that share a key of few lines."""
+    few = rows.where(F.col("n") <= PAIR_LINES).select("key", "id").distinct()
+    return few.toDF("key", "a").join(few.toDF("key", "b"), "key").where("a < b").select("a", "b").distinct()
+
+
+def _words(text: str) -> list[str]:
+    h = Hashes(text + " ")
+    words = h.words().tolist()
+    text += " "
+    return [text[a:b] for a, b in zip(words, words[1:])]
+
+
+def _left(x: list[str], y: list[str], max_words: int) -> int:
+    """Most characters that two lines keep when they are made equal by at most ``max_words`` words each; -1 if they can't.
+
+    Equal words at the begin or end always stay: any other choice keeps no more and takes no fewer steps.
+    """
+    n = min(len(x), len(y))
+    i = next((i for i in range(n) if x[i] != y[i]), n)
+    j = next((j for j in range(n - i) if x[-1 - j] != y[-1 - j]), n - i)
+    kept = sum(map(len, x[:i])) + sum(map(len, x[len(x) - j:]))
+    x, y = x[i:len(x) - j], y[i:len(y) - j]
+    if not x and not y:
+        return kept
+    if abs(len(x) - len(y)) > max_words or not max_words:
+        return -1
+    best = max(_left(x[a:], y[b:], max_words - 1) for a, b in ((0, 1), (1, 0), (1, 1)) if len(x) >= a and len(y) >= b)
+    return best + kept if best >= 0 else -1
+
+
+def _near(pairs: DataFrame, texts: DataFrame, max_words: int, share: float) -> DataFrame:
+    """(doc_id, tie, line_no) of the later line of each of ``pairs`` (a, b) that is near."""
+    on_workers(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                least = (1 - share) * max(len(x), len(y)) + 1  # the blank after the last word stays
+                near.append(min(len(x), len(y)) + 1 >= least - 1e-6 and _left(_words(x), _words(y), max_words) >= least - 1e-6)
+            yield batch.select([0, 1, 2]).filter(pa.array(near, pa.bool_()))
+
+    own = texts.select("id", F.struct(*LINE).alias("line"), "text")
+    both = pairs.join(own.toDF("a", "x_line", "x"), "a").join(own.toDF("b", "y_line", "y"), "b")
+    close = F.least(F.length("x"), F.length("y")) >= (1 - share) * F.greatest(F.length("x"), F.length("y")) - 1
+    later = F.greatest("x_line", "y_line").alias("line")
+    return both.where(close).select(later, "x", "y").select(
+        *(F.col(f"line.{c}").alias(c) for c in LINE), "x", "y").mapInArrow(run, LINE_TYPES).distinct()
+
+
+def _id() -> Column:
+    return F.xxhash64(*LINE).alias("id")
+
+
+def _near_by_words(shared: DataFrame, texts: DataFrame, max_words: int, share: float) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``shared`` are the rows of shared part keys."""
+    pairs = [_each_two(shared)]
+    many = shared.where(F.col("n") > PAIR_LINES)
+    codes = written(many.groupBy("id").agg(F.collect_set("code").alias("codes")), "word-codes")
+    marks = F.regexp_replace("text", f"[^{SPACES}\\x{{{NO_BLANKS:x}}}-\\x{{10ffff}}]", "")
+    step, width = 0, codes.join(texts.select("id", marks.alias("marks")), "id").agg(
+        F.max(2 * F.length("marks") + 1)).first()[0]
+    while width is not None:
+        lines = texts.drop("codes").join(codes, "id")
+        last = width <= WORD_LAST
+        keys = _emit_words(lines, step, last, max_words, share)
+        if last:
+            line = F.struct(*LINE)
+            best = keys.groupBy("key").agg(F.min(line).alias("f"))
+            firsts = best.select("key", F.xxhash64(*(F.col(f"f.{c}") for c in LINE)).alias("a"))
+            pairs.append(keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct())
+            break
+        met = written(_shared(keys.select("key", _id(), "code")), "word-keys")
+        pairs.append(_each_two(met))
+        codes = written(met.where(F.col("n") > PAIR_LINES).groupBy("id").agg(
+            F.collect_set("code").alias("codes")), "word-codes")
+        if codes.isEmpty():
+            break
+        width = -(-width // min(WORD_FINE, -(-width // WORD_LAST)))
+        step += 1
+    every = pairs[0]
+    for more in pairs[1:]:
+        every = every.union(more)
+    return _near(every.distinct(), texts, max_words, share)
+
+
+def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one, or near it by words."""
+    met = written(_shared_keys(firsts), "line-keys")
+    codes = met.groupBy("id").agg(F.collect_set(F.when(F.col("code") < CHAR_KEYS, F.col("code"))).alias("codes"))
+    own = firsts.select(_id(), *LINE).join(codes, "id")
+    texts = written(_with_texts(docs, written(own, "line-codes")), "line-texts")
+    near = _one_edit_lines(texts.where(F.size("codes") > 0).drop("id"))
+    if not max_words:
+        return near
+    words = met.where(F.col("code") >= CHAR_KEYS).withColumn("code", (F.col("code") - CHAR_KEYS).cast("long"))
+    return near.union(_near_by_words(words, texts, max_words, share)).distinct()
+
+
+def dedup_lines(docs: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
     """``docs`` with repeated lines cut from ``text``, and ``n_lines`` and ``n_dropped`` (blank lines not counted).
 
+    Lines also go that differ from an earlier one by at most ``max_words`` words and ``share`` of the characters.
     Null texts stay null. Empty texts stay empty. Rows with the same id and text count as one document, so they
     come out alike; extra columns pass through, and columns named like the two counts are replaced. An empty table
     gives no rows.
     """
-    firsts = written(first_lines(docs), "first-lines")
-    near = near_lines(docs, firsts)
+    firsts = written(first_lines(docs, max_words), "first-lines")
+    near = near_lines(docs, firsts, max_words, share)
     kept = firsts.alias("f").join(near.alias("n"), _same_line("f", "n"), "left_anti").groupBy("doc_id", "tie").agg(
         F.collect_list("line_no").alias("kept")).toDF("kept_id", "kept_tie", "kept")
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]

@@ -46,7 +46,7 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.dedup_lines(documents(spark, sf_dir))
+    cut = lines.dedup_lines(documents(spark, sf_dir), lines.MAX_WORDS, lines.SHARE)
     return cut.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
 
 

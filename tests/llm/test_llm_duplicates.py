@@ -77,6 +77,61 @@ def test_line_dedup_against_brute_force(spark, seed):
     assert got == Counter((d, *want[(d, t)], 1, 2) for d, t in docs)
 
 
+def _kept_chars(x, y, max_words):
+    """Most characters of words that stay when at most ``max_words`` of them are dropped, added or changed."""
+    best = {(0, 0, 0): 0}
+    for i in range(len(x) + 1):
+        for j in range(max(0, i - max_words), min(len(y), i + max_words) + 1):
+            for k in range(max_words + 1):
+                options = [best.get((i - a, j - b, k - 1)) for a, b in ((0, 1), (1, 0), (1, 1))]
+                if i and j and x[i - 1] == y[j - 1] and (i - 1, j - 1, k) in best:
+                    options.append(best[i - 1, j - 1, k] + len(x[i - 1]))
+                options = [o for o in options if o is not None] + ([0] if i == j == 0 else [])
+                if options:
+                    best[i, j, k] = max(options)
+    return max((best.get((len(x), len(y), k), -1) for k in range(max_words + 1)), default=-1)
+
+
+def _near_by_words(a, b, max_words, share):
+    x, y = (re.findall(r"[\u3000-\uffff]\s*|[^\s\u3000-\uffff]+\s*", t + " ") for t in (a, b))
+    if min(len(x), len(y)) < 2 * max_words + 1 or min(len(a), len(b)) < lines.MIN_CHARS:
+        return False
+    kept = _kept_chars(x, y, max_words)
+    return kept >= 0 and all(len(t) + 1 - kept <= share * len(t) + 1e-6 for t in (a, b))
+
+
+@pytest.mark.parametrize("pair_lines, max_words, share", [(16, 2, 0.1), (1, 2, 0.2), (2, 1, 0.1), (1, 3, 0.3), (16, 0, 0.1)])
+def test_line_dedup_by_words_against_brute_force(spark, monkeypatch, pair_lines, max_words, share):
+    monkeypatch.setattr(lines, "PAIR_LINES", pair_lines)  # 1: every shared key is narrowed down to single places
+    r = random.Random(pair_lines + max_words)
+    base = [prose(i, n).split() for i, n in enumerate([5, 6, 9, 12, 30, 31, 70, 200])] + [list("ab ab ab cd cd e f".split() * 3)]
+    base.append(list("\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b\u4e5d\u5341" * 3))
+
+    def changed():
+        k = r.randrange(len(base))
+        words = list(base[k])
+        for _ in range(r.choice([0, 1, 1, 2, 2, 3, 4])):
+            i = r.randrange(len(words) + 1)
+            kind = r.randrange(3)
+            words[i:i + (kind > 0)] = [r.choice(["ab", "q", "longer", "\u4e00"])] if kind < 2 else []
+        return ("" if k == len(base) - 1 else " ").join(words)
+
+    docs = [(d, "\n".join(changed() for _ in range(r.randint(0, 5)))) for d in range(50)]
+    seen, want, by_words = [], {}, 0
+    for d, text in docs:
+        kept = []
+        for line in filter(None, text.split("\n")):
+            near = any(line == x or min(len(line), len(x)) >= lines.MIN_CHARS and _one_edit(line, x) for x in seen)
+            words = max_words > 0 and any(_near_by_words(line, x, max_words, share) for x in seen)
+            by_words += words and not near
+            kept += [] if near or words else [line]
+            seen.append(line)
+        want[d] = "\n".join(kept)
+    assert (by_words > 20) == (max_words > 0)
+    rows = lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), max_words, share).collect()
+    assert {x.doc_id: "\n".join(filter(None, x.text.split("\n"))) for x in rows} == want
+
+
 def test_line_dedup_on_messy_rows(messy, empty):
     rows = {r.doc_id: r for r in lines.dedup_lines(messy).collect() if r.doc_id is not None}
     assert rows[2].text is None and rows[3].text == "" and rows[6].n_lines == 0
