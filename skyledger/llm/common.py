@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +60,15 @@ def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks of about ``block_bytes`` of text the documents fill, 1 at least."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(1, -(-int(total) // block_bytes))
+
+
+def text_parts(texts: pa.Array, part_bytes: int, other: pa.Array | None = None) -> Iterator[tuple]:
+    """(place, texts) of runs of about ``part_bytes``, or of one longer text. The place is a slice, or one of ``other``."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + part_bytes, side="right")) - 1)
+        own = slice(at, stop)
+        yield own if other is None else other[own], texts[own]
+        at = stop
