@@ -88,4 +88,86 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM d JOIN least_of ON d.doc_id = a LEFT JOIN sizes ON d.doc_id = sizes.doc_id
 """
 
-ORACLES: dict[str, str] = {"op5_minhash": OP5, "op7_rule_ledger": OP7, "op8_decontaminate": OP8}
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+  FROM documents),
+h AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+    CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+    CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+         WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:low], '') AS a, array_to_string(u[low + 1:high], '') AS b,
+    array_to_string(u[high + 1:n], '') AS z
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+              ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k)
+        WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM runs GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+inner_ AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a AS longer
+  FROM cand WHERE k = 3),
+covered AS (
+  SELECT DISTINCT cand.lang, cand.phrase FROM cand JOIN inner_ ON cand.lang = inner_.lang AND cand.phrase = inner_.phrase
+  WHERE 100 * longer >= 50 * a),
+kept AS (SELECT cand.* FROM cand ANTI JOIN covered ON cand.lang = covered.lang AND cand.phrase = covered.phrase),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:k], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cut, x.a AS l, y.a AS r,
+    CAST((CAST(1000000 AS HUGEINT) * cuts.a * cuts.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+least_ AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least_)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CASE WHEN embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e
+  FROM embeddings),
+edges AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT reach.a, edges.v FROM reach JOIN edges ON edges.u = reach.b),
+least_of AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT u, count(*) AS n FROM edges GROUP BY u)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least_of ON vec_id = a LEFT JOIN degree ON vec_id = u
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_minhash": OP5, "op7_rule_ledger": OP7, "op8_decontaminate": OP8, "op11_fenwick_infill": OP11,
+    "op12_phrase_automata": OP12, "op13_int8_vectors": OP13,
+}

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, decontaminate, lattice, lines, minhash, pii, rules, sharding, toxicity, wavelet
+from skyledger.llm import (
+    bpe,
+    decontaminate,
+    infill,
+    lattice,
+    lines,
+    minhash,
+    phrases,
+    pii,
+    rules,
+    sharding,
+    toxicity,
+    vectors,
+    wavelet,
+)
 from skyledger.llm.common import documents, read_table, written
 from skyledger.llm.oracles import ORACLES
 
@@ -100,6 +114,21 @@ def op10_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.concat("base", "added")).alias("spans"))
 
 
+def op11_fenwick_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transform(documents(spark, sf_dir)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_int8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subword_lattice": op1_subword_lattice,
     "op2_backtracking_bpe": op2_backtracking_bpe,
@@ -111,4 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_wavelet_matrix": op9_wavelet_matrix,
     "op10_shape_crf": op10_shape_crf,
+    "op11_fenwick_infill": op11_fenwick_infill,
+    "op12_phrase_automata": op12_phrase_automata,
+    "op13_int8_vectors": op13_int8_vectors,
 }
