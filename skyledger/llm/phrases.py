@@ -399,7 +399,9 @@ def count_runs(docs: DataFrame, bounds: Bounds, min_count: int = MIN_COUNT) -> D
             "n": pa.array([int(sums[runs[:, 1] < 0].sum())], pa.int64()),
             "automaton": pa.array([frequent.to_bytes()], pa.binary())})
 
-    return _count_shards(docs, bounds).groupBy("lang", "range").applyInArrow(
+    # A task for each range, so that a task does not grow with the input.
+    ranges = max(1, sum(len(b) + 1 for b in bounds.values()))
+    return _count_shards(docs, bounds).repartition(ranges, "lang", "range").groupBy("lang", "range").applyInArrow(
         unite, "lang string, range int, n bigint, automaton binary")
 
 
