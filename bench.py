@@ -17,7 +17,7 @@ import tempfile
 import time
 
 from skyledger.plans.batch_job import run_batch
-from skyledger.plans.registry import LOG_START_MS, PARAMS, QUERIES, STREAM_PARAMS
+from skyledger.plans.registry import LOG_START_MS, PARAMS, QUERIES, STREAM_PARAMS, sized
 from skyledger.session import build_session, scratch_dir
 from skyledger.sources.flights_view import flights_from_events, read_events, stream_events
 from skyledger.streaming.jobs import start_all
@@ -27,7 +27,10 @@ HEADLINE = (
     "ddsketch_quantiles", "late_report", "lateness_stats", "latency_stats",
 )
 STREAMS = ("stream_q1_1h", "stream_q2_6h", "stream_q3_1d")
-CORPUS = ("op3_virtual_slots", "op7_rule_ledger", "op8_decontaminate", "op10_shape_crf")
+CORPUS = (
+    "op3_virtual_slots", "op7_rule_ledger", "op8_decontaminate", "op10_shape_crf", "op11_fenwick_infill",
+    "op12_phrase_automata", "op13_int8_vectors",
+)
 
 
 def main() -> None:
@@ -57,7 +60,8 @@ def main() -> None:
         run_batch(spark, flights, scratch_dir(spark, "work"), scratch_dir(spark, "out"), PARAMS, LOG_START_MS)
 
     def all_streams() -> None:
-        start_all(flights_from_events(stream_events(spark, sf_dir)), scratch_dir(spark, "streams"), STREAM_PARAMS).finish()
+        start_all(flights_from_events(stream_events(spark, sf_dir)), scratch_dir(spark, "streams"),
+                  sized(spark, sf_dir, STREAM_PARAMS)).finish()
 
     def timed(action) -> float:
         took = []

@@ -368,6 +368,18 @@ kept AS (SELECT parts.* FROM parts JOIN seen USING (part)
     return _with(_q1("kept"), _seen_by_part("target"), kept)
 
 
+def _stream_all() -> str:
+    """Rows and flights of each result; the two since the start have a row for every snapshot."""
+    results = {
+        "q1": (_with(_q1()), "num_flights"), "q2_1h": (_q2("1h", 2), "num_flights"), "q2_6h": (_q2("6h", 2), "num_flights"),
+        "q2_global": (_q2_global(_LAST_HOUR, 2), "num_flights"), "q3_1d": (_q3("1d"), "count"),
+        "q3_7d": (_q3("7d"), "count"), "q3_global": (_q3_global(_LAST_DAY), "count"),
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS query, count(*) AS result_rows, CAST(sum({n}) AS BIGINT) AS flights FROM ({sql})"
+        for name, (sql, n) in results.items())
+
+
 def _stream_late_split() -> str:
     end = f"({_start('event_ms', HOUR)} + {HOUR})"
     lateness = f"((seen - {end} - 10 * 60000) / 60000.0e0)"
@@ -545,6 +557,7 @@ SELECT {_text('window_start')} AS ts, airline, hour, count, min, p25, p50, p75,
     "stream_q3_global": _q3_global(_LAST_DAY),
     "stream_q2_lateness": _q2("1h", 2),
     "stream_q3_lateness": _q3("1d"),
+    "stream_all": _stream_all(),
     "stream_q2_global_late": f"SELECT * FROM ({_q2_global(_LAST_HOUR)}) QUALIFY window_end = max(window_end) OVER ()",
     "stream_q3_global_late": f"SELECT * FROM ({_q3_global(_LAST_DAY)}) QUALIFY window_end = max(window_end) OVER ()",
 }

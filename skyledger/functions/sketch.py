@@ -147,3 +147,35 @@ def quantiles(
         *[F.coalesce(bin_value(name, accuracy), F.lit(0.0)).alias(name) for name, _ in probabilities],
         "max",
     )
+
+
+def bin_list() -> list[Column]:
+    """Aggregates that gather the bins of a key into one ordered list, for where no window function is allowed.
+
+    A double has a bin for each factor of ``1 + 2 * accuracy`` in its range, so the list has a bound.
+    """
+    listed = F.sort_array(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "cnt"))))
+    return [listed.alias("bins"), F.sum("cnt").alias("count"), F.min("lo").alias("min"), F.max("hi").alias("max")]
+
+
+def list_quantiles(
+    listed: DataFrame, keys: Sequence[str], probabilities: Sequence[tuple[str, float]],
+    accuracy: float = DEFAULT_ACCURACY, max_bins: int = 2048,
+) -> DataFrame:
+    """What ``quantiles`` gives, from the lists of ``bin_list``, in expressions over a single row."""
+    for _, q in probabilities:
+        if not 0.0 <= q <= 1.0:
+            raise ValueError("quantile must be between 0.0 and 1.0")
+    found = listed.select("*", *[
+        F.expr(f"""aggregate(bins, named_struct('seen', 0L, 'hit', CAST(NULL AS INT)), (a, x) -> named_struct(
+            'seen', a.seen + x.cnt, 'hit', coalesce(a.hit, if(a.seen + x.cnt > {q}D * (count - 1), x.bin, NULL))),
+            a -> a.hit)""").alias(name)
+        for name, q in probabilities])
+    folded = found.select(*keys, "count", "min", "max", *[
+        F.expr(f"""CASE WHEN {name} > 0 THEN greatest({name}, bins[size(bins) - 1].bin - {max_bins - 1})
+                        WHEN {name} < 0 THEN least({name}, bins[0].bin + {max_bins - 1}) ELSE {name} END""").alias(name)
+        for name, _ in probabilities])
+    return folded.select(
+        *keys, "count", F.coalesce("min", F.lit(0.0)).alias("min"),
+        *[F.coalesce(bin_value(name, accuracy), F.lit(0.0)).alias(name) for name, _ in probabilities],
+        F.coalesce("max", F.lit(0.0)).alias("max"))

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions.scalars import above, safe_divide_rounded
 from skyledger.operators.clean import active_flights
@@ -14,6 +20,7 @@ from skyledger.operators.windows import (
     last_boundary,
     repeat_to,
     unpack_window,
+    window_ms,
 )
 from skyledger.params import JobParams
 
@@ -222,3 +229,104 @@ def airport_since_start(
         airport_partials(cleaned, params, label), worst_flights(cleaned, params, label), params,
         start_ms=start_ms,
     )
+
+
+# --- streams ------------------------------------------------------------------------------------------
+
+_STATS = (("num_flights", "sum"), ("severe_delays", "sum"), ("delay_sum", "sum"), ("dep_delay_max", "max"))
+_ENTRY = T.StructType([
+    T.StructField("neg", T.DoubleType()), T.StructField("carrier", T.StringType()), T.StructField("dest", T.StringType())])
+
+
+def reduced_flights(cleaned: DataFrame, params: JobParams = JobParams(), window: str = "1h") -> DataFrame:
+    """What a task has seen of each (window, airport): additive statistics and its worst flights.
+
+    A streaming aggregation has no bounded list, so a task cuts its own first: however many flights an airport has, the
+    state gets ``top_flights`` entries of it from a task and micro-batch at most. ``event_ts`` is the window's start and
+    keeps the watermark of the column that it comes from.
+    """
+    size, n = window_ms(window) * 1000, params.top_flights
+    delay = F.col("dep_delay")
+    rows = active_flights(cleaned).select(
+        "event_ts", "origin_airport_id", F.lit(1).cast("long").alias("num_flights"),
+        above(delay, params.severe_minutes).cast("long").alias("severe_delays"), delay.alias("delay_sum"),
+        F.when(~F.isnan(delay), delay).alias("dep_delay_max"), F.col("airline").alias("carrier"),
+        F.col("dest_airport_id").cast("string").alias("dest"))
+    schema = T.StructType([
+        rows.schema["event_ts"], rows.schema["origin_airport_id"], *[
+            T.StructField(name, rows.schema[name].dataType) for name, _ in _STATS],
+        T.StructField("worst", T.ArrayType(_ENTRY))])
+    key = ["event_ts", "origin_airport_id"]
+    narrow = pa.schema([
+        ("event_ts", pa.int64()), ("origin_airport_id", pa.int32()), ("num_flights", pa.int64()),
+        ("severe_delays", pa.int64()), ("delay_sum", pa.float64()), ("dep_delay_max", pa.float64())])
+
+    def totals(table: pa.Table) -> pa.Table:
+        found = table.group_by(key).aggregate(list(_STATS))
+        named = found.select([*key, *(f"{c}_{how}" for c, how in _STATS)]).rename_columns(narrow.names)
+        return named.cast(narrow)
+
+    def longest(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        table = table.sort_by([(c, "ascending") for c in (*key, "neg", "carrier", "dest")])
+        at, airport = (table[c].to_numpy() for c in key)
+        new = np.ones(len(table), bool)
+        new[1:] = (at[1:] != at[:-1]) | (airport[1:] != airport[:-1])
+        begin = np.flatnonzero(new)
+        place = np.arange(len(table)) - np.repeat(begin, np.diff(np.append(begin, len(table))))
+        kept = place < n
+        return table.filter(pa.array(kept)), new[kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stats, worst = [], []
+        for batch in batches:
+            at = batch.column(0).cast(pa.int64()).to_numpy()
+            table = pa.Table.from_batches([batch]).set_column(0, "event_ts", pa.array(at - at % size))
+            stats = [totals(pa.concat_tables([*stats, table.select(narrow.names).cast(narrow)]))]
+            severe = table.filter(pc.equal(table["severe_delays"], 1))
+            flights = pa.table({
+                "event_ts": severe["event_ts"], "origin_airport_id": severe["origin_airport_id"],
+                "carrier": severe["carrier"], "dest": severe["dest"], "neg": pc.negate(severe["delay_sum"])})
+            worst = [longest(pa.concat_tables([*worst, flights]))[0]]
+        if not stats:
+            return
+        table, new = longest(worst[0])
+        ends = np.append(np.flatnonzero(new), len(table))
+        entries = pa.StructArray.from_arrays(
+            [table[c].combine_chunks() for c in _ENTRY.names], _ENTRY.names) if len(table) else None
+        place = {pair: i for i, pair in enumerate(zip(*(table[c].to_numpy()[new].tolist() for c in key)))}
+        for out in stats[0].to_batches():
+            own = [place.get(pair) for pair in zip(*(out[c].to_pylist() for c in key))]
+            lists = [[] if i is None else entries[ends[i]:ends[i + 1]].to_pylist() for i in own]
+            kind = pa.list_(pa.struct([("neg", pa.float64()), ("carrier", pa.string()), ("dest", pa.string())]))
+            yield pa.RecordBatch.from_arrays([
+                out["event_ts"].cast(pa.timestamp("us", "UTC")), *(out[name] for name in schema.names[1:-1]),
+                pa.array(lists, kind)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def airport_windows(reduced: DataFrame, params: JobParams = JobParams(), window: str = "1h") -> DataFrame:
+    """Statistics and worst flights per (window, airport), summed up in the state of a stream."""
+    lists = F.sort_array(F.flatten(F.collect_list("worst")))
+    return reduced.groupBy(event_window(window), "origin_airport_id").agg(
+        *[getattr(F, how)(name).alias(name) for name, how in _STATS],
+        F.slice(lists, 1, params.top_flights).alias("worst"))
+
+
+def airport_ranking_stream(cleaned: DataFrame, window: str, params: JobParams = JobParams()) -> DataFrame:
+    """Q2 over tumbling windows of a stream: airports first, then the first of each window among the finished ones.
+
+    A stream cannot number rows, so the second aggregation cuts an ordered list of a window's airports. Its rows are
+    narrow but for the winners' flights, and an airport is in it once.
+    """
+    finished = airport_windows(reduced_flights(cleaned, params, window), params, window)
+    mean = safe_divide_rounded(F.col("delay_sum"), F.col("num_flights"))
+    entry = F.struct(
+        "severe_delays", mean.alias("dep_delay_mean"), (-F.col("origin_airport_id")).alias("lower"), "num_flights",
+        "dep_delay_max", "worst")
+    first = F.slice(F.sort_array(F.collect_list(entry), asc=False), 1, params.top_airports)
+    windows = finished.where(F.col("num_flights") >= params.min_flights).groupBy("window").agg(first.alias("first"))
+    ranked = windows.select("window", F.posexplode("first").alias("place", "a")).select(
+        "window", (F.col("place") + 1).alias("rank"), (-F.col("a.lower")).alias("origin_airport_id"), "a.num_flights",
+        "a.severe_delays", "a.dep_delay_mean", "a.dep_delay_max", "a.worst")
+    return _result(unpack_window(ranked), window)

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import sketch
 from skyledger.operators.clean import active_flights, target_airlines
-from skyledger.operators.windows import coarser_window, event_window, label_of, last_boundary, repeat_to
+from skyledger.operators.windows import (
+    coarser_window,
+    event_window,
+    label_of,
+    last_boundary,
+    repeat_to,
+    unpack_window,
+)
 from skyledger.params import JobParams
 
 KEY = ("window_start", "window_end", "airline", "hour")
@@ -15,16 +22,15 @@ KEY = ("window_start", "window_end", "airline", "hour")
 
 def delay_bins(cleaned: DataFrame, params: JobParams = JobParams(), window: str = "1d") -> DataFrame:
     """Sketch bins per (window, carrier, hour slot)."""
+    return unpack_window(_windowed_bins(cleaned, params, window))
+
+
+def _windowed_bins(cleaned: DataFrame, params: JobParams, window: str) -> DataFrame:
     rows = target_airlines(active_flights(cleaned), params.carriers)
-    bins = sketch.bin_counts(
+    return sketch.bin_counts(
         rows, [event_window(window), "airline", F.col("dep_hour").alias("hour")],
         "dep_delay", params.sketch_accuracy,
     )
-    return bins.select(
-        F.unix_millis("window.start").alias("window_start"),
-        F.unix_millis("window.end").alias("window_end"),
-        "airline", "hour", "bin", "cnt", "lo", "hi",
-    )
 
 
 def merge_delay_bins(bins: DataFrame, window: str) -> DataFrame:
@@ -45,6 +51,16 @@ def delay_distribution(cleaned: DataFrame, window: str, params: JobParams = JobP
     return finish_delays(delay_bins(cleaned, params, window), window, params)
 
 
+def delay_distribution_stream(cleaned: DataFrame, window: str, params: JobParams = JobParams()) -> DataFrame:
+    """Q3 over tumbling windows of a stream: bins first, then a key's finished bins as one list."""
+    keys = ("window", "airline", "hour")
+    listed = _windowed_bins(cleaned, params, window).groupBy(*keys).agg(*sketch.bin_list())
+    rows = sketch.list_quantiles(listed, keys, params.quantiles, params.sketch_accuracy, params.sketch_max_bins)
+    return unpack_window(rows).withColumn("window_type", F.lit(window)).select(
+        "window_start", "window_end", "window_type", "airline", "hour",
+        "count", "min", *[name for name, _ in params.quantiles], "max")
+
+
 def delay_snapshots(
     bins: DataFrame, params: JobParams = JobParams(), interval_ms: int | None = None, start_ms: int | None = None,
     last: Column | None = None,

@@ -28,6 +28,10 @@ class JobParams:
     watermark_delay: int = 10
     allowed_lateness: int = 5
     lateness_overrides: dict[str, int] = field(default_factory=dict)
+    # Of several inputs: the slowest one's watermark counts (min), or the fastest one's (max).
+    watermark_policy: str = "min"
+    # Tasks over which a stream's state is spread, fixed by its first start; 0: the session's shuffle partitions.
+    state_partitions: int = 0
 
     # How often the since-start results are repeated.
     airport_snapshot_ms: int = HOUR_MS

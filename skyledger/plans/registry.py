@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -371,18 +372,23 @@ def lww_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 results written three times: all rows, two carriers again, one carrier's even hours again."""
     path = scratch_dir(spark, "lww_upsert")
     results = q1_1h(spark, sf_dir)
-    result_table.write_batch(results, path, 0)
-    first = spark.read.schema(Q1_RESULT).parquet(f"{path}/batch_id=0")
+    keys = result_table.RESULT_KEYS["q1"]
+    result_table.upsert(results, path, 0, keys)
+    first = result_table.read_results(spark, path, Q1_RESULT)
 
     def scaled(rows: DataFrame, by: int) -> DataFrame:
-        return rows.withColumn("num_flights", F.col("num_flights") * by)
+        return rows.withColumn("num_flights", (F.col("num_flights") * by).cast("long"))
 
-    result_table.write_batch(scaled(first.where(F.col("airline").isin("AA", "UA")), 10), path, 1)
+    two = scaled(first.where(F.col("airline").isin("AA", "UA")), 10)
     even = (F.col("airline") == "AA") & (F.col("window_start") % (2 * 3_600_000) == 0)
-    result_table.write_batch(scaled(first.where(even), 100), path, 2)
-    # A replayed batch replaces itself.
-    result_table.write_batch(scaled(first.where(even), 100), path, 2)
-    return result_table.read_results(spark, path, Q1_RESULT, result_table.RESULT_KEYS["q1"])
+    # Taken from the first version, before the table changes under it.
+    result_table.write_batch(scaled(first.where(even), 100), f"{path}/third", 2)
+    third = spark.read.schema(Q1_RESULT).parquet(f"{path}/third/batch_id=2")
+    result_table.upsert(two, path, 1, keys)
+    result_table.upsert(third, path, 2, keys)
+    # A replayed batch changes nothing.
+    result_table.upsert(third, path, 2, keys)
+    return result_table.read_results(spark, path, Q1_RESULT)
 
 
 _Q1_FIELDS = (
@@ -433,6 +439,11 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_events(stream_events(spark, sf_dir))
 
 
+def sized(spark: SparkSession, sf_dir: str, params: JobParams) -> JobParams:
+    """A state task for each split of the log, two at least."""
+    return replace(params, state_partitions=max(2, read_events(spark, sf_dir).rdd.getNumPartitions()))
+
+
 def _drained(stream: jobs.RunningStream, path: str, name: str) -> DataFrame:
     stream.finish()
     return jobs.read_stream_results(stream.spark, path, name)
@@ -467,7 +478,7 @@ def _in_arrival_parts(
 
 def stream_q1_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream_q1_1h")
-    return _drained(jobs.start_q1(_stream(spark, sf_dir), path, STREAM_PARAMS), path, "q1")
+    return _drained(jobs.start_q1(_stream(spark, sf_dir), path, sized(spark, sf_dir, STREAM_PARAMS)), path, "q1")
 
 
 def _corrected(spark: SparkSession, sf_dir: str, name: str, run: Callable) -> DataFrame:
@@ -479,24 +490,27 @@ def _corrected(spark: SparkSession, sf_dir: str, name: str, run: Callable) -> Da
 
 def stream_q1_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emits filling windows too; the result table keeps the last version."""
-    return _corrected(spark, sf_dir, "q1", lambda f, path: jobs.start_q1(f, path, STREAM_PARAMS, early=True))
+    params = sized(spark, sf_dir, STREAM_PARAMS)
+    return _corrected(spark, sf_dir, "q1", lambda f, path: jobs.start_q1(f, path, params, corrections=True))
 
 
 def stream_q2_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rankings that late rows change after they were emitted."""
-    params = replace(STREAM_PARAMS, min_flights=PARAMS_1H.min_flights)
-    return _list_as_json(_corrected(spark, sf_dir, "q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params)))
+    params = sized(spark, sf_dir, replace(STREAM_PARAMS, min_flights=PARAMS_1H.min_flights))
+    return _list_as_json(_corrected(spark, sf_dir, "q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params, corrections=True)))
 
 
 def stream_q3_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _corrected(spark, sf_dir, "q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", STREAM_PARAMS))
+    params = sized(spark, sf_dir, STREAM_PARAMS)
+    rows = _corrected(spark, sf_dir, "q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", params, corrections=True))
     return _stable_quantiles(rows, *_QUANTILES)
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four runs of one checkpointed query with a tight watermark."""
     path = scratch_dir(spark, "stream_restart")
-    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q1(flights, path, TIGHT_PARAMS), slower=60)
+    params = sized(spark, sf_dir, TIGHT_PARAMS)
+    _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q1(flights, path, params), slower=60)
     return jobs.read_stream_results(spark, path, "q1")
 
 
@@ -512,7 +526,7 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_q2(spark: SparkSession, sf_dir: str, window: str, min_flights: int) -> DataFrame:
     path = scratch_dir(spark, f"stream_q2_{window}")
-    params = replace(STREAM_PARAMS, min_flights=min_flights)
+    params = sized(spark, sf_dir, replace(STREAM_PARAMS, min_flights=min_flights))
     stream = jobs.start_q2(_stream(spark, sf_dir), path, window, params)
     return _list_as_json(_drained(stream, path, f"q2_{window}"))
 
@@ -526,7 +540,7 @@ def stream_q2_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _q2_snapshots(spark: SparkSession, sf_dir: str, params: JobParams, slower: int = 1) -> DataFrame:
-    path = scratch_dir(spark, "stream_q2_global")
+    path, params = scratch_dir(spark, "stream_q2_global"), sized(spark, sf_dir, params)
     _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q2_global(flights, path, params), slower)
     return _list_as_json(jobs.read_stream_results(spark, path, "q2_global"))
 
@@ -544,7 +558,7 @@ def stream_q2_global_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_q3(spark: SparkSession, sf_dir: str, window: str) -> DataFrame:
     path = scratch_dir(spark, f"stream_q3_{window}")
-    stream = jobs.start_q3(_stream(spark, sf_dir), path, window, STREAM_PARAMS)
+    stream = jobs.start_q3(_stream(spark, sf_dir), path, window, sized(spark, sf_dir, STREAM_PARAMS))
     return _stable_quantiles(_drained(stream, path, f"q3_{window}"), *_QUANTILES)
 
 
@@ -557,7 +571,7 @@ def stream_q3_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _q3_snapshots(spark: SparkSession, sf_dir: str, params: JobParams, slower: int = 1) -> DataFrame:
-    path = scratch_dir(spark, "stream_q3_global")
+    path, params = scratch_dir(spark, "stream_q3_global"), sized(spark, sf_dir, params)
     _in_arrival_parts(spark, sf_dir, path, lambda flights: jobs.start_q3_global(flights, path, params), slower)
     return _stable_quantiles(jobs.read_stream_results(spark, path, "q3_global"), *_QUANTILES)
 
@@ -572,6 +586,19 @@ def stream_q3_global_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("window_end") == last_boundary(rows))
 
 
+def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming job: rows and flights of each of its seven results."""
+    path = scratch_dir(spark, "stream_all")
+    jobs.start_all(_stream(spark, sf_dir), path, sized(spark, sf_dir, replace(STREAM_PARAMS, min_flights=2))).finish()
+    counts = []
+    for name in jobs.RESULT_NAMES:
+        rows = jobs.read_stream_results(spark, f"{path}/{name}", name)
+        flights = F.sum("count" if name.startswith("q3") else "num_flights").alias("flights")
+        counts.append(rows.agg(F.count(F.lit(1)).alias("result_rows"), flights).select(
+            F.lit(name).alias("query"), "result_rows", "flights"))
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -586,6 +613,6 @@ QUERIES: dict[str, Query] = {
         export_q1, export_q2, export_q3, run_stats,
         stream_q1_1h, stream_q1_lateness, stream_restart, stream_late_split,
         stream_q2_1h, stream_q2_6h, stream_q2_global, stream_q3_1d, stream_q3_7d, stream_q3_global,
-        stream_q2_lateness, stream_q3_lateness, stream_q2_global_late, stream_q3_global_late,
+        stream_q2_lateness, stream_q3_lateness, stream_q2_global_late, stream_q3_global_late, stream_all,
     )
 }

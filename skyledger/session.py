@@ -53,3 +53,54 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Deletes a scratch folder that is no longer read."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.mkdirs(folder)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder; nothing where there is no such folder."""
+    files, folder = _folder(spark, path)
+    return [s.getPath().toString() for s in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in the place of another, or where there is none."""
+    files, folder = _folder(spark, source)
+    old = _folder(spark, target)[1]
+    files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(folder, old):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    files, file = _folder(spark, path)
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file, in place of one that is there."""
+    files, file = _folder(spark, path)
+    stream = files.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

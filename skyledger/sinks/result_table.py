@@ -1,18 +1,22 @@
-"""Last-write-wins result table.
+"""Last-write-wins result table, one partition per day.
 
-Every write lands in its own ``batch_id`` folder. A replayed batch overwrites exactly that folder, so
-delivery may repeat without leaving duplicates, and a job that dies half-way leaves earlier batches
-intact. Readers keep the newest row per key.
+An upsert merges a batch into the days that it touches and replaces those partitions alone, so a read of some days
+opens only their files and holds one row per key. The merged partitions are complete beside the table before any is put
+in its place: a job that dies in between finds the rest when the batch is delivered again. A repeated batch changes
+nothing, as rows keep the number of the batch that wrote them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyledger.params import DAY_MS
+from skyledger.session import drop_folder, path_exists, replace_folder, subfolders
+
 # Key columns: time plus tags. The since-start results keep window_end, so every snapshot survives.
 RESULT_KEYS: dict[str, tuple[str, ...]] = {
     "q1": ("window_start", "airline"),
@@ -41,60 +45,61 @@ def latest_rows(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     return history.withColumn("age", F.row_number().over(order)).where("age = 1").drop("age")
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent write of one batch."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
+def day_of(keys: Sequence[str]) -> Column:
+    """Partition of a row: the day of its window end where that is part of the key, else of its window start."""
+    time = F.col("window_end" if "window_end" in keys else "window_start")
+    return F.floor(time / DAY_MS).cast("long")
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Every written row with its ``batch_id``."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(path)
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    full = [*schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("day", T.LongType())]
+    return spark.read.schema(T.StructType(full)).parquet(f"{path}/rows")
 
-def read_results(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
-    return latest_rows(read_history(spark, path, schema), keys).drop("batch_id")
 
+def upsert(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str], days: Sequence[int] | None = None) -> None:
+    """Merges a batch into the table; of equal keys the higher batch wins, then the later window end.
 
-def _folders(spark: SparkSession, path: str) -> tuple:
-    """The file system of a table, and its batch folders by number."""
-    top = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(top):
-        return files, {}
-    names = [status.getPath() for status in files.listStatus(top)]
-    return files, {int(p.getName()[len("batch_id="):]): p for p in names if p.getName().startswith("batch_id=")}
-
-
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the batches that a table holds."""
-    return sorted(_folders(spark, path)[1])
-
+    ``days`` are the partitions that the rows touch, where the caller knows them; a batch has as many as the calendar.
+    """
+    spark = rows.sparkSession
+    pending = f"{path}/pending/batch_id={batch_id}"
+    if not path_exists(spark, f"{pending}/_SUCCESS"):
+        stamped = rows.withColumns({"batch_id": F.lit(batch_id).cast("long"), "day": day_of(keys)})
+        if days is None:
+            days = [r.day for r in stamped.select("day").distinct().collect()]
+        if not days:
+            return
+        merged = stamped
+        if path_exists(spark, f"{path}/rows"):
+            merged = _read(spark, path, rows.schema).where(F.col("day").isin(list(days))).unionByName(stamped)
+        latest_rows(merged, ["day", *keys]).repartition("day").write.mode("overwrite").partitionBy("day").parquet(pending)
+    for folder in subfolders(spark, pending):
+        name = folder.rsplit("/", 1)[1]
+        if name.startswith("day="):
+            replace_folder(spark, folder, f"{path}/rows/{name}")
+    for folder in subfolders(spark, f"{path}/pending"):
+        if int(folder.rsplit("=", 1)[1]) < batch_id:
+            drop_folder(spark, folder)
+
+
+def read_results(
+    spark: SparkSession, path: str, schema: T.StructType, first_day: int | None = None, last_day: int | None = None
+) -> DataFrame:
+    """Current rows of a table; with days (counted from the epoch) only their partitions are read."""
+    rows = _read(spark, path, schema)
+    if first_day is not None:
+        rows = rows.where(F.col("day") >= first_day)
+    if last_day is not None:
+        rows = rows.where(F.col("day") <= last_day)
+    return rows.select(*schema.names)
 
-def drop_batches(spark: SparkSession, path: str, upto: int) -> None:
-    """Deletes the folders of batches up to a number."""
-    files, folders = _folders(spark, path)
-    for batch_id, folder in folders.items():
-        if batch_id <= upto:
-            files.delete(folder, True)
 
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """One batch of rows in a folder of its own, which a repeated batch overwrites."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-def compact_batches(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | None, target: int
-) -> None:
-    """Packs all batches below ``target`` into that one, which must be a number of its own, and deletes them.
 
-    With ``keys`` only the newest row of each stays. A repeated call after a failure finds the packed batch complete
-    and goes on with deleting, so no row is lost.
-    """
-    files, folders = _folders(spark, path)
-    done = target in folders and files.exists(
-        spark._jvm.org.apache.hadoop.fs.Path(folders[target], "_SUCCESS"))
-    older = [b for b in folders if b < target]
-    if not older:
-        return
-    if not done:
-        history = read_history(spark, path, schema).where(F.col("batch_id") < target)
-        rows = latest_rows(history, keys) if keys else history
-        write_batch(rows.drop("batch_id"), path, target)
-    drop_batches(spark, path, target - 1)
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that ``write_batch`` has left in a folder."""
+    names = (p.rsplit("/", 1)[1] for p in subfolders(spark, path))
+    return sorted(int(n[len("batch_id="):]) for n in names if n.startswith("batch_id="))

@@ -1,22 +1,19 @@
-"""The seven result streams and what goes with them.
+"""The seven result streams and what goes with them, on Spark's own event time, state and recovery.
 
-A micro-batch is written once: event time, reject rule and the narrow flight columns. Everything else reads that. The
-largest event time of all rows with a valid time, rejected or filtered ones included, is carried from batch to batch;
-less the watermark delay it is the watermark of every result, so results, late rows and batch reports agree.
+Every stream sets its watermark on the raw rows, so rejected and filtered rows move it too. Windowed results are
+streaming aggregations: in append mode a window is emitted once, when the watermark (delay plus allowed lateness) has
+passed it; with corrections, in update mode, it is emitted whenever it changes, until then. Rankings and distributions
+chain two aggregations. Rows that the aggregation drops as late leave the same query as a second kind of row, told
+apart by the watermark that Spark has logged for the batch.
 
-A result keeps additive partials of its open windows: counters for Q1, counters and bounded worst-flight lists for Q2,
-sketch bins for Q3. A batch merges its own partials into them, drops what is late, and emits the windows that the
-watermark has passed; a late row that is still allowed emits its window again. The batch operators turn partials into
-results. Results since the start lose no row: what comes after its snapshot counts in the next one.
+Results since the start add up finished intervals. A row that is late for its interval counts in the next snapshot.
 
-Every write of batch N goes to a folder of its own and reads at most those of batch N-1, so a batch that is replayed
-after a failure overwrites itself and nothing else. Folders that no replay can need are deleted, and results are
-compacted now and then.
+What leaves a micro-batch goes to a last-write-wins table under the number of the batch, so a batch that is delivered
+again changes nothing. All state is in Spark's checkpoint, but for the totals since the start, which are a table too.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -26,543 +23,465 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.functions import sketch
-from skyledger.functions.scalars import flag_set
 from skyledger.operators import airports, carrier, delays, latency
-from skyledger.operators.clean import active_flights, has_valid_time, reject_rule, target_airlines, with_event_time
+from skyledger.operators.clean import active_flights, target_airlines
 from skyledger.operators.late import MINUTE_MS
 from skyledger.operators.windows import end_of_window, label_of, unpack_window, window_ms
-from skyledger.params import JobParams
+from skyledger.params import DAY_MS, JobParams
 from skyledger.schema import Q1_RESULT, Q2_RESULT, Q3_RESULT
-from skyledger.sinks.result_table import (
-    RESULT_KEYS,
-    batch_ids,
-    compact_batches,
-    drop_batches,
-    latest_rows,
-    read_history,
-    write_batch,
-)
+from skyledger.session import drop_folder
+from skyledger.sinks.result_table import RESULT_KEYS, batch_ids, read_results, upsert, write_batch
 from skyledger.streaming.checkpoints import trigger
+from skyledger.streaming.intake import CLOSING_MS, batch_watermark, clean_stream, close, with_closing
+from skyledger.streaming.progress import ProgressWriter, counters, dropped_rows
+
+__all__ = ["counters", "dropped_rows"]
 
 # Gets the finished rows of one batch; must tolerate a repeated batch id.
 BatchSink = Callable[[DataFrame, int], None]
+# One input, or several with a watermark each.
+Flights = DataFrame | Sequence[DataFrame]
 
-# Batches between two compactions of a result folder.
-COMPACT_EVERY = 50
 
+# --- running ------------------------------------------------------------------------------------------
 
-def _fields(**kinds: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
+@dataclass
+class RunningStream:
+    """A started stream, and how a bounded one is closed."""
 
-_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
-_WORST = T.ArrayType(_fields(neg=_D, carrier=_S, dest=_S))
+    query: StreamingQuery
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    start: Callable[[], StreamingQuery]
+    waiting: bool = True
 
-# Partials of open windows; ``batch`` is the last batch that touched the row.
-_STATE_Q1 = _fields(
-    window_start=_L, window_end=_L, airline=_S, num_flights=_L, completed=_L, cancelled=_L, diverted=_L, late=_L,
-    delay_sum=_D, batch=_L)
-_STATE_Q2 = _fields(
-    window_start=_L, window_end=_L, origin_airport_id=_I, num_flights=_L, severe_delays=_L, delay_sum=_D,
-    dep_delay_max=_D, worst=_WORST, batch=_L)
-_STATE_Q3 = _fields(
-    window_start=_L, window_end=_L, airline=_S, hour=_I, bin=_I, cnt=_L, lo=_D, hi=_D, batch=_L)
-_SEEN = _fields(seen_ms=_L)
-_SAMPLES = _fields(step=_S, metric=_S, latency_ms=_D)
-_COUNTS = _fields(counter=_S, rows=_L)
+    def awaitTermination(self) -> None:  # noqa: N802 - named as on the query
+        """Waits for the query, and until its progress has been written."""
+        try:
+            self.query.awaitTermination()
+        finally:
+            if self.waiting:
+                ProgressWriter.of(self.spark).wait(str(self.query.runId))
+                self.waiting = False
+
+    def again(self) -> None:
+        """Starts the query once more, from its checkpoint."""
+        self.query = self.start()
+        self.waiting = True
 
+    def finish(self) -> None:
+        """Waits for a drained run and closes what is open, as at the end of a bounded source.
 
-@dataclass(frozen=True)
-class Seen:
-    """Largest event time of the batches before this one, and with it; None before any valid row."""
+        A closing row passes the watermark and is dropped before any aggregation. Rows of later runs are late.
+        """
+        self.awaitTermination()
+        close(self.spark, self.schema, f"{self.path}/closing")
+        self.again()
+        self.awaitTermination()
 
-    before: int | None
-    now: int | None
 
+@dataclass
+class RunningStreams:
+    """Several streams side by side."""
 
-@dataclass(frozen=True)
-class Result:
-    """One result: which rows it takes, how they are summed up, merged and finished."""
+    streams: list[RunningStream]
 
-    name: str
-    window: str
-    keep: Callable[[DataFrame], DataFrame]
-    partials: Callable[[DataFrame], DataFrame]
-    merge: Callable[[DataFrame], DataFrame]
-    finish: Callable[[DataFrame], DataFrame]
-    state: T.StructType
-    schema: T.StructType
+    def awaitTermination(self) -> None:  # noqa: N802 - named as on the query
+        for stream in self.streams:
+            stream.awaitTermination()
 
+    def finish(self) -> None:
+        self.awaitTermination()
+        for stream in self.streams:
+            close(stream.spark, stream.schema, f"{stream.path}/closing")
+            stream.again()
+        self.awaitTermination()
 
-def _merge_q1(rows: DataFrame) -> DataFrame:
-    sums = ("num_flights", "completed", "cancelled", "diverted", "late", "delay_sum")
-    return rows.groupBy("window_start", "window_end", "airline").agg(
-        *[F.sum(c).alias(c) for c in sums], F.max("batch").alias("batch"))
 
+def _start(
+    flights: Flights, path: str, name: str, delay: int, params: JobParams, interval: str | None,
+    build: Callable[[DataFrame], DataFrame], handle: Callable[[DataFrame, int], None], mode: str = "append",
+) -> RunningStream:
+    inputs = [flights] if isinstance(flights, DataFrame) else list(flights)
+    spark = inputs[0].sparkSession
+    schema = inputs[0].schema
+
+    out = build(clean_stream([with_closing(f, f"{path}/closing") for f in inputs], delay, f"rows_{name}"))
+    # A query keeps these as they are when it starts, whatever the session is set to later.
+    own = {"spark.sql.streaming.multipleWatermarkPolicy": params.watermark_policy}
+    if params.state_partitions:
+        own["spark.sql.shuffle.partitions"] = str(params.state_partitions)
+
+    def start() -> StreamingQuery:
+        ProgressWriter.of(spark).follow(name, path)
+        before = {key: spark.conf.get(key) for key in own}
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        try:
+            return (
+                out.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", f"{path}/checkpoint")
+                .trigger(**trigger(interval)).foreachBatch(handle).start()
+            )
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+
+    return RunningStream(start(), spark, path, schema, start)
 
-def _q1(params: JobParams) -> Result:
-    return Result(
-        "q1", "1h", lambda rows: target_airlines(rows, params.carriers),
-        lambda rows: unpack_window(carrier.carrier_partials(rows, params)), _merge_q1, carrier.finish_carrier,
-        _STATE_Q1, Q1_RESULT)
+
+def read_stream_results(spark: SparkSession, path: str, query: str) -> DataFrame:
+    """Current rows of a result stream that has emitted at least one window."""
+    schema = {"q1": Q1_RESULT, "q2": Q2_RESULT, "q3": Q3_RESULT}[query.split("_")[0]]
+    return read_results(spark, f"{path}/results", schema)
+
+
+def late_rows_seen(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows that a windowed result has left out as late; None where there were none."""
+    return spark.read.parquet(f"{path}/late") if batch_ids(spark, f"{path}/late") else None
 
 
-def _partials_q2(rows: DataFrame, window: str, params: JobParams) -> DataFrame:
-    totals = airports.airport_partials(rows, params, window)
-    return totals.join(airports.worst_flights(rows, params, window), list(airports.KEY), "left")
+# --- windowed results ---------------------------------------------------------------------------------
 
 
-def _merge_q2(n: int) -> Callable[[DataFrame], DataFrame]:
-    def merge(rows: DataFrame) -> DataFrame:
-        totals = rows.groupBy(*airports.KEY).agg(
-            *[F.sum(c).alias(c) for c in ("num_flights", "severe_delays", "delay_sum")],
-            F.max("dep_delay_max").alias("dep_delay_max"), F.max("batch").alias("batch"))
-        flights = rows.select(*airports.KEY, F.explode("worst").alias("f")).select(
-            *airports.KEY, (-F.col("f.neg")).alias("dep_delay"), "f.carrier", "f.dest")
-        return totals.join(airports.collect_worst(flights, n), list(airports.KEY), "left")
+@dataclass(frozen=True)
+class Result:
+    """One windowed result: which rows it takes, its finished form in a stream, and its form with corrections.
+
+    With corrections ``partials`` is the aggregation that a stream updates, ``keys`` are the columns that name one of
+    its rows, and ``finish`` makes results of the stored rows of some windows; None where partials are results.
+    """
 
-    return merge
+    name: str
+    window: str
+    keep: Callable[[DataFrame], DataFrame]
+    stream: Callable[[DataFrame], DataFrame]
+    partials: Callable[[DataFrame], DataFrame]
+    keys: tuple[str, ...]
+    finish: Callable[[DataFrame], DataFrame] | None
+    schema: T.StructType
 
 
-def _lists(state: DataFrame) -> DataFrame:
-    return state.where("severe_delays > 0").select(*airports.KEY, "worst")
+def _q1(params: JobParams) -> Result:
+    performance = lambda rows: carrier.carrier_performance(rows, params)
+    return Result(
+        "q1", "1h", lambda rows: target_airlines(rows, params.carriers), performance, performance, (), None, Q1_RESULT)
 
 
 def _q2(window: str, params: JobParams) -> Result:
-    def finish(state: DataFrame) -> DataFrame:
-        stats = airports.airport_stats(state, params.min_flights)
+    def partials(rows: DataFrame) -> DataFrame:
+        reduced = airports.reduced_flights(rows, params, window)
+        return unpack_window(airports.airport_windows(reduced, params, window))
+
+    def finish(stored: DataFrame) -> DataFrame:
+        stats = airports.airport_stats(stored, params.min_flights)
         ranked = airports.rank_airports(stats, params.top_airports)
-        return airports.airport_result(ranked, _lists(state), window)
+        lists = stored.where("severe_delays > 0").select(*airports.KEY, "worst")
+        return airports.airport_result(ranked, lists, window)
 
     return Result(
-        f"q2_{window}", window, active_flights, lambda rows: _partials_q2(rows, window, params),
-        _merge_q2(params.top_flights), finish, _STATE_Q2, Q2_RESULT)
-
-
-def _merge_q3(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*delays.KEY, "bin").agg(
-        F.sum("cnt").alias("cnt"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("batch").alias("batch"))
+        f"q2_{window}", window, active_flights, lambda rows: airports.airport_ranking_stream(rows, window, params),
+        partials, ("window_start", "origin_airport_id"), finish, Q2_RESULT)
 
 
 def _q3(window: str, params: JobParams) -> Result:
     return Result(
         f"q3_{window}", window, lambda rows: target_airlines(active_flights(rows), params.carriers),
-        lambda rows: delays.delay_bins(rows, params, window), _merge_q3,
-        lambda state: delays.finish_delays(state, window, params), _STATE_Q3, Q3_RESULT)
+        lambda rows: delays.delay_distribution_stream(rows, window, params),
+        lambda rows: delays.delay_bins(rows, params, window), ("window_start", "airline", "hour", "bin"),
+        lambda stored: delays.finish_delays(stored, window, params), Q3_RESULT)
 
 
-# --- storage --------------------------------------------------------------------------------------
+def _with_late(results: DataFrame, rows: DataFrame, window: str) -> DataFrame:
+    """Finished results and the rows that may be late, as two columns of one stream; a row has one of them."""
+    late = rows.withColumn("window_end", end_of_window(F.col("event_ms"), window_ms(window)))
+    nothing = lambda df: F.lit(None).cast(T.StructType(
+        [T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+    return results.select(F.struct("*").alias("result"), nothing(late).alias("late")).unionByName(
+        late.select(nothing(results).alias("result"), F.struct("*").alias("late")))
 
 
-def _store(rows: DataFrame, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    """Writes one batch and reads it back: later steps no longer depend on the stream."""
-    write_batch(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), path, batch_id)
-    return _load(rows.sparkSession, path, batch_id, schema)
+def _is_late(mark: int | None) -> Column:
+    """Spark drops a row whose window end the watermark has reached."""
+    return F.col("late.window_end") <= F.lit(-1 if mark is None else mark)
 
 
-def _load(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    if batch_id < 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+def _late_part(batch: DataFrame, mark: int | None) -> DataFrame:
+    return batch.where("late IS NOT NULL").select("late.*").withColumn(
+        "lateness_min", (F.lit(mark).cast("long") - F.col("window_end")) / float(MINUTE_MS))
 
 
-def _result_id(batch_id: int, flushed: bool = False) -> int:
-    """Number of a batch's output, or of a flush behind it; the number after that is a compaction's."""
-    return 4 * batch_id + flushed
-
-
-def _append(rows: DataFrame, path: str, batch_id: int, schema: T.StructType) -> None:
-    """Writes a batch of rows that are kept for good, and packs those before it now and then."""
-    write_batch(rows, path, _result_id(batch_id))
-    if batch_id and batch_id % COMPACT_EVERY == 0:
-        compact_batches(rows.sparkSession, path, schema, None, _result_id(batch_id) - 2)
-
-
-def _deliver(
-    rows: DataFrame, path: str, result_id: int, result: Result, sinks: Sequence[BatchSink], keys: str
-) -> None:
-    stored = _store(rows, f"{path}/results", result_id, result.schema)
+def _deliver(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str], sinks: Sequence[BatchSink], days=None) -> None:
+    upsert(rows, f"{path}/results", batch_id, keys, days)
     for sink in sinks:
-        sink(stored, result_id)
-    if result_id and result_id % (4 * COMPACT_EVERY) == 0:
-        # The batch before is committed and never replayed, so what it left can be packed.
-        compact_batches(rows.sparkSession, f"{path}/results", result.schema, RESULT_KEYS[keys], result_id - 2)
+        sink(rows, batch_id)
 
 
-def read_stream_results(spark: SparkSession, path: str, query: str) -> DataFrame:
-    """Current rows of a result stream that has emitted at least one window."""
-    schema = {"q1": Q1_RESULT, "q2": Q2_RESULT, "q3": Q3_RESULT}[query.split("_")[0]]
-    return latest_rows(read_history(spark, f"{path}/results", schema), RESULT_KEYS[query]).drop("batch_id")
+def _window_stream(
+    flights: Flights, result: Result, path: str, params: JobParams, interval: str | None, sinks: Sequence[BatchSink],
+    corrections: bool,
+) -> RunningStream:
+    delay = params.watermark_delay + params.lateness_for(result.name)
+    keys = RESULT_KEYS[result.name]
+    first = result.partials if corrections else result.stream
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = batch_watermark(spark, f"{path}/checkpoint", batch_id)
+        kept = batch.where(F.col("result").isNotNull() | _is_late(mark)).persist()
+        try:
+            found = kept.agg(
+                F.count("late").alias("late"), F.collect_set(F.floor(F.col("result.window_start") / DAY_MS)).alias("days")
+            ).first()
+            if found.late:
+                write_batch(_late_part(kept, mark), f"{path}/late", batch_id)
+            if found.days:
+                rows = kept.where("result IS NOT NULL").select("result.*")
+                if corrections and result.finish:
+                    rows = _corrected(rows, result, path, batch_id, found.days)
+                _deliver(rows, path, batch_id, keys, sinks, found.days)
+        finally:
+            kept.unpersist()
+
+    return _start(
+        flights, path, result.name, delay, params, interval,
+        lambda rows: _with_late(first(rows), result.keep(rows), result.window), handle,
+        "update" if corrections else "append")
+
+
+def _corrected(changed: DataFrame, result: Result, path: str, batch_id: int, days: Sequence[int]) -> DataFrame:
+    """Results of the windows that a batch has changed, from all their stored partials."""
+    spark = changed.sparkSession
+    upsert(changed, f"{path}/partials", batch_id, result.keys, days)
+    stored = read_results(spark, f"{path}/partials", changed.schema, min(days), max(days))
+    touched = changed.select("window_start").distinct()
+    return result.finish(stored.join(touched, "window_start", "left_semi").select(*stored.columns))
 
-# --- intake ---------------------------------------------------------------------------------------
 
+def start_q1(
+    flights: Flights, path: str, params: JobParams = JobParams(), interval: str | None = None,
+    sinks: Sequence[BatchSink] = (), corrections: bool = False,
+) -> RunningStream:
+    """Carrier performance per hour, once per window; with ``corrections`` whenever a window changes."""
+    return _window_stream(flights, _q1(params), path, params, interval, sinks, corrections)
 
-def _intake(batch: DataFrame, path: str, batch_id: int) -> tuple[DataFrame, Seen]:
-    """Writes a micro-batch with its event times and reject rules; returns the clean rows and the event time seen.
 
-    The source is read once. Reject counts of the batch go to ``counts``.
-    """
-    spark = batch.sparkSession
-    timed = with_event_time(batch).withColumns({
-        "event_ms": F.when(has_valid_time(), F.unix_millis("event_ts")),
-        "dep_delay": F.coalesce("dep_delay", F.lit(0.0)),
-        "is_cancelled": flag_set(F.col("cancelled")),
-        "is_diverted": flag_set(F.col("diverted")),
-        "reject_rule": reject_rule(),
-    }).drop("year", "month", "day_of_month", "crs_dep_time", "cancelled", "diverted")
-    write_batch(timed, f"{path}/rows", batch_id)
-    rows = _load(spark, f"{path}/rows", batch_id, timed.schema)
-    before = _load(spark, f"{path}/seen", batch_id - 1, _SEEN).agg(F.max("seen_ms")).first()[0]
-    by_rule = rows.groupBy("reject_rule").agg(F.count(F.lit(1)).alias("rows"), F.max("event_ms").alias("newest")).collect()
-    now = max((t for t in [before, *(r.newest for r in by_rule)] if t is not None), default=None)
-    _store(spark.createDataFrame([(now,)], _SEEN), f"{path}/seen", batch_id, _SEEN)
-    counts = [("rows_in", sum(r["rows"] for r in by_rule))] + [
-        (f"rejected_{r.reject_rule}", r["rows"]) for r in by_rule if r.reject_rule]
-    known = _load(spark, f"{path}/counts", batch_id - 1, _COUNTS).unionByName(spark.createDataFrame(counts, _COUNTS))
-    _store(known.groupBy("counter").agg(F.sum("rows").alias("rows")).coalesce(1), f"{path}/counts", batch_id, _COUNTS)
-    return rows.where("reject_rule IS NULL").drop("reject_rule"), Seen(before, now)
-
-
-def counters(spark: SparkSession, path: str) -> DataFrame:
-    """(counter, rows) over all batches of a stream: rows read, and rows rejected by each rule."""
-    return _load(spark, f"{path}/counts", max(batch_ids(spark, f"{path}/counts"), default=-1), _COUNTS)
+def start_q2(
+    flights: Flights, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    sinks: Sequence[BatchSink] = (), corrections: bool = False,
+) -> RunningStream:
+    """Airport ranking over tumbling windows; with ``corrections`` a row ranks its whole window anew."""
+    return _window_stream(flights, _q2(window, params), path, params, interval, sinks, corrections)
 
 
-def late_rows_seen(spark: SparkSession, path: str) -> DataFrame | None:
-    """All rows that a windowed result has left out as late; None where there were none."""
-    return spark.read.parquet(f"{path}/late") if batch_ids(spark, f"{path}/late") else None
+def start_q3(
+    flights: Flights, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    sinks: Sequence[BatchSink] = (), corrections: bool = False,
+) -> RunningStream:
+    """Delay distribution over tumbling windows; the state is one counter per sketch bin."""
+    return _window_stream(flights, _q3(window, params), path, params, interval, sinks, corrections)
 
 
-def _drop_old(spark: SparkSession, path: str, batch_id: int, *folders: str) -> None:
-    """A replay of this batch reads the one before it; what is older goes."""
-    for folder in folders:
-        drop_batches(spark, f"{path}/{folder}", batch_id - 2)
-
-
-# --- steps ----------------------------------------------------------------------------------------
-
-
-def _graces(params: JobParams, name: str) -> tuple[int, int]:
-    """Watermark delay, and delay plus allowed lateness, in milliseconds."""
-    delay = params.watermark_delay * MINUTE_MS
-    return delay, delay + params.lateness_for(name) * MINUTE_MS
-
-
-def split_late(rows: DataFrame, window: str, grace_ms: int, seen: Seen) -> tuple[DataFrame, DataFrame]:
-    """Rows in time, and rows whose window had ended for good before this batch, with ``lateness_min``."""
-    ended = rows.withColumn("window_end", end_of_window(F.col("event_ms"), window_ms(window)))
-    if seen.before is None:
-        return rows, ended.withColumn("lateness_min", F.lit(0.0)).limit(0)
-    over = F.lit(seen.before) - F.col("window_end") - grace_ms
-    return ended.where(over < 0).drop("window_end"), ended.where(over >= 0).withColumn(
-        "lateness_min", over / float(MINUTE_MS))
-
-
-def _window_step(
-    result: Result, rows: DataFrame, path: str, batch_id: int, seen: Seen, params: JobParams,
-    sinks: Sequence[BatchSink], early: bool = False,
-) -> None:
-    """Merges a batch into the open windows and emits those that are due."""
-    spark = rows.sparkSession
-    delay, grace = _graces(params, result.name)
-    kept, late = split_late(result.keep(rows), result.window, grace, seen)
-    if seen.before is not None and not late.isEmpty():
-        _append(late, f"{path}/late", batch_id, late.schema)
-    open_ = _load(spark, f"{path}/state", batch_id - 1, result.state)
-    if seen.before is not None:
-        open_ = open_.where(F.col("window_end") + grace > seen.before)
-    new = result.partials(kept).withColumn("batch", F.lit(batch_id).cast("long"))
-    state = _store(result.merge(open_.unionByName(new, allowMissingColumns=True)), f"{path}/state", batch_id, result.state)
-    due = F.lit(early)
-    if seen.now is not None:
-        due = due | (F.col("window_end") + delay <= seen.now)
-    changed = F.col("batch") == batch_id
-    if seen.before is not None and not early:
-        changed = changed | (F.col("window_end") + delay > seen.before)
-    emitted = state.where(due & changed).select("window_end").distinct()
-    ready = state.join(emitted, "window_end", "left_semi")
-    if not ready.isEmpty():
-        _deliver(result.finish(ready), path, _result_id(batch_id), result, sinks, result.name)
-    _drop_old(spark, path, batch_id, "state")
-
-
-def _flush_window(result: Result, path: str, batch_id: int, seen: Seen, params: JobParams, spark, sinks) -> None:
-    """Emits the windows that were still open after the last batch."""
-    delay, _ = _graces(params, result.name)
-    state = _load(spark, f"{path}/state", batch_id, result.state)
-    waiting = state if seen.now is None else state.where(F.col("window_end") + delay > seen.now)
-    if not waiting.isEmpty():
-        _deliver(result.finish(waiting), path, _result_id(batch_id, True), result, sinks, result.name)
-
-
-def _boundary(seen_ms: int | None, delay_ms: int, interval: int) -> int | None:
-    """The last boundary that the watermark has passed."""
-    return None if seen_ms is None else (seen_ms - delay_ms) // interval * interval
+# --- results since the start --------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
-class Snapshots:
-    """A result since the start: the partials of an interval, and the snapshots they give up to a boundary."""
+class SinceStart:
+    """A result since the start: rows become partials (``single``), a stream sums them up per interval (``closed``),
+    ``merge`` adds partials of the same ``window_end``, and ``snapshots`` makes results up to a boundary."""
 
-    base: Result
+    name: str
     interval: int
+    closed: Callable[[DataFrame], DataFrame]
+    single: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame], DataFrame]
     snapshots: Callable[[DataFrame, Column, int], DataFrame]
+    schema: T.StructType
 
 
-def _q2_global(params: JobParams, start_ms: int | None) -> Snapshots:
-    def snapshots(state: DataFrame, last: Column, intervals: int) -> DataFrame:
-        return airports.airport_snapshots(
-            state, _lists(state).drop("window_start"), params, start_ms=start_ms, last=last, intervals=intervals)
-
-    return Snapshots(_q2(label_of(params.airport_snapshot_ms), params), params.airport_snapshot_ms, snapshots)
-
-
-def _q3_global(params: JobParams, start_ms: int | None) -> Snapshots:
-    return Snapshots(
-        _q3(label_of(params.delay_snapshot_ms), params), params.delay_snapshot_ms,
-        lambda state, last, _: delays.delay_snapshots(state, params, start_ms=start_ms, last=last))
-
-
-def _emit_snapshots(
-    job: Snapshots, state: DataFrame, done: int | None, upto: int, path: str, result_id: int,
-    sinks: Sequence[BatchSink], name: str,
-) -> None:
-    ready = state.where(F.col("window_end") <= upto)
-    low = ready.agg(F.min("window_end")).first()[0]
-    if low is None:
-        return
-    rows = job.snapshots(ready, F.lit(upto).cast("long"), (upto - low) // job.interval + 1)
-    if done is not None:
-        rows = rows.where(F.col("window_end") > done)
-    _deliver(rows, path, result_id, job.base, sinks, name)
-
-
-def _global_step(
-    name: str, job: Snapshots, rows: DataFrame, path: str, batch_id: int, seen: Seen, params: JobParams,
-    sinks: Sequence[BatchSink],
-) -> None:
-    """Adds a batch to the totals and emits the snapshots of the boundaries it passed.
-
-    The state holds the totals at the last boundary and the intervals behind it. A row from before that boundary
-    counts in the first interval behind it, so it is in every later snapshot.
-    """
-    spark = rows.sparkSession
-    delay = params.watermark_delay * MINUTE_MS
-    done, upto = (_boundary(t, delay, job.interval) for t in (seen.before, seen.now))
-    new = job.base.partials(job.base.keep(rows)).withColumn("batch", F.lit(batch_id).cast("long"))
-    if done is not None:
-        new = new.withColumn("window_end", F.greatest("window_end", F.lit(done + job.interval).cast("long")))
-    both = _load(spark, f"{path}/state", batch_id - 1, job.base.state).unionByName(new, allowMissingColumns=True)
-    # Intervals are told apart by their end alone, as totals have no single start.
-    both = both.withColumn("window_start", F.lit(0).cast("long"))
-    merged = _store(job.base.merge(both), f"{path}/merged", batch_id, job.base.state)
-    if upto is not None and upto != done:
-        _emit_snapshots(job, merged, done, upto, path, _result_id(batch_id), sinks, name)
-        merged = job.base.merge(merged.withColumn("window_end", F.greatest("window_end", F.lit(upto).cast("long"))))
-    _store(merged, f"{path}/state", batch_id, job.base.state)
-    _drop_old(spark, path, batch_id, "state", "merged")
-
-
-def _flush_global(name: str, job: Snapshots, path: str, batch_id: int, seen: Seen, params: JobParams, spark, sinks) -> None:
-    state = _load(spark, f"{path}/state", batch_id, job.base.state)
-    last = state.agg(F.max("window_end")).first()[0]
-    done = _boundary(seen.now, params.watermark_delay * MINUTE_MS, job.interval)
-    if last is not None and (done is None or last > done):
-        _emit_snapshots(job, state, done, last, path, _result_id(batch_id, True), sinks, name)
-
+def _q2_global(params: JobParams, start_ms: int | None) -> SinceStart:
+    window = label_of(params.airport_snapshot_ms)
+    columns = ("window_end", "origin_airport_id", *airports.TOTALS, "worst")
 
-# --- streams --------------------------------------------------------------------------------------
+    def closed(rows: DataFrame) -> DataFrame:
+        reduced = airports.reduced_flights(rows, params, window)
+        return unpack_window(airports.airport_windows(reduced, params, window)).select(*columns)
 
-# What a stream does with a batch of clean rows, and at the end of a bounded input.
-Step = Callable[[DataFrame, int, Seen], None]
+    def single(rows: DataFrame) -> DataFrame:
+        reduced = airports.reduced_flights(rows, params, window)
+        end = F.unix_millis("event_ts") + params.airport_snapshot_ms
+        return reduced.withColumn("window_end", end).select(*columns)
 
+    def merge(partials: DataFrame) -> DataFrame:
+        lists = F.sort_array(F.flatten(F.collect_list("worst")))
+        return partials.groupBy("window_end", "origin_airport_id").agg(
+            *[F.sum(c).alias(c) for c in airports.TOTALS[:3]], F.max("dep_delay_max").alias("dep_delay_max"),
+            F.slice(lists, 1, params.top_flights).alias("worst")).select(*columns)
 
-@dataclass(frozen=True)
-class _Job:
-    name: str
-    step: Step
-    flush: Callable[[SparkSession, int, Seen], None]
-
+    def snapshots(partials: DataFrame, last: Column, intervals: int) -> DataFrame:
+        lists = partials.where("severe_delays > 0").select("window_end", "origin_airport_id", "worst")
+        return airports.airport_snapshots(
+            partials, lists, params, start_ms=start_ms, last=last, intervals=intervals)
 
-def _window_job(result: Result, path: str, params: JobParams, sinks: Sequence[BatchSink], early: bool = False) -> _Job:
-    return _Job(
-        result.name,
-        lambda rows, n, seen: _window_step(result, rows, path, n, seen, params, sinks, early),
-        lambda spark, n, seen: _flush_window(result, path, n, seen, params, spark, sinks))
+    return SinceStart("q2_global", params.airport_snapshot_ms, closed, single, merge, snapshots, Q2_RESULT)
 
 
-def _global_job(name: str, job: Snapshots, path: str, params: JobParams, sinks: Sequence[BatchSink]) -> _Job:
-    return _Job(
-        name,
-        lambda rows, n, seen: _global_step(name, job, rows, path, n, seen, params, sinks),
-        lambda spark, n, seen: _flush_global(name, job, path, n, seen, params, spark, sinks))
+def _q3_global(params: JobParams, start_ms: int | None) -> SinceStart:
+    window = label_of(params.delay_snapshot_ms)
+    columns = ("window_end", "airline", "hour", "bin", "cnt", "lo", "hi")
 
+    def single(rows: DataFrame) -> DataFrame:
+        kept = target_airlines(active_flights(rows), params.carriers)
+        bins = kept.select(
+            end_of_window(F.col("event_ms"), params.delay_snapshot_ms).alias("window_end"), "airline",
+            F.col("dep_hour").alias("hour"), sketch.bin_of("dep_delay", params.sketch_accuracy).alias("bin"), "dep_delay")
+        known = F.col("bin").isNotNull()
+        return bins.select(
+            "window_end", "airline", "hour", "bin", known.cast("long").alias("cnt"),
+            F.when(known, F.col("dep_delay")).alias("lo"), F.when(known, F.col("dep_delay")).alias("hi"))
 
-@dataclass(frozen=True)
-class RunningStream:
-    """A started stream: its query, and what is left to do when a bounded input has been read."""
-
-    query: StreamingQuery
-    spark: SparkSession
-    path: str
-    jobs: tuple[_Job, ...]
+    def merge(partials: DataFrame) -> DataFrame:
+        return sketch.merge_bins(partials, ["window_end", "airline", "hour"]).select(*columns)
 
-    def awaitTermination(self) -> None:  # noqa: N802 - named as on the query
-        self.query.awaitTermination()
+    return SinceStart(
+        "q3_global", params.delay_snapshot_ms, lambda rows: delays.delay_bins(rows, params, window).select(*columns),
+        single, merge, lambda partials, last, _: delays.delay_snapshots(partials, params, start_ms=start_ms, last=last),
+        Q3_RESULT)
 
-    def finish(self) -> None:
-        """Waits for a drained run and emits what is still open, as at the end of a bounded source.
 
-        A later run corrects these results: they carry the number of the last batch.
-        """
-        self.query.awaitTermination()
-        spark = self.spark
-        last = max(batch_ids(spark, f"{self.path}/seen"), default=None)
-        if last is None:
-            return
-        now = _load(spark, f"{self.path}/seen", last, _SEEN).first()[0]
-        for job in self.jobs:
-            job.flush(spark, last, Seen(now, now))
+def _boundary(mark: int | None, interval: int) -> int | None:
+    """The last boundary that a watermark has passed."""
+    return None if mark is None else mark // interval * interval
 
 
-def _start(
-    flights: DataFrame, name: str, path: str, jobs: Sequence[_Job], interval: str | None
+def _since_start_stream(
+    flights: Flights, job: SinceStart, path: str, params: JobParams, interval: str | None, sinks: Sequence[BatchSink],
 ) -> RunningStream:
+    def build(rows: DataFrame) -> DataFrame:
+        closed, single = job.closed(rows), job.single(rows)
+        return closed.withColumn("closed", F.lit(True)).unionByName(single.withColumn("closed", F.lit(False)))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        clock = time.perf_counter()
-        rows, seen = _intake(batch, path, batch_id)
-        took = [(name, "operator_intake_ms", 1000 * (time.perf_counter() - clock))]
-        for job in jobs:
-            clock = time.perf_counter()
-            job.step(rows, batch_id, seen)
-            took.append((job.name, "operator_addBatch_ms", 1000 * (time.perf_counter() - clock)))
-        _append(spark.createDataFrame(took, _SAMPLES).coalesce(1), f"{path}/durations", batch_id, _SAMPLES)
-        _drop_old(spark, path, batch_id, "rows", "seen", "counts")
-
-    query = (
-        flights.writeStream.queryName(name).outputMode("append").option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(**trigger(interval)).foreachBatch(handle).start()
-    )
-    return RunningStream(query, flights.sparkSession, path, tuple(jobs))
-
-
-def start_q1(
-    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
-    sinks: Sequence[BatchSink] = (), early: bool = False,
-) -> RunningStream:
-    """Carrier performance per hour: first when the watermark passes, again while late rows are allowed.
-
-    ``early`` also emits windows that are still filling.
-    """
-    return _start(flights, "q1", path, [_window_job(_q1(params), path, params, sinks, early)], interval)
-
-
-def start_q2(
-    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
-    sinks: Sequence[BatchSink] = (),
-) -> RunningStream:
-    """Airport ranking over tumbling windows; a late row that is allowed ranks its whole window anew."""
-    job = _window_job(_q2(window, params), path, params, sinks)
-    return _start(flights, job.name, path, [job], interval)
+        mark = batch_watermark(spark, f"{path}/checkpoint", batch_id)
+        if mark is None:
+            # Nothing is closed or late yet, but the state has to be written.
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        done = _boundary(batch_watermark(spark, f"{path}/checkpoint", batch_id - 1), job.interval)
+        upto = _boundary(mark, job.interval)
+        # A late row counts in the first interval behind the last boundary.
+        new = batch.where(F.col("closed") | (F.col("window_end") <= mark)).withColumn(
+            "window_end", F.when(F.col("closed"), F.col("window_end")).otherwise(
+                F.greatest("window_end", F.lit(upto + job.interval).cast("long")))).drop("closed")
+        before = [b for b in batch_ids(spark, f"{path}/totals") if b < batch_id]
+        if before:
+            known = spark.read.schema(new.schema).parquet(f"{path}/totals/batch_id={before[-1]}")
+            new = known.unionByName(new)
+        rows = job.merge(new).persist()
+        try:
+            span = rows.agg(F.min("window_end").alias("low"), F.max("window_end").alias("high")).first()
+            if span.low is None:
+                return
+            if mark >= CLOSING_MS - params.watermark_delay * MINUTE_MS:
+                upto = span.high
+            if span.low <= upto and (done is None or done < upto):
+                shots = job.snapshots(
+                    rows.where(F.col("window_end") <= upto), F.lit(upto).cast("long"),
+                    (upto - span.low) // job.interval + 1)
+                if done is not None:
+                    shots = shots.where(F.col("window_end") > done)
+                shots = shots.select(*[F.col(f.name).cast(f.dataType) for f in job.schema.fields])
+                _deliver(shots, path, batch_id, RESULT_KEYS[job.name], sinks)
+            # From here on the intervals up to the boundary are one.
+            totals = job.merge(rows.withColumn("window_end", F.greatest("window_end", F.lit(upto).cast("long"))))
+            write_batch(totals, f"{path}/totals", batch_id)
+        finally:
+            rows.unpersist()
+        for old in before[:-1]:
+            drop_folder(spark, f"{path}/totals/batch_id={old}")
+
+    return _start(flights, path, job.name, params.watermark_delay, params, interval, build, handle)
 
 
 def start_q2_global(
-    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
+    flights: Flights, path: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (), start_ms: int | None = None,
 ) -> RunningStream:
     """Ranking since the start, one snapshot per interval that the watermark has passed."""
-    job = _global_job("q2_global", _q2_global(params, start_ms), path, params, sinks)
-    return _start(flights, job.name, path, [job], interval)
-
-
-def start_q3(
-    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
-    sinks: Sequence[BatchSink] = (),
-) -> RunningStream:
-    """Delay distribution over tumbling windows; the state is one counter per sketch bin."""
-    job = _window_job(_q3(window, params), path, params, sinks)
-    return _start(flights, job.name, path, [job], interval)
+    return _since_start_stream(flights, _q2_global(params, start_ms), path, params, interval, sinks)
 
 
 def start_q3_global(
-    flights: DataFrame, path: str, params: JobParams = JobParams(), interval: str | None = None,
+    flights: Flights, path: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: Sequence[BatchSink] = (), start_ms: int | None = None,
 ) -> RunningStream:
     """Distribution since the start, one snapshot per interval that the watermark has passed."""
-    job = _global_job("q3_global", _q3_global(params, start_ms), path, params, sinks)
-    return _start(flights, job.name, path, [job], interval)
+    return _since_start_stream(flights, _q3_global(params, start_ms), path, params, interval, sinks)
+
+
+# --- late rows and latency ----------------------------------------------------------------------------
 
 
 def start_late_split(
-    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    flights: Flights, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
     keep: Callable[[DataFrame], DataFrame] = active_flights, query: str = "q2",
 ) -> RunningStream:
     """Only the late side output of one query window, in ``late``: the rows that the result itself leaves out."""
-    _, grace = _graces(params, query if query == "q1" else f"{query}_{window}")
+    delay = params.watermark_delay + params.lateness_for(query if query == "q1" else f"{query}_{window}")
 
-    def step(rows: DataFrame, batch_id: int, seen: Seen) -> None:
-        late = split_late(keep(rows), window, grace, seen)[1]
-        _append(late, f"{path}/late", batch_id, late.schema)
+    def build(rows: DataFrame) -> DataFrame:
+        ended = keep(rows).withColumn("window_end", end_of_window(F.col("event_ms"), window_ms(window)))
+        return ended.select(F.struct("*").alias("late"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        mark = batch_watermark(batch.sparkSession, f"{path}/checkpoint", batch_id)
+        write_batch(_late_part(batch.where(_is_late(mark)), mark), f"{path}/late", batch_id)
 
-    name = f"late_{query}_{window}"
-    return _start(flights, name, path, [_Job(name, step, lambda *_: None)], interval)
+    return _start(flights, path, f"late_{query}_{window}", delay, params, interval, build, handle)
 
 
 def start_latency(
-    flights: DataFrame, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
+    flights: Flights, path: str, window: str, params: JobParams = JobParams(), interval: str | None = None,
     keep: Callable[[DataFrame], DataFrame] = active_flights, key: str = "origin_airport_id", step: str = "q2_window",
 ) -> RunningStream:
     """Latency samples of one windowed step: when a window is emitted against when its rows came in.
 
     Samples go to ``path/samples``; ``latency_stats`` over them gives the percentiles.
     """
-    job = _latency_job(path, window, params, keep, key, step)
-    return _start(flights, job.name, path, [job], interval)
+    delay = params.watermark_delay + params.allowed_lateness
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        emitted = F.unix_millis(F.current_timestamp())
+        write_batch(latency.latencies(batch, emitted, step), f"{path}/samples", batch_id)
 
-def _latency_job(path: str, window: str, params: JobParams, keep, key: str, step: str) -> _Job:
-    grace = (params.watermark_delay + params.allowed_lateness) * MINUTE_MS
-
-    def take(rows: DataFrame, batch_id: int, seen: Seen) -> None:
-        spark = rows.sparkSession
-        new = latency.ingest_bounds(split_late(keep(rows), window, grace, seen)[0], window, key)
-        if batch_id:
-            open_ = spark.read.schema(new.schema).parquet(f"{path}/bounds/batch_id={batch_id - 1}")
-            if seen.before is not None:
-                open_ = open_.where(F.col("window_end") + grace > seen.before)
-            new = latency.merge_bounds(open_.unionByName(new), key)
-        write_batch(new, f"{path}/bounds", batch_id)
-        bounds = spark.read.schema(new.schema).parquet(f"{path}/bounds/batch_id={batch_id}")
-        if seen.now is not None:
-            closed = bounds.where(F.col("window_end") + grace <= seen.now)
-            emitted = F.unix_millis(F.current_timestamp())
-            _append(latency.latencies(closed, emitted, step), f"{path}/samples", batch_id, _SAMPLES)
-        _drop_old(spark, path, batch_id, "bounds")
+    return _start(
+        flights, path, f"latency_{step}_{window}", delay, params, interval,
+        lambda rows: latency.ingest_bounds(keep(rows), window, key), handle)
 
-    return _Job(f"latency_{step}_{window}", take, lambda *_: None)
 
+# --- the whole job ------------------------------------------------------------------------------------
 
 RESULT_NAMES = ("q1", "q2_1h", "q2_6h", "q2_global", "q3_1d", "q3_7d", "q3_global")
 
 
 def start_all(
-    flights: DataFrame, base: str, params: JobParams = JobParams(), interval: str | None = None,
+    flights: Flights, base: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: dict[str, Sequence[BatchSink]] | None = None,
-) -> RunningStream:
-    """The whole job: seven results, the late rows of the five windowed ones, reject counts and latency samples.
+) -> RunningStreams:
+    """The whole job, a query to a result: seven results, late rows of the windowed ones, counters, latency samples.
 
-    One query reads, decodes and cleans the source once. Each result has its own folder ``base/<name>``.
+    Each result has its own folder ``base/<name>``, with a checkpoint of its own, and fails or restarts alone.
     """
     extra = sinks or {}
-    at = lambda name: (f"{base}/{name}", params, extra.get(name, ()))
-    jobs = [_window_job(r, *at(r.name)) for r in (
+    at = lambda name: (f"{base}/{name}", params, interval, extra.get(name, ()))
+    started = [_window_stream(flights, r, *at(r.name), False) for r in (
         _q1(params), _q2("1h", params), _q2("6h", params), _q3("1d", params), _q3("7d", params))]
-    jobs.append(_global_job("q2_global", _q2_global(params, None), *at("q2_global")))
-    jobs.append(_global_job("q3_global", _q3_global(params, None), *at("q3_global")))
-    jobs.append(_latency_job(f"{base}/latency", "1h", params, active_flights, "origin_airport_id", "q2_window"))
-    return _start(flights, "all_results", base, jobs, interval)
+    started += [_since_start_stream(flights, job, *at(job.name)) for job in (
+        _q2_global(params, None), _q3_global(params, None))]
+    started.append(start_latency(flights, f"{base}/latency", "1h", params, interval))
+    return RunningStreams(started)
 
 
 def start_console(df: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:

@@ -58,26 +58,57 @@ def _point(start, end, rank, value):
 
 
 def test_last_write_wins(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for batch, rows in enumerate([
+    batches = [
         [_point(0, 1, 1, 10), _point(0, 1, 2, 11)], [_point(0, 2, 1, 20)], [_point(0, 2, 1, 30), _point(0, 3, 1, 31)],
-    ]):
-        result_table.write_batch(spark.createDataFrame(rows, Q2_RESULT), path, batch)
-    # Batch 1 is delivered again, as after a failure.
-    result_table.write_batch(spark.createDataFrame([_point(0, 2, 1, 20)], Q2_RESULT), path, 1)
+    ]
 
-    def read(keys, at=path):
-        rows = result_table.read_results(spark, at, Q2_RESULT, keys).collect()
+    def read(name, keys):
+        path = str(tmp_path / name)
+        for batch, rows in [*enumerate(batches), (1, batches[1]), (2, batches[2])]:  # two are delivered again
+            result_table.upsert(spark.createDataFrame(rows, Q2_RESULT), path, batch, keys)
+        rows = result_table.read_results(spark, path, Q2_RESULT).collect()
         return sorted((r.window_end, r["rank"], r.num_flights) for r in rows)
 
-    assert read(result_table.RESULT_KEYS["q2_global"]) == [(1, 1, 10), (1, 2, 11), (2, 1, 30), (3, 1, 31)]
+    assert read("a", result_table.RESULT_KEYS["q2_global"]) == [(1, 1, 10), (1, 2, 11), (2, 1, 30), (3, 1, 31)]
     # Without the window end one row per rank is left, and rank 2 is stale.
-    assert read(result_table.POINT_KEYS["q2_global"]) == [(1, 2, 11), (3, 1, 31)]
-    before = read(result_table.RESULT_KEYS["q2_global"])
-    for _ in range(2):  # the second call finds the work done
-        result_table.compact_batches(spark, path, Q2_RESULT, result_table.RESULT_KEYS["q2_global"], 7)
-        assert read(result_table.RESULT_KEYS["q2_global"]) == before
-        assert result_table.batch_ids(spark, path) == [7]
+    assert read("b", result_table.POINT_KEYS["q2_global"]) == [(1, 2, 11), (3, 1, 31)]
+
+
+def test_an_upsert_touches_its_days_alone(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), result_table.RESULT_KEYS["q2_1h"]
+    day = 86_400_000
+    result_table.upsert(spark.createDataFrame([_point(d * day, d * day + 1, 1, d) for d in range(4)], Q2_RESULT), path, 0, keys)
+    files = lambda d: sorted(p.name for p in (tmp_path / "t" / "rows" / f"day={d}").glob("*.parquet"))
+    before = [files(d) for d in range(4)]
+    result_table.upsert(spark.createDataFrame([_point(2 * day, 2 * day + 1, 1, 99)], Q2_RESULT), path, 1, keys)
+    assert [files(d) == before[d] for d in range(4)] == [True, True, False, True]
+    rows = result_table.read_results(spark, path, Q2_RESULT, 1, 2)
+    assert sorted(r.num_flights for r in rows.collect()) == [1, 99]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_an_upsert_that_died_is_finished(spark, tmp_path, monkeypatch):
+    """The job dies when one of two partitions is in place; the batch comes again after the restart."""
+    path, keys = str(tmp_path / "t"), result_table.RESULT_KEYS["q2_1h"]
+    day = 86_400_000
+    rows = lambda value: spark.createDataFrame([_point(d * day, d * day + 1, r, value + r) for d in (0, 1) for r in (1, 2)], Q2_RESULT)
+    result_table.upsert(rows(10), path, 0, keys)
+    moved, move = [], result_table.replace_folder
+
+    def dies(*args):
+        if moved:
+            raise OSError("lost")
+        moved.append(args)
+        move(*args)
+
+    monkeypatch.setattr(result_table, "replace_folder", dies)
+    with pytest.raises(OSError):
+        result_table.upsert(rows(20).where("rank = 1"), path, 1, keys)
+    monkeypatch.setattr(result_table, "replace_folder", move)
+    result_table.upsert(rows(20).where("rank = 1"), path, 1, keys)
+    got = result_table.read_results(spark, path, Q2_RESULT).collect()
+    assert sorted((r.window_start // day, r["rank"], r.num_flights) for r in got) == [(0, 1, 21), (0, 2, 12), (1, 1, 21), (1, 2, 12)]
 
 
 def test_exports(spark, tmp_path):
@@ -130,12 +161,6 @@ def test_plain_text(spark, tmp_path):
     encode.show_rows(spark.range(1))
 
 
-def test_first_batch_schema(spark, tmp_path):
-    q1 = carrier.carrier_performance(clean(flights(spark, {})))
-    result_table.write_batch(q1, str(tmp_path / "q1"), 0)
-    assert result_table.read_history(spark, str(tmp_path / "q1"), Q1_RESULT).columns == [*Q1_RESULT.names, "batch_id"]
-
-
 def test_message_sinks_follow_the_topics():
     settings = StreamSettings("broker:1", "in", {"q1": "a", "q3_7d": "b"}, "rest")
     assert set(encode.message_sinks(settings)) == {"q1", "q3_7d"}

@@ -22,7 +22,7 @@ from skyledger.streaming.progress import step_durations
 from tests.conftest import SF_SMALL
 from tests.helpers import flights
 
-NO_GRACE = JobParams(watermark_delay=0, allowed_lateness=0, min_flights=1)
+NO_GRACE = JobParams(watermark_delay=0, allowed_lateness=0, min_flights=1, state_partitions=1)
 
 
 def _feed(spark, path, run, *parts):
@@ -53,12 +53,14 @@ def test_q1_closes_windows_and_drops_late_rows(spark, tmp_path):
     late = jobs.late_rows_seen(spark, base).collect()
     assert [(r.event_ms % 86_400_000 // 60_000, r.lateness_min) for r in late] == [(510, 10.0)]
     steps = [(r.step, r.metric) for r in step_durations(spark, base).collect()]
-    assert steps.count(("q1", "operator_addBatch_ms")) == 2
-    # The end of the input closes the last window, and a later run goes on from there.
+    # Each batch of rows, and the one behind it that emits what the watermark has passed.
+    assert steps.count(("q1", "operator_addBatch_ms")) == 4
+    # The end of the input closes the last window for good.
     queries[1].finish()
     assert _counts(spark, base, "q1") == [(8, 1), (9, 2), (10, 1)]
-    _feed(spark, base, lambda f: jobs.start_q1(f, base, NO_GRACE), flights(spark, dict(crs_dep_time=1010)))[0].finish()
-    assert _counts(spark, base, "q1") == [(8, 1), (9, 2), (10, 2)]
+    _feed(spark, base, lambda f: jobs.start_q1(f, base, NO_GRACE), flights(spark, dict(crs_dep_time=1010)))
+    assert _counts(spark, base, "q1") == [(8, 1), (9, 2), (10, 1)]
+    assert jobs.late_rows_seen(spark, base).count() == 2
 
 
 def _counts(spark, path, name):
@@ -80,24 +82,103 @@ def test_a_rejected_or_filtered_row_moves_the_watermark(spark, tmp_path):
     assert lost == jobs.late_rows_seen(spark, f"{base}/q2").select("event_ms").collect() and len(lost) == 1
 
 
-def test_rankings_and_distributions_are_corrected(spark, tmp_path):
-    """With lateness allowed, a window is emitted when the watermark passes and again after a late row."""
+def test_results_are_corrected_while_their_windows_are_open(spark, tmp_path):
+    """With corrections a window is emitted whenever it changes, and late rows that are allowed change it again."""
     params = replace(NO_GRACE, allowed_lateness=24 * 60)
     parts = (
         flights(spark, dict(crs_dep_time=805), dict(day_of_month=2, crs_dep_time=10)),
         flights(spark, dict(crs_dep_time=830, dep_delay=60.0), dict(crs_dep_time=2300)),
+        # Too late: the watermark has passed the window and the allowed lateness.
+        flights(spark, dict(day_of_month=4)),
+        flights(spark, dict(crs_dep_time=840)),
     )
     for name, run in (
-        ("q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params, sinks=[sink])),
-        ("q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", params, sinks=[sink])),
+        ("q1", lambda f, path: jobs.start_q1(f, path, params, sinks=[sink], corrections=True)),
+        ("q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", params, sinks=[sink], corrections=True)),
+        ("q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", params, sinks=[sink], corrections=True)),
     ):
-        emitted = []
-        sink = lambda rows, number: emitted.append((number, rows.agg(F.max("window_start")).first()[0], rows.count()))
+        versions = []
+        n = "count" if name == "q3_1d" else "num_flights"
+        sink = lambda rows, _: versions.extend(r[n] for r in rows.orderBy("window_start").limit(1).collect())
         path = f"{tmp_path}/{name}"
         _feed(spark, path, lambda f: run(f, path), *parts)
-        assert [number for number, _, _ in emitted] == [0, 4]
-        first = jobs.read_stream_results(spark, path, name).orderBy("window_start").first()
-        assert first[{"q2_1h": "num_flights", "q3_1d": "count"}[name]] == 2
+        first = jobs.read_stream_results(spark, path, name).orderBy("window_start", *(["hour"] if n == "count" else [])).first()
+        assert versions[0] == 1 and 2 in versions, name
+        assert first["num_flights" if name != "q3_1d" else "count"] == 2
+        assert jobs.late_rows_seen(spark, path).count() == 1
+
+
+def test_spark_drops_as_many_rows_as_leave_as_late(spark, tmp_path):
+    """One row to a key and window, as the state counts what a task has summed up."""
+    early = flights(spark, *[dict(crs_dep_time=100 * h + 5, airline=a) for h in (7, 8) for a in ("AA", "DL")],
+                    dict(day_of_month=9))
+    late = flights(spark, *[dict(crs_dep_time=100 * h + 5, airline=a, origin_airport_id=o, dep_delay=float(h))
+                            for h in (7, 8) for o, a in ((1, "AA"), (2, "DL"))], dict(crs_dep_time=1275))
+    for name, run in (
+        ("q1", lambda f, path: jobs.start_q1(f, path, NO_GRACE)),
+        ("q2_1h", lambda f, path: jobs.start_q2(f, path, "1h", NO_GRACE)),
+        ("q3_1d", lambda f, path: jobs.start_q3(f, path, "1d", NO_GRACE)),
+    ):
+        path = f"{tmp_path}/{name}"
+        _feed(spark, path, lambda f: run(f, path), early, late)
+        assert jobs.late_rows_seen(spark, path).count() == jobs.dropped_rows(spark, path) == 4
+
+
+def test_ranking_of_more_airports_than_it_keeps(spark, tmp_path):
+    rows = flights(spark, *[
+        dict(origin_airport_id=o, dep_delay=60.0 if i < o % 13 else 5.0) for o in range(1, 30) for i in range(13)])
+    for corrections in (False, True):
+        path = f"{tmp_path}/{corrections}"
+        _feed(spark, path, lambda f: jobs.start_q2(f, path, "1h", NO_GRACE, corrections=corrections), rows)[0].finish()
+        want = airports.airport_ranking(clean(rows), "1h", NO_GRACE)
+        got = jobs.read_stream_results(spark, path, "q2_1h")
+        assert got.count() == 10 and _rows(got.select(*want.columns)) == _rows(want)
+
+
+@pytest.mark.parametrize("policy", ["min", "max"])
+def test_several_inputs_have_a_watermark_each(spark, tmp_path, policy):
+    """The slower input holds the watermark back, or the faster one drives it."""
+    params = replace(NO_GRACE, watermark_policy=policy)
+    for name, hours in (("slow", (800, 810)), ("fast", (805, 1200))):
+        flights(spark, *[dict(crs_dep_time=h) for h in hours]).write.parquet(f"{tmp_path}/{name}")
+    inputs = [parquet_stream(spark, f"{tmp_path}/{name}", FLIGHT_SCHEMA) for name in ("slow", "fast")]
+    base = f"{tmp_path}/q1"
+    stream = jobs.start_q1(inputs, base, params)
+    stream.awaitTermination()
+    if policy == "max":
+        assert _counts(spark, base, "q1") == [(8, 3)]
+    else:
+        assert not (tmp_path / "q1" / "results").exists()
+    stream.finish()
+    assert _counts(spark, base, "q1") == [(8, 3), (12, 1)]
+
+
+def test_a_batch_that_fails_is_run_again(spark, tmp_path, log_parts):
+    """An error behind the result table, before the batch is committed; the restart finds state and table as they were."""
+    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1, state_partitions=1)
+    seen = []
+
+    def sink(rows, number):
+        seen.append(number)
+        if len(seen) == 1:
+            raise RuntimeError("the sink is down")
+
+    cleaned = clean(log_parts[0].unionByName(log_parts[1]))
+    for name, run, want in (
+        ("q1", jobs.start_q1, carrier.carrier_performance(cleaned, params)),
+        ("q2_global", jobs.start_q2_global, airports.airport_since_start(cleaned, params)),
+    ):
+        seen.clear()
+        path = f"{tmp_path}/{name}"
+        log_parts[0].write.parquet(f"{path}/in")
+        start = lambda: run(parquet_stream(spark, f"{path}/in", FLIGHT_SCHEMA), path, params, sinks=[sink])
+        with pytest.raises(Exception, match="sink is down"):
+            start().awaitTermination()
+        start().awaitTermination()
+        assert seen[0] == seen[1]
+        log_parts[1].write.mode("append").parquet(f"{path}/in")
+        start().finish()
+        assert _rows(jobs.read_stream_results(spark, path, name).select(*want.columns)) == _rows(want)
 
 
 def test_rows_counted_and_rows_lost_are_all_rows(spark, tmp_path, log_parts):
@@ -124,18 +205,17 @@ def test_a_late_row_counts_in_the_next_snapshot(spark, tmp_path):
         (9, 1), (10, 1), (11, 3), (12, 3), (13, 4)]
 
 
-def test_folders_stay_few_and_counters_add_up(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 3)
+def test_folders_stay_few_and_counters_add_up(spark, tmp_path):
     base = str(tmp_path)
-    parts = [flights(spark, dict(crs_dep_time=100 * h + 5), dict(crs_dep_time=1275)) for h in range(11)]
-    _feed(spark, base, lambda f: jobs.start_q1(f, base, NO_GRACE), *parts)[-1].finish()
-    assert _counts(spark, base, "q1") == [(h, 1) for h in range(11)]
-    for folder in ("rows", "seen", "state", "counts"):
-        assert len(batch_ids(spark, f"{base}/{folder}")) <= 2
-    assert len(batch_ids(spark, f"{base}/results")) <= 6 and len(batch_ids(spark, f"{base}/durations")) <= 6
+    parts = [flights(spark, dict(crs_dep_time=100 * h + 5), dict(crs_dep_time=1275)) for h in range(6)]
+    _feed(spark, base, lambda f: jobs.start_q2_global(f, base, NO_GRACE), *parts)[-1].finish()
+    assert [h for h, _ in _counts(spark, base, "q2_global")] == [0] * 6
+    assert len(batch_ids(spark, f"{base}/totals")) <= 2
+    assert len(batch_ids(spark, f"{base}/results/pending")) == 1
     counts = {r.counter: r["rows"] for r in jobs.counters(spark, base).collect()}
-    assert counts == {"rows_in": 22, "rejected_event_time": 11}
-    assert step_durations(spark, base).where("metric = 'operator_intake_ms'").count() == 11
+    assert counts == {"rows_in": 12, "rejected_event_time": 6}
+    # Six runs of two batches, and two for the closing row.
+    assert step_durations(spark, base).where("metric = 'operator_addBatch_ms'").count() == 14
 
 
 def test_q1_updates_correct_an_early_row(spark, tmp_path):
@@ -144,7 +224,7 @@ def test_q1_updates_correct_an_early_row(spark, tmp_path):
     seen = []
     _feed(
         spark, base,
-        lambda f: jobs.start_q1(f, base, params, sinks=[lambda rows, batch: seen.append((batch, rows.count()))], early=True),
+        lambda f: jobs.start_q1(f, base, params, sinks=[lambda rows, batch: seen.append((batch, rows.count()))], corrections=True),
         flights(spark, dict(crs_dep_time=805), dict(crs_dep_time=910)),
         flights(spark, dict(crs_dep_time=830, dep_delay=60.0)),
     )
@@ -181,7 +261,7 @@ def log_parts(spark):
 
 def test_q2_equals_batch(spark, tmp_path, log_parts):
     base = str(tmp_path)
-    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1)
+    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1, state_partitions=1)
     _feed(spark, base, lambda f: jobs.start_q2(f, base, "6h", params), *log_parts)[-1].finish()
     cleaned = clean(log_parts[0].unionByName(log_parts[1]))
     want = airports.airport_ranking(cleaned, "6h", params)
@@ -200,7 +280,7 @@ def test_equal_flights_are_listed_as_often_as_they_occur(spark, tmp_path):
 
 
 def test_global_streams_carry_totals_over_a_restart(spark, tmp_path, log_parts):
-    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1)
+    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1, state_partitions=1)
     cleaned = clean(log_parts[0].unionByName(log_parts[1]))
     q2, q3 = f"{tmp_path}/q2", f"{tmp_path}/q3"
     _feed(spark, q2, lambda f: jobs.start_q2_global(f, q2, params), *log_parts)[-1].finish()
@@ -216,7 +296,7 @@ def test_global_streams_carry_totals_over_a_restart(spark, tmp_path, log_parts):
 def test_a_repeated_batch_changes_nothing(spark, tmp_path, log_parts):
     """A batch whose commit was lost runs again after the restart, into the same folders."""
     base = str(tmp_path)
-    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1)
+    params = replace(PARAMS, watermark_delay=0, allowed_lateness=0, min_flights=1, state_partitions=1)
     _feed(spark, base, lambda f: jobs.start_q2_global(f, base, params), *log_parts)
     before = _rows(jobs.read_stream_results(spark, base, "q2_global"))
     commits = tmp_path / "checkpoint" / "commits"
@@ -248,8 +328,8 @@ def test_all_streams_from_json_files(spark, tmp_path):
     assert set(messages) == set(names) == set(jobs.RESULT_NAMES)
     q1 = jobs.read_stream_results(spark, f"{tmp_path}/q1", "q1")
     assert _rows(q1) == _rows(carrier.carrier_performance(clean(source), NO_GRACE))
-    assert {r.counter: r["rows"] for r in jobs.counters(spark, str(tmp_path)).collect()} == {"rows_in": 2}
-    assert spark.read.parquet(f"{tmp_path}/latency/samples").count() == 3
+    assert {r.counter: r["rows"] for r in jobs.counters(spark, f"{tmp_path}/q1").collect()} == {"rows_in": 2}
+    assert spark.read.parquet(f"{tmp_path}/latency/samples").count() == 6
 
 
 def test_checkpoint_locations():
