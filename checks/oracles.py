@@ -137,7 +137,7 @@ def _q2(label: str, min_flights: int, **top: int) -> str:
     return _with(f"SELECT {_Q2_COLUMNS} FROM q2", *_q2_ctes(label, min_flights, **top))
 
 
-def _q2_global(last: str) -> str:
+def _q2_global(last: str, min_flights: int = 30) -> str:
     """``last``: SQL for the last boundary, over ``hourly``."""
     return _with(
         f"SELECT {_Q2_COLUMNS} FROM q2",
@@ -151,7 +151,7 @@ def _q2_global(last: str) -> str:
   SELECT CAST({_LOG_START} AS BIGINT) AS window_start, b.window_end, origin_airport_id,
     CAST(sum(n) AS BIGINT) AS num_flights, CAST(sum(severe) AS BIGINT) AS severe_delays,
     {_round('sum(total) / sum(n)')} AS dep_delay_mean, max(longest) AS dep_delay_max
-  FROM boundaries b JOIN hourly h ON h.hour_end <= b.window_end GROUP BY ALL HAVING sum(n) >= 30)""",
+  FROM boundaries b JOIN hourly h ON h.hour_end <= b.window_end GROUP BY ALL HAVING sum(n) >= {min_flights})""",
         f"ranked AS (SELECT * FROM (SELECT *, {_RANK} AS rank FROM stats) WHERE rank <= 10)",
         f"""lists AS (
   SELECT window_end, origin_airport_id, list({_ENTRY} ORDER BY {_BY_DELAY}) AS flights
