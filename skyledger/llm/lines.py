@@ -11,8 +11,9 @@ pairwise, and every pair is verified by its edit distance before a line goes.
 Lines are near by words if they are equal without at most ``max_words`` words each, taken out at the same places, and
 what is taken out is at most ``share`` of either line's characters: a bound of words dropped, added or changed, relative
 to the line. What is left is cut into ``max_words + 1`` parts, and one of them holds none of the places, so lines that
-are near share the key of a part. Where few lines share a key, each two are compared; where many do, the places are
-narrowed down as above, and at single places all lines of a key are near, so the earliest stands for the others. A word
+are near share the key of a part. Where few lines share a key, each two are compared; where many do, each is compared with
+the key's earliest, and lines that this settles look for nothing more. If many are left, the places are narrowed down as
+above, and at single places all lines of a key are near, so the earliest stands for the others. A word
 goes up to the next one's start, and a character of a script without blanks is a word. ``max_words = 0`` leaves this out.
 
 Order is (doc_id, checksum of the text, line number), nulls first. Lines are compared without white space at their
@@ -526,15 +527,45 @@ def _id() -> Column:
     return F.xxhash64(*LINE).alias("id")
 
 
-def _near_by_words(shared: DataFrame, texts: DataFrame, max_words: int, share: float) -> DataFrame:
-    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``shared`` are the rows of shared part keys."""
-    pairs = [_each_two(shared)]
-    many = shared.where(F.col("n") > PAIR_LINES)
-    codes = written(many.groupBy("id").agg(F.collect_set("code").alias("codes")), "word-codes")
+def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> tuple[DataFrame, ...]:
+    """(lines that go, pairs (a, b), rows to narrow down) of the keys that many lines share.
+
+    Every line of a key is compared with the earliest one first: copies of a line go at once, however many they are.
+    Those that stay are the key's seekers. Few of them are compared with all lines of the key, which costs no more than
+    ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers are narrowed down.
+    """
+    line = texts.select("id", F.struct(*LINE).alias("line"))
+    placed = written(rows.where(F.col("n") > PAIR_LINES).join(line, "id"), "word-lines")
+    firsts = placed.groupBy("key").agg(F.min(F.struct("line", "id")).alias("f")).select("key", F.col("f.id").alias("first"))
+    later = written(placed.join(firsts, "key").where("id <> first").select("key", "id", "first"), "word-later")
+    near = written(_near(later.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts, max_words, share), "near")
+    seekers = written(later.select("key", "id").distinct().join(
+        gone.unionByName(near.select(_id())).distinct(), "id", "left_anti"), "seekers")
+    load = seekers.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    few = seekers.join(load.where(F.col("k") <= PAIR_LINES).select("key"), "key").withColumnRenamed("id", "b")
+    pairs = placed.select("key", F.col("id").alias("a")).distinct().join(few, "key").where("a <> b").select("a", "b").distinct()
+    return near, pairs, placed.join(load.where(F.col("k") > PAIR_LINES).select("key"), "key").select("id", "code")
+
+
+def _near_by_words(
+    shared: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float
+) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``shared`` are the rows of shared part keys.
+
+    ``gone`` (doc_id, tie, line_no) are known to go: they are still compared with, but seek nothing themselves.
+    """
     marks = F.regexp_replace("text", f"[^{SPACES}\\x{{{NO_BLANKS:x}}}-\\x{{10ffff}}]", "")
-    step, width = 0, codes.join(texts.select("id", marks.alias("marks")), "id").agg(
-        F.max(2 * F.length("marks") + 1)).first()[0]
-    while width is not None:
+    width = texts.agg(F.max(2 * F.length(marks) + 1)).first()[0]
+    near = written(_near(_each_two(shared), texts, max_words, share), "near")
+    step = 0
+    while True:
+        settled = gone.unionByName(near).select(_id()).distinct()
+        found, pairs, narrow = _crowded(shared, texts, settled, max_words, share)
+        codes = written(narrow.groupBy("id").agg(F.collect_set("code").alias("codes")), "word-codes")
+        near = near.unionByName(found).unionByName(_near(pairs, texts, max_words, share))
+        if codes.isEmpty():
+            return near.distinct()
+        near = written(near.distinct(), "near")
         lines = texts.drop("codes").join(codes, "id")
         last = width <= WORD_LAST
         keys = _emit_words(lines, step, last, max_words, share)
@@ -542,20 +573,12 @@ def _near_by_words(shared: DataFrame, texts: DataFrame, max_words: int, share: f
             line = F.struct(*LINE)
             best = keys.groupBy("key").agg(F.min(line).alias("f"))
             firsts = best.select("key", F.xxhash64(*(F.col(f"f.{c}") for c in LINE)).alias("a"))
-            pairs.append(keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct())
-            break
-        met = written(_shared(keys.select("key", _id(), "code")), "word-keys")
-        pairs.append(_each_two(met))
-        codes = written(met.where(F.col("n") > PAIR_LINES).groupBy("id").agg(
-            F.collect_set("code").alias("codes")), "word-codes")
-        if codes.isEmpty():
-            break
+            pairs = keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct()
+            return near.unionByName(_near(pairs, texts, max_words, share)).distinct()
+        shared = written(_shared(keys.select("key", _id(), "code")), "word-keys")
+        near = written(near.unionByName(_near(_each_two(shared), texts, max_words, share)).distinct(), "near")
         width = -(-width // min(WORD_FINE, -(-width // WORD_LAST)))
         step += 1
-    every = pairs[0]
-    for more in pairs[1:]:
-        every = every.union(more)
-    return _near(every.distinct(), texts, max_words, share)
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
@@ -567,8 +590,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: fl
     near = _one_edit_lines(texts.where(F.size("codes") > 0).drop("id"))
     if not max_words:
         return near
+    near = written(near, "near")
     words = met.where(F.col("code") >= CHAR_KEYS).withColumn("code", (F.col("code") - CHAR_KEYS).cast("long"))
-    return near.union(_near_by_words(words, texts, max_words, share)).distinct()
+    return near.union(_near_by_words(words, texts, near, max_words, share)).distinct()
 
 
 def dedup_lines(docs: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
