@@ -221,14 +221,30 @@ def airport_snapshots(
 
 
 def airport_since_start(
-    cleaned: DataFrame, params: JobParams = JobParams(), start_ms: int | None = None
+    cleaned: DataFrame, params: JobParams = JobParams(), start_ms: int | None = None, work_dir: str | None = None
 ) -> DataFrame:
-    """Q2 since the start, straight from flights."""
+    """Q2 since the start, straight from flights.
+
+    With a ``work_dir`` that all executors reach, narrow flights and the partials of an interval are written there: the
+    source is read once, and the number of merge passes follows from the intervals that there are.
+    """
     label = label_of(params.airport_snapshot_ms)
+    if work_dir is None:
+        return airport_snapshots(
+            airport_partials(cleaned, params, label), worst_flights(cleaned, params, label), params, start_ms=start_ms)
+    spark = cleaned.sparkSession
+
+    def written(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{work_dir}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{work_dir}/{name}")
+
+    narrow = written(active_flights(cleaned).select(
+        "event_ts", "origin_airport_id", "dep_delay", "airline", "dest_airport_id", "is_cancelled", "is_diverted"), "flights")
+    partials = written(airport_partials(narrow, params, label), "partials")
+    lists = written(worst_flights(narrow, params, label), "worst")
+    span = partials.agg((F.max("window_end") - F.min("window_end")).alias("ms")).first().ms
     return airport_snapshots(
-        airport_partials(cleaned, params, label), worst_flights(cleaned, params, label), params,
-        start_ms=start_ms,
-    )
+        partials, lists, params, start_ms=start_ms, intervals=(span or 0) // params.airport_snapshot_ms + 1)
 
 
 # --- streams ------------------------------------------------------------------------------------------

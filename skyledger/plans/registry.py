@@ -149,7 +149,8 @@ def q2_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q2_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _list_as_json(airports.airport_since_start(_clean(spark, sf_dir), PARAMS))
+    return _list_as_json(airports.airport_since_start(
+        _clean(spark, sf_dir), PARAMS, work_dir=scratch_dir(spark, "q2_global")))
 
 
 _QUANTILES = tuple(name for name, _ in PARAMS.quantiles)
