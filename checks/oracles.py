@@ -331,6 +331,23 @@ bounds AS (
   FROM target WHERE publish_ms > 0 GROUP BY ALL)"""
 
 
+def _ingest_of(src: str, size: int, *keys: str) -> str:
+    named = ", ".join(keys)
+    return f"""
+bounds AS (
+  SELECT {_start('event_ms', size)} AS window_start, {_start('event_ms', size)} + {size} AS window_end, {named},
+    max(publish_ms) AS newest_ingest_ms, min(publish_ms) AS oldest_ingest_ms,
+    CAST(sum(publish_ms) AS BIGINT) AS sum_ingest_ms, count(publish_ms) AS ingest_count,
+    CAST(sum(publish_ms) // count(publish_ms) AS BIGINT) AS avg_ingest_ms
+  FROM {src} WHERE publish_ms > 0 GROUP BY ALL)"""
+
+
+def _encode_q3() -> str:
+    columns = ("window_start", "window_end", "window_type", "airline", "hour", "count", "min", "p25", "p50", "p75", "p90", "max")
+    obj = "{" + ", ".join(f"'{c}': {c}" for c in columns) + "}"
+    return f"SELECT CAST(NULL AS VARCHAR) AS key, CAST(to_json({obj}) AS VARCHAR) AS value FROM ({_q3('1d')})"
+
+
 def _latency_stats() -> str:
     samples = "\nUNION ALL\n".join(
         f"""SELECT 'q1_window' AS step, 'e2e_{m}_ms' AS metric,
@@ -505,6 +522,10 @@ SELECT event_id, {_text('event_ms')} AS event_text, coalesce(event_ms, 0) AS par
     ),
     "lateness_stats": _lateness_stats(),
     "ingest_bounds": _with("SELECT * FROM bounds", _INGEST),
+    "ingest_bounds_q2": _with("SELECT * FROM bounds", _ingest_of("active", HOUR, "origin_airport_id")),
+    "ingest_bounds_q3": _with(
+        "SELECT * FROM bounds", _Q3_ACTIVE, _ingest_of("q3_rows", DAY, "airline", "dep_hour AS hour")),
+    "encode_q3_json": _encode_q3(),
     "latency_stats": _latency_stats(),
     "scan_csv": _scan_csv(),
     "first_n_by_event_time": _with("""

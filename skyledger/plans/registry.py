@@ -270,6 +270,15 @@ def ingest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latency.ingest_bounds(cleaning.target_airlines(_clean(spark, sf_dir), PARAMS.carriers), "1h", "airline")
 
 
+def ingest_bounds_q2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latency.ingest_bounds(cleaning.active_flights(_clean(spark, sf_dir)), "1h", "origin_airport_id")
+
+
+def ingest_bounds_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cleaning.target_airlines(cleaning.active_flights(_clean(spark, sf_dir)), PARAMS.carriers)
+    return latency.ingest_bounds(rows.withColumnRenamed("dep_hour", "hour"), "1d", "airline", "hour")
+
+
 def latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latency of Q1 windows, taking emission as the moment a 30-minute watermark closes the window."""
     samples = latency.latencies(ingest_bounds(spark, sf_dir), F.col("window_end") + 30 * 60_000, "q1_window")
@@ -353,6 +362,11 @@ def _q2_6h_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airports.airport_ranking(_clean(spark, sf_dir), "6h", PARAMS_6H)
 
 
+def encode_q3_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distributions as messages without a key; quantiles rounded, as engines differ in their last bit."""
+    return encode.encode_q3(q3_1d(spark, sf_dir))
+
+
 def encode_results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     q1 = encode.encode_q1(q1_1h(spark, sf_dir)).withColumn("query", F.lit("q1"))
     q2 = encode.encode_q2(_q2_6h_rows(spark, sf_dir)).withColumn("query", F.lit("q2_6h"))
@@ -608,9 +622,10 @@ QUERIES: dict[str, Query] = {
         q1_1h, q2_airport_stats, q2_top20, q2_1h, q2_6h, q2_global, q3_1d, q3_7d, q3_global,
         q2_1h_top3, q2_6h_top3, rejects_with_gaps, clean_with_gaps, q3_7d_special,
         ddsketch_quantiles, ddsketch_merge, merge_equivalence, merge_carrier,
-        disorder_assign, late_report, late_rows, lateness_stats, ingest_bounds, latency_stats,
+        disorder_assign, late_report, late_rows, lateness_stats, ingest_bounds, ingest_bounds_q2, ingest_bounds_q3,
+        latency_stats,
         scan_csv, first_n_by_event_time, decode_json,
-        encode_results_json, plain_string, typed_decode_q2, lww_upsert, pivot_fields,
+        encode_results_json, encode_q3_json, plain_string, typed_decode_q2, lww_upsert, pivot_fields,
         export_q1, export_q2, export_q3, run_stats,
         stream_q1_1h, stream_q1_lateness, stream_restart, stream_late_split,
         stream_q2_1h, stream_q2_6h, stream_q2_global, stream_q3_1d, stream_q3_7d, stream_q3_global,
