@@ -35,8 +35,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and with them the documents that had lines and keep none."""
-    cut = lines.dedup_lines(docs, lines.MAX_WORDS, lines.SHARE).where("n_lines = 0 OR n_dropped < n_lines")
-    return _with_length(cut).select(*docs.columns)
+    # The columns of a row as a struct, so that none is taken for a count.
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    cut = lines.dedup_lines(rows, lines.MAX_WORDS, lines.SHARE).where("n_lines = 0 OR n_dropped < n_lines")
+    return _with_length(cut.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

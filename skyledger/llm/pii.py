@@ -365,8 +365,11 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
-    """``docs`` with each span of ``text`` replaced by its kind in brackets; other columns stay."""
-    found = find(docs, field)
+    """``docs`` with each span of ``text`` replaced by its kind in brackets; other columns stay, whatever their names.
+
+    Null texts stay null. Every row comes out once, repeated ones too; an empty table gives no rows.
+    """
+    found = find(docs.select("text", F.struct(*docs.columns).alias("row")), field)
     every = F.array_sort(F.transform(
         F.concat("base", "added"), lambda s: F.struct(s["begin"].alias("a"), s["end"].alias("b"), s["kind"].alias("k"))))
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
@@ -377,4 +380,4 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
     rest = F.expr("substring(text, done.at + 1)")
     masked = found.withColumn("done", done).withColumn(
         "text", F.when(F.size(every) > 0, F.concat("done.text", rest)).otherwise(F.col("text")))
-    return masked.select(*docs.columns)
+    return masked.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

@@ -291,3 +291,11 @@ def test_pipeline_on_messy_rows(spark, messy, empty):
             out = stage(spark, frame, SMALL)
             assert name == "bpe" or out.columns == frame.columns
             out.count()
+
+
+def test_line_stage_keeps_the_values_of_other_columns(spark, messy):
+    """Columns that are named like the operator's own counts and helpers keep what they hold."""
+    out = corpus_pipeline.dedup_lines(spark, messy.withColumn("row", F.lit("r")), SMALL)
+    others = [c for c in messy.columns if c not in ("doc_id", "text")]
+    kept = {tuple(r) for r in messy.select(*others).collect()}
+    assert out.columns == [*messy.columns, "row"] and {tuple(r) for r in out.select(*others).collect()} == kept

@@ -223,5 +223,9 @@ def test_added_spans_touch_no_base_span(spark, messy, empty):
             assert not any(a.begin < b.end and a.end > b.begin for b in r.base)
     masked = {r.doc_id: r.text for r in pii.mask(docs, field).collect()}
     assert masked[4] == "[email] [email]" and masked[None] == "ip [ip]" and masked[2] is None
+    named = messy.withColumn("added", F.lit("x")).withColumn("done", F.lit("y")).withColumn("row", F.lit("z"))
+    others = [c for c in named.columns if c != "text"]
+    same = lambda df: sorted(map(repr, df.select(*others).collect()))
+    assert same(pii.mask(named, field)) == same(named) and pii.mask(named, field).columns == named.columns
     assert pii.find(messy, field).count() == messy.count() and pii.find(empty, field).count() == 0
     assert pii.train([]).features == {}
