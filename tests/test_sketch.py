@@ -87,3 +87,16 @@ def test_weights(spark):
     assert row["count"] == 10
     assert row["p50"] == pytest.approx(1.0, rel=0.0101)
     assert row["p100"] == pytest.approx(100.0, rel=0.01)
+
+
+def test_quantiles_of_lists_equal_those_of_bins(spark):
+    """Both signs, zeros, values without a bin, keys without any value, and folded bins."""
+    rows = [(k, v) for k in range(3) for v in [0.0, 1.5, -2.0, float("nan"), *[(-1.7) ** i * (k + 1) for i in range(40)]]]
+    rows += [(9, float("nan")), (8, -3.0)]
+    bins = sketch.bin_counts(spark.createDataFrame(rows, "k int, v double"), ["k"], "v")
+    probabilities = (("low", 0.0), ("p30", 0.3), ("p50", 0.5), ("p90", 0.9), ("high", 1.0))
+    for max_bins in (5, 40, 2048):
+        want = sketch.quantiles(bins, ["k"], probabilities, max_bins=max_bins).orderBy("k").collect()
+        listed = bins.groupBy("k").agg(*sketch.bin_list())
+        got = sketch.list_quantiles(listed, ["k"], probabilities, max_bins=max_bins).orderBy("k").collect()
+        assert got == want
