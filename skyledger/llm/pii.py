@@ -1,10 +1,13 @@
 """Personal data: fixed detectors, and a linear-chain conditional random field over word shapes.
 
 The detectors find e-mail addresses, IP addresses, card and phone numbers by pattern and checksum. The field is trained
-on a small table of stretches of text that the detectors labelled, drawn from a bounded sample of documents, and sees
-words by their shape alone, so it also finds what has the shape of personal data but not the detectors' exact form. It
-is decoded by Viterbi in numpy batches. A word without a digit, an at sign or a plus sign is never part of a span, so
-only such words and their neighbours are decoded. Detectors' spans stay as they are; the field adds spans that touch none.
+on a small table: forms that the detectors miss, with look-alikes, labelled by hand (``pii_labels``), and stretches of
+text that the detectors labelled, drawn from a bounded sample of documents. A sampled stretch that holds a word of the
+shape of a labelled form, outside the detectors' spans, is left out, as its label is not known. Words are seen by their
+shape alone, but for a few that announce a number and for at signs and dots written out. Decoding is by Viterbi in numpy
+batches. Spans lie within ``CONTEXT`` words of a word with a digit, an at sign, a plus sign or a sign written out, so
+only these are decoded. Words are cut where scripts meet and after marks that part fields of records and addresses.
+Detectors' spans stay as they are; the field adds spans that touch none.
 """
 
 from __future__ import annotations
@@ -16,21 +19,29 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm import pii_labels
 from skyledger.llm.common import on_workers, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 # Documents whose stretches make the labelled table, picked by a checksum of the id; stretches of each document.
 SAMPLE_DOCUMENTS = 3000
 STRETCHES = 8
+# Words of a sampled stretch that go into the table; its later words teach nothing. Decoding reads all words.
+STRETCH_WORDS = 40
 # Words on either side of a word that may belong to a span.
 CONTEXT = 2
 RIDGE, STEPS, RATE = 1e-4, 150, 0.2
 # Stretches decoded together.
 BATCH = 4096
 CACHE_SHAPES = 200_000
+# From here on (radicals, CJK, kana, Hangul, ...) scripts write without blanks.
+NO_BLANKS = 0x2E80
+# Longer words are not kept in the cache; longer shapes are held as checksums.
+CACHE_CHARS = 64
 
 # State 0 is outside; then the beginning and the inside of each kind.
 N_STATES = 1 + 2 * len(KINDS)
@@ -41,7 +52,8 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_HINT = re.compile("[0-9@+]")
+_HIDDEN = re.compile(r"[(\[](at|dot|\.)[)\]]", re.I)
+_HINT = re.compile(r"[0-9@+]|[(\[](?:at|dot)[)\]]", re.I)
 _DIGITS = re.compile("[0-9]")
 _NOT_DIGIT = re.compile("[^0-9]")
 
@@ -108,26 +120,45 @@ def detect(text: str) -> list[tuple[int, int, int]]:
 _SHAPE = str.maketrans({**{c: "d" for c in "0123456789"}, **{chr(c): "x" for c in range(97, 123)},
                         **{chr(c): "X" for c in range(65, 91)}})
 _RUN = re.compile(r"d+|x+|X+|.", re.S)
-_EDGES = ".,;:!?\"'"
+_EDGES = ".,;:!?\"'|<>{}=&"
+# Words that announce a phone number.
+_CUES = frozenset(("tel", "phone", "telephone", "telefon", "téléphone", "teléfono", "fax", "mobile", "cell"))
+
+
+def _signs(m: re.Match) -> str:
+    return "@" if m[1].lower() == "at" else "."
+
+
+def _long(shape: str) -> str:
+    return shape if len(shape) <= CACHE_CHARS else "#" + xxhash.xxh3_128_hexdigest(shape)
+
+
+def _shapes(word: str) -> tuple[str, str]:
+    bare = word.strip(_EDGES)
+    if bare.lower() in _CUES:
+        return "tel", "tel"
+    plain = _HIDDEN.sub(_signs, bare)
+    mark = "hidden" if plain != bare else ""
+    digits = _NOT_DIGIT.sub("", plain)
+    if 16 <= len(digits) <= 19:
+        mark += "ok" if luhn(digits) else "no"
+    elif _IP.fullmatch(plain):
+        mark += "ok" if all(map(_octet, plain.split("."))) else "no"
+    runs = _RUN.findall(plain.translate(_SHAPE))
+    fine = "".join(f"d{len(r)}" if r[0] == "d" else r[0] if r[0] in "xX" else r for r in runs)
+    return _long(fine + mark), _long("".join(r[0] for r in runs) + mark)
+
+
+_kept_shapes = lru_cache(maxsize=CACHE_SHAPES)(_shapes)
 
 
-@lru_cache(maxsize=CACHE_SHAPES)
 def shapes(word: str) -> tuple[str, str]:
-    """The word's shape with the lengths of its digit runs, and without them; marks at its ends are left out.
+    """The whole word's shape with the lengths of its digit runs, and without them; marks at its ends are left out.
 
     Digit runs as long as a card number tell whether their checksum is right, and four dotted numbers whether each fits
-    a byte, as these are properties of the form and not of the value.
+    a byte, as these are properties of the form and not of the value. Signs that are written out count as signs.
     """
-    bare = word.strip(_EDGES)[:80]
-    digits = _NOT_DIGIT.sub("", bare)
-    mark = ""
-    if 16 <= len(digits) <= 19:
-        mark = "ok" if luhn(digits) else "no"
-    elif _IP.fullmatch(bare):
-        mark = "ok" if all(map(_octet, bare.split("."))) else "no"
-    runs = _RUN.findall(bare.translate(_SHAPE))
-    fine = "".join(f"d{len(r)}" if r[0] == "d" else r[0] if r[0] in "xX" else r for r in runs)
-    return fine + mark, "".join(r[0] for r in runs)
+    return _kept_shapes(word) if len(word) <= CACHE_CHARS else _shapes(word)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -136,6 +167,8 @@ def _codes(text: str) -> np.ndarray:
 
 _BLANK = np.zeros(128, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+_PARTING = np.zeros(128, bool)
+_PARTING[[ord(c) for c in ";|<>{}=&?\"\\"]] = True
 _HINTED = np.zeros(128, bool)
 _HINTED[[*range(48, 58), ord("@"), ord("+")]] = True
 
@@ -144,11 +177,19 @@ def stretches(text: str) -> list[list[tuple[int, int]]]:
     """Runs of words, as places, around the words that may belong to a span."""
     if not _HINT.search(text):
         return []
+    alone = _codes(text) >= NO_BLANKS
     codes = np.minimum(_codes(text), 127)
-    word = np.concatenate([[False], ~_BLANK[codes], [False]])
-    edge = np.flatnonzero(word[1:] != word[:-1])
-    begin, end = edge[::2], edge[1::2]
-    hints = np.concatenate([[0], np.cumsum(_HINTED[codes])])
+    # 0 for blanks, 2 for scripts without blanks, 1 for the rest; a word ends where this changes, and behind a mark that parts.
+    kind = np.where(_BLANK[codes], 0, 1 + alone)
+    turn = np.ones(len(codes) + 1, bool)
+    turn[1:-1] = (kind[1:] != kind[:-1]) | _PARTING[codes[:-1]]
+    edge = np.flatnonzero(turn)
+    begin, end = edge[:-1], edge[1:]
+    begin, end = begin[kind[begin] > 0], end[kind[begin] > 0]
+    hinted = _HINTED[codes]
+    for m in _HIDDEN.finditer(text):
+        hinted[m.start()] = True
+    hints = np.concatenate([[0], np.cumsum(hinted)])
     centre = np.flatnonzero(hints[end] > hints[begin])
     near = np.unique(np.clip(centre[:, None] + np.arange(-CONTEXT, CONTEXT + 1), 0, len(begin) - 1))
     cuts = np.flatnonzero(np.diff(near) > 1) + 1
@@ -179,52 +220,64 @@ def _padded(rows: list[list[int]], fill: int) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis)
-    return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
+def _log_loss(
+    used: np.ndarray, truth: np.ndarray, sizes: np.ndarray, emit: np.ndarray, step: np.ndarray
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Minus the log likelihood of all stretches, and its gradients, by forward and backward sums."""
+    width = used.shape[2]
+    real = np.arange(truth.shape[1])[None, :] < sizes[:, None]
+    rows, places = np.arange(len(truth))[:, None], np.arange(truth.shape[1])[None, :]
+    score = emit[used].sum(2)
+    # Sums are kept as shares of their total at each word, so they neither grow nor vanish.
+    top, most = score.max(2), step.max()
+    own, ways = np.exp(score - top[:, :, None]), np.exp(step - most)
+    alpha, beta, sums = np.zeros_like(score), np.ones_like(score), np.ones(truth.shape)
+    alpha[:, 0] = own[:, 0]
+    for t in range(truth.shape[1]):
+        on = real[:, t]
+        if t:
+            alpha[:, t] = np.where(on[:, None], (alpha[:, t - 1] @ ways) * own[:, t], alpha[:, t - 1])
+        sums[on, t] = alpha[on, t].sum(1)
+        alpha[:, t] /= sums[:, t, None]
+    total = ((np.log(sums) + top) * real).sum() + most * real[:, 1:].sum()
+    loss = total - (score[rows, places, truth] * real).sum() - (step[truth[:, :-1], truth[:, 1:]] * real[:, 1:]).sum()
+    d_step = np.zeros_like(step)
+    for t in range(truth.shape[1] - 2, -1, -1):
+        ahead = own[:, t + 1] * beta[:, t + 1] / sums[:, t + 1, None] * real[:, t + 1, None]
+        beta[:, t] = np.where(real[:, t + 1, None], ahead @ ways.T, 1.0)
+        d_step += ways * (alpha[:, t].T @ ahead)
+    taken = truth[:, :-1] * N_STATES + truth[:, 1:]
+    d_step -= np.bincount(taken[real[:, 1:]], minlength=N_STATES ** 2).reshape(N_STATES, N_STATES)
+    share = alpha * beta * real[:, :, None]
+    share[rows, places, truth] -= real
+    flat = used.reshape(-1)
+    spread = np.repeat(share.reshape(-1, N_STATES), width, 0)
+    d_emit = np.stack([np.bincount(flat, spread[:, k], minlength=len(emit)) for k in range(N_STATES)], 1)
+    d_emit[-1] = 0  # the empty word's row
+    return float(loss), d_emit, d_step
+
+
+def _numbered(table: list[tuple[list[list[str]], list[int]]]) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of the features, features of each word, states, sizes); the row behind the last is the empty word's."""
+    number = {f: i for i, f in enumerate(sorted({f for rows, _ in table for r in rows for f in r}))}
+    truth, sizes = _padded([s for _, s in table], 0)
+    used = np.full((len(table), truth.shape[1], len(table[0][0][0])), len(number), np.int64)
+    for i, (rows, _) in enumerate(table):
+        used[i, :len(rows)] = [[number[f] for f in r] for r in rows]
+    return number, used, truth, sizes
 
 
 def train(table: list[tuple[list[list[str]], list[int]]]) -> Field:
-    """Maximum likelihood with a ridge penalty: forward and backward sums over all stretches at once."""
-    names = sorted({f for rows, _ in table for r in rows for f in r})
-    number = {f: i for i, f in enumerate(names)}
-    n = len(names)
-    emit, step = np.zeros((n + 1, N_STATES)), np.zeros((N_STATES, N_STATES))
+    """Maximum likelihood with a ridge penalty, all stretches at once."""
     table = [t for t in table if t[0]]
     if not table or not any(any(states) for _, states in table):
-        return Field({}, np.zeros((1, N_STATES)), step)
-    truth, sizes = _padded([s for _, s in table], 0)
-    width = len(table[0][0][0])
-    # A word's features; the row behind the last is the empty word's, and stays zero.
-    used = np.full((len(table), truth.shape[1], width), n, np.int64)
-    for i, (rows, _) in enumerate(table):
-        used[i, :len(rows)] = [[number[f] for f in r] for r in rows]
-    real = np.arange(truth.shape[1])[None, :] < sizes[:, None]
-    rows = np.arange(len(table))
+        return Field({}, np.zeros((1, N_STATES)), np.zeros((N_STATES, N_STATES)))
+    number, used, truth, sizes = _numbered(table)
+    emit, step = np.zeros((len(number) + 1, N_STATES)), np.zeros((N_STATES, N_STATES))
     mean = [np.zeros_like(emit), np.zeros_like(step)]
     square = [np.zeros_like(emit), np.zeros_like(step)]
     for turn in range(1, STEPS + 1):
-        score = emit[used].sum(2)
-        alpha, beta = np.zeros_like(score), np.zeros_like(score)
-        alpha[:, 0] = score[:, 0]
-        for t in range(1, score.shape[1]):
-            new = score[:, t] + _log_sum(alpha[:, t - 1, :, None] + step[None], 1)
-            alpha[:, t] = np.where(real[:, t, None], new, alpha[:, t - 1])
-        total = _log_sum(alpha[:, -1], 1)
-        d_step = np.zeros_like(step)
-        for t in range(score.shape[1] - 2, -1, -1):
-            ahead = step[None] + (score[:, t + 1] + beta[:, t + 1])[:, None, :]
-            beta[:, t] = np.where(real[:, t + 1, None], _log_sum(ahead, 2), 0.0)
-            both = np.exp(alpha[:, t, :, None] + ahead - total[:, None, None]) * real[:, t + 1, None, None]
-            d_step += both.sum(0)
-            on = real[:, t + 1]
-            np.add.at(d_step, (truth[on, t], truth[on, t + 1]), -1.0)
-        share = np.exp(alpha + beta - total[:, None, None]) * real[:, :, None]
-        share[rows[:, None], np.arange(truth.shape[1])[None, :], truth] -= real
-        flat = used.reshape(-1)
-        spread = np.repeat(share.reshape(-1, N_STATES), width, 0)
-        d_emit = np.stack([np.bincount(flat, spread[:, k], minlength=n + 1) for k in range(N_STATES)], 1)
-        d_emit[n] = 0
+        _, d_emit, d_step = _log_loss(used, truth, sizes, emit, step)
         for i, (value, gradient) in enumerate(((emit, d_emit / len(table)), (step, d_step / len(table)))):
             gradient = gradient + RIDGE * value
             mean[i] = 0.9 * mean[i] + 0.1 * gradient
@@ -301,9 +354,23 @@ def _spans(text: str, words: list[tuple[int, int]], states: list[int]) -> Iterat
         i = j
 
 
+def written_table() -> tuple[list[tuple[list[list[str]], list[int]]], frozenset[str]]:
+    """The stretches labelled by hand, and the shapes that tell one of their spans' words, more than bare digits or letters."""
+    table, telling = [], set()
+    for text, spans in pii_labels.texts():
+        own = [(KINDS.index(kind), a, b) for kind, a, b in spans]
+        for run in stretches(text):
+            words = [text[a:b] for a, b in run]
+            states = _states(run, own)
+            table.append((_features(words), states))
+            telling.update(shapes(w)[0] for w, s in zip(words, states) if s)
+    return table, frozenset(t for t in telling if not re.fullmatch("d[0-9]+|[xX]+", t))
+
+
 def labelled_table(docs: DataFrame) -> list[tuple[list[list[str]], list[int]]]:
-    """Stretches with their states from ``SAMPLE_DOCUMENTS`` documents, ``STRETCHES`` of each at most."""
+    """The stretches labelled by hand, then those of ``SAMPLE_DOCUMENTS`` documents, ``STRETCHES`` of each at most."""
     on_workers(docs.sparkSession)
+    by_hand, telling = written_table()
     ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS)
     sample = docs.join(F.broadcast(ids), "doc_id").select("doc_id", text_or_empty().alias("text"))
 
@@ -314,16 +381,20 @@ def labelled_table(docs: DataFrame) -> list[tuple[list[list[str]], list[int]]]:
                 text = text.as_py()
                 spans = detect(text)
                 for run_ in stretches(text)[:STRETCHES]:
+                    run_ = run_[:STRETCH_WORDS]
+                    own, labels = [text[a:b] for a, b in run_], _states(run_, spans)
+                    if any(not s and shapes(w)[0] in telling for w, s in zip(own, labels)):
+                        continue
                     ids.append(doc_id.as_py())
-                    words.append([text[a:b] for a, b in run_[:40]])
-                    states.append(_states(run_[:40], spans))
+                    words.append(own)
+                    states.append(labels)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array(words, pa.list_(pa.string())),
                 pa.array(states, pa.list_(pa.int32()))], names=["doc_id", "words", "states"])
 
     rows = sample.mapInArrow(run, "doc_id bigint, words array<string>, states array<int>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.words))
-    return [(_features([str(w) for w in r.words]), list(r.states)) for r in rows]
+    return by_hand + [(_features([str(w) for w in r.words]), list(r.states)) for r in rows]
 
 
 def find(docs: DataFrame, field: Field) -> DataFrame:

@@ -1,9 +1,11 @@
 """Rules, decontamination, sharding, toxicity and personal data on small and messy tables."""
 
+import itertools
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,8 +202,9 @@ def _personal(spark):
 
 def test_field_learns_the_detectors_spans(spark):
     docs = _personal(spark)
+    by_hand = len(pii.written_table()[0])
     table = pii.labelled_table(docs)
-    cut = len(table) * 2 // 3
+    cut = by_hand + (len(table) - by_hand) * 2 // 3
     field = pii.train(table[:cut])
     got = pii.viterbi(field, [rows for rows, _ in table[cut:]])
     pairs = [(a, b) for (_, want), own in zip(table[cut:], got) for a, b in zip(want, own)]
@@ -229,3 +232,89 @@ def test_added_spans_touch_no_base_span(spark, messy, empty):
     assert same(pii.mask(named, field)) == same(named) and pii.mask(named, field).columns == named.columns
     assert pii.find(messy, field).count() == messy.count() and pii.find(empty, field).count() == 0
     assert pii.train([]).features == {}
+
+
+def _random_field(r, n_features):
+    return [[r.gauss(0, 1) for _ in range(pii.N_STATES)] for _ in range(n_features)]
+
+
+def _paths(field, rows):
+    """(score, states) of every path, feature by feature."""
+    for states in itertools.product(range(pii.N_STATES), repeat=len(rows)):
+        score = sum(field.emit[field.features[f], s] for row, s in zip(rows, states) for f in row)
+        yield score + sum(field.step[a, b] for a, b in zip(states, states[1:])), list(states)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_field_against_enumeration(seed):
+    r = random.Random(seed)
+    names = [f"f{i}" for i in range(6)]
+    field = pii.Field(
+        {f: i for i, f in enumerate(names)}, np.array([*_random_field(r, 6), [0.0] * pii.N_STATES]),
+        np.array(_random_field(r, pii.N_STATES)))
+    rows = [[[r.choice(names) for _ in range(3)] for _ in range(n)] for n in (1, 2, 3, 4, 3)]
+    truth = [[r.randrange(pii.N_STATES) for _ in own] for own in rows]
+    assert pii.viterbi(field, rows) == [max(_paths(field, own))[1] for own in rows]
+
+    want = 0.0
+    for own, states in zip(rows, truth):
+        paths = list(_paths(field, own))
+        want += np.log(sum(np.exp(score) for score, _ in paths)) - next(s for s, path in paths if path == states)
+    seen = sorted({f for own in rows for row in own for f in row})
+    number, used, labels, sizes = pii._numbered(list(zip(rows, truth)))
+    assert sorted(number) == seen
+    emit = np.array([*(field.emit[field.features[f]] for f in seen), [0.0] * pii.N_STATES])
+    step = field.step.copy()
+    loss, d_emit, d_step = pii._log_loss(used, labels, sizes, emit, step)
+    assert loss == pytest.approx(want)
+    for value, gradient in ((emit, d_emit), (step, d_step)):
+        for _ in range(12):
+            i, j = r.randrange(len(value) - (value is emit)), r.randrange(pii.N_STATES)
+            value[i, j] += 1e-5
+            up = pii._log_loss(used, labels, sizes, emit, step)[0]
+            value[i, j] -= 2e-5
+            down = pii._log_loss(used, labels, sizes, emit, step)[0]
+            value[i, j] += 1e-5
+            assert gradient[i, j] == pytest.approx((up - down) / 2e-5, abs=1e-4)
+
+
+ADDED = [
+    ("phone", "Ring 212-555-0187 at noon", "212-555-0187"),
+    ("phone", "leave word, (212) 555-0187, for Ada", "(212) 555-0187"),
+    ("phone", "Telefon 040 7654321 ab neun", "040 7654321"),
+    ("phone", "x=1&n=212-555-0187&y=2", "212-555-0187"),
+    ("phone", "電話は212-555-0187です", "212-555-0187"),
+    ("email", "write ada (at) engine (dot) net soon", "ada (at) engine (dot) net"),
+    ("email", "<td>ada.l[at]engine[dot]net</td>", "ada.l[at]engine[dot]net"),
+    ("card", "paid by 5500.0000.0000.0004 then", "5500.0000.0000.0004"),
+    ("ip", "host 203[.]0[.]113[.]9 was down", "203[.]0[.]113[.]9"),
+]
+NOT_ADDED = [
+    "on 2023-11-28 and 28-11-2023", "for $2,450.00 or 17.95 each", "release v3.11.4, then 3.11.5", "ISBN 978-0-14-044913-6",
+    "from 1980-1995, at 09:45", "sold 212 555 0187 pieces", "paid by 5500.0000.0000.0005 then", "at (noon) and [dusk]",
+    "met (at) dawn", "300[.]0[.]113[.]9", "some 1,234,567 of 25 000 000", "order INV-2023-00042 #77", "on 28.11.2023 at 7",
+]
+
+
+def test_field_adds_what_the_detectors_miss(spark):
+    field = pii.train(pii.labelled_table(_personal(spark)))
+    texts = [t for _, t, _ in ADDED] + NOT_ADDED
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.find(docs, field).collect()}
+    for i, (kind, text, span) in enumerate(ADDED):
+        assert rows[i].base == [] and [(s.kind, text[s.begin:s.end]) for s in rows[i].added] == [(kind, span)], text
+    for i, text in enumerate(NOT_ADDED, len(ADDED)):
+        assert rows[i].base == rows[i].added == [], text
+
+
+def test_words_are_read_whole():
+    long = "a" * 200
+    assert pii.shapes(long + "555-1234") != pii.shapes(long + "555-1235-9") and pii.shapes("x" * 500 + "@y")[1] == "x@x"
+    text = "n" * 300 + "=212-555-0187;" + "m" * 300
+    assert [text[a:b] for a, b in pii.stretches(text)[0]] == ["n" * 300 + "=", "212-555-0187;", "m" * 300]
+    assert sum(map(len, pii.stretches("1 " * 500))) == 500
+
+
+def test_sampled_look_alikes_are_no_negatives(spark):
+    docs = spark.createDataFrame([(i, f"some words 212-555-0{i} here") for i in range(100, 200)], "doc_id long, text string")
+    assert len(pii.labelled_table(docs)) == len(pii.written_table()[0])
