@@ -1,6 +1,8 @@
 """Near-duplicate documents by MinHash, banding, verification and connected components.
 
-Documents with the same words collapse to the one with the smallest id first. Of the others, documents that share a
+Documents with the same words collapse to the one with the smallest id first, by an aggregation, so copies of a text
+are combined before a shuffle. What is left is numbered: an id may stand on several texts, and each is a document of its
+own. Components are named by their smallest id at the end. Of the numbered documents, those that share a
 band of hash minima meet in a bucket. Links are looked for where they can still join two components: first from a
 bucket's most central document to its other members, then among the documents of buckets that still hold different
 components. A pair is compared by set sizes, by signatures, and then on the full shingle sets, so a link is exact. A
@@ -32,8 +34,10 @@ BANDS, ROWS = 32, 3
 LEAST_AGREEMENT = 0.5
 # Shingles in this many of the documents left or more are compared last, the most frequent ones up to a bound.
 FREQUENT, FREQUENT_SHINGLES = 8, 100_000
-# Ids up to this number, 8 bytes each, are broadcast to fetch the texts of candidate documents.
+# Ids up to this number, 24 bytes each, are broadcast to fetch the texts of candidate documents.
 BROADCAST_IDS = 1_000_000
+# A text with more than this share of all rows gets its first copy by a broadcast of as many rows as such shares at most.
+HOT_SHARE = 1e-4
 # Hash values worked on together; they stay in the processor's cache.
 PART = 1 << 15
 
@@ -55,18 +59,23 @@ def shingle_set(words: Column, n: int = SHINGLE) -> Column:
         F.size(words) < n, whole).otherwise(F.array_distinct(runs))
 
 
+def _tie() -> Column:
+    return F.xxhash64(text_or_empty())
+
+
 def _with_sets(docs: DataFrame) -> DataFrame:
     return docs.withColumn("words", words_of(text_or_empty())).withColumn("shingles", shingle_set(F.col("words")))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, n_shingles, signature, bands) for every row.
+    """(doc_id, tie, same, n_shingles, signature, bands) for every row.
 
-    ``same`` is a checksum of the word sequence, null where there is no word or no id: such rows link with nothing.
+    ``tie`` is a checksum of the text, ``same`` one of the word sequence, null where there is no word or no id: such rows
+    link with nothing.
     """
     on_workers(docs.sparkSession)
     sets = _with_sets(docs.select("doc_id", "text")).select(
-        "doc_id",
+        "doc_id", _tie().alias("tie"),
         F.when((F.size("words") > 0) & F.col("doc_id").isNotNull(), F.md5(F.array_join("words", " "))).alias("same"),
         "shingles")
     rng = np.random.default_rng(20240229)
@@ -85,7 +94,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = batch.column(2)
+            sets = batch.column(3)
             ends = sets.offsets.to_numpy().astype(np.int64)
             values = sets.values.to_numpy().view(np.uint64)
             sizes = np.diff(ends)
@@ -107,12 +116,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             lists = lambda flat, width, kind: pa.ListArray.from_arrays(
                 pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * width), pa.array(flat.reshape(-1).view(kind)))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(sizes),
-                lists(signature, n_hashes, np.int32), lists(keys, BANDS, np.int64)],
-                names=["doc_id", "same", "n_shingles", "signature", "bands"])
+                *batch.columns[:3], pa.array(sizes), lists(signature, n_hashes, np.int32), lists(keys, BANDS, np.int64)],
+                names=["doc_id", "tie", "same", "n_shingles", "signature", "bands"])
 
     return sets.mapInArrow(
-        run, "doc_id bigint, same string, n_shingles bigint, signature array<int>, bands array<bigint>")
+        run, "doc_id bigint, tie bigint, same string, n_shingles bigint, signature array<int>, bands array<bigint>")
 
 
 def _crowded(heads: DataFrame) -> DataFrame:
@@ -121,7 +129,7 @@ def _crowded(heads: DataFrame) -> DataFrame:
     ``rank`` rises as a document's buckets get emptier. The text from which many copies were made shares more bands
     with them than they do with each other, so it comes first in its buckets.
     """
-    members = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
+    members = heads.select(F.explode("bands").alias("bucket"), "doc", F.col("n_shingles").alias("n"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     crowded = written(members.join(shared, "bucket"), "crowded")
     central = crowded.groupBy("doc").agg((-F.sum("c")).alias("rank"))
@@ -185,10 +193,9 @@ def _rarest(sets: DataFrame) -> DataFrame:
         run, "doc bigint, component bigint, n bigint, rare array<bigint>")
 
 
-def _rest_pairs(undecided: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest_pairs(undecided: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): undecided documents of different components that share a shingle rare enough."""
-    sets = written(_sets_of(docs, undecided.withColumnRenamed("doc", "doc_id")).withColumnRenamed(
-        "doc_id", "doc"), "undecided-sets")
+    sets = written(_sets_of(docs, heads, undecided), "undecided-sets")
     rows = written(_rarest(sets), "rare").select("doc", "component", "n", F.posexplode("rare").alias("place", "s"))
     # Of a pair the smaller set needs fewer: shared >= 2p / (100 + p) of its size, as the other is no smaller.
     small = rows.where(
@@ -203,52 +210,86 @@ def _rest_pairs(undecided: DataFrame, docs: DataFrame) -> DataFrame:
         F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingle sets of the documents in ``wanted`` (doc_id and more), one row for each id."""
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    found = docs.select("doc_id", "text").join(few, "doc_id").dropDuplicates(["doc_id"])
-    return _with_sets(found).drop("text", "words")
+def _sets_of(docs: DataFrame, heads: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The shingle sets of the documents in ``wanted`` (doc and more), one row for each."""
+    placed = wanted.join(heads.select("doc", "doc_id", "tie"), "doc")
+    few = F.broadcast(placed) if wanted.count() <= BROADCAST_IDS else placed
+    found = docs.select("doc_id", "text", _tie().alias("tie")).join(few, ["doc_id", "tie"]).dropDuplicates(["doc"])
+    return _with_sets(found).drop("text", "words", "doc_id", "tie")
 
 
 def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): the pairs whose shingle sets are similar enough; signatures are compared first."""
-    own = heads.select("doc_id", "signature")
+    own = heads.select("doc", "signature")
     signed = pairs.join(own.toDF("a", "sa"), "a").join(own.toDF("b", "sb"), "b")
     agreed = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     likely = written(signed.where(agreed >= LEAST_AGREEMENT * BANDS * ROWS).select("a", "b"), "pairs")
-    ids = written(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    sets = _sets_of(docs, ids)
+    ids = written(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "pair-ids")
+    sets = _sets_of(docs, heads, ids)
     both = likely.join(sets.toDF("b", "y"), "b").join(sets.toDF("a", "x"), "a")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(100 * shared >= PERCENT * (F.size("x") + F.size("y") - shared)).select(
         F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+def _heads(signed: DataFrame) -> DataFrame:
+    """(doc, doc_id, tie, same, copies, n_shingles, signature, bands): the first of each set of equal word sequences.
 
-    ``component_id`` is the smallest id reachable over links of at least ``PERCENT`` per cent similarity. Null and empty
-    texts have no shingles and are alone. Rows with a null id are alone and have a null component. Rows that share an
-    id count as one document. An empty table gives no rows; other columns are not read.
+    ``doc`` numbers the rows as they are written, so it is fixed from then on.
     """
+    firsts = signed.where("same is not null").groupBy("same").agg(
+        F.min(F.struct("doc_id", "tie", "n_shingles", "signature", "bands")).alias("f"), F.count(F.lit(1)).alias("copies"))
+    return written(firsts.select(F.monotonically_increasing_id().alias("doc"), "same", "copies", "f.*"), "heads")
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(signatures of all rows, heads with the first (doc_id, tie) of their component)."""
     signed = written(signatures(docs), "signatures")
-    firsts = signed.where("same is not null").groupBy("same").agg(F.min("doc_id").alias("head"))
-    heads = written(
-        signed.join(firsts, "same").where("doc_id = head").select(
-            "doc_id", "n_shingles", "signature", "bands").dropDuplicates(["doc_id"]), "heads")
+    heads = _heads(signed)
     members = written(_crowded(heads), "members")
     stars = written(_verified(_leader_pairs(members), heads, docs), "edges")
     linked = written(components(stars), "components")
     undecided = written(_undecided(_with_components(members, linked)), "undecided")
-    rest = written(_verified(_rest_pairs(undecided, docs), heads, docs), "edges")
-    found = written(components(stars.union(rest)), "components")
-    placed = signed.select("doc_id", "same", "n_shingles").join(firsts, "same", "left")
-    return placed.join(found, F.col("head") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "head", "doc_id").alias("component_id"))
+    rest = written(_verified(_rest_pairs(undecided, heads, docs), heads, docs), "edges")
+    found = components(stars.union(rest)).withColumnRenamed("node", "doc")
+    linked_heads = written(heads.select("doc", "doc_id", "tie").join(found, "doc"), "components")
+    named = linked_heads.groupBy("component").agg(F.min(F.struct("doc_id", "tie")).alias("first"))
+    firsts = linked_heads.join(named, "component").select("doc", "first")
+    return signed, heads.select("doc", "doc_id", "tie", "same", "copies").join(firsts, "doc", "left").withColumn(
+        "first", F.coalesce("first", F.struct("doc_id", "tie")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+
+    ``component_id`` is the smallest id reachable over links of at least ``PERCENT`` per cent similarity. Null and empty
+    texts have no shingles and are alone. Rows with a null id are alone and have a null component. Rows that share an
+    id but not their words are documents of their own. An empty table gives no rows; other columns are not read.
+    """
+    signed, heads = _classes(docs)
+    rows = signed.select("doc_id", "same", "n_shingles")
+    named = written(heads.select("same", "copies", F.col("first.doc_id").alias("component_id")), "named")
+    hot = F.col("copies") > HOT_SHARE * (rows.count() or 1)
+    # Rows of a text with many copies do not meet in one task, and rows that link with nothing meet nowhere.
+    marked = rows.where("same is not null").join(
+        F.broadcast(named.where(hot & (F.col("copies") > 1)).select("same", F.col("component_id").alias("of_hot"))), "same", "left")
+    cold = marked.where("of_hot is null").join(named.where(~hot | (F.col("copies") <= 1)), "same")
+    alone = rows.where("same is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return cold.select("doc_id", "n_shingles", "component_id").unionByName(marked.where("of_hot is not null").select(
+        "doc_id", "n_shingles", F.col("of_hot").alias("component_id"))).unionByName(alone)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; of repeated rows with such an id, one. Null ids stay."""
-    alone = docs.where("doc_id is null")
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(alone)
+    """The first row of each component, by id and a checksum of the text.
+
+    Rows without an id or without a word link with nothing and stay, repeated ones too. Of rows with the same id and text
+    one stays. Rows with one id and different words are different documents: none takes the place of another.
+    """
+    wordless = F.octet_length(F.btrim(text_or_empty(), F.lit(" \t\n\x0b\f\r"))) == 0
+    alone = F.col("doc_id").isNull() | wordless
+    firsts = _classes(docs)[1].select(
+        F.col("first.doc_id").alias("first_id"), F.col("first.tie").alias("first_tie")).distinct()
+    rows = docs.where(~alone).select(  # a row as a struct, so its columns can have any names
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("first_id"), _tie().alias("first_tie"))
+    kept = rows.join(firsts, ["first_id", "first_tie"], "left_semi").dropDuplicates(["first_id", "first_tie"])
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns)).unionByName(docs.where(alone))

@@ -220,6 +220,30 @@ def test_near_duplicates_on_messy_rows(messy, empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_repeated_ids_lose_no_text(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    docs = [(1, a), (1, b), (2, b), (3, b + " more"), (4, c), (4, c), (4, a), (5, None), (5, ""), (6, "one"), (6, "two")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("first_id", F.lit("own"))
+    rows = Counter((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(frame).collect())
+    n = {t: len(_set(t)) for t in (a, b, c, b + " more")}
+    assert rows == Counter([
+        (1, n[a], 1), (1, n[b], 1), (2, n[b], 1), (3, n[b + " more"], 1), (4, n[c], 4), (4, n[c], 4), (4, n[a], 1),
+        (5, 0, 5), (5, 0, 5), (6, 1, 6), (6, 1, 6)])
+    for kept in (minhash.drop_near_duplicates(frame), corpus_pipeline.drop_near_duplicates(spark, frame, SMALL)):
+        assert kept.columns == frame.columns and {r.first_id for r in kept.collect()} == {"own"}
+        assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+            [(1, a), (1, b), (4, c), (5, None), (5, ""), (6, "one"), (6, "two")])
+
+
+@pytest.mark.parametrize("share", [0, 1e-4, 1])
+def test_copies_find_their_component_either_way(spark, monkeypatch, share):
+    monkeypatch.setattr(minhash, "HOT_SHARE", share)
+    docs = [(i, prose(7, 30) if i % 3 else prose(i, 30)) for i in range(1, 60)] + [(None, prose(7, 30)), (99, " ")]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in rows) == sorted(
+        (i or 0, i if i == 99 or not i or i % 3 == 0 else 1) if i else (0, 0) for i, _ in docs)
+
+
 def _lattice_score(word, weights):
     s = b" " + word
     a = [0.0] + [-math.inf] * len(s)
