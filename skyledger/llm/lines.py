@@ -11,10 +11,13 @@ pairwise, and every pair is verified by its edit distance before a line goes.
 Lines are near by words if they are equal without at most ``max_words`` words each, taken out at the same places, and
 what is taken out is at most ``share`` of either line's characters: a bound of words dropped, added or changed, relative
 to the line. What is left is cut into ``max_words + 1`` parts, and one of them holds none of the places, so lines that
-are near share the key of a part. Where few lines share a key, each two are compared; where many do, each is compared with
-the key's earliest, and lines that this settles look for nothing more. If many are left, the places are narrowed down as
-above, and at single places all lines of a key are near, so the earliest stands for the others. A word
-goes up to the next one's start, and a character of a script without blanks is a word. ``max_words = 0`` leaves this out.
+are near share the key of a part. A passage that many lines share is enough for that, so each part is halved: the
+places lie in ``max_words`` of the halves at most, and lines that are near share the key of all others, for the same
+halves. A line sends such a key only where it shares the keys of all its whole parts. Where few lines share a key, each
+two are compared; where many do, each is compared with the key's earliest, and lines that this settles look for nothing
+more. If many are left, the places are narrowed down as above, and at single places all lines of a key are near, so the
+earliest stands for the others. A word goes up to the next one's start, and a character of a script without blanks is a
+word. ``max_words = 0`` leaves this out.
 
 Order is (doc_id, checksum of the text, line number), nulls first. Lines are compared without white space at their
 ends. Lines of fewer than ``MIN_CHARS`` characters go only if equal, lines of fewer than ``2 * max_words + 1`` words are
@@ -24,6 +27,7 @@ not compared by words; lines without a character but white space stay.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import on_workers, text_or_empty, written
+from skyledger.llm.common import on_workers, text_or_empty, text_parts, written
 
 MIN_CHARS = 20
 # Words and share of a line's characters that may differ, in the registered query and the pipeline.
@@ -60,6 +64,7 @@ LINE = ["doc_id", "tie", "line_no"]
 LINE_TYPES = "doc_id bigint, tie bigint, line_no int"
 # From here on (radicals, CJK, kana, Hangul, ...) a character is a word.
 NO_BLANKS = 0x2E80
+WORD = re.compile(f"[{chr(NO_BLANKS)}-\U0010ffff][ \t-\r]*|[^ \t-\r{chr(NO_BLANKS)}-\U0010ffff]+[ \t-\r]*")
 CHAR_KEYS = 4
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -321,31 +326,53 @@ def _one_edit_lines(texts: DataFrame) -> DataFrame:
     return checked.select("line.*").distinct()
 
 
+def _halves(max_words: int) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """(open halves of parts, words taken out of the line in each): what the keys of the second step leave out."""
+    n = range(max_words + 1)
+    taken = [t for t in itertools.product(n, repeat=max_words) if sum(t) <= max_words]
+    return list(itertools.product(itertools.combinations(range(2 * max_words + 2), max_words), taken))
+
+
+def _whole_parts(halves: tuple[int, ...], taken: tuple[int, ...], max_words: int) -> list[int]:
+    """Indices of ``_parts`` of the parts without an open half."""
+    return [_parts(max_words).index((part, sum(taken), sum(t for half, t in zip(halves, taken) if half < 2 * part)))
+            for part in range(max_words + 1) if not {2 * part, 2 * part + 1} & set(halves)]
+
+
+def _half_cut(left, max_words: int) -> np.ndarray:
+    """Where the halves of parts begin, and the end, in words of what is left."""
+    return np.arange(2 * max_words + 3) * np.asarray(left)[..., None] // (2 * max_words + 2)
+
+
 def _spots(code: int, step: int, n: int, max_words: int) -> Iterator[tuple[int, tuple[int, ...], list[tuple[int, int]]]]:
     """(code, mask, ranges) that a code stands for in a line of ``n`` words.
 
     The mask tells at which places this line has a word that is taken out; the ranges tell where the places can be, in
-    words of what is left, in ascending order. A code of step 0 is an index of ``_parts``; each later step adds a digit.
+    words of what is left, in ascending order. A code of step 0 is an index of ``_halves``; each later step adds a digit.
     """
     digits = []
     for _ in range(step):
         code, digit = divmod(code, WORD_FINE ** max_words)
         digits.append(digit)
     which = None
+    ways = list(itertools.product(
+        itertools.combinations_with_replacement(range(max_words), max_words), itertools.product((0, 1), repeat=max_words)))
     if step:
-        code, which = divmod(code, (max_words + 1) << max_words)
-    part, taken, before = _parts(max_words)[code]
-    left = n - taken
-    low, high = (p * left // (max_words + 1) for p in (part, part + 1))
-    for i, (ahead, mask) in enumerate(itertools.product(range(max_words + 1), itertools.product((0, 1), repeat=max_words))):
-        if (which is None or which == i) and sum(mask) == taken and sum(mask[:ahead]) == before and (
-                (part > 0 or ahead == 0) and (part < max_words or ahead == max_words)):
-            stem = code * ((max_words + 1) << max_words) + i
-            ranges = [(0, low)] * ahead + [(high, left)] * (max_words - ahead)
+        code, which = divmod(code, len(ways))
+    halves, taken = _halves(max_words)[code]
+    cut = _half_cut(n - sum(taken), max_words).tolist()
+    for i, (homes, mask) in enumerate(ways):
+        used = {halves[j] for j in homes}
+        spare = [half for half in range(2 * max_words + 2) if half not in used]
+        # Places in fewer halves belong to one choice of open halves only, the one with the first of the others.
+        if (which is None or which == i) and used.union(spare[:max_words - len(used)]) == set(halves) and all(
+                sum(m for home, m in zip(homes, mask) if home == j) == taken[j] for j in range(max_words)):
+            stem = code * len(ways) + i
+            ranges = [(cut[halves[j]], cut[halves[j] + 1]) for j in homes]
             for digit in reversed(digits):
                 stem = stem * WORD_FINE ** max_words + digit
                 at = [digit // WORD_FINE ** (max_words - 1 - j) % WORD_FINE for j in range(max_words)]
-                ranges = [(int(cut[d]), int(cut[d + 1])) for cut, d in zip(map(_word_cut, ranges), at)]
+                ranges = [(int(c[d]), int(c[d + 1])) for c, d in zip(map(_word_cut, ranges), at)]
             yield stem, mask, ranges
 
 
@@ -355,19 +382,58 @@ def _word_cut(place: tuple[int, int]) -> np.ndarray:
     return low + np.arange(parts + 1, dtype=np.int64) * (high - low) // parts
 
 
-def _word_keys(h: Hashes, words: np.ndarray, mask: tuple[int, ...], low: list[np.ndarray], high: list[np.ndarray]) -> np.ndarray:
-    """Keys of a line without what lies from ``low`` to ``high`` at each place and without the words of the mask."""
-    n = len(words) - 1
-    shift, left = 0, n - sum(mask)
-    key = _key(h.of(words[0], words[low[0]]), left, 6, 0)
-    for j, own in enumerate(mask):
+def _word_keys(h: Hashes, words: np.ndarray, first, n, taken: tuple[int, ...], low: list, high: list) -> np.ndarray:
+    """Keys of lines without what lies from ``low`` to ``high`` at each place and without the words taken out there.
+
+    A line is ``n`` words from number ``first`` on; places are in words of what is left.
+    """
+    shift, left = 0, n - sum(taken)
+    key = _key(h.of(words[first], words[first + low[0]]), left, 6, 0)
+    for j, own in enumerate(taken):
         shift += own
         begin = high[j] + shift
-        end = np.maximum(high[j], low[j + 1]) + shift if j + 1 < len(mask) else n
-        key = _key(key.view(np.uint64) ^ h.of(words[begin], words[end]), low[j], 7, high[j])
+        end = np.maximum(high[j], low[j + 1]) + shift if j + 1 < len(taken) else n
+        key = _key(key.view(np.uint64) ^ h.of(words[first + begin], words[first + end]), low[j], 7, high[j])
     return key
 
 
+def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
+    """(id, key, code): keys of ``lines`` (id, text, codes) without ``max_words`` halves of parts; the code tells which."""
+    on_workers(lines.sparkSession)
+    wanted = [(halves, taken, _whole_parts(halves, taken, max_words)) for halves, taken in _halves(max_words)]
+    n_parts = len(_parts(max_words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, texts in text_parts(batch.column(1), PART_CHARS):
+                ids, codes = batch.column(0)[own], batch.column(2)[own]
+                texts = texts.to_pylist()
+                shares = np.zeros((len(texts), n_parts), bool)
+                flat = codes.flatten().to_numpy()
+                sizes = codes.value_lengths().to_numpy()
+                of_words = flat >= CHAR_KEYS
+                shares[np.repeat(np.arange(len(texts)), sizes)[of_words], flat[of_words] - CHAR_KEYS] = True
+                end = np.cumsum([len(t) + 1 for t in texts]) - 1
+                begin = np.append(0, end[:-1] + 1)
+                h = Hashes(" ".join(texts) + " ")
+                words = h.words()
+                first = np.searchsorted(words, begin)
+                n = np.searchsorted(words, end) - first
+                found = []
+                for code, (halves, taken, whole) in enumerate(wanted):
+                    at = np.flatnonzero(shares[:, whole].all(axis=1))
+                    if len(at):
+                        cut = _half_cut(n[at] - sum(taken), max_words)
+                        low, high = ([cut[:, half + k] for half in halves] for k in (0, 1))
+                        key = _word_keys(h, words, first[at], n[at], taken, low, high)
+                        found.append((at, key, np.full(len(at), code, np.int64)))
+                if found:
+                    at, key, code = (pa.array(np.concatenate(c)) for c in zip(*found))
+                    yield pa.RecordBatch.from_arrays([ids.take(at), key, code], names=["id", "key", "code"])
+
+    return lines.select("id", "text", "codes").mapInArrow(run, "id bigint, key bigint, code bigint")
+
+
 def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share: float) -> DataFrame:
     """(line, key, code): keys of ``lines`` (with text and codes) with narrower places, or at the ``last`` step single ones."""
     on_workers(lines.sparkSession)
@@ -375,8 +441,9 @@ def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share:
     def keys_of(text: str, codes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         h = Hashes(text + " ")
         words = h.words()
+        n = len(words) - 1
         for code in codes:
-            for stem, mask, ranges in _spots(code, step, len(words) - 1, max_words):
+            for stem, mask, ranges in _spots(code, step, n, max_words):
                 cuts = [np.arange(a, b + 1) for a, b in ranges] if last else [_word_cut(r) for r in ranges]
                 grid = [g.reshape(-1) for g in np.meshgrid(
                     *(np.arange(len(c) if last else len(c) - 1) for c in cuts), indexing="ij")]
@@ -393,14 +460,14 @@ def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share:
                             size += words[place + shift + 1] - words[place + shift]
                         shift += own
                     low = [x[size <= share * len(text) + 1e-6] for x in low]
-                    key = _word_keys(h, words, mask, low, low)
+                    key = _word_keys(h, words, 0, n, mask, low, low)
                     yield key, np.zeros(len(key), np.int64)
                 else:
                     digit = np.zeros(len(grid[0]), np.int64)
                     for g in grid:
                         digit = digit * WORD_FINE + g
                     high = [c[g + 1] for c, g in zip(cuts, grid)]
-                    yield _word_keys(h, words, mask, low, high), stem * WORD_FINE ** max_words + digit
+                    yield _word_keys(h, words, 0, n, mask, low, high), stem * WORD_FINE ** max_words + digit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -479,10 +546,8 @@ def _each_two(rows: DataFrame) -> DataFrame:
 
 
 def _words(text: str) -> list[str]:
-    h = Hashes(text + " ")
-    words = h.words().tolist()
-    text += " "
-    return [text[a:b] for a, b in zip(words, words[1:])]
+    """The words of ``Hashes.words``, each up to the next one's start."""
+    return WORD.findall(text + " ")
 
 
 def _left(x: list[str], y: list[str], max_words: int) -> int:
@@ -547,15 +612,15 @@ def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int,
     return near, pairs, placed.join(load.where(F.col("k") > PAIR_LINES).select("key"), "key").select("id", "code")
 
 
-def _near_by_words(
-    shared: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float
-) -> DataFrame:
-    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``shared`` are the rows of shared part keys.
+def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``texts`` have the codes of shared part keys.
 
     ``gone`` (doc_id, tie, line_no) are known to go: they are still compared with, but seek nothing themselves.
     """
     marks = F.regexp_replace("text", f"[^{SPACES}\\x{{{NO_BLANKS:x}}}-\\x{{10ffff}}]", "")
-    width = texts.agg(F.max(2 * F.length(marks) + 1)).first()[0]
+    longest = texts.agg(F.max(2 * F.length(marks) + 1)).first()[0] or 0
+    width = -(-longest // (2 * max_words + 2))
+    shared = written(_shared(written(_emit_halves(texts, max_words), "half-keys")), "word-keys")
     near = written(_near(_each_two(shared), texts, max_words, share), "near")
     step = 0
     while True:
@@ -575,7 +640,7 @@ def _near_by_words(
             firsts = best.select("key", F.xxhash64(*(F.col(f"f.{c}") for c in LINE)).alias("a"))
             pairs = keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct()
             return near.unionByName(_near(pairs, texts, max_words, share)).distinct()
-        shared = written(_shared(keys.select("key", _id(), "code")), "word-keys")
+        shared = written(_shared(written(keys.select("key", _id(), "code"), "place-keys")), "word-keys")
         near = written(near.unionByName(_near(_each_two(shared), texts, max_words, share)).distinct(), "near")
         width = -(-width // min(WORD_FINE, -(-width // WORD_LAST)))
         step += 1
@@ -584,15 +649,16 @@ def _near_by_words(
 def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
     """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one, or near it by words."""
     met = written(_shared_keys(firsts), "line-keys")
-    codes = met.groupBy("id").agg(F.collect_set(F.when(F.col("code") < CHAR_KEYS, F.col("code"))).alias("codes"))
+    codes = met.groupBy("id").agg(F.collect_set("code").alias("codes"))
     own = firsts.select(_id(), *LINE).join(codes, "id")
     texts = written(_with_texts(docs, written(own, "line-codes")), "line-texts")
-    near = _one_edit_lines(texts.where(F.size("codes") > 0).drop("id"))
+    by_chars = texts.withColumn("codes", F.filter("codes", lambda c: c < CHAR_KEYS)).where(F.size("codes") > 0)
+    near = _one_edit_lines(by_chars.drop("id"))
     if not max_words:
         return near
     near = written(near, "near")
-    words = met.where(F.col("code") >= CHAR_KEYS).withColumn("code", (F.col("code") - CHAR_KEYS).cast("long"))
-    return near.union(_near_by_words(words, texts, near, max_words, share)).distinct()
+    by_words = texts.where(F.exists("codes", lambda c: c >= CHAR_KEYS))
+    return near.union(_near_by_words(by_words, near, max_words, share)).distinct()
 
 
 def dedup_lines(docs: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
