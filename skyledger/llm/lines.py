@@ -56,8 +56,9 @@ MAX_BITS = 28
 CHUNK_BITS = 15
 # Keys a task gathers before it passes them on.
 ROWS_OUT = 100_000
-# Lines up to this number, some 30 bytes each, are broadcast to fetch their texts.
-BROADCAST_LINES = 1_000_000
+# Lines and their codes are broadcast to fetch their texts up to this size; a line takes some bytes besides its codes.
+BROADCAST_BYTES = 32 << 20
+LINE_BYTES = 64
 
 SPACES = " \t\x0b\f\r"
 LINE = ["doc_id", "tie", "line_no"]
@@ -231,8 +232,8 @@ def _codes_of(rows: DataFrame) -> DataFrame:
 
 
 def _with_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``lines`` with the line's ``text``, white space at its ends removed."""
-    few = lines.count() <= BROADCAST_LINES
+    """``lines`` (line, id, codes) with the line's ``text``, white space at its ends removed."""
+    few = (lines.agg(F.sum(LINE_BYTES + 4 * F.size("codes"))).first()[0] or 0) <= BROADCAST_BYTES
     more = [c for c in lines.columns if c not in LINE]
     wanted = lines.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("line_no", *more)).alias("wanted"))
     rows = _rows(docs).dropDuplicates(["doc_id", "tie"]) if not few else _rows(docs)
@@ -596,30 +597,39 @@ def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int,
     """(lines that go, pairs (a, b), rows to narrow down) of the keys that many lines share.
 
     Every line of a key is compared with the earliest one first: copies of a line go at once, however many they are.
-    Those that stay are the key's seekers. Few of them are compared with all lines of the key, which costs no more than
-    ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers are narrowed down.
+    Those that stay are the key's seekers. Few of them are compared with all earlier lines of the key, which costs no more
+    than ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers are narrowed down.
     """
     line = texts.select("id", F.struct(*LINE).alias("line"))
     placed = written(rows.where(F.col("n") > PAIR_LINES).join(line, "id"), "word-lines")
     firsts = placed.groupBy("key").agg(F.min(F.struct("line", "id")).alias("f")).select("key", F.col("f.id").alias("first"))
-    later = written(placed.join(firsts, "key").where("id <> first").select("key", "id", "first"), "word-later")
+    later = written(placed.join(firsts, "key").where("id <> first").select("key", "id", "line", "first"), "word-later")
     near = written(_near(later.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts, max_words, share), "near")
-    seekers = written(later.select("key", "id").distinct().join(
+    seekers = written(later.select("key", "id", "line").distinct().join(
         gone.unionByName(near.select(_id())).distinct(), "id", "left_anti"), "seekers")
     load = seekers.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
-    few = seekers.join(load.where(F.col("k") <= PAIR_LINES).select("key"), "key").withColumnRenamed("id", "b")
-    pairs = placed.select("key", F.col("id").alias("a")).distinct().join(few, "key").where("a <> b").select("a", "b").distinct()
+    few = seekers.join(load.where(F.col("k") <= PAIR_LINES).select("key"), "key").select(
+        "key", F.col("id").alias("b"), F.col("line").alias("seeker"))
+    earlier = placed.select("key", F.col("id").alias("a"), "line").distinct()
+    pairs = earlier.join(few, "key").where("line < seeker").select("a", "b").distinct()
     return near, pairs, placed.join(load.where(F.col("k") > PAIR_LINES).select("key"), "key").select("id", "code")
 
 
+def _width(lines: DataFrame, step: int, max_words: int) -> int:
+    """Words of the widest range of a place in ``lines`` (with text) before a step, or more."""
+    marks = F.regexp_replace("text", f"[^{SPACES}\\x{{{NO_BLANKS:x}}}-\\x{{10ffff}}]", "")
+    longest = lines.agg(F.max(2 * F.length(marks) + 1)).first()[0]
+    width = -(-longest // (2 * max_words + 2))
+    for _ in range(step):
+        width = -(-width // min(WORD_FINE, -(-width // WORD_LAST)))
+    return width
+
+
 def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> DataFrame:
     """(doc_id, tie, line_no) of the lines that are near an earlier one; ``texts`` have the codes of shared part keys.
 
     ``gone`` (doc_id, tie, line_no) are known to go: they are still compared with, but seek nothing themselves.
     """
-    marks = F.regexp_replace("text", f"[^{SPACES}\\x{{{NO_BLANKS:x}}}-\\x{{10ffff}}]", "")
-    longest = texts.agg(F.max(2 * F.length(marks) + 1)).first()[0] or 0
-    width = -(-longest // (2 * max_words + 2))
     shared = written(_shared(written(_emit_halves(texts, max_words), "half-keys")), "word-keys")
     near = written(_near(_each_two(shared), texts, max_words, share), "near")
     step = 0
@@ -632,7 +642,7 @@ def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: flo
             return near.distinct()
         near = written(near.distinct(), "near")
         lines = texts.drop("codes").join(codes, "id")
-        last = width <= WORD_LAST
+        last = _width(lines, step, max_words) <= WORD_LAST
         keys = _emit_words(lines, step, last, max_words, share)
         if last:
             line = F.struct(*LINE)
@@ -642,7 +652,6 @@ def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: flo
             return near.unionByName(_near(pairs, texts, max_words, share)).distinct()
         shared = written(_shared(written(keys.select("key", _id(), "code"), "place-keys")), "word-keys")
         near = written(near.unionByName(_near(_each_two(shared), texts, max_words, share)).distinct(), "near")
-        width = -(-width // min(WORD_FINE, -(-width // WORD_LAST)))
         step += 1
 
 
