@@ -5,11 +5,15 @@ length of what the coding has changed. The product of two codes is exact in whol
 lies within a distance of it that follows from their two bounds. A tile product gives these intervals for all pairs of
 two tiles; only pairs whose interval holds the threshold are computed again from the vectors themselves.
 
-Tiles are formed within cells. A cell holds the classes on the same sides of some random planes. How many planes, and
-how many times the space is cut anew, follows from the number of classes, such that a pair at the threshold shares a
-cell with a probability of at least ``RECALL`` at every size, and a closer pair with more. Small tables are one cell.
-A cell of any size is worked off in blocks, a pair of blocks to a group. Nothing is put out per pair: a group returns
-sums of links per class and a spanning forest, so thousands of copies of one vector stay linear.
+All classes of one length are compared with each other at every size, so a link depends on its two vectors alone. They
+are worked off in blocks, a pair of blocks to a group; how many blocks there are decides on memory and tasks, not on
+results. Nothing is put out per pair: a group returns sums of links per class and a spanning forest, so thousands of
+copies of one vector stay linear. The products grow with the square of the number of classes.
+
+A caller who would rather lose some links than wait may ask for cells. A cell holds the classes on the same sides of some
+random planes, and only classes of one cell are compared. How many planes, and how many times the space is cut anew,
+follows from the number of classes, such that a pair at the threshold shares a cell with a probability of at least
+``recall``, and a closer pair with more.
 """
 
 from __future__ import annotations
@@ -28,10 +32,12 @@ from skyledger.llm.common import on_workers, written
 from skyledger.llm.components import components
 
 COSINE = 0.9
-# Least probability that a pair at the threshold is compared.
+# Least probability that a pair at the threshold is compared, for a caller who asks for cells.
 RECALL = 0.999
-# Classes of a cell on average, of a block at most on average, and of a tile.
-CELL, BLOCK, TILE = 16_384, 16_384, 1_024
+# Classes of a cell on average, where cells are asked for, and of a tile.
+CELL, TILE = 16_384, 1_024
+# Components of the vectors of a block on average at most, and blocks of more than a tile at least, so that tasks can share.
+BLOCK_VALUES, LEAST_BLOCKS = 1 << 22, 8
 SEED = 20240301
 # What sums and products in double precision may be off by, for unit vectors.
 ROUNDING = 1e-9
@@ -127,12 +133,16 @@ def _coded(classes: DataFrame, planes: int, cuts: int, seed: int, kind: type) ->
     return classes.select("node", "copies", "vector").mapInArrow(run, _CODED)
 
 
-def _in_blocks(coded: DataFrame, block: int) -> DataFrame:
+def _in_blocks(coded: DataFrame, block: int | None) -> DataFrame:
     """Every class once for each cutting and each pair of blocks of its cell that it takes part in."""
+    if block is None:
+        size = F.col("size")
+        blocks = F.when(size > TILE, F.greatest(F.lit(LEAST_BLOCKS), F.ceil(size * F.col("dim") / BLOCK_VALUES))).otherwise(1)
+    else:
+        blocks = F.ceil(F.col("size") / block)
     placed = coded.select("*", F.posexplode("cells").alias("cut", "cell"))
     sizes = placed.groupBy("cut", "dim", "cell").agg(F.count(F.lit(1)).alias("size"))
-    full = written(sizes.where(F.col("size") > block).select(
-        "cut", "dim", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "cells")
+    full = written(sizes.select("cut", "dim", "cell", blocks.cast("int").alias("blocks")).where("blocks > 1"), "cells")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     return (
         placed.join(full, ["cut", "dim", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
@@ -142,21 +152,25 @@ def _in_blocks(coded: DataFrame, block: int) -> DataFrame:
 
 
 class _Side:
-    """The classes of one block, those of a cell of an earlier cutting side by side."""
+    """The classes of one block, those of a cell of an earlier cutting or else of like scales side by side."""
 
     def __init__(self, rows: pa.Table, dim: int, cut: int, kind: type):
         flat = lambda name, kind: np.frombuffer(b"".join(rows[name].to_pylist()), kind).reshape(len(rows), dim)
         cells = rows["cells"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
-        self.order = np.lexsort(cells[:, :cut].T[::-1]) if cut else np.arange(len(rows))
+        scale = rows["scale"].to_numpy()
+        self.order = np.lexsort(cells[:, :cut].T[::-1]) if cut else np.argsort(scale, kind="stable")
         self.cells = cells[self.order, :cut]
         self.codes = flat("codes", np.int8)[self.order]
-        self.scale = rows["scale"].to_numpy()[self.order]
+        self.scale = scale[self.order]
         self.off = rows["off"].to_numpy()[self.order]
-        vectors = flat("vector", kind)[self.order].astype(np.float64)
-        vectors = vectors / np.abs(vectors).max(1)[:, None]
-        self.units = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+        self.vectors = flat("vector", kind)[self.order]
         self.copies = rows["copies"].to_numpy()[self.order]
 
+    def units(self, at: np.ndarray) -> np.ndarray:
+        vectors = self.vectors[at].astype(np.float64)
+        vectors /= np.abs(vectors).max(1)[:, None]
+        return vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+
 
 def _linked(a: _Side, b: _Side, i: slice, j: slice, same: bool, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of two tiles whose cosine reaches the threshold and that no earlier cutting has compared."""
@@ -184,7 +198,7 @@ def _linked(a: _Side, b: _Side, i: slice, j: slice, same: bool, cosine: float) -
     open_ = np.flatnonzero(~sure)
     for at in range(0, len(open_), 1 << 16):
         part = open_[at:at + (1 << 16)]
-        sure[part] = (a.units[i][x[part]] * b.units[j][y[part]]).sum(1) >= cosine
+        sure[part] = (a.units(x[part] + i.start) * b.units(y[part] + j.start)).sum(1) >= cosine
     return x[sure] + i.start, y[sure] + j.start
 
 
@@ -245,13 +259,14 @@ def _compare(cosine: float, kind: type):
 
 
 def near_duplicates(
-    vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, cell: int = CELL, block: int = BLOCK,
-    seed: int = SEED,
+    vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, cell: int | None = None,
+    block: int | None = None, seed: int = SEED,
 ) -> DataFrame:
     """(vec_id, n_links, component_id) for every row of ``vectors`` (vec_id, embedding).
 
-    ``n_links`` counts the other rows at a cosine of ``cosine`` or more that were compared, ``component_id`` is the
-    smallest id reachable. Vectors that are null, empty or zero, or hold null or non-finite components, have no links
+    ``n_links`` counts the other rows at a cosine of ``cosine`` or more, ``component_id`` is the smallest id reachable.
+    Only a caller who gives ``cell`` has the search narrowed to cells of about so many classes, with ``recall`` at the
+    threshold; else all pairs are compared. ``block`` is the number of classes in a block. Vectors that are null, empty or zero, or hold null or non-finite components, have no links
     and are alone; so are rows with a null id, whose component is null. Vectors of different lengths are not compared.
     Rows that share an id each count with the vector of their own; equal rows link with each other. An empty table
     gives no rows; other columns are not read.
@@ -266,7 +281,7 @@ def near_duplicates(
         rows.where(usable).groupBy("print").agg(
             F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector")).select(
             F.struct("id", "print").alias("node"), "copies", "vector"), "classes")
-    planes, cuts = cuttings(classes.count(), cosine, recall, cell)
+    planes, cuts = (0, 1) if cell is None else cuttings(classes.count(), cosine, recall, cell)
     coded = written(_coded(classes, planes, cuts, seed, kind), "coded")
     found = written(_in_blocks(coded, block).groupBy("cut", "dim", "cell", "low", "high").applyInArrow(
         _compare(cosine, kind), _FOUND), "links")

@@ -261,3 +261,15 @@ def test_ids_that_repeat_and_empty_tables(spark):
     assert {r.label for r in vectors.drop_near_duplicates(table).collect()} == {"x", "y", "v"}
     assert vectors.near_duplicates(table.where("vec_id > 9")).count() == 0
     assert vectors.near_duplicates(table.where("vec_id = 4")).collect() == [(4, 0, 4)]
+
+
+def test_no_link_is_lost_in_a_large_table(spark):
+    """Beyond 16,384 vectors too, a link depends on its two vectors alone."""
+    r = np.random.default_rng(11)
+    a, b = r.standard_normal((2, 12_000, 32))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    x = np.stack([a, 0.9001 * a + np.sqrt(1 - 0.9001 ** 2) * b], 1).reshape(-1, 32)
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    assert vectors.near_duplicates(table).where("n_links >= 1 AND component_id div 2 <= vec_id div 2").count() == len(x)
