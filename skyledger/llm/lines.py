@@ -29,6 +29,7 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ MIN_CHARS = 20
 # Words and share of a line's characters that may differ, in the registered query and the pipeline.
 MAX_WORDS = 2
 SHARE = 0.1
-# Characters hashed together, but for a single longer text.
-PART_CHARS = 1 << 20
+# Characters hashed together, but for a single longer text; few enough for a core's cache.
+PART_CHARS = 1 << 17
 # Parts of a half in the second step.
 FINE = 16
 # At most so many parts of a stretch of words in a step, of so many words at least.
@@ -54,6 +55,9 @@ PAIR_LINES = 16
 # Bits for the keys that two lines share, 16 a key up to 32 MB; rows whose bit is not set are not shuffled again.
 MAX_BITS = 28
 CHUNK_BITS = 15
+# Keys of a bucket that is searched for shared ones in one go, about, and buckets (as bits) at least.
+BUCKET_KEYS = 1 << 22
+BUCKET_BITS = 7
 # Keys a task gathers before it passes them on.
 ROWS_OUT = 100_000
 # Lines and their codes are broadcast to fetch their texts up to this size; a line takes some bytes besides its codes.
@@ -73,24 +77,33 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93))
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse up to ``n``."""
+    both = []
+    for base in (_BASE, _INVERSE):
+        powers = np.full(n + 1, base, np.uint64)
+        powers[0] = 1
+        both.append(np.cumprod(powers, dtype=np.uint64))
+    return both[0], both[1]
+
+
 class Hashes:
     """Hashes of any stretch of a text in constant time, from running sums of its characters."""
 
     def __init__(self, text: str):
-        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        n = len(chars)
-        self.chars = chars
-        mixed = (chars + np.uint64(1)) * _MIX[0]
+        self.chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        n = len(self.chars)
+        # Tables of a few lengths serve all texts but very long ones.
+        powers, self.back = _powers(2 * PART_CHARS) if n <= 2 * PART_CHARS else _powers.__wrapped__(n)
+        mixed = self.chars.astype(np.uint64)
+        mixed += np.uint64(1)
+        mixed *= _MIX[0]
         mixed ^= mixed >> np.uint64(31)
         mixed *= _MIX[1]
-        powers = np.full(n + 1, _BASE, np.uint64)
-        powers[0] = 1
-        powers = np.cumprod(powers, dtype=np.uint64)
-        back = np.full(n + 1, _INVERSE, np.uint64)
-        back[0] = 1
-        self.back = np.cumprod(back, dtype=np.uint64)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[:n], dtype=np.uint64)])
-        self.powers = powers
+        mixed *= powers[:n]
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mixed, out=self.sums[1:])
 
     def without(self, begin, end, hole, upto) -> np.ndarray:
         """Hash of the stretches from ``begin`` to ``end`` without the holes from ``hole`` to ``upto``."""
@@ -103,7 +116,7 @@ class Hashes:
 
     def words(self) -> np.ndarray:
         """Where words start, and the text's length; the text begins with a word and ends with a blank."""
-        blank = (self.chars == 32) | (self.chars - np.uint64(9) <= 4)
+        blank = (self.chars == 32) | (self.chars - np.uint32(9) <= 4)
         alone = self.chars >= NO_BLANKS
         start = ~blank & alone
         start[1:] |= ~blank[1:] & (blank | alone)[:-1]
@@ -192,21 +205,15 @@ def first_lines(docs: DataFrame, max_words: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.cumsum([len(t) for t in batch.column(2).to_pylist()])
-            begin = 0
-            while begin < batch.num_rows:
-                base = sizes[begin - 1] if begin else 0
-                stop = max(begin + 1, int(np.searchsorted(sizes, base + PART_CHARS, side="right")))
-                part = batch.slice(begin, stop - begin)
-                owner, number, digest, keys = _scan(part.column(2).to_pylist(), max_words)
+            for part, texts in text_parts(batch.column(2), PART_CHARS):
+                owner, number, digest, keys = _scan(texts.to_pylist(), max_words)
                 own = pa.array(owner, pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(own), part.column(1).take(own), pa.array(number, pa.int32()),
+                    batch.column(0)[part].take(own), batch.column(1)[part].take(own), pa.array(number, pa.int32()),
                     pa.array(digest, pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(owner) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))],
                     names=[*LINE, "digest", "keys"])
-                begin = stop
 
     lines = _rows(docs).mapInArrow(run, f"{LINE_TYPES}, digest binary, keys array<bigint>")
     # All copies of a line have the same keys, so the copy that the minimum picks does not matter for them.
@@ -399,7 +406,7 @@ def _word_keys(h: Hashes, words: np.ndarray, first, n, taken: tuple[int, ...], l
 
 
 def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
-    """(id, key, code): keys of ``lines`` (id, text, codes) without ``max_words`` halves of parts; the code tells which."""
+    """(id, key, code, line): keys of ``lines`` (line, id, text, codes) without ``max_words`` halves of parts; the code tells which."""
     on_workers(lines.sparkSession)
     wanted = [(halves, taken, _whole_parts(halves, taken, max_words)) for halves, taken in _halves(max_words)]
     n_parts = len(_parts(max_words))
@@ -407,7 +414,7 @@ def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, texts in text_parts(batch.column(1), PART_CHARS):
-                ids, codes = batch.column(0)[own], batch.column(2)[own]
+                ids, codes, line = batch.column(0)[own], batch.column(2)[own], batch.column(3)[own]
                 texts = texts.to_pylist()
                 shares = np.zeros((len(texts), n_parts), bool)
                 flat = codes.flatten().to_numpy()
@@ -430,9 +437,11 @@ def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
                         found.append((at, key, np.full(len(at), code, np.int64)))
                 if found:
                     at, key, code = (pa.array(np.concatenate(c)) for c in zip(*found))
-                    yield pa.RecordBatch.from_arrays([ids.take(at), key, code], names=["id", "key", "code"])
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(at), key, code, line.take(at)], names=["id", "key", "code", "line"])
 
-    return lines.select("id", "text", "codes").mapInArrow(run, "id bigint, key bigint, code bigint")
+    return lines.select("id", "text", "codes", F.struct(*LINE).alias("line")).mapInArrow(
+        run, "id bigint, key bigint, code bigint, line struct<doc_id: bigint, tie: bigint, line_no: int>")
 
 
 def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share: float) -> DataFrame:
@@ -499,11 +508,45 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(met.select("key", "n"), "key")
 
 
-def _shared_keys(firsts: DataFrame) -> DataFrame:
-    """(id, key, code, n) of the keys of ``firsts`` that come more than once, ``n`` times."""
+def _sorted_ranges(firsts: DataFrame, bits: int) -> DataFrame:
+    """(bucket, sorted): for each batch of lines a sorted array of its keys in each range, of a key two at most.
+
+    So a key that very many lines share fills no range. Keys are hashes, so ranges of equal width hold about as many.
+    """
+    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).flatten().to_numpy().view(np.uint64)
+            key = np.sort(key[key != 0])
+            if len(key) > 2:
+                key = key[np.append([True, True], key[2:] != key[:-2])]
+            at = np.append(np.searchsorted(key, edges), len(key))
+            full = np.flatnonzero(np.diff(at))
+            ends = np.append(at[full], len(key)).astype(np.int32) * 8
+            yield pa.RecordBatch.from_arrays([
+                pa.array(full.astype(np.int32)),
+                pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(ends), pa.py_buffer(key)])],
+                names=["bucket", "sorted"])
+
+    return firsts.select("keys").mapInArrow(deal, "bucket int, sorted binary")
+
+
+def _found_twice(firsts: DataFrame, keys_a_line: int) -> DataFrame:
+    """(key): the keys of ``firsts`` that come more than once, each once; zero is none."""
+
+    def twice(table: pa.Table) -> pa.Table:
+        key = np.sort(np.frombuffer(b"".join(table["sorted"].to_pylist()), np.uint64))
+        return pa.table({"key": np.unique(key[1:][key[1:] == key[:-1]]).view(np.int64)})
+
+    bits = max(BUCKET_BITS, (firsts.count() * keys_a_line // BUCKET_KEYS).bit_length())
+    return _sorted_ranges(firsts, bits).groupBy("bucket").applyInArrow(twice, "key bigint")
+
+
+def _shared_keys(firsts: DataFrame, keys_a_line: int) -> DataFrame:
+    """(id, key, code) of the keys of ``firsts`` that come more than once."""
     on_workers(firsts.sparkSession)
-    counts = firsts.select(F.explode("keys").alias("key")).where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    met = written(counts.where("n > 1"), "shared-keys")
+    met = written(_found_twice(firsts, keys_a_line), "shared-keys")
     bits = min(MAX_BITS, max(CHUNK_BITS, (16 * met.count()).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -594,19 +637,19 @@ def _id() -> Column:
 
 
 def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> tuple[DataFrame, ...]:
-    """(lines that go, pairs (a, b), rows to narrow down) of the keys that many lines share.
+    """(lines that go, pairs (a, b), rows to narrow down) of the keys in ``rows`` that many lines share.
 
-    Every line of a key is compared with the earliest one first: copies of a line go at once, however many they are.
+    Every line of a key that is not ``gone`` is compared with the earliest one first: copies of a line go at once, however
+    many they are.
     Those that stay are the key's seekers. Few of them are compared with all earlier lines of the key, which costs no more
     than ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers are narrowed down.
     """
-    line = texts.select("id", F.struct(*LINE).alias("line"))
-    placed = written(rows.where(F.col("n") > PAIR_LINES).join(line, "id"), "word-lines")
+    placed = written(rows.where(F.col("n") > PAIR_LINES), "word-lines")
     firsts = placed.groupBy("key").agg(F.min(F.struct("line", "id")).alias("f")).select("key", F.col("f.id").alias("first"))
-    later = written(placed.join(firsts, "key").where("id <> first").select("key", "id", "line", "first"), "word-later")
+    open_ = placed.select("key", "id", "line").distinct().join(gone.distinct(), "id", "left_anti")
+    later = written(open_.join(firsts, "key").where("id <> first"), "word-later")
     near = written(_near(later.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts, max_words, share), "near")
-    seekers = written(later.select("key", "id", "line").distinct().join(
-        gone.unionByName(near.select(_id())).distinct(), "id", "left_anti"), "seekers")
+    seekers = written(later.drop("first").join(near.select(_id()), "id", "left_anti"), "seekers")
     load = seekers.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
     few = seekers.join(load.where(F.col("k") <= PAIR_LINES).select("key"), "key").select(
         "key", F.col("id").alias("b"), F.col("line").alias("seeker"))
@@ -650,14 +693,14 @@ def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: flo
             firsts = best.select("key", F.xxhash64(*(F.col(f"f.{c}") for c in LINE)).alias("a"))
             pairs = keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct()
             return near.unionByName(_near(pairs, texts, max_words, share)).distinct()
-        shared = written(_shared(written(keys.select("key", _id(), "code"), "place-keys")), "word-keys")
+        shared = written(_shared(written(keys.select("key", _id(), "code", F.struct(*LINE).alias("line")), "place-keys")), "word-keys")
         near = written(near.unionByName(_near(_each_two(shared), texts, max_words, share)).distinct(), "near")
         step += 1
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
     """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one, or near it by words."""
-    met = written(_shared_keys(firsts), "line-keys")
+    met = written(_shared_keys(firsts, CHAR_KEYS + len(_parts(max_words))), "line-keys")
     codes = met.groupBy("id").agg(F.collect_set("code").alias("codes"))
     own = firsts.select(_id(), *LINE).join(codes, "id")
     texts = written(_with_texts(docs, written(own, "line-codes")), "line-texts")

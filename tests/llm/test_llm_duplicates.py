@@ -323,3 +323,17 @@ def test_line_stage_keeps_the_values_of_other_columns(spark, messy):
     others = [c for c in messy.columns if c not in ("doc_id", "text")]
     kept = {tuple(r) for r in messy.select(*others).collect()}
     assert out.columns == [*messy.columns, "row"] and {tuple(r) for r in out.select(*others).collect()} == kept
+
+
+def test_keys_found_twice_and_how_often_they_are_sent(spark):
+    """Shared keys by ranges, at both ends of the range; one that all lines share is sent twice by a batch at most."""
+    own = [[i, -i, 0, 2 ** 63 - 1, -(2 ** 63)] for i in range(1, 2000)] + [[0, 7, 7, -3], [], [0], [2 ** 62]]
+    firsts = spark.createDataFrame([(k,) for k in own], "keys array<long>").coalesce(1)
+    found = lines._found_twice(firsts, 5)
+    assert sorted(r.key for r in found.collect()) == [-(2 ** 63), -3, 7, 2 ** 63 - 1]
+    assert lines._found_twice(firsts.where("false"), 5).count() == 0
+    many = spark.range(50_000).selectExpr("array(-1L, id + 1) AS keys").coalesce(1)
+    sent = lines._sorted_ranges(many, lines.BUCKET_BITS)
+    assert sent.agg({"sorted": "count"}).first()[0] > 0
+    assert sent.selectExpr("max(length(sorted))").first()[0] <= 8 * 10_002
+    assert sent.where(f"bucket = {2 ** lines.BUCKET_BITS - 1}").selectExpr("sum(length(sorted)) / 8 AS n").first()[0] <= 2 * 5
