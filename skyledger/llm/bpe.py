@@ -9,8 +9,10 @@ two; adjacent compatible tokens everywhere mean that the whole sequence is what
 
 from __future__ import annotations
 
+import codecs
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,6 +29,7 @@ from skyledger.llm.common import give_back_memory, on_workers
 # Entries of a task's tables before they are emptied; bounds memory, not results.
 CACHE_ENTRIES = 400_000
 PAIR_ENTRIES = 300_000
+WORD_ENTRIES = 250_000
 # Texts are taken from an Arrow batch in parts of about this many characters.
 PART_CHARS = 4 << 20
 
@@ -62,6 +65,7 @@ class WordBpe:
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern["pattern"]["Regex"].replace("\\s", _SPACE))
         self.letters = byte_letters()
+        self.alphabet = "".join(self.letters)
 
         # Text of each token, a word end as one character. Merged tokens are put together from their parts, so
         # a literal that looks like the suffix is not taken for one.
@@ -87,6 +91,7 @@ class WordBpe:
             self.shorter[i] = next((ids[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in ids), -1)
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
+        self.coded: dict[str, list[int]] = {}
 
         names = {i: t.encode() for t, i in vocab.items()} | {i: t.encode() for t, i in self.specials.items()}
         ordered = [names.get(i, b"") for i in range(size)]
@@ -165,10 +170,19 @@ class WordBpe:
         if chunk.isascii():
             chunk = chunk.lower()
         else:
-            chunk = "".join(c.lower() for c in unicodedata.normalize("NFC", chunk))
-        letters, out = self.letters, []
+            chunk = unicodedata.normalize("NFC", chunk)
+            # The capital sigma alone is lowered by its place in a word; here each character is by itself.
+            chunk = "".join([c.lower() for c in chunk]) if "\u03a3" in chunk else chunk.lower()
+        coded, out = self.coded, []
         for word in self.words.findall(chunk):
-            out += self.encode_word(word if word.isascii() and word.isprintable() else "".join([letters[b] for b in word.encode()]))
+            tokens = coded.get(word)
+            if tokens is None:
+                if len(coded) >= WORD_ENTRIES:
+                    coded.clear()
+                plain = word.isascii() and word.isprintable()
+                tokens = coded[word] = self.encode_word(
+                    word if plain else codecs.charmap_decode(word.encode(), "strict", self.alphabet)[0])
+            out += tokens
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -192,18 +206,25 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _code(texts: list[str], coder: WordBpe, known: dict[str, tuple[bytes, str]]) -> tuple[list[bytes], list[str]]:
+class _Known(dict):
+    """Ids as bytes, and the decoded text, of each chunk asked for."""
+
+    def __init__(self, coder: WordBpe):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, chunk: str) -> tuple[bytes, str]:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        tokens = self.coder.encode_chunk(chunk)
+        got = self[chunk] = (array("i", tokens).tobytes(), self.coder.decode(tokens))
+        return got
+
+
+def _code(texts: list[str], known: _Known) -> tuple[list[bytes], list[str]]:
     ids, decoded = [], []
     for text in texts:
-        coded = []
-        for chunk in chunks_of(text):
-            got = known.get(chunk)
-            if got is None:
-                if len(known) >= CACHE_ENTRIES:
-                    known.clear()
-                tokens = coder.encode_chunk(chunk)
-                got = known[chunk] = (np.array(tokens, np.int32).tobytes(), coder.decode(tokens))
-            coded.append(got)
+        coded = [known[chunk] for chunk in chunks_of(text)]
         ids.append(b"".join([c[0] for c in coded]))
         decoded.append(" ".join([c[1] for c in coded if c[0]]))
     return ids, decoded
@@ -221,17 +242,18 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     text_at = [f.name for f in kept].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, known = load(path), {}
+        coder = load(path)
+        known = _Known(coder)
         for batch in batches:
             for part in _parts(batch, text_at):
                 texts = [t or "" for t in part.column(text_at).to_pylist()]
-                ids, decoded = _code(texts, coder, known)
+                ids, decoded = _code(texts, known)
                 ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.ListArray.from_arrays(pa.array(ends), values), pa.array(decoded, pa.string())],
                     names=[*part.schema.names, "ids", "decoded"])
-        give_back_memory(known, coder.pairs)
+        give_back_memory(known, coder.pairs, coder.coded)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     return docs.select(*(F.col(f"`{f.name}`") for f in kept)).mapInArrow(run, f"{fields}, ids array<int>, decoded string")

@@ -115,3 +115,17 @@ def test_shards_round_trip(spark, messy, empty, monkeypatch):
     found = wavelet.find(spark, folder, 2).agg({"n": "sum"}).first()[0]
     assert found >= len(texts)
     assert wavelet.read_documents(spark, wavelet.write_shards(empty, BYTE, 2)).count() == 0
+
+
+def test_each_word_is_coded_once(monkeypatch):
+    """Chunks that differ only in their marks, of letters of two bytes and a capital sigma, share the work on their words."""
+    coder = bpe.WordBpe(WORD)
+    asked = []
+    plain = coder.encode_word
+    monkeypatch.setattr(coder, "encode_word", lambda word: asked.append(word) or plain(word))
+    texts = ["Schön schön, schön. (SCHÖN) ΟΔΟΣ ΟΔΟΣ. οδοσ!"]
+    ids, decoded = bpe._code(texts, bpe._Known(coder))
+    whole = LIBRARY
+    expected = whole.encode(texts[0], add_special_tokens=False).ids
+    assert np.frombuffer(ids[0], np.int32).tolist() == expected and decoded == [whole.decode(expected, skip_special_tokens=False)]
+    assert len(asked) == len(set(asked))
