@@ -52,7 +52,7 @@ WORD_FINE = 8
 WORD_LAST = 4
 # Lines of a key up to this number are compared each with each; keys of more lines are narrowed down.
 PAIR_LINES = 16
-# Bits for the keys that two lines share, 16 a key up to 32 MB; rows whose bit is not set are not shuffled again.
+# Bits for the keys that two lines share, 64 a key up to 32 MB; rows whose bit is not set are not shuffled again.
 MAX_BITS = 28
 CHUNK_BITS = 15
 # Keys of a bucket that is searched for shared ones in one go, about, and buckets (as bits) at least.
@@ -547,7 +547,7 @@ def _shared_keys(firsts: DataFrame, keys_a_line: int) -> DataFrame:
     """(id, key, code) of the keys of ``firsts`` that come more than once."""
     on_workers(firsts.sparkSession)
     met = written(_found_twice(firsts, keys_a_line), "shared-keys")
-    bits = min(MAX_BITS, max(CHUNK_BITS, (16 * met.count()).bit_length()))
+    bits = min(MAX_BITS, max(CHUNK_BITS, (64 * met.count()).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[int, np.ndarray] = {}
@@ -639,10 +639,10 @@ def _id() -> Column:
 def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> tuple[DataFrame, ...]:
     """(lines that go, pairs (a, b), rows to narrow down) of the keys in ``rows`` that many lines share.
 
-    Every line of a key that is not ``gone`` is compared with the earliest one first: copies of a line go at once, however
-    many they are.
-    Those that stay are the key's seekers. Few of them are compared with all earlier lines of the key, which costs no more
-    than ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers are narrowed down.
+    Every line of a key that is not ``gone`` is compared with the earliest one first: copies of a line go at once,
+    however many they are. Those that stay are the key's seekers. Few of them are compared with all earlier lines of the
+    key, which costs no more than ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers
+    are narrowed down.
     """
     placed = written(rows.where(F.col("n") > PAIR_LINES), "word-lines")
     firsts = placed.groupBy("key").agg(F.min(F.struct("line", "id")).alias("f")).select("key", F.col("f.id").alias("first"))
