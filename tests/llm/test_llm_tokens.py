@@ -129,3 +129,26 @@ def test_each_word_is_coded_once(monkeypatch):
     expected = whole.encode(texts[0], add_special_tokens=False).ids
     assert np.frombuffer(ids[0], np.int32).tolist() == expected and decoded == [whole.decode(expected, skip_special_tokens=False)]
     assert len(asked) == len(set(asked))
+
+
+def test_words_are_coded_side_by_side(coder, library, monkeypatch):
+    """Words of a part are coded in one call, those that step back among them; a table that is emptied changes nothing."""
+    calls = []
+    plain = coder.encode_words
+    monkeypatch.setattr(coder, "encode_words", lambda words: calls.append(len(words)) or plain(words))
+    monkeypatch.setattr(bpe, "WORD_ENTRIES", 500)
+    r = random.Random(5)
+    letters = "aaabcdeenrsttth.,'1!é\u0301ΣςßİñÄ日<|>\x1c\x85\n  "
+    known = bpe._Known(coder)
+    for size in (0, 1, 400):
+        texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 90))) for _ in range(size)]
+        texts += ["", " ", "x" * 300 + " the" * 3, "a<|endoftext|>b <|endoftext|>"]
+        before = len(calls)
+        ids, decoded = bpe._code(texts, known)
+        assert len(calls) <= before + 2
+        for text, own, back in zip(texts, ids, decoded, strict=True):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(own, np.int32).tolist() == want, text
+            assert back == library.decode(want, skip_special_tokens=False)
+    words = ["".join(r.choice("aeinrstth") for _ in range(r.randint(1, 60))) for _ in range(3000)]
+    assert [np.frombuffer(x, np.int32).tolist() for x in plain(words)] == [coder.encode_word(w) for w in words]
