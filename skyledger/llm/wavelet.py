@@ -9,6 +9,7 @@ lengths, compressed by the file format.
 
 from __future__ import annotations
 
+import codecs
 import os
 from array import array
 from collections.abc import Iterator
@@ -16,12 +17,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.bpe import byte_letters
-from skyledger.llm.common import on_workers, text_or_empty
+from skyledger.llm.common import on_workers, text_or_empty, text_parts
 from skyledger.session import scratch_dir
 
 # Ids of one shard at most, but for a single longer document.
@@ -31,6 +33,8 @@ BROADCAST_SHARDS = 1_000_000
 MIN_RANGES = 8
 # Bits of a rank block.
 BLOCK = 512
+# Texts coded together, but for a single longer one; a chunk is looked up once for all of them.
+PART_BYTES = 16 << 20
 # Entries of a worker's table of text pieces before it is emptied; bounds memory, not results.
 CACHE_ENTRIES = 800_000
 
@@ -208,6 +212,8 @@ _ODD = regex.compile("[\x1c-\x1f\x85\xa0]")
 
 # Stands for a chunk that begins or ends with white space.
 BLANKS_MEET = ""
+# Stands between the chunks of a part; before a blank it is a word of its own.
+BETWEEN = "\x0b"
 # Words that the model codes in one call.
 GROUP = 24
 # Letters below this code point are classed alike by Python and by the library.
@@ -219,8 +225,8 @@ class _Coder:
 
     Its pre-tokenizer cuts before every blank that a word follows, so a blank and the characters up to the next blank
     (a chunk) are coded by themselves, whatever stands around them, unless white space meets white space there. Texts
-    with such a place are coded as a whole. Chunks of Latin letters are cut into words by the same pattern, and
-    the library's model codes each distinct word once; other chunks go through the whole library.
+    with such a place are coded as a whole. Chunks of Latin letters are cut into words by the same pattern, all of
+    a part together, and the library's model codes each distinct word once; other chunks go through the whole library.
     """
 
     def __init__(self, path: str):
@@ -232,7 +238,7 @@ class _Coder:
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size(with_added_tokens=True)
-        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.kind = np.uint16 if size < 1 << 16 else np.uint32
         self.code = "H" if self.kind is np.uint16 else "I"
         self.model = self.library.model
         vocabulary = self.library.get_vocab(with_added_tokens=False)
@@ -244,24 +250,27 @@ class _Coder:
             return any(b == " " and (a.isalpha() or a == "\ufffd") for a, b in zip(text, text[1:]))
 
         self.joinable = not any(after_letter(t) for t in vocabulary if blank in t[1:])
-        self.starts = [False] * size
+        self.starts = np.zeros(size, bool)
         for t, i in vocabulary.items():
             self.starts[i] = t.startswith(blank)
-        self.letters = dict(enumerate(byte_letters()))
+        self.alphabet = "".join(byte_letters())
         self.chunks: dict[str, bytes | str] = {}
         self.words: dict[str, bytes] = {}
-        self.marks = {c: self._word(c) for c in ".,;:!?"}
+        self.no_id = np.iinfo(self.kind).max
+        # Empty, white space at an end, characters that engines class differently, added tokens: not cut by the pattern here.
+        self.odd = "|".join([r"^$|^[\t-\r]|[\t-\r]$|[\x0b\x1c-\x1f\x{85}\x{a0}]", rf"[^\x00-\x{{{ord(LATIN_END) - 1:x}}}]",
+                             *map(regex.escape, self.specials)])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _ids(self, letters: str) -> bytes:
-        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+    def _letters(self, text: str) -> str:
+        return codecs.charmap_decode(text.encode(), "strict", self.alphabet)[0]
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
-            got = self.words[word] = self._ids(word.encode().decode("latin-1").translate(self.letters))
+            got = self.words[word] = array(self.code, [t.id for t in self.model.tokenize(self._letters(word))]).tobytes()
         return got
 
     def _cut(self, text: str) -> bytes:
@@ -273,66 +282,84 @@ class _Coder:
         return b"".join([self._word(w) for w in _PIECES.findall(text)])
 
     def _learn(self, new: set[str]) -> None:
-        """Adds chunks to the table. Most are a word, or a word and a mark; the words are coded in groups."""
-        chunks, marks = self.chunks, self.marks
-        marked, letters = [], {}
-        for chunk in new:
-            word, mark = chunk, b""
-            if not chunk.isalpha():
-                word, mark = chunk[:-1], marks.get(chunk[-1:])
-                if mark is None or not word.isalpha():
-                    bad = not chunk or chunk[0].isspace() or chunk[-1].isspace()
-                    chunks[chunk] = BLANKS_MEET if bad else self._cut(" " + chunk)
-                    continue
-                marked.append((chunk, word, mark))
-            if word in chunks:
-                continue
-            if word.isascii():
-                letters[word] = self.letters[32] + word
-            elif max(word) < LATIN_END:
-                letters[word] = (" " + word).encode().decode("latin-1").translate(self.letters)
-            else:
-                chunks[word] = self._whole(" " + word)
-        words = list(letters)
+        """Adds words to the table. Most are a blank and letters; these are coded in groups.
+
+        Where no token holds a blank behind a letter, such words do not merge with the one before, and each begins with a
+        token that begins with a blank.
+        """
+        words = [w for w in new if w[0] == " " and w[1:].isalpha()] if self.joinable else []
+        for word in new.difference(words):
+            self._word(word)
+        ids = array(self.code)
         for i in range(0, len(words), GROUP):
-            group = words[i:i + GROUP]
-            for word, ids in zip(group, self._group([letters[w] for w in group])):
-                chunks[word] = ids
-        for chunk, word, mark in marked:
-            chunks[chunk] = chunks[word] + mark
-
-    def _group(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are a blank and letters. Where no token holds a blank behind a letter, such words do not
-        merge with the one before, and each begins with a token that begins with a blank."""
-        if not self.joinable:
-            return [self._ids(w) for w in words]
-        ids = [t.id for t in self.model.tokenize("".join(words))]
-        starts = self.starts
-        at = [i for i, t in enumerate(ids) if starts[t]]
+            ids.extend([t.id for t in self.model.tokenize(self._letters("".join(words[i:i + GROUP])))])
+        at = (ids.itemsize * np.flatnonzero(self.starts[np.frombuffer(ids, self.kind)])).tolist() if words else []
+        raw = ids.tobytes()
+        self.words.update(zip(words, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])]))
+
+    def _plain(self, chunks: list[str]) -> pa.ListArray:
+        """Ids of chunks that the pattern cuts, each with the blank before it."""
+        words = _PIECES.findall(" " + f"{BETWEEN} ".join(chunks)) if chunks else []
+        distinct = set(words)
+        new = distinct.difference(self.words)
+        if len(self.words) + len(new) > CACHE_ENTRIES:
+            self.words.clear()
+            new = distinct
+        self.words[BETWEEN] = np.array([self.no_id], self.kind).tobytes()
+        self._learn(new - {BETWEEN})
+        ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.kind)
+        ends = np.append(np.flatnonzero(ids == self.no_id), len(ids))[:len(chunks)]
+        ends -= np.arange(len(ends))
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids[ids != self.no_id]))
+
+    def _other(self, chunk: str) -> bytes | str:
+        """Ids of a chunk with the blank before it, or ``BLANKS_MEET``."""
+        got = self.chunks.get(chunk)
+        if got is None:
+            if len(self.chunks) >= CACHE_ENTRIES:
+                self.chunks.clear()
+            bad = not chunk or chunk[0].isspace() or chunk[-1].isspace()
+            got = self.chunks[chunk] = BLANKS_MEET if bad else self._cut(" " + chunk)
+        return got
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, as bytes of ``kind``."""
+        split = pc.split_pattern(texts, " ")
+        begin = split.offsets.to_numpy() - split.offsets[0].as_py()
+        behind = np.ones(begin[-1], bool)
+        behind[begin[:-1]] = False
+        flat = split.flatten()
+        firsts = flat.filter(pa.array(~behind)).to_pylist()
+        chunks = flat.filter(pa.array(behind)).dictionary_encode()
+        begin -= np.arange(len(begin), dtype=np.int32)
+
+        odd = pc.match_substring_regex(chunks.dictionary, self.odd)
+        others = [self._other(c) for c in chunks.dictionary.filter(odd).to_pylist()]
         size = self.kind().itemsize
-        raw = array(self.code, ids).tobytes()
-        return [raw[size * a:size * b] for a, b in zip(at, [*at[1:], len(ids)])]
+        other_ends = np.cumsum([0, *(len(c) // size for c in others)], dtype=np.int32)
+        other_ids = np.frombuffer(b"".join([c for c in others if c is not BLANKS_MEET]), self.kind)
+        lists = pa.concat_arrays([
+            self._plain(chunks.dictionary.filter(pc.invert(odd)).to_pylist()),
+            pa.ListArray.from_arrays(pa.array(other_ends), pa.array(other_ids))])
+        odd = odd.to_numpy(zero_copy_only=False)
+        place = np.empty(len(odd), np.int64)
+        place[np.append(np.flatnonzero(~odd), np.flatnonzero(odd))] = np.arange(len(odd))
+        at = place[chunks.indices.to_numpy()]
+        meet = np.append(np.zeros(len(odd) - len(others), bool), [c is BLANKS_MEET for c in others])
+        whole = set((np.searchsorted(begin, np.flatnonzero(meet[at]), side="right") - 1).tolist())
+        coded = lists.take(pa.array(at))
+        raw = coded.values.to_numpy().tobytes()
+        upto = (size * coded.offsets.to_numpy().astype(np.int64)[begin]).tolist()
+        result = []
+        for i, (first, n, a, b) in enumerate(zip(firsts, np.diff(begin).tolist(), upto, upto[1:])):
+            if i in whole or n and first[-1:].isspace():
+                result.append(self._whole(texts[i].as_py()))
+            else:
+                result.append(self._cut(first) + raw[a:b])
+        return result
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text, as bytes of ``kind``."""
-        first, *rest = text.split(" ")
-        if not rest:
-            return self._cut(first)
-        if first[-1:].isspace():
-            return self._whole(text)
-        coded = list(map(self.chunks.get, rest))
-        if None in coded:
-            if len(self.chunks) >= CACHE_ENTRIES:
-                self.chunks.clear()
-                self.words.clear()
-            new = [i for i, c in enumerate(coded) if c is None]
-            self._learn({rest[i] for i in new})
-            for i in new:
-                coded[i] = self.chunks[rest[i]]
-        try:
-            return self._cut(first) + b"".join(coded)
-        except TypeError:  # BLANKS_MEET is no bytes
-            return self._whole(text)
+        return self.encode_all(pa.array([text]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -372,14 +399,15 @@ def write_shards(docs: DataFrame, path: str, end_id: int, folder: str | None = N
                 pa.array([matrix], pa.binary())], names=["seq", "doc_ids", "lengths", "n_ids", "matrix"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                own = coder.encode(text.as_py()) + end
-                if coded and (size + len(own)) // len(end) > SHARD_IDS:
-                    yield shard()
-                    ids, coded, size, seq = [], [], 0, seq + 1
-                ids.append(doc_id.as_py())
-                coded.append(own)
-                size += len(own)
+            for doc_ids, texts in text_parts(batch.column(1), PART_BYTES, batch.column(0)):
+                for doc_id, own in zip(doc_ids.to_pylist(), coder.encode_all(texts)):
+                    own += end
+                    if coded and (size + len(own)) // len(end) > SHARD_IDS:
+                        yield shard()
+                        ids, coded, size, seq = [], [], 0, seq + 1
+                    ids.append(doc_id)
+                    coded.append(own)
+                    size += len(own)
         if coded:
             yield shard()
 

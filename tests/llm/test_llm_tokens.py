@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -152,3 +153,19 @@ def test_words_are_coded_side_by_side(coder, library, monkeypatch):
             assert back == library.decode(want, skip_special_tokens=False)
     words = ["".join(r.choice("aeinrstth") for _ in range(r.randint(1, 60))) for _ in range(3000)]
     assert [np.frombuffer(x, np.int32).tolist() for x in plain(words)] == [coder.encode_word(w) for w in words]
+
+
+def test_texts_of_a_part_are_coded_together(monkeypatch):
+    """A word that many texts hold is learned once; blanks that meet, odd letters and an emptied table change nothing."""
+    coder = wavelet._Coder(BYTE)
+    asked = []
+    plain = coder._learn
+    monkeypatch.setattr(coder, "_learn", lambda new: asked.extend(new) or plain(new))
+    texts = ["one two, two,", "two, one", "", " ", "two,  one", "one\n two,", "日本 two, <|endoftext|> one", "-two, x-1 x-1"] * 3
+    want = [coder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(pa.array(texts))] == want
+    assert len(asked) == len(set(asked))
+    monkeypatch.setattr(wavelet, "CACHE_ENTRIES", 3)
+    for part in (texts[:5], texts[5:], []):
+        got = [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(pa.array(part, pa.string()))]
+        assert got == [coder.library.encode(t, add_special_tokens=False).ids for t in part]
