@@ -37,7 +37,7 @@ PAIR_BITS = 20
 # Longer words are coded one by one.
 LONG_WORD = 64
 # Texts are taken from an Arrow batch in parts of about this many characters.
-PART_CHARS = 4 << 20
+PART_CHARS = 1 << 20
 
 _WORD_END = "\n"  # no byte is written as this character
 # White space as the tokenizer sees it: without the four control characters that Python counts in.
@@ -194,7 +194,7 @@ class WordBpe:
         """Tokens of each word, as bytes of 32-bit integers: ``encode_word`` for all of them at once."""
         s = codecs.charmap_decode((_WORD_END.join(words) + _WORD_END).encode(), "strict", self.ended_alphabet)[0]
         n = len(s)
-        found = np.fromiter(itertools.chain.from_iterable(self.automaton.iter(s)), np.int64).reshape(-1, 2)
+        found = np.fromiter(itertools.chain.from_iterable(self.automaton.iter(s)), np.int32).reshape(-1, 2)
         longest = np.full(n + 1, -1, np.int64)
         longest[found[:, 0] + 1 - self.lengths[found[:, 1]]] = found[:, 1]  # of one place, the last is the longest
         ends = np.flatnonzero(np.frombuffer(s.encode("utf-32-le"), np.uint32) == ord(_WORD_END))
@@ -310,12 +310,14 @@ def _raw(ids: list[int]) -> bytes:
 
 def _code(texts: list[str], known: _Known) -> tuple[list[bytes], list[str]]:
     split = [chunks_of(text) for text in texts]
+    begin = np.cumsum([0, *map(len, split)])
     chunks = pa.array(itertools.chain.from_iterable(split), pa.string()).dictionary_encode()
+    del split  # the parts of a text are the most that a worker holds
     coded = known.of_chunks(chunks.dictionary.to_pylist())
     lists = pa.ListArray.from_arrays(
         pa.array(np.cumsum([0, *(len(x) // 4 for x in coded)], dtype=np.int32)),
         pa.array(np.frombuffer(b"".join(coded), np.int32))).take(chunks.indices)
-    ends = lists.offsets.take(pa.array(np.cumsum([0, *map(len, split)])))
+    ends = lists.offsets.take(pa.array(begin))
     decoded = pc.binary_join(pa.ListArray.from_arrays(ends, known.coder.names.take(lists.values)), " ")
     raw, upto = lists.values.to_numpy().tobytes(), (4 * ends.to_numpy().astype(np.int64)).tolist()
     return [raw[a:b] for a, b in itertools.pairwise(upto)], decoded.to_pylist()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -169,3 +170,16 @@ def test_texts_of_a_part_are_coded_together(monkeypatch):
     for part in (texts[:5], texts[5:], []):
         got = [np.frombuffer(x, coder.kind).tolist() for x in coder.encode_all(pa.array(part, pa.string()))]
         assert got == [coder.library.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_tables_of_the_coder_stay_small(coder):
+    """What a worker keeps of 20,000 distinct chunks: some 200 bytes each, no second table and no decoded texts."""
+    r = random.Random(9)
+    texts = [" ".join("".join(r.choice("abdeinorst") for _ in range(9)) + r.choice([".", ","]) for _ in range(1000)) for _ in range(20)]
+    known = bpe._Known(coder)
+    bpe._code(texts[:1], known)
+    tracemalloc.start()
+    bpe._code(texts[1:], known)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 19_000 * 250
