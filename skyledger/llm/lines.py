@@ -13,11 +13,11 @@ what is taken out is at most ``share`` of either line's characters: a bound of w
 to the line. What is left is cut into ``max_words + 1`` parts, and one of them holds none of the places, so lines that
 are near share the key of a part. A passage that many lines share is enough for that, so each part is halved: the
 places lie in ``max_words`` of the halves at most, and lines that are near share the key of all others, for the same
-halves. A line sends such a key only where it shares the keys of all its whole parts. Where few lines share a key, each
-two are compared; where many do, each is compared with the key's earliest, and lines that this settles look for nothing
-more. If many are left, the places are narrowed down as above, and at single places all lines of a key are near, so the
-earliest stands for the others. A word goes up to the next one's start, and a character of a script without blanks is a
-word. ``max_words = 0`` leaves this out.
+halves. Where few lines share a key of a part, each two are compared at once, so a line sends the keys of halves only where
+many lines share each of its whole parts. Of those keys too, few lines are compared each with each; of many, each is compared
+with the key's earliest, and lines that this settles look for nothing more. If many are left, the places are narrowed down
+as above, and at single places all lines of a key are near, so the earliest stands for the others. A word goes up to the
+next one's start, and a character of a script without blanks is a word. ``max_words = 0`` leaves this out.
 
 Order is (doc_id, checksum of the text, line number), nulls first. Lines are compared without white space at their
 ends. Lines of fewer than ``MIN_CHARS`` characters go only if equal, lines of fewer than ``2 * max_words + 1`` words are
@@ -67,6 +67,8 @@ LINE_BYTES = 64
 SPACES = " \t\x0b\f\r"
 LINE = ["doc_id", "tie", "line_no"]
 LINE_TYPES = "doc_id bigint, tie bigint, line_no int"
+PLACED = ["id", "key", "code", "line", "seeks"]
+PLACED_TYPES = "id bigint, key bigint, code bigint, line struct<doc_id: bigint, tie: bigint, line_no: int>, seeks boolean"
 # From here on (radicals, CJK, kana, Hangul, ...) a character is a word.
 NO_BLANKS = 0x2E80
 WORD = re.compile(f"[{chr(NO_BLANKS)}-\U0010ffff][ \t-\r]*|[^ \t-\r{chr(NO_BLANKS)}-\U0010ffff]+[ \t-\r]*")
@@ -168,8 +170,8 @@ def _part_keys(h: Hashes, begin: np.ndarray, end: np.ndarray, max_words: int) ->
     return keys
 
 
-def _scan(texts: list[str], max_words: int) -> tuple[list[int], list[int], list[bytes], np.ndarray]:
-    """Per line that is not blank: index of its text, line number, checksum, keys (zero for short lines)."""
+def _scan(texts: list[str], max_words: int) -> tuple[list[int], list[int], list[bytes], np.ndarray, np.ndarray]:
+    """Per line that is not blank: index of its text, line number, checksum, characters, keys (zero for short lines)."""
     owner, number, digest, begins, ends, owns = [], [], [], [], [], []
     at = 0
     for i, text in enumerate(texts):
@@ -191,7 +193,7 @@ def _scan(texts: list[str], max_words: int) -> tuple[list[int], list[int], list[
         keys[long, :CHAR_KEYS] = _half_keys(h, begin[long], end[long])
         if max_words:
             keys[long, CHAR_KEYS:] = _part_keys(h, begin[long], end[long], max_words)
-    return owner, number, digest, keys
+    return owner, number, digest, end - begin, keys
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -200,25 +202,25 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def first_lines(docs: DataFrame, max_words: int = 0) -> DataFrame:
-    """(doc_id, tie, line_no, keys): the earliest of each set of equal lines."""
+    """(doc_id, tie, line_no, size, keys): the earliest of each set of equal lines, with its characters."""
     on_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_parts(batch.column(2), PART_CHARS):
-                owner, number, digest, keys = _scan(texts.to_pylist(), max_words)
+                owner, number, digest, size, keys = _scan(texts.to_pylist(), max_words)
                 own = pa.array(owner, pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[part].take(own), batch.column(1)[part].take(own), pa.array(number, pa.int32()),
-                    pa.array(digest, pa.binary()),
+                    pa.array(digest, pa.binary()), pa.array(size.astype(np.int32)),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(owner) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.reshape(-1)))],
-                    names=[*LINE, "digest", "keys"])
+                    names=[*LINE, "digest", "size", "keys"])
 
-    lines = _rows(docs).mapInArrow(run, f"{LINE_TYPES}, digest binary, keys array<bigint>")
+    lines = _rows(docs).mapInArrow(run, f"{LINE_TYPES}, digest binary, size int, keys array<bigint>")
     # All copies of a line have the same keys, so the copy that the minimum picks does not matter for them.
-    firsts = lines.groupBy("digest").agg(F.min(F.struct(*LINE, "keys")).alias("f"))
-    return firsts.select(*(F.col(f"f.{c}").alias(c) for c in [*LINE, "keys"]))
+    firsts = lines.groupBy("digest").agg(F.min(F.struct(*LINE, "size", "keys")).alias("f"))
+    return firsts.select(*(F.col(f"f.{c}").alias(c) for c in [*LINE, "size", "keys"]))
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
@@ -406,7 +408,8 @@ def _word_keys(h: Hashes, words: np.ndarray, first, n, taken: tuple[int, ...], l
 
 
 def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
-    """(id, key, code, line): keys of ``lines`` (line, id, text, codes) without ``max_words`` halves of parts; the code tells which."""
+    """(id, key, code, line, seeks) of ``lines`` (line, id, text, codes, seeks): keys without ``max_words`` halves of parts; the
+    code tells which."""
     on_workers(lines.sparkSession)
     wanted = [(halves, taken, _whole_parts(halves, taken, max_words)) for halves, taken in _halves(max_words)]
     n_parts = len(_parts(max_words))
@@ -414,7 +417,8 @@ def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, texts in text_parts(batch.column(1), PART_CHARS):
-                ids, codes, line = batch.column(0)[own], batch.column(2)[own], batch.column(3)[own]
+                codes = batch.column(2)[own]
+                ids, line, seeks = (batch.column(c)[own] for c in (0, 3, 4))
                 texts = texts.to_pylist()
                 shares = np.zeros((len(texts), n_parts), bool)
                 flat = codes.flatten().to_numpy()
@@ -438,14 +442,13 @@ def _emit_halves(lines: DataFrame, max_words: int) -> DataFrame:
                 if found:
                     at, key, code = (pa.array(np.concatenate(c)) for c in zip(*found))
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(at), key, code, line.take(at)], names=["id", "key", "code", "line"])
+                        [ids.take(at), key, code, line.take(at), seeks.take(at)], names=PLACED)
 
-    return lines.select("id", "text", "codes", F.struct(*LINE).alias("line")).mapInArrow(
-        run, "id bigint, key bigint, code bigint, line struct<doc_id: bigint, tie: bigint, line_no: int>")
+    return lines.select("id", "text", "codes", F.struct(*LINE).alias("line"), "seeks").mapInArrow(run, PLACED_TYPES)
 
 
 def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share: float) -> DataFrame:
-    """(line, key, code): keys of ``lines`` (with text and codes) with narrower places, or at the ``last`` step single ones."""
+    """(id, key, code, line, seeks) of ``lines`` as above: keys with narrower places, or at the ``last`` step single ones."""
     on_workers(lines.sparkSession)
 
     def keys_of(text: str, codes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -496,15 +499,17 @@ def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share:
     def gathered(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         at, key, code = (pa.array(np.concatenate(c)) for c in zip(*found))
         return pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(at) for c in range(3)), key, code], names=[*LINE, "key", "code"])
+            [batch.column(0).take(at), key, code, *(batch.column(c).take(at) for c in (1, 2))], names=PLACED)
 
-    return lines.select(*LINE, "text", "codes").mapInArrow(run, f"{LINE_TYPES}, key bigint, code bigint")
+    return lines.select("id", F.struct(*LINE).alias("line"), "seeks", "text", "codes").mapInArrow(run, PLACED_TYPES)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The rows (line id, key, ...) whose key two lines have, with the key's number of rows ``n``."""
+    """The rows (line id, key, ...) whose key two lines have, one of which ``seeks``, with the key's number of rows ``n``."""
+    seeks = F.max("seeks") if "seeks" in rows.columns else F.lit(True)
     met = rows.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("id").alias("most"), seeks.alias("sought")).where(
+        "least <> most AND sought")
     return rows.join(met.select("key", "n"), "key")
 
 
@@ -544,7 +549,7 @@ def _found_twice(firsts: DataFrame, keys_a_line: int) -> DataFrame:
 
 
 def _shared_keys(firsts: DataFrame, keys_a_line: int) -> DataFrame:
-    """(id, key, code) of the keys of ``firsts`` that come more than once."""
+    """(id, line, size, key, code) of the keys of ``firsts`` that come more than once."""
     on_workers(firsts.sparkSession)
     met = written(_found_twice(firsts, keys_a_line), "shared-keys")
     bits = min(MAX_BITS, max(CHUNK_BITS, (64 * met.count()).bit_length()))
@@ -563,30 +568,35 @@ def _shared_keys(firsts: DataFrame, keys_a_line: int) -> DataFrame:
     places = met.select(F.shiftrightunsigned("key", 64 - bits).alias("at"))
     table = np.zeros(1 << bits - 3, np.uint8)
     size = 1 << CHUNK_BITS - 3
-    for row in places.repartition(F.shiftright("at", CHUNK_BITS)).mapInArrow(mark, "chunk long, bits binary").toLocalIterator():
+    # At once: the whole table is ``2 ** MAX_BITS`` bits at most, and an iterator would run a job for each partition.
+    for row in places.repartition(F.shiftright("at", CHUNK_BITS)).mapInArrow(mark, "chunk long, bits binary").collect():
         table[row.chunk * size:(row.chunk + 1) * size] = np.frombuffer(row.bits, np.uint8)
     shared = firsts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(1)
+            keys = batch.column("keys")
             size = len(keys.flatten()) // max(1, len(keys))
             key = keys.flatten().to_numpy()
             at = key.view(np.uint64) >> np.uint64(64 - bits)
             found = np.flatnonzero(
                 (key != 0) & (shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1))
+            line = pa.array(found // size if size else found)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(found // size if size else found)), pa.array(key[found]),
-                pa.array((found % size if size else found).astype(np.int32))], names=["id", "key", "code"])
+                *(batch.column(c).take(line) for c in own), pa.array(key[found]),
+                pa.array((found % size if size else found).astype(np.int32))], names=[*own, "key", "code"])
 
-    rows = firsts.select(_id(), "keys").mapInArrow(run, "id bigint, key bigint, code int")
+    own = ["id", *LINE, "size"]
+    rows = firsts.select(_id(), *LINE, "size", "keys").mapInArrow(
+        run, f"id bigint, {LINE_TYPES}, size int, key bigint, code int")
     return rows.join(met, "key")
 
 
-def _each_two(rows: DataFrame) -> DataFrame:
-    """(a, b): ids of any two lines that share a key of few lines."""
-    few = rows.where(F.col("n") <= PAIR_LINES).select("key", "id").distinct()
-    return few.toDF("key", "a").join(few.toDF("key", "b"), "key").where("a < b").select("a", "b").distinct()
+def _each_two(rows: DataFrame, which: str) -> DataFrame:
+    """(a, b): ids of any two lines x and y that share a key of few lines, for ``which`` this holds; once for each key."""
+    few = rows.where(F.col("n") <= PAIR_LINES)
+    return few.alias("x").join(few.alias("y"), "key").where(f"x.id < y.id AND ({which})").select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def _words(text: str) -> list[str]:
@@ -613,7 +623,7 @@ def _left(x: list[str], y: list[str], max_words: int) -> int:
 
 
 def _near(pairs: DataFrame, texts: DataFrame, max_words: int, share: float) -> DataFrame:
-    """(doc_id, tie, line_no) of the later line of each of ``pairs`` (a, b) that is near."""
+    """(doc_id, tie, line_no) of the later line of each of ``pairs`` (a, b) that is near, once for each pair."""
     on_workers(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -629,33 +639,33 @@ def _near(pairs: DataFrame, texts: DataFrame, max_words: int, share: float) -> D
     close = F.least(F.length("x"), F.length("y")) >= (1 - share) * F.greatest(F.length("x"), F.length("y")) - 1
     later = F.greatest("x_line", "y_line").alias("line")
     return both.where(close).select(later, "x", "y").select(
-        *(F.col(f"line.{c}").alias(c) for c in LINE), "x", "y").mapInArrow(run, LINE_TYPES).distinct()
+        *(F.col(f"line.{c}").alias(c) for c in LINE), "x", "y").mapInArrow(run, LINE_TYPES)
 
 
 def _id() -> Column:
     return F.xxhash64(*LINE).alias("id")
 
 
-def _crowded(rows: DataFrame, texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> tuple[DataFrame, ...]:
-    """(lines that go, pairs (a, b), rows to narrow down) of the keys in ``rows`` that many lines share.
+def _compared(rows: DataFrame, pending: DataFrame, texts: DataFrame, max_words: int, share: float) -> tuple[DataFrame, ...]:
+    """(lines that go, pairs (a, b) left, rows to narrow down) of ``rows`` (id, key, code, line, seeks, n).
 
-    Every line of a key that is not ``gone`` is compared with the earliest one first: copies of a line go at once,
-    however many they are. Those that stay are the key's seekers. Few of them are compared with all earlier lines of the
-    key, which costs no more than ``PAIR_LINES`` times its lines; a key without any is done, and only keys of many seekers
-    are narrowed down.
+    Lines of a key of few are compared each with each. Every line of a key of many that still seeks is compared with the
+    earliest one first: copies of a line go at once, however many they are. Those that stay are the key's seekers. Few of
+    them meet all earlier lines of the key, which costs no more than ``PAIR_LINES`` times its lines; a key without any is
+    done, and only keys of many seekers are narrowed down. ``pending`` pairs are compared too, those left with the next step.
     """
     placed = written(rows.where(F.col("n") > PAIR_LINES), "word-lines")
     firsts = placed.groupBy("key").agg(F.min(F.struct("line", "id")).alias("f")).select("key", F.col("f.id").alias("first"))
-    open_ = placed.select("key", "id", "line").distinct().join(gone.distinct(), "id", "left_anti")
-    later = written(open_.join(firsts, "key").where("id <> first"), "word-later")
-    near = written(_near(later.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts, max_words, share), "near")
+    later = written(placed.where("seeks").select("key", "id", "line").distinct().join(firsts, "key").where("id <> first"), "word-later")
+    pairs = _each_two(rows, "x.seeks OR y.seeks").union(later.select("first", "id")).union(pending)
+    near = written(_near(pairs.distinct(), texts, max_words, share), "near")
     seekers = written(later.drop("first").join(near.select(_id()), "id", "left_anti"), "seekers")
     load = seekers.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
     few = seekers.join(load.where(F.col("k") <= PAIR_LINES).select("key"), "key").select(
         "key", F.col("id").alias("b"), F.col("line").alias("seeker"))
     earlier = placed.select("key", F.col("id").alias("a"), "line").distinct()
-    pairs = earlier.join(few, "key").where("line < seeker").select("a", "b").distinct()
-    return near, pairs, placed.join(load.where(F.col("k") > PAIR_LINES).select("key"), "key").select("id", "code")
+    left = earlier.join(few, "key").where("line < seeker").select("a", "b")
+    return near, left, placed.join(load.where(F.col("k") > PAIR_LINES).select("key"), "key").select("id", "code")
 
 
 def _width(lines: DataFrame, step: int, max_words: int) -> int:
@@ -668,49 +678,57 @@ def _width(lines: DataFrame, step: int, max_words: int) -> int:
     return width
 
 
-def _near_by_words(texts: DataFrame, gone: DataFrame, max_words: int, share: float) -> DataFrame:
-    """(doc_id, tie, line_no) of the lines that are near an earlier one; ``texts`` have the codes of shared part keys.
+def _seeking(lines: DataFrame, near: DataFrame) -> DataFrame:
+    """``lines`` with ``seeks``: false for those in ``near``, which are still compared with."""
+    settled = near.select(_id(), F.lit(False).alias("seeks")).distinct()
+    return lines.join(settled, "id", "left").withColumn("seeks", F.coalesce("seeks", F.lit(True)))
+
+
+def _near_by_words(texts: DataFrame, parts: DataFrame, gone: DataFrame, max_words: int, share: float) -> DataFrame:
+    """(doc_id, tie, line_no) of the lines that are near an earlier one, some often; ``parts`` (id, size, key, code) are shared.
 
     ``gone`` (doc_id, tie, line_no) are known to go: they are still compared with, but seek nothing themselves.
     """
-    shared = written(_shared(written(_emit_halves(texts, max_words), "half-keys")), "word-keys")
-    near = written(_near(_each_two(shared), texts, max_words, share), "near")
-    step = 0
+    shared = written(_shared(parts), "part-keys")
+    pairs = _each_two(shared, f"least(x.size, y.size) >= {1 - share}D * greatest(x.size, y.size) - 1.000001D")
+    near = written(_near(pairs.distinct(), texts, max_words, share), "near")
+    pending = pairs.limit(0)
+    narrow = shared.where(F.col("n") > PAIR_LINES).select("id", "code")
+    step = -1
     while True:
-        settled = gone.unionByName(near).select(_id()).distinct()
-        found, pairs, narrow = _crowded(shared, texts, settled, max_words, share)
         codes = written(narrow.groupBy("id").agg(F.collect_set("code").alias("codes")), "word-codes")
-        near = near.unionByName(found).unionByName(_near(pairs, texts, max_words, share))
         if codes.isEmpty():
-            return near.distinct()
-        near = written(near.distinct(), "near")
-        lines = texts.drop("codes").join(codes, "id")
-        last = _width(lines, step, max_words) <= WORD_LAST
-        keys = _emit_words(lines, step, last, max_words, share)
+            return near.union(_near(pending.distinct(), texts, max_words, share))
+        lines = _seeking(texts.join(codes, "id"), gone.union(near))
+        last = step >= 0 and _width(lines, step, max_words) <= WORD_LAST
+        keys = written(_emit_words(lines, step, last, max_words, share) if step >= 0 else _emit_halves(lines, max_words), "place-keys")
         if last:
-            line = F.struct(*LINE)
-            best = keys.groupBy("key").agg(F.min(line).alias("f"))
+            best = keys.groupBy("key").agg(F.min("line").alias("f"))
             firsts = best.select("key", F.xxhash64(*(F.col(f"f.{c}") for c in LINE)).alias("a"))
-            pairs = keys.select("key", _id().alias("b")).join(firsts, "key").where("a <> b").select("a", "b").distinct()
-            return near.unionByName(_near(pairs, texts, max_words, share)).distinct()
-        shared = written(_shared(written(keys.select("key", _id(), "code", F.struct(*LINE).alias("line")), "place-keys")), "word-keys")
-        near = written(near.unionByName(_near(_each_two(shared), texts, max_words, share)).distinct(), "near")
+            pairs = keys.where("seeks").select("key", F.col("id").alias("b")).join(firsts, "key").where("a <> b").select("a", "b")
+            return near.union(_near(pairs.union(pending).distinct(), texts, max_words, share))
+        shared = written(_shared(keys), "word-keys")
+        found, pending, narrow = _compared(shared, pending, texts, max_words, share)
+        near = near.union(found)
         step += 1
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
-    """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one, or near it by words."""
+    """(doc_id, tie, line_no) of the lines among ``firsts`` that are one edit from an earlier one, or near it by words.
+
+    A line comes once or more.
+    """
     met = written(_shared_keys(firsts, CHAR_KEYS + len(_parts(max_words))), "line-keys")
-    codes = met.groupBy("id").agg(F.collect_set("code").alias("codes"))
-    own = firsts.select(_id(), *LINE).join(codes, "id")
-    texts = written(_with_texts(docs, written(own, "line-codes")), "line-texts")
+    codes = met.groupBy("id", *LINE).agg(F.collect_set("code").alias("codes"))
+    texts = written(_with_texts(docs, written(codes, "line-codes")), "line-texts")
     by_chars = texts.withColumn("codes", F.filter("codes", lambda c: c < CHAR_KEYS)).where(F.size("codes") > 0)
     near = _one_edit_lines(by_chars.drop("id"))
     if not max_words:
         return near
     near = written(near, "near")
-    by_words = texts.where(F.exists("codes", lambda c: c >= CHAR_KEYS))
-    return near.union(_near_by_words(by_words, near, max_words, share)).distinct()
+    by_words = texts.where(F.exists("codes", lambda c: c >= CHAR_KEYS)).drop("codes")
+    parts = met.where(F.col("code") >= CHAR_KEYS).select("id", "size", "key", "code")
+    return near.union(_near_by_words(by_words, parts, near, max_words, share))
 
 
 def dedup_lines(docs: DataFrame, max_words: int = 0, share: float = SHARE) -> DataFrame:
@@ -723,12 +741,16 @@ def dedup_lines(docs: DataFrame, max_words: int = 0, share: float = SHARE) -> Da
     """
     firsts = written(first_lines(docs, max_words), "first-lines")
     near = near_lines(docs, firsts, max_words, share)
-    kept = firsts.alias("f").join(near.alias("n"), _same_line("f", "n"), "left_anti").groupBy("doc_id", "tie").agg(
-        F.collect_list("line_no").alias("kept")).toDF("kept_id", "kept_tie", "kept")
+    # Keys without nulls, so that the lists are dealt out once and meet the documents where they are.
+    key = [F.coalesce("doc_id", F.lit(0)).alias("own_id"), F.isnull("doc_id").alias("no_id"), "tie"]
+    marked = firsts.select(*key, "line_no", F.lit(False).alias("goes")).union(near.select(*key, "line_no", F.lit(True)))
+    kept = marked.groupBy("own_id", "no_id", "tie").agg(F.array_except(
+        F.collect_list(F.when(~F.col("goes"), F.col("line_no"))),
+        F.collect_set(F.when(F.col("goes"), F.col("line_no")))).alias("kept"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     whole = docs.select(  # a row as a struct, so its columns can have any names
-        F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("tie"))
-    joined = whole.join(kept, F.expr("id <=> kept_id AND tie <=> kept_tie"), "left")
+        F.struct(*names).alias("row"), *key[:2], F.xxhash64(text_or_empty()).alias("tie"))
+    joined = whole.join(kept.hint("shuffle_hash"), ["own_id", "no_id", "tie"], "left")
     split = joined.withColumn("own", F.split(F.coalesce("row.text", F.lit("")), "\n")).withColumn(
         "blank", F.filter(F.transform("own", lambda x, i: F.when(
             F.octet_length(F.btrim(x, F.lit(SPACES))) == 0, i).otherwise(-1)), lambda i: i >= 0))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm_texts import prose
 from skyledger.llm import components, lattice, lines, minhash, queries
+from skyledger.llm.common import written
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SMALL = "/root/testdata/sf0.001"
@@ -337,3 +338,27 @@ def test_keys_found_twice_and_how_often_they_are_sent(spark):
     assert sent.agg({"sorted": "count"}).first()[0] > 0
     assert sent.selectExpr("max(length(sorted))").first()[0] <= 8 * 10_002
     assert sent.where(f"bucket = {2 ** lines.BUCKET_BITS - 1}").selectExpr("sum(length(sorted)) / 8 AS n").first()[0] <= 2 * 5
+
+
+def test_lines_that_few_share_are_compared_without_keys_of_halves(spark, monkeypatch):
+    """Rows of a step follow the lines that many share: pairs meet by a part alone, settled copies seek nothing."""
+    sent = Counter()
+
+    def counted(df, purpose):
+        out = written(df, purpose)
+        sent[purpose] += out.count()
+        return out
+
+    def dropped(texts):
+        sent.clear()
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        return lines.dedup_lines(docs, 2, 0.2).agg(F.sum("n_dropped")).first()[0]
+
+    monkeypatch.setattr(lines, "written", counted)
+    base = [prose(i, 24).split() for i in range(40)]
+    copies = [[*words[:5], "changed", *words[6:15], "twice", *words[16:]] for words in base]
+    assert dropped([" ".join(w) for w in base + copies]) == 40
+    assert sent["half-keys"] + sent["place-keys"] == 0
+    # The earliest settles all of a large group, whose rows are then those that seek: none.
+    assert dropped([" ".join([*base[0][:12], f"w{i}", *base[0][13:]]) for i in range(200)]) == 199
+    assert sent["half-keys"] + sent["place-keys"] <= 200 * len(lines._halves(2)) and sent["seekers"] == 0
