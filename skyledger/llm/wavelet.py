@@ -12,7 +12,7 @@ from __future__ import annotations
 import codecs
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -215,9 +215,11 @@ BLANKS_MEET = ""
 # Stands between the chunks of a part; before a blank it is a word of its own.
 BETWEEN = "\x0b"
 # Words that the model codes in one call.
-GROUP = 24
+GROUP = 64
 # Letters below this code point are classed alike by Python and by the library.
 LATIN_END = "\u0250"
+# A chunk of these alone is one word, and needs no cutting.
+LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+$"
 
 
 class _Coder:
@@ -281,14 +283,22 @@ class _Coder:
             return self._whole(text)
         return b"".join([self._word(w) for w in _PIECES.findall(text)])
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, distinct: Collection[str]) -> None:
+        """Has all of these words in the table, emptied first where they would not fit beside the others."""
+        new = [w for w in distinct if w not in self.words]
+        if len(self.words) + len(new) > CACHE_ENTRIES:
+            self.words.clear()
+            new = list(distinct)
+        self._add(new)
+
+    def _add(self, new: list[str]) -> None:
         """Adds words to the table. Most are a blank and letters; these are coded in groups.
 
         Where no token holds a blank behind a letter, such words do not merge with the one before, and each begins with a
         token that begins with a blank.
         """
         words = [w for w in new if w[0] == " " and w[1:].isalpha()] if self.joinable else []
-        for word in new.difference(words):
+        for word in set(new).difference(words) if len(words) < len(new) else ():
             self._word(word)
         ids = array(self.code)
         for i in range(0, len(words), GROUP):
@@ -300,18 +310,22 @@ class _Coder:
     def _plain(self, chunks: list[str]) -> pa.ListArray:
         """Ids of chunks that the pattern cuts, each with the blank before it."""
         words = _PIECES.findall(" " + f"{BETWEEN} ".join(chunks)) if chunks else []
-        distinct = set(words)
-        new = distinct.difference(self.words)
-        if len(self.words) + len(new) > CACHE_ENTRIES:
-            self.words.clear()
-            new = distinct
+        self._learn(set(words) - {BETWEEN})
         self.words[BETWEEN] = np.array([self.no_id], self.kind).tobytes()
-        self._learn(new - {BETWEEN})
         ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.kind)
         ends = np.append(np.flatnonzero(ids == self.no_id), len(ids))[:len(chunks)]
         ends -= np.arange(len(ends))
         return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids[ids != self.no_id]))
 
+    def _single(self, chunks: list[str]) -> pa.ListArray:
+        """Ids of distinct chunks of letters, each one word with the blank before it."""
+        words = [" " + c for c in chunks]
+        self._learn(words)
+        ids = [self.words[w] for w in words]
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // self.kind().itemsize
+        return pa.ListArray.from_arrays(
+            pa.array(np.append(0, ends).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), self.kind)))
+
     def _other(self, chunk: str) -> bytes | str:
         """Ids of a chunk with the blank before it, or ``BLANKS_MEET``."""
         got = self.chunks.get(chunk)
@@ -334,28 +348,34 @@ class _Coder:
         begin -= np.arange(len(begin), dtype=np.int32)
 
         odd = pc.match_substring_regex(chunks.dictionary, self.odd)
+        single = pc.and_not(pc.match_substring_regex(chunks.dictionary, LETTERS), odd)
+        plain = pc.invert(pc.or_(odd, single))
         others = [self._other(c) for c in chunks.dictionary.filter(odd).to_pylist()]
         size = self.kind().itemsize
         other_ends = np.cumsum([0, *(len(c) // size for c in others)], dtype=np.int32)
         other_ids = np.frombuffer(b"".join([c for c in others if c is not BLANKS_MEET]), self.kind)
         lists = pa.concat_arrays([
-            self._plain(chunks.dictionary.filter(pc.invert(odd)).to_pylist()),
+            self._single(chunks.dictionary.filter(single).to_pylist()),
+            self._plain(chunks.dictionary.filter(plain).to_pylist()),
             pa.ListArray.from_arrays(pa.array(other_ends), pa.array(other_ids))])
-        odd = odd.to_numpy(zero_copy_only=False)
-        place = np.empty(len(odd), np.int64)
-        place[np.append(np.flatnonzero(~odd), np.flatnonzero(odd))] = np.arange(len(odd))
-        at = place[chunks.indices.to_numpy()]
-        meet = np.append(np.zeros(len(odd) - len(others), bool), [c is BLANKS_MEET for c in others])
-        whole = set((np.searchsorted(begin, np.flatnonzero(meet[at]), side="right") - 1).tolist())
-        coded = lists.take(pa.array(at))
-        raw = coded.values.to_numpy().tobytes()
+        single, plain, odd = (np.flatnonzero(x.to_numpy(zero_copy_only=False)) for x in (single, plain, odd))
+        # The few distinct lists are put in the dictionary's order, so that the many places need no numbers of their own.
+        place = np.empty(len(lists), np.int32)
+        place[np.concatenate([single, plain, odd])] = np.arange(len(lists), dtype=np.int32)
+        meet = odd[[c is BLANKS_MEET for c in others]] if others else []
+        whole = set()
+        if len(meet):
+            found = np.flatnonzero(np.isin(chunks.indices.to_numpy(), meet))
+            whole = set((np.searchsorted(begin, found, side="right") - 1).tolist())
+        coded = lists.take(pa.array(place)).take(chunks.indices)
+        raw = memoryview(coded.values.to_numpy()).cast("B") if len(coded) else b""
         upto = (size * coded.offsets.to_numpy().astype(np.int64)[begin]).tolist()
         result = []
         for i, (first, n, a, b) in enumerate(zip(firsts, np.diff(begin).tolist(), upto, upto[1:])):
             if i in whole or n and first[-1:].isspace():
                 result.append(self._whole(texts[i].as_py()))
             else:
-                result.append(self._cut(first) + raw[a:b])
+                result.append(b"".join((self._cut(first), raw[a:b])))
         return result
 
     def encode(self, text: str) -> bytes:

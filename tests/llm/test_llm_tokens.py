@@ -183,3 +183,17 @@ def test_tables_of_the_coder_stay_small(coder):
     kept = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert kept < 19_000 * 250
+
+
+def test_chunks_of_letters_are_not_cut(monkeypatch):
+    """A chunk of letters alone is one word; the ids are the library's, also where the table is emptied in between."""
+    coder, cut = wavelet._Coder(BYTE), []
+    plain = coder._plain
+    monkeypatch.setattr(coder, "_plain", lambda chunks: cut.extend(chunks) or plain(chunks))
+    texts = ["so hello wörld été it's a.b x1 hello ǃ 中文 st", "", "a b  c\tword× end ", "ª º µ ɏ abc"]
+    library = Tokenizer.from_file(BYTE)
+    for entries in (wavelet.CACHE_ENTRIES, 2):
+        monkeypatch.setattr(wavelet, "CACHE_ENTRIES", entries)
+        for text, got in zip(texts, coder.encode_all(pa.array(texts))):
+            assert np.frombuffer(got, coder.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert {"it's", "a.b", "x1", "word×"} & set(cut) and not {"hello", "wörld", "été", "ǃ", "ɏ", "abc"} & set(cut)
