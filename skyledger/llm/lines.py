@@ -354,13 +354,14 @@ def _half_cut(left, max_words: int) -> np.ndarray:
     return np.arange(2 * max_words + 3) * np.asarray(left)[..., None] // (2 * max_words + 2)
 
 
-def _spots(code: int, step: int, n: int, max_words: int) -> Iterator[tuple[int, tuple[int, ...], list[tuple[int, int]]]]:
-    """(code, mask, ranges) that a code stands for in a line of ``n`` words.
+@lru_cache(maxsize=1 << 14)
+def _spots(code: int, step: int, n: int, max_words: int) -> list[tuple[int, tuple[int, ...], tuple[tuple[int, int], ...]]]:
+    """(code, mask, ranges) that a code stands for in a line of ``n`` words; lines of a key have the same ones.
 
     The mask tells at which places this line has a word that is taken out; the ranges tell where the places can be, in
     words of what is left, in ascending order. A code of step 0 is an index of ``_halves``; each later step adds a digit.
     """
-    digits = []
+    digits, spots = [], []
     for _ in range(step):
         code, digit = divmod(code, WORD_FINE ** max_words)
         digits.append(digit)
@@ -383,7 +384,8 @@ def _spots(code: int, step: int, n: int, max_words: int) -> Iterator[tuple[int,
                 stem = stem * WORD_FINE ** max_words + digit
                 at = [digit // WORD_FINE ** (max_words - 1 - j) % WORD_FINE for j in range(max_words)]
                 ranges = [(int(c[d]), int(c[d + 1])) for c, d in zip(map(_word_cut, ranges), at)]
-            yield stem, mask, ranges
+            spots.append((stem, mask, tuple(ranges)))
+    return spots
 
 
 def _word_cut(place: tuple[int, int]) -> np.ndarray:
@@ -392,6 +394,23 @@ def _word_cut(place: tuple[int, int]) -> np.ndarray:
     return low + np.arange(parts + 1, dtype=np.int64) * (high - low) // parts
 
 
+@lru_cache(maxsize=1 << 11)
+def _grid(ranges: tuple[tuple[int, int], ...], last: bool) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """(low, high, digit) of the narrower places in ``ranges``, at the ``last`` step of single ones, in ascending order."""
+    cuts = [np.arange(a, b + 1) for a, b in ranges] if last else [_word_cut(r) for r in ranges]
+    grid = [g.reshape(-1) for g in np.meshgrid(*(np.arange(len(c) if last else len(c) - 1) for c in cuts), indexing="ij")]
+    ordered = np.ones(len(grid[0]), bool)
+    for j in range(len(ranges) - 1):
+        if ranges[j] == ranges[j + 1]:
+            ordered &= grid[j] <= grid[j + 1]
+    grid = [g[ordered] for g in grid]
+    digit = np.zeros(len(grid[0]), np.int64)
+    for g in grid:
+        digit = digit * WORD_FINE + g
+    low = [c[g] for c, g in zip(cuts, grid)]
+    return low, low if last else [c[g + 1] for c, g in zip(cuts, grid)], digit
+
+
 def _word_keys(h: Hashes, words: np.ndarray, first, n, taken: tuple[int, ...], low: list, high: list) -> np.ndarray:
     """Keys of lines without what lies from ``low`` to ``high`` at each place and without the words taken out there.
 
@@ -457,17 +476,9 @@ def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share:
         n = len(words) - 1
         for code in codes:
             for stem, mask, ranges in _spots(code, step, n, max_words):
-                cuts = [np.arange(a, b + 1) for a, b in ranges] if last else [_word_cut(r) for r in ranges]
-                grid = [g.reshape(-1) for g in np.meshgrid(
-                    *(np.arange(len(c) if last else len(c) - 1) for c in cuts), indexing="ij")]
-                ordered = np.ones(len(grid[0]), bool)
-                for j in range(max_words - 1):
-                    if ranges[j] == ranges[j + 1]:
-                        ordered &= grid[j] <= grid[j + 1]
-                grid = [g[ordered] for g in grid]
-                low = [c[g] for c, g in zip(cuts, grid)]
+                low, high, digit = _grid(ranges, last)
                 if last:
-                    size, shift = np.zeros(len(grid[0]), np.int64), 0
+                    size, shift = np.zeros(len(digit), np.int64), 0
                     for place, own in zip(low, mask):
                         if own:
                             size += words[place + shift + 1] - words[place + shift]
@@ -476,10 +487,6 @@ def _emit_words(lines: DataFrame, step: int, last: bool, max_words: int, share:
                     key = _word_keys(h, words, 0, n, mask, low, low)
                     yield key, np.zeros(len(key), np.int64)
                 else:
-                    digit = np.zeros(len(grid[0]), np.int64)
-                    for g in grid:
-                        digit = digit * WORD_FINE + g
-                    high = [c[g + 1] for c, g in zip(cuts, grid)]
                     yield _word_keys(h, words, 0, n, mask, low, high), stem * WORD_FINE ** max_words + digit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
