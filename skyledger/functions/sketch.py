@@ -56,9 +56,12 @@ def _offset(accuracy: float) -> int:
 def bin_of(value: str, accuracy: float = DEFAULT_ACCURACY) -> Column:
     """Signed bin of a finite value; null for null, NaN and infinities.
 
-    Takes SQL text of a double: the formula is one parsed expression instead of dozens of driver calls.
+    Takes SQL text of a double: the formula is one parsed expression instead of dozens of driver calls. The index stands
+    outside of any condition, as only there Spark works out its repeated parts once; other values stand in as 1.
     """
-    size = f"abs({value})"
+    smallest = sys.float_info.min * _gamma(accuracy)
+    odd = f"({value} IS NULL OR isnan({value}) OR abs({value}) = double('Infinity'))"
+    size = f"if({odd} OR abs({value}) <= {smallest!r}D, 1D, abs({value}))"
     guess = f"int(floor(log2({size})))"
     # log2 is a ratio of logarithms and may be one off at powers of two.
     exponent = (
@@ -67,11 +70,8 @@ def bin_of(value: str, accuracy: float = DEFAULT_ACCURACY) -> Column:
     s = f"({size} / power(2D, {exponent}) - 1D)"
     level = f"({exponent} + (({CUBIC_A!r}D * {s} + {CUBIC_B!r}D) * {s} + {CUBIC_C!r}D) * {s})"
     index = f"(int(floor({_multiplier(accuracy)!r}D * {level})) + {_offset(accuracy)})"
-    smallest = sys.float_info.min * _gamma(accuracy)
-    return F.expr(f"""
-        CASE WHEN {value} IS NULL OR isnan({value}) OR {size} = double('Infinity') THEN NULL
-             WHEN {size} <= {smallest!r}D THEN 0
-             WHEN {value} > 0 THEN {index} ELSE -{index} END""")
+    sign = f"CASE WHEN {odd} THEN NULL WHEN abs({value}) <= {smallest!r}D THEN 0 WHEN {value} > 0 THEN 1 ELSE -1 END"
+    return F.expr(f"{index} * {sign}")
 
 
 def bin_value(bin_: str, accuracy: float = DEFAULT_ACCURACY) -> Column:

@@ -604,7 +604,10 @@ def stream_q3_global_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole streaming job: rows and flights of each of its seven results."""
     path = scratch_dir(spark, "stream_all")
-    jobs.start_all(_stream(spark, sf_dir), path, sized(spark, sf_dir, replace(STREAM_PARAMS, min_flights=2))).finish()
+    started = jobs.start_all(_stream(spark, sf_dir), path, sized(spark, sf_dir, replace(STREAM_PARAMS, min_flights=2)))
+    started.finish()
+    for intake in started.intakes:
+        drop_folder(spark, f"{intake.path}/rows")
     counts = []
     for name in jobs.RESULT_NAMES:
         rows = jobs.read_stream_results(spark, f"{path}/{name}", name)

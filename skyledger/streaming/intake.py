@@ -17,8 +17,10 @@ from skyledger.session import make_folder, read_small
 REJECT_RULES = ("completeness", "event_time", "contradiction")
 
 # Date and time of the row that closes a bounded stream: no window ends behind it.
-_CLOSING = {"year": 9999, "month": 1, "day_of_month": 1, "crs_dep_time": 0}
 CLOSING_MS = 253_370_764_800_000
+_CLOSING = {"year": 9999, "month": 1, "day_of_month": 1, "crs_dep_time": 0, "event_ms": CLOSING_MS}
+# What event time, flags and reject rule are made of; nothing behind them reads it.
+_MADE_OF = ("year", "month", "day_of_month", "crs_dep_time", "cancelled", "diverted")
 
 
 def with_closing(flights: DataFrame, folder: str) -> DataFrame:
@@ -36,12 +38,32 @@ def close(spark: SparkSession, schema: T.StructType, folder: str) -> None:
     row.coalesce(1).write.mode("overwrite").parquet(folder)
 
 
+def _judged(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
+        "event_ms": F.when(has_valid_time(), F.unix_millis("event_ts")),
+        "dep_delay": F.coalesce("dep_delay", F.lit(0.0)),
+        "is_cancelled": flag_set(F.col("cancelled")),
+        "is_diverted": flag_set(F.col("diverted")),
+        "reject_rule": reject_rule(),
+    })
+
+
+def judged_flights(flights: DataFrame) -> DataFrame:
+    """All rows, rejected ones too, with event time, flags and reject rule in place of what these are made of.
+
+    ``clean_stream`` takes them as it takes flights, so that several results need not work this out again.
+    """
+    return _judged(with_event_time(flights)).drop("event_ts", *_MADE_OF)
+
+
 def _watermarked(flights: DataFrame, delay_minutes: int) -> DataFrame:
-    return with_event_time(flights).withWatermark("event_ts", f"{delay_minutes} minutes")
+    judged = "reject_rule" in flights.columns
+    rows = flights.withColumn("event_ts", F.timestamp_millis("event_ms")) if judged else with_event_time(flights)
+    return rows.withWatermark("event_ts", f"{delay_minutes} minutes")
 
 
 def clean_stream(inputs: Sequence[DataFrame], delay_minutes: int, name: str) -> DataFrame:
-    """Clean rows of one or several inputs behind a watermark, with the columns that ``clean`` gives.
+    """Clean rows of one or several inputs, flights or judged ones, behind a watermark, with the columns that ``clean`` gives.
 
     The watermark is set on raw rows, so a row that is rejected or filtered out moves it too: the filters stay above
     the observed counters. Several inputs each have a watermark of their own;
@@ -50,17 +72,10 @@ def clean_stream(inputs: Sequence[DataFrame], delay_minutes: int, name: str) ->
     """
     rows = reduce(DataFrame.unionByName, [_watermarked(f, delay_minutes) for f in inputs])
     real = ~F.col("closing")
-    timed = rows.withColumns({
-        "event_ms": F.when(has_valid_time(), F.unix_millis("event_ts")),
-        "dep_delay": F.coalesce("dep_delay", F.lit(0.0)),
-        "is_cancelled": flag_set(F.col("cancelled")),
-        "is_diverted": flag_set(F.col("diverted")),
-        "reject_rule": reject_rule(),
-    }).observe(
+    timed = (rows if "reject_rule" in rows.columns else _judged(rows)).observe(
         name, F.count_if(real).alias("rows_in"),
         *[F.count_if(real & (F.col("reject_rule") == r)).alias(f"rejected_{r}") for r in REJECT_RULES])
-    return timed.where(real & F.col("reject_rule").isNull()).drop(
-        "year", "month", "day_of_month", "crs_dep_time", "cancelled", "diverted", "reject_rule", "closing")
+    return timed.where(real & F.col("reject_rule").isNull()).drop(*_MADE_OF, "reject_rule", "closing")
 
 
 def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int | None:

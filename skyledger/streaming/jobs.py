@@ -29,10 +29,11 @@ from skyledger.operators.late import MINUTE_MS
 from skyledger.operators.windows import end_of_window, label_of, unpack_window, window_ms
 from skyledger.params import DAY_MS, JobParams
 from skyledger.schema import Q1_RESULT, Q2_RESULT, Q3_RESULT
-from skyledger.session import drop_folder
+from skyledger.session import drop_folder, make_folder
 from skyledger.sinks.result_table import RESULT_KEYS, batch_ids, read_results, upsert, write_batch
+from skyledger.sources.streams import parquet_stream
 from skyledger.streaming.checkpoints import trigger
-from skyledger.streaming.intake import CLOSING_MS, batch_watermark, clean_stream, close, with_closing
+from skyledger.streaming.intake import CLOSING_MS, batch_watermark, clean_stream, close, judged_flights, with_closing
 from skyledger.streaming.progress import ProgressWriter, counters, dropped_rows
 
 __all__ = ["counters", "dropped_rows"]
@@ -84,12 +85,13 @@ class RunningStream:
 
 @dataclass
 class RunningStreams:
-    """Several streams side by side."""
+    """Several streams side by side, and the intakes that they read from."""
 
     streams: list[RunningStream]
+    intakes: list[RunningStream]
 
     def awaitTermination(self) -> None:  # noqa: N802 - named as on the query
-        for stream in self.streams:
+        for stream in [*self.intakes, *self.streams]:
             stream.awaitTermination()
 
     def finish(self) -> None:
@@ -466,14 +468,39 @@ def start_latency(
 RESULT_NAMES = ("q1", "q2_1h", "q2_6h", "q2_global", "q3_1d", "q3_7d", "q3_global")
 
 
+def _start_intake(flights: DataFrame, path: str, name: str, interval: str | None) -> RunningStream:
+    """Judges each row of a source once and keeps it in ``path/rows``, where any number of streams read it.
+
+    Spark's file sink lists what a batch has written in one step, so a batch that is run again is not read twice.
+    """
+    spark, rows = flights.sparkSession, judged_flights(flights)
+    make_folder(spark, f"{path}/rows")
+
+    def start() -> StreamingQuery:
+        ProgressWriter.of(spark).follow(name, path)
+        return (
+            rows.writeStream.queryName(name).option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(**trigger(interval)).format("parquet").start(f"{path}/rows")
+        )
+
+    return RunningStream(start(), spark, path, rows.schema, start)
+
+
 def start_all(
     flights: Flights, base: str, params: JobParams = JobParams(), interval: str | None = None,
     sinks: dict[str, Sequence[BatchSink]] | None = None,
 ) -> RunningStreams:
     """The whole job, a query to a result: seven results, late rows of the windowed ones, counters, latency samples.
 
-    Each result has its own folder ``base/<name>``, with a checkpoint of its own, and fails or restarts alone.
+    Each result has its own folder ``base/<name>``, with a checkpoint of its own, and fails or restarts alone. Each input
+    is read and judged by one query, whose rows in ``base/intake_<n>`` all results read; a drained run waits for it first.
     """
+    inputs = [flights] if isinstance(flights, DataFrame) else list(flights)
+    intakes = [_start_intake(f, f"{base}/intake_{i}", f"intake_{i}", interval) for i, f in enumerate(inputs)]
+    if not interval:
+        for intake in intakes:
+            intake.awaitTermination()
+    flights = [parquet_stream(i.spark, f"{i.path}/rows", i.schema) for i in intakes]
     extra = sinks or {}
     at = lambda name: (f"{base}/{name}", params, interval, extra.get(name, ()))
     started = [_window_stream(flights, r, *at(r.name), False) for r in (
@@ -481,7 +508,7 @@ def start_all(
     started += [_since_start_stream(flights, job, *at(job.name)) for job in (
         _q2_global(params, None), _q3_global(params, None))]
     started.append(start_latency(flights, f"{base}/latency", "1h", params, interval))
-    return RunningStreams(started)
+    return RunningStreams(started, intakes)
 
 
 def start_console(df: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:

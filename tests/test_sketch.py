@@ -100,3 +100,18 @@ def test_quantiles_of_lists_equal_those_of_bins(spark):
         listed = bins.groupBy("k").agg(*sketch.bin_list())
         got = sketch.list_quantiles(listed, ["k"], probabilities, max_bins=max_bins).orderBy("k").collect()
         assert got == want
+
+
+def test_a_bin_takes_few_logarithms(spark):
+    """The formula names its exponent in many places; it is worked out once for a row, a logarithm being a ratio of two."""
+    plan = spark.range(1).selectExpr("double(id) AS v").select(sketch.bin_of("v"))._jdf.queryExecution().executedPlan()
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    code = getattr(debug, "MODULE$").codegenString(plan)
+    assert 0 < code.count("StrictMath.log(") <= 6 and 0 < code.count("pow(") <= 6
+
+
+def test_odd_values_have_their_own_bins(spark):
+    tiny = 5e-324
+    rows = [(None,), (math.nan,), (math.inf,), (-math.inf,), (0.0,), (-0.0,), (tiny,), (-tiny,), (1.0,), (-1.0,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "v double").select(sketch.bin_of("v")).collect()]
+    assert got[:8] == [None] * 4 + [0] * 4 and got[8] == -got[9] > 0

@@ -332,6 +332,35 @@ def test_all_streams_from_json_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/latency/samples").count() == 6
 
 
+def test_all_streams_read_their_source_once(spark, tmp_path):
+    """Whatever number of results there are, each input is read by one query, over a restart too."""
+    base = str(tmp_path)
+    parts = (
+        flights(spark, dict(crs_dep_time=805, dep_delay=40.0), dict(crs_dep_time=1275), dict(airline=" ")),
+        flights(spark, dict(crs_dep_time=830), dict(day_of_month=2, cancelled=1.0, diverted=1.0), dict(day_of_month=2)),
+        # Late by now.
+        flights(spark, dict(crs_dep_time=840), dict(day_of_month=3)),
+    )
+    read = {}
+    for i, part in enumerate(parts):
+        for name in ("a", "b"):
+            part.write.mode("append").parquet(f"{base}/in_{name}")
+        inputs = [parquet_stream(spark, f"{base}/in_{name}", FLIGHT_SCHEMA) for name in ("a", "b")]
+        started = jobs.start_all(inputs, base, NO_GRACE)
+        started.awaitTermination() if i < 2 else started.finish()
+        for stream in [*started.intakes, *started.streams]:
+            for progress in stream.query.recentProgress if i < 2 else ():
+                for source in progress.sources:
+                    if "/in_" in source.description:
+                        read[progress.name] = read.get(progress.name, 0) + source.numInputRows
+    assert read == {"intake_0": 6, "intake_1": 6}
+    assert [n for _, n in _counts(spark, f"{base}/q1", "q1")] == [4, 2, 2]
+    assert {r.counter: r["rows"] for r in jobs.counters(spark, f"{base}/q1").collect()} == {
+        "rows_in": 16, "rejected_completeness": 2, "rejected_event_time": 2, "rejected_contradiction": 2}
+    assert jobs.late_rows_seen(spark, f"{base}/q1").count() == 2
+    assert jobs.read_stream_results(spark, f"{base}/q3_global", "q3_global").agg(F.max("count")).first()[0] > 0
+
+
 def test_checkpoint_locations():
     assert checkpoint_uri("HDFS", "/a/b", namenode="hdfs://n:1/") == "hdfs://n:1/a/b"
     assert checkpoint_uri("s3", "/a", bucket="b") == "s3a://b/a"
